@@ -2,66 +2,81 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COLUMNS = ("model", "column", "check", "violations")
+Models = dict[str, DataFrame]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """Null values per column, all columns in one pass."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("violations")) for c in columns]))
-    return counted.select(pairs).select(
-        F.lit(model).alias("model"), "column", F.lit("not_null").alias("check"), "violations"
-    )
+def _result(model, column, check: str, violations) -> list[Column]:
+    return [
+        model.alias("model"),
+        column.alias("column"),
+        F.lit(check).alias("check"),
+        violations.cast("bigint").alias("violations"),
+    ]
 
 
-def _stacked(df: DataFrame, columns: list[str], as_type: str) -> DataFrame:
-    """(column, value) for every non-null value of ``columns``."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(as_type).alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*pairs))).where("value is not null")
+def not_null(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Null values per listed column, one pass per model."""
+
+    def counted(model: str) -> DataFrame:
+        counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns[model]])
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("violations")) for c in columns[model]]
+        return counts.select(F.inline(F.array(*pairs))).select(
+            *_result(F.lit(model), F.col("column"), "not_null", F.col("violations"))
+        )
+
+    return union_all([counted(model) for model in columns])
 
 
-def _all_checks(spark, model: str, check: str, labels: list[str]) -> DataFrame:
-    rows = F.explode(F.array(*[F.lit(x) for x in labels])).alias("column")
-    return spark.range(1).select(F.lit(model).alias("model"), rows, F.lit(check).alias("check"))
+def _stacked(df: DataFrame, label: str, columns: Sequence[str], as_type: str) -> DataFrame:
+    """(label, column, value) for every non-null value of ``columns``."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(as_type).alias("value")) for c in columns]
+    return df.select(F.lit(label).alias("model"), F.inline(F.array(*pairs))).where("value is not null")
 
 
-def _with_zeroes(found: DataFrame, model: str, check: str, labels: list[str]) -> DataFrame:
-    """Add the checks that found nothing."""
-    every = _all_checks(found.sparkSession, model, check, labels)
-    violations = F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
-    return every.join(F.broadcast(found), "column", "left").select(*COLUMNS[:3], violations)
+def _with_zeroes(found: DataFrame, check: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """All checks, those that found nothing included; ``found`` has at most one row per check."""
+    every = [(model, column) for model, listed in columns.items() for column in listed]
+    frame = found.sparkSession.createDataFrame(every, "model string, column string")
+    violations = F.coalesce("violations", F.lit(0))
+    return frame.join(F.broadcast(found), ["model", "column"], "left").select(
+        *_result(F.col("model"), F.col("column"), check, violations)
+    )
 
 
-def unique(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """Values that occur more than once, per column; all columns share one pass and one shuffle."""
-    copies = _stacked(df, columns, "string").groupBy("column", "value").count()
-    found = copies.where("count > 1").groupBy("column").agg(F.count(F.lit(1)).alias("violations"))
-    return _with_zeroes(found, model, "unique", columns)
+def unique(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Values that occur more than once, per listed column; all models share one shuffle."""
+    values = union_all([_stacked(models[m], m, listed, "string") for m, listed in columns.items()])
+    repeated = values.groupBy("model", "column", "value").count().where("count > 1")
+    found = repeated.groupBy("model", "column").agg(F.count(F.lit(1)).alias("violations"))
+    return _with_zeroes(found, "unique", columns)
 
 
-def relationships(child: DataFrame, model: str, links: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Rows of ``child`` whose column names no parent row, per (column, parent, parent key).
+def relationships(models: Models, links: Mapping[str, Sequence[tuple[str, str, str]]]) -> DataFrame:
+    """Rows whose column names no parent row, per (column, parent, parent column) of each model.
 
     Child values are counted before they meet the parents, so a popular parent is one row per task.
     """
-    used = _stacked(child, [column for column, _, _ in links], "bigint").groupBy("column", "value").count()
-    known = union_all([
-        parent.select(F.lit(column).alias("column"), F.col(key).cast("bigint").alias("value"))
-        for column, parent, key in links
-    ])
-    found = used.join(known, ["column", "value"], "left_anti").groupBy("column")
-    return _with_zeroes(
-        found.agg(F.sum("count").alias("violations")), model, "relationships", [column for column, _, _ in links]
-    )
+    used, known = [], []
+    for model, listed in links.items():
+        if listed:
+            used.append(_stacked(models[model], model, [column for column, _, _ in listed], "bigint"))
+        for column, parent, key in listed:
+            keys = _stacked(models[parent], model, [key], "bigint")
+            known.append(keys.withColumn("column", F.lit(column)))
+    counted = union_all(used).groupBy("model", "column", "value").count()
+    unmatched = counted.join(union_all(known), ["model", "column", "value"], "left_anti")
+    found = unmatched.groupBy("model", "column").agg(F.sum("count").alias("violations"))
+    return _with_zeroes(found, "relationships", {m: [c for c, _, _ in listed] for m, listed in links.items()})
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

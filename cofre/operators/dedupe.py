@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.operators.keysets import settle
+from cofre.operators.keysets import KeySet, settle, wide_key
 from cofre.schemas import INGESTED_AT, ROW_SEQ
 
 SUPERSEDED = "_superseded"
@@ -29,31 +29,38 @@ def recency(df: DataFrame) -> Column:
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys held by more than one row, with the recency of the newest of them.
+    """Keys held by more than one row, as ``_key``, with the recency of the newest of these rows.
 
     An aggregate rather than a window: copies are combined before the shuffle, so a key that
     holds a third of the table costs one row per task.
     """
     return (
         df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(wide_key(df, key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_copies"), F.max(recency(df)).alias("_newest"))
         .where("_copies > 1")
-        .select(key, "_newest")
+        .select("_key", "_newest")
     )
 
 
-def flag_older_copies(df: DataFrame, key: str, flag: str, among: Column | None = None) -> DataFrame:
-    """Add boolean ``flag``: the row shares its key with a newer row (both in ``among``)."""
-    candidates = df if among is None else df.where(among)
-    newest = settle(repeated_keys(candidates, key)).attach(df, {key: key}, {"_newest": F.col("_newest")})
+def flag_older_copies(
+    df: DataFrame, key: str, flag: str, repeated: KeySet | None = None, among: Column | None = None
+) -> DataFrame:
+    """Add boolean ``flag``: the row shares its key with a newer row (both in ``among``).
+
+    ``repeated`` are the settled :func:`repeated_keys` when the caller has them.
+    """
+    if repeated is None:
+        candidates = df if among is None else df.where(among)
+        repeated = settle({"repeated": repeated_keys(candidates, key)})["repeated"]
+    newest = repeated.attach(df, key, {"_newest": F.col("_newest")})
     older = F.coalesce(recency(df) != F.col("_newest"), F.lit(False))
     return newest.withColumn(flag, older if among is None else older & among).drop("_newest")
 
 
-def flag_superseded(df: DataFrame, key: str) -> DataFrame:
+def flag_superseded(df: DataFrame, key: str, repeated: KeySet | None = None) -> DataFrame:
     """Add ``_superseded``: the key is null, or a newer row has the same key."""
-    flagged = flag_older_copies(df, key, SUPERSEDED)
+    flagged = flag_older_copies(df, key, SUPERSEDED, repeated)
     return flagged.withColumn(SUPERSEDED, F.col(key).isNull() | F.col(SUPERSEDED))
 
 
@@ -68,6 +75,6 @@ def dedupe_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 def members_of_repeated(df: DataFrame, key: str) -> DataFrame:
     """All rows of every key that more than one row holds."""
-    copies = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
-    shared = settle(copies.where("_copies > 1"))
-    return shared.attach(df, {key: key}, {"_copies": F.col("_copies")}).where("_copies > 1").drop("_copies")
+    copies = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
+    shared = settle({"shared": copies.where("_copies > 1")})["shared"]
+    return shared.attach(df, key, {"_copies": F.col("_copies")}).where("_copies > 1").drop("_copies")

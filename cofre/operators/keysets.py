@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import tempfile
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest key set sent to every executor: about 100 MB as a hash table.
 BROADCAST_ROWS = 1_000_000
@@ -32,38 +34,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def wide_key(df: DataFrame, column: str) -> Column:
+    """``column`` as key: integers as bigint, so that key sets of different tables fit together."""
+    return F.col(column).cast("bigint") if isinstance(df.schema[column].dataType, T.IntegralType) else F.col(column)
+
+
 @dataclass(frozen=True)
 class KeySet:
-    """A counted, durable set of keys with facts about them."""
+    """A counted, durable set of unique keys, ``_key``, with facts about them."""
 
     frame: DataFrame
     rows: int
 
-    def attach(self, df: DataFrame, on: dict[str, str], facts: dict[str, Column]) -> DataFrame:
-        """Add ``facts`` (new name to column over this set) to the rows of ``df`` that match.
+    def attach(self, df: DataFrame, column: str, facts: dict[str, Column]) -> DataFrame:
+        """Add ``facts`` (new name to column over this set) to the rows whose ``column`` is in the set.
 
-        ``on`` maps columns of ``df`` to columns of this set, which must be unique in it.
         Other rows get null.
         """
-        hidden = {ours: f"_key_{ours}" for ours in on.values()}
-        side = self.frame.select(
-            *[F.col(ours).alias(alias) for ours, alias in hidden.items()],
-            *[fact.alias(name) for name, fact in facts.items()],
-        )
+        side = self.frame.select("_key", *[fact.alias(name) for name, fact in facts.items()])
         if self.rows == 0:
-            types = {f.name: f.dataType for f in side.schema}
-            return df.withColumns({name: F.lit(None).cast(types[name]) for name in facts})
+            kinds = {f.name: f.dataType for f in side.schema}
+            return df.withColumns({name: F.lit(None).cast(kinds[name]) for name in facts})
         if self.rows <= BROADCAST_ROWS:
             side = F.broadcast(side)
-        match = [F.col(theirs) == F.col(hidden[ours]) for theirs, ours in on.items()]
-        return df.join(side, match, "left").drop(*hidden.values())
+        return df.join(side, F.col(column) == F.col("_key"), "left").drop("_key")
+
 
+def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
+    """Compute narrow key sets in one go, keep them in the checkpoint folder and count them.
 
-def settle(df: DataFrame) -> KeySet:
-    """Compute a narrow key set once, keep it in the checkpoint folder and count it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.checkpoint()
-    return KeySet(kept, kept.count())
+    All parts have a column ``_key``, of one type, and may have facts of their own.
+    """
+    named = [df.select(F.lit(name).alias("_part"), "*") for name, df in parts.items()]
+    together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
+    ensure_checkpoint_dir(together.sparkSession)
+    kept = together.checkpoint()
+    rows = {r["_part"]: r["count"] for r in kept.groupBy("_part").count().collect()}
+    return {name: KeySet(kept.where(F.col("_part") == name), rows.get(name, 0)) for name in parts}
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -2,55 +2,67 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.operators.keysets import settle
+from cofre.operators.keysets import KeySet, settle, wide_key
 
 
 def missing_flag(column: str) -> str:
     return f"_missing_{column}"
 
 
-def unmatched_keys(child: DataFrame, columns: list[str], parent: DataFrame, parent_key: str) -> DataFrame:
-    """Distinct values of ``columns`` without a row in ``parent``.
+@dataclass(frozen=True)
+class Link:
+    """Columns of a child that name rows of one parent by its key."""
+
+    columns: tuple[str, ...]
+    parent: DataFrame
+    key: str
+
+
+def unmatched_keys(child: DataFrame, link: Link) -> DataFrame:
+    """Distinct values, as ``_key``, of the linked columns that name no row of the parent.
 
     Only distinct values travel, so neither a popular parent nor wide child rows cost a shuffle.
     """
-    values = F.explode(F.array(*[F.col(c) for c in columns])) if len(columns) > 1 else F.col(columns[0])
-    referred = child.select(values.alias("_key")).where("_key is not null").distinct()
-    known = parent.select(F.col(parent_key).alias("_known"))
-    return referred.join(known, F.col("_key") == F.col("_known"), "left_anti")
+    values = [wide_key(child, c) for c in link.columns]
+    referred = child.select((F.explode(F.array(*values)) if len(values) > 1 else values[0]).alias("_key"))
+    known = link.parent.select(wide_key(link.parent, link.key).alias("_known"))
+    return referred.where("_key is not null").distinct().join(known, F.col("_key") == F.col("_known"), "left_anti")
 
 
-def flag_missing_parents(child: DataFrame, columns: list[str], parent: DataFrame, parent_key: str) -> DataFrame:
-    """Add ``_missing_<column>`` for each column: it is set but names no row of ``parent``."""
-    unmatched = settle(unmatched_keys(child, columns, parent, parent_key))
-    flagged = child
-    for column in columns:
+def flag_unmatched(child: DataFrame, link: Link, unmatched: KeySet) -> DataFrame:
+    """Add ``_missing_<column>`` per linked column, from the settled :func:`unmatched_keys`."""
+    for column in link.columns:
         flag = missing_flag(column)
-        flagged = unmatched.attach(flagged, {column: "_key"}, {flag: F.lit(True)})
-        flagged = flagged.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    return flagged
+        child = unmatched.attach(child, column, {flag: F.lit(True)})
+        child = child.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return child
+
+
+def flag_missing_parents(child: DataFrame, links: list[Link]) -> DataFrame:
+    """Add ``_missing_<column>`` for all linked columns: set, but names no row of its parent."""
+    unmatched = settle({str(i): unmatched_keys(child, link) for i, link in enumerate(links)})
+    for i, link in enumerate(links):
+        child = flag_unmatched(child, link, unmatched[str(i)])
+    return child
 
 
 def rows_without_parent(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows of ``child`` whose ``column`` is set but names no row of ``parent``."""
-    flagged = flag_missing_parents(child, [column], parent, parent_key)
+    flagged = flag_missing_parents(child, [Link((column,), parent, parent_key)])
     return flagged.where(missing_flag(column)).drop(missing_flag(column))
 
 
-def orphan_count(child: DataFrame, parents: list[tuple[list[str], DataFrame, str]], name: str) -> DataFrame:
-    """One row: how many rows of ``child`` lack at least one parent; a null reference lacks it too.
-
-    ``parents`` lists (columns, parent, parent key).
-    """
-    flagged, lacks = child, []
-    for columns, parent, key in parents:
-        flagged = flag_missing_parents(flagged, columns, parent, key)
-        lacks += [F.col(c).isNull() | F.col(missing_flag(c)) for c in columns]
+def orphan_count(child: DataFrame, links: list[Link], name: str) -> DataFrame:
+    """One row: how many rows of ``child`` lack at least one parent; a null reference lacks it too."""
+    columns = [c for link in links for c in link.columns]
+    flagged = flag_missing_parents(child.select(*columns), links)
+    lacks = [F.col(c).isNull() | F.col(missing_flag(c)) for c in columns]
     return flagged.agg(F.count_if(reduce(Column.__or__, lacks)).alias(name))
 
 

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 
 from cofre.operators import contracts
 
-Models = dict[str, DataFrame]
-
 NOT_NULL: dict[str, tuple[str, ...]] = {
     "stg_agencias": ("agencia_id",),
     "stg_clientes": ("cliente_id", "cpf"),
@@ -87,24 +85,10 @@ RELATIONSHIPS: dict[str, tuple[tuple[str, str, str], ...]] = {
 }
 
 
-def not_null_checks(models: Models) -> DataFrame:
-    """Null counts of all columns that must be set, one pass per model."""
-    return contracts.union_all([
-        contracts.not_null(models[m], m, columns) for m, columns in NOT_NULL.items() if m in models
-    ])
-
-
-def unique_checks(models: Models) -> DataFrame:
-    """Repeated values of all columns that must be unique, one pass per model."""
-    return contracts.union_all([
-        contracts.unique(models[m], m, columns) for m, columns in UNIQUE.items() if m in models
-    ])
-
-
-def relationship_checks(models: Models) -> DataFrame:
-    """References without parent, one pass per referring model."""
+def all_checks(models: dict[str, DataFrame]) -> DataFrame:
+    """Every check over staging, dimensions and facts."""
     return contracts.union_all([
-        contracts.relationships(models[m], m, [(c, models[parent], key) for c, parent, key in links])
-        for m, links in RELATIONSHIPS.items()
-        if m in models
+        contracts.not_null(models, NOT_NULL),
+        contracts.unique(models, UNIQUE),
+        contracts.relationships(models, RELATIONSHIPS),
     ])

@@ -11,7 +11,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofre.operators import contracts
 from cofre.plans import checks, gold, reports, silver
 from cofre.plans.star import Star, staging
 from cofre.schemas import ROW_SEQ, TABLES, contract
@@ -118,9 +117,7 @@ class Job:
         layer.write(star.loans(), "fato_emprestimo", batch)
         models = dims | {name: layer.read(name, batch) for name in ("fato_transacao", "fato_emprestimo")}
         models |= {f"stg_{t}": df for t, df in staged.items()}
-        results = contracts.union_all([
-            checks.not_null_checks(models), checks.unique_checks(models), checks.relationship_checks(models)
-        ])
+        results = checks.all_checks(models)
         layer.write(results, "contract_results", batch)
         failed = layer.read("contract_results", batch).where("violations > 0").collect()
         if failed:

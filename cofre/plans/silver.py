@@ -6,7 +6,7 @@ rows the cleaned source text of each normalised column as ``_text_<column>``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from cofre import schemas as S
 from cofre.functions import clean
-from cofre.operators.dedupe import SUPERSEDED, flag_older_copies, flag_superseded
-from cofre.operators.references import flag_missing_parents, missing_flag
+from cofre.operators.dedupe import SUPERSEDED, flag_older_copies, flag_superseded, repeated_keys
+from cofre.operators.keysets import settle
+from cofre.operators.references import Link, flag_unmatched, missing_flag, unmatched_keys
 from cofre.operators.rules import REASON, any_null, not_positive, rejected, tag
 
 Rules = list[tuple[str, Column]]
@@ -25,14 +26,19 @@ EVIDENCE = "_text_"
 
 
 def _prepare(raw: DataFrame, table: str, parents: Parents) -> DataFrame:
-    """Clean text, mark superseded rows and references without parent."""
+    """Clean text, mark superseded rows and references without parent.
+
+    Repeated keys and unmatched references are settled together, from the key columns alone.
+    """
     contract = S.contract(table)
-    df = flag_superseded(clean.clean_text(S.require_columns(raw, table)), contract.key)
-    columns_of: dict[tuple[str, str], list[str]] = {}
-    for ref in contract.references:
-        columns_of.setdefault((ref.parent, ref.parent_key), []).append(ref.column)
-    for (parent, key), columns in columns_of.items():
-        df = flag_missing_parents(df, columns, parents[parent], key)
+    df = clean.clean_text(S.require_columns(raw, table))
+    links = [Link(columns, parents[parent], key) for (parent, key), columns in contract.links().items()]
+    parts = {"repeated": repeated_keys(df, contract.key)}
+    parts |= {f"unmatched_{i}": unmatched_keys(df, link) for i, link in enumerate(links)}
+    known = settle(parts)
+    df = flag_superseded(df, contract.key, known["repeated"])
+    for i, link in enumerate(links):
+        df = flag_unmatched(df, link, known[f"unmatched_{i}"])
     return df
 
 
@@ -169,7 +175,7 @@ def reject_rows(tagged: DataFrame) -> DataFrame:
 class Trusted:
     """Tagged frames of all tables over raw frames, each built when first asked for."""
 
-    def __init__(self, raw: dict[str, DataFrame]):
+    def __init__(self, raw: Mapping[str, DataFrame]):
         self._raw, self._tagged = raw, {}
 
     def tagged(self, table: str) -> DataFrame:

@@ -16,7 +16,7 @@ from cofre.plans.silver import Trusted
 from cofre.plans.star import Star, distinct_dates, staging
 from cofre.schemas import CONTRACTS, INGESTED_AT, TABLES, TRANSACTION_TYPES, Reference, contract
 from cofre.sources import batches
-from cofre.sources.bindings import Bindings
+from cofre.sources.bindings import Bindings, OnDemand
 from cofre.sources.extract import add_audit_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def _staged(b: Bindings, table: str) -> DataFrame:
 
 
 def _star(b: Bindings) -> Star:
-    return Star({t: _staged(b, t) for t in TABLES})
+    return Star(OnDemand(lambda table: _staged(b, table)))
 
 
 def _existing(b: Bindings, condition: str) -> DataFrame:
@@ -131,11 +131,11 @@ def _foreign_key(table: str, ref: Reference) -> Build:
 
 def _orphans(table: str) -> Build:
     def build(b: Bindings) -> DataFrame:
-        grouped: dict[tuple[str, str], list[str]] = {}
-        for ref in contract(table).references:
-            grouped.setdefault((ref.parent, ref.parent_key), []).append(ref.column)
-        parents = [(columns, b.bank(parent), key) for (parent, key), columns in grouped.items()]
-        return references.orphan_count(b.raw(table), parents, "orphans")
+        links = [
+            references.Link(columns, b.bank(parent), key)
+            for (parent, key), columns in contract(table).links().items()
+        ]
+        return references.orphan_count(b.raw(table), links, "orphans")
 
     return build
 
@@ -167,31 +167,30 @@ def _reject_summary(b: Bindings) -> DataFrame:
 # Contracts
 
 
-def _models(b: Bindings, with_facts: bool = True) -> dict[str, DataFrame]:
+def _models(b: Bindings) -> dict[str, DataFrame]:
+    """Staging, star schema and, for violations to find, the defective tables."""
     star = _star(b)
-    models = {f"stg_{t}": df for t, df in star.staged.items()} | star.dimensions()
-    return models | {"fato_transacao": star.transactions(), "fato_emprestimo": star.loans()}
+    models = {f"stg_{t}": star.staged[t] for t in TABLES} | star.dimensions()
+    models |= {"fato_transacao": star.transactions(), "fato_emprestimo": star.loans()}
+    return models | {f"raw_{t}": b.raw(t) for t in TABLES} | {f"bank_{t}": b.bank(t) for t in TABLES}
 
 
 def _not_null(b: Bindings) -> DataFrame:
-    raw = [contracts.not_null(b.raw(t), f"raw_{t}", CONTRACTS[t].source_columns) for t in TABLES]
-    return contracts.union_all([checks.not_null_checks(_models(b)), *raw])
+    raw = {f"raw_{t}": CONTRACTS[t].source_columns for t in TABLES}
+    return contracts.not_null(_models(b), checks.NOT_NULL | raw)
 
 
 def _unique(b: Bindings) -> DataFrame:
-    raw = [contracts.unique(b.raw(t), f"raw_{t}", [CONTRACTS[t].key]) for t in TABLES]
-    return contracts.union_all([checks.unique_checks(_models(b)), *raw])
+    raw = {f"raw_{t}": (CONTRACTS[t].key,) for t in TABLES}
+    return contracts.unique(_models(b), checks.UNIQUE | raw)
 
 
 def _relationships(b: Bindings) -> DataFrame:
-    raw = [
-        contracts.relationships(
-            b.raw(t), f"raw_{t}", [(r.column, b.bank(r.parent), r.parent_key) for r in CONTRACTS[t].references]
-        )
+    raw = {
+        f"raw_{t}": tuple((r.column, f"bank_{r.parent}", r.parent_key) for r in CONTRACTS[t].references)
         for t in TABLES
-        if CONTRACTS[t].references
-    ]
-    return contracts.union_all([checks.relationship_checks(_models(b)), *raw])
+    }
+    return contracts.relationships(_models(b), checks.RELATIONSHIPS | raw)
 
 
 def _both(b: Bindings, table: str, measure: Callable[[DataFrame], DataFrame]) -> DataFrame:

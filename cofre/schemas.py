@@ -47,6 +47,14 @@ class Table:
     trusted: tuple[tuple[str, T.DataType], ...]
     references: tuple[Reference, ...] = ()
 
+    def links(self) -> dict[tuple[str, str], tuple[str, ...]]:
+        """Referring columns per (parent, parent key)."""
+        grouped: dict[tuple[str, str], tuple[str, ...]] = {}
+        for ref in self.references:
+            target = (ref.parent, ref.parent_key)
+            grouped[target] = grouped.get(target, ()) + (ref.column,)
+        return grouped
+
     @property
     def source_columns(self) -> tuple[str, ...]:
         return tuple(name for name, _ in self.source)

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +114,18 @@ VIEWS: dict[str, str] = {
 _INPUTS = ("nation", "region", "customer", "orders", "part", "lineitem")
 
 
+class OnDemand(dict):
+    """Tables by name, each built when first asked for."""
+
+    def __init__(self, build: Callable[[str], DataFrame]):
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = self._build(table)
+        return self[table]
+
+
 class Bindings:
     """Source tables over the Parquet files of one folder."""
 
@@ -134,7 +147,7 @@ class Bindings:
         return {table: self.bank(table) for table in TABLES}
 
     def all_raw(self) -> dict[str, DataFrame]:
-        return {table: self.raw(table) for table in TABLES}
+        return OnDemand(self.raw)
 
     def manifest(self) -> DataFrame:
         """Which tables of which batch were written, and whether the batch was committed.

@@ -82,11 +82,8 @@ def local_to_utc(local: Column, zone: str = SOURCE_TIMEZONE) -> Column:
     after = F.convert_timezone(F.lit(zone), F.lit("UTC"), local + day) - day
     before_holds = F.convert_timezone(F.lit("UTC"), F.lit(zone), before) == local
     after_holds = F.convert_timezone(F.lit("UTC"), F.lit(zone), after) == local
-    return (
-        F.when(before == after, before)
-        .when(before_holds & ~after_holds, before)
-        .when(after_holds & ~before_holds, after)
-    )
+    near_change = F.when(before_holds & ~after_holds, before).when(after_holds & ~before_holds, after)
+    return F.when(before == after, before).otherwise(near_change)
 
 
 def instant_to_utc(instant: Column) -> Column:

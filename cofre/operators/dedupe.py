@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cofre.operators.keysets import KeySet, settle, wide_key
+from cofre.functions.clean import instant_to_utc
+from cofre.operators.keysets import settle, wide_key
 from cofre.schemas import INGESTED_AT, ROW_SEQ
 
-SUPERSEDED = "_superseded"
-
-
 def split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows with a key and rows without one."""
     return df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
@@ -20,61 +19,61 @@ def recency(df: DataFrame) -> Column:
     """Sort value of a row: ingestion time with null as newest, then position in the input.
 
     ``_row_seq`` is unique within the table (given at ingestion), so no two rows compare equal.
+    Without ingestion time the position decides alone.
     """
     if ROW_SEQ not in df.columns:
         raise ValueError(f"Column {ROW_SEQ} is needed to tell which row came last.")
-    if INGESTED_AT not in df.columns:
-        return F.struct(F.col(ROW_SEQ))
-    return F.struct(F.col(INGESTED_AT).isNull().alias("undated"), F.col(INGESTED_AT), F.col(ROW_SEQ))
+    moment = F.lit(None)
+    undated = F.lit(False)
+    if INGESTED_AT in df.columns:
+        moment = F.col(INGESTED_AT)
+        undated = moment.isNull()
+        if isinstance(df.schema[INGESTED_AT].dataType, T.TimestampType):
+            moment = instant_to_utc(moment)
+    return F.struct(
+        undated.alias("undated"),
+        moment.cast("timestamp_ntz").alias("moment"),
+        F.col(ROW_SEQ).cast("bigint").alias("position"),
+    )
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+def repeated_keys(df: DataFrame, key: str, among: Column | None = None) -> DataFrame:
     """Keys held by more than one row, as ``_key``, with the recency of the newest of these rows.
 
-    An aggregate rather than a window: copies are combined before the shuffle, so a key that
-    holds a third of the table costs one row per task.
+    Only rows that meet ``among`` count. An aggregate rather than a window: copies are combined
+    before the shuffle, so a key that holds a third of the table costs one row per task. Rows left
+    out form one group without key rather than being filtered, which would compute the condition
+    twice; no lookup ever finds that group.
     """
+    group = wide_key(df, key) if among is None else F.when(among, wide_key(df, key))
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(wide_key(df, key).alias("_key"))
+        df.groupBy(group.alias("_key"))
         .agg(F.count(F.lit(1)).alias("_copies"), F.max(recency(df)).alias("_newest"))
         .where("_copies > 1")
         .select("_key", "_newest")
     )
 
 
-def flag_older_copies(
-    df: DataFrame, key: str, flag: str, repeated: KeySet | None = None, among: Column | None = None
-) -> DataFrame:
-    """Add boolean ``flag``: the row shares its key with a newer row (both in ``among``).
+def older_copy(df: DataFrame, newest: str = "_newest") -> Column:
+    """The row shares its key with a newer one, by the attached recency of the newest."""
+    return F.coalesce(recency(df) != F.col(newest), F.lit(False))
 
-    ``repeated`` are the settled :func:`repeated_keys` when the caller has them.
-    """
-    if repeated is None:
-        candidates = df if among is None else df.where(among)
-        repeated = settle({"repeated": repeated_keys(candidates, key)})["repeated"]
-    newest = repeated.attach(df, key, {"_newest": F.col("_newest")})
-    older = F.coalesce(recency(df) != F.col("_newest"), F.lit(False))
-    return newest.withColumn(flag, older if among is None else older & among).drop("_newest")
 
-
-def flag_superseded(df: DataFrame, key: str, repeated: KeySet | None = None) -> DataFrame:
-    """Add ``_superseded``: the key is null, or a newer row has the same key."""
-    flagged = flag_older_copies(df, key, SUPERSEDED, repeated)
-    return flagged.withColumn(SUPERSEDED, F.col(key).isNull() | F.col(SUPERSEDED))
+def superseded(df: DataFrame, key: str, newest: str = "_newest") -> Column:
+    """The key is null, or a newer row has the same key."""
+    return F.col(key).isNull() | older_copy(df, newest)
 
 
 def dedupe_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The newest row of each key, and all other rows (older copies and null keys)."""
-    flagged = flag_superseded(df, key)
-    return (
-        flagged.where(~F.col(SUPERSEDED)).drop(SUPERSEDED),
-        flagged.where(SUPERSEDED).drop(SUPERSEDED),
-    )
+    repeated = settle({"repeated": repeated_keys(df, key)})["repeated"]
+    attached = repeated.attach(df, key, "_newest", "_newest")
+    lost = superseded(df, key)
+    return attached.where(~lost).drop("_newest"), attached.where(lost).drop("_newest")
 
 
 def members_of_repeated(df: DataFrame, key: str) -> DataFrame:
     """All rows of every key that more than one row holds."""
     copies = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
     shared = settle({"shared": copies.where("_copies > 1")})["shared"]
-    return shared.attach(df, key, {"_copies": F.col("_copies")}).where("_copies > 1").drop("_copies")
+    return shared.attach(df, key, "_shared").where("_shared is not null").drop("_shared")

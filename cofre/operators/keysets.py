@@ -13,7 +13,7 @@ import tempfile
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,36 +41,35 @@ def wide_key(df: DataFrame, column: str) -> Column:
 
 @dataclass(frozen=True)
 class KeySet:
-    """A counted, durable set of unique keys, ``_key``, with facts about them."""
+    """A counted, durable set of unique keys, ``_key``, with an optional fact about each."""
 
     frame: DataFrame
     rows: int
 
-    def attach(self, df: DataFrame, column: str, facts: dict[str, Column]) -> DataFrame:
-        """Add ``facts`` (new name to column over this set) to the rows whose ``column`` is in the set.
-
-        Other rows get null.
-        """
-        side = self.frame.select("_key", *[fact.alias(name) for name, fact in facts.items()])
+    def attach(self, df: DataFrame, column: str, name: str, fact: str = "_key") -> DataFrame:
+        """Add ``name``: the ``fact`` of the key in ``column``, null for a key outside the set."""
         if self.rows == 0:
-            kinds = {f.name: f.dataType for f in side.schema}
-            return df.withColumns({name: F.lit(None).cast(kinds[name]) for name in facts})
+            return df.withColumn(name, F.lit(None).cast(self.frame.schema[fact].dataType))
+        hidden = f"_key{name}"
+        side = self.frame.select(F.col("_key").alias(hidden), F.col(fact).alias(name))
         if self.rows <= BROADCAST_ROWS:
             side = F.broadcast(side)
-        return df.join(side, F.col(column) == F.col("_key"), "left").drop("_key")
+        return df.join(side, F.col(column) == F.col(hidden), "left").drop(hidden)
 
 
 def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
     """Compute narrow key sets in one go, keep them in the checkpoint folder and count them.
 
-    All parts have a column ``_key``, of one type, and may have facts of their own.
+    All parts have a column ``_key``, of one type, and may have facts of their own. The counts are
+    taken while the checkpoint is written.
     """
     named = [df.select(F.lit(name).alias("_part"), "*") for name, df in parts.items()]
     together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
     ensure_checkpoint_dir(together.sparkSession)
-    kept = together.checkpoint()
-    rows = {r["_part"]: r["count"] for r in kept.groupBy("_part").count().collect()}
-    return {name: KeySet(kept.where(F.col("_part") == name), rows.get(name, 0)) for name in parts}
+    written = Observation()
+    counts = [F.count_if((F.col("_part") == name) & F.col("_key").isNotNull()).alias(name) for name in parts]
+    kept = together.observe(written, *counts).checkpoint()
+    return {name: KeySet(kept.where(F.col("_part") == name), written.get[name]) for name in parts}
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

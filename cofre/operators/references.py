@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from cofre.operators.keysets import KeySet, settle, wide_key
 
 
-def missing_flag(column: str) -> str:
-    return f"_missing_{column}"
+def missing(column: str) -> Column:
+    """``column`` names no row of its parent, once :func:`attach_unmatched` has run."""
+    return F.col(f"_unmatched_{column}").isNotNull()
 
 
 @dataclass(frozen=True)
@@ -35,35 +36,33 @@ def unmatched_keys(child: DataFrame, link: Link) -> DataFrame:
     return referred.where("_key is not null").distinct().join(known, F.col("_key") == F.col("_known"), "left_anti")
 
 
-def flag_unmatched(child: DataFrame, link: Link, unmatched: KeySet) -> DataFrame:
-    """Add ``_missing_<column>`` per linked column, from the settled :func:`unmatched_keys`."""
+def attach_unmatched(child: DataFrame, link: Link, unmatched: KeySet) -> DataFrame:
+    """Make :func:`missing` known for the linked columns, from the settled :func:`unmatched_keys`."""
     for column in link.columns:
-        flag = missing_flag(column)
-        child = unmatched.attach(child, column, {flag: F.lit(True)})
-        child = child.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+        child = unmatched.attach(child, column, f"_unmatched_{column}")
     return child
 
 
-def flag_missing_parents(child: DataFrame, links: list[Link]) -> DataFrame:
-    """Add ``_missing_<column>`` for all linked columns: set, but names no row of its parent."""
+def attach_links(child: DataFrame, links: list[Link]) -> DataFrame:
+    """Make :func:`missing` known for the columns of all links."""
     unmatched = settle({str(i): unmatched_keys(child, link) for i, link in enumerate(links)})
     for i, link in enumerate(links):
-        child = flag_unmatched(child, link, unmatched[str(i)])
+        child = attach_unmatched(child, link, unmatched[str(i)])
     return child
 
 
 def rows_without_parent(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Rows of ``child`` whose ``column`` is set but names no row of ``parent``."""
-    flagged = flag_missing_parents(child, [Link((column,), parent, parent_key)])
-    return flagged.where(missing_flag(column)).drop(missing_flag(column))
+    attached = attach_links(child, [Link((column,), parent, parent_key)])
+    return attached.where(missing(column)).select(*child.columns)
 
 
 def orphan_count(child: DataFrame, links: list[Link], name: str) -> DataFrame:
     """One row: how many rows of ``child`` lack at least one parent; a null reference lacks it too."""
     columns = [c for link in links for c in link.columns]
-    flagged = flag_missing_parents(child.select(*columns), links)
-    lacks = [F.col(c).isNull() | F.col(missing_flag(c)) for c in columns]
-    return flagged.agg(F.count_if(reduce(Column.__or__, lacks)).alias(name))
+    attached = attach_links(child.select(*columns), links)
+    lacks = [F.col(c).isNull() | missing(c) for c in columns]
+    return attached.agg(F.count_if(reduce(Column.__or__, lacks)).alias(name))
 
 
 def require_unique(df: DataFrame, key: str, what: str) -> DataFrame:

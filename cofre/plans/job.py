@@ -55,10 +55,12 @@ class Job:
         source, target = self.layer("bronze"), self.layer("silver")
         batch = source.latest_committed()
         target.begin(batch)
+        prepared = {t: silver.prepare(source.read(t, batch), t) for t in TABLES}
+        repeated = silver.settle_repeated(prepared)
         rows: dict[str, DataFrame] = {}
         for table in TABLES:
             parents = {r.parent: rows[r.parent] for r in contract(table).references}
-            tagged = silver.TAGGERS[table](source.read(table, batch), parents)
+            tagged = silver.TAGGERS[table](prepared[table], repeated[table], parents)
             tagged = tagged.withColumns({
                 OUTCOME: F.when(F.col("_reject_reason").isNull(), VALID).otherwise(REJECTED),
                 "_rejected_at": F.when(F.col("_reject_reason").isNotNull(), utc_literal(utc_now())),

@@ -6,7 +6,7 @@ rows the cleaned source text of each normalised column as ``_text_<column>``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from cofre import schemas as S
 from cofre.functions import clean
-from cofre.operators.dedupe import SUPERSEDED, flag_older_copies, flag_superseded, repeated_keys
-from cofre.operators.keysets import settle
-from cofre.operators.references import Link, flag_unmatched, missing_flag, unmatched_keys
+from cofre.operators.dedupe import older_copy, repeated_keys, superseded
+from cofre.operators.keysets import KeySet, settle
+from cofre.operators.references import Link, attach_links, missing
 from cofre.operators.rules import REASON, any_null, not_positive, rejected, tag
 
 Rules = list[tuple[str, Column]]
@@ -25,28 +25,38 @@ Parents = dict[str, DataFrame]
 EVIDENCE = "_text_"
 
 
-def _prepare(raw: DataFrame, table: str, parents: Parents) -> DataFrame:
-    """Clean text, mark superseded rows and references without parent.
+INCOMPLETE = "_incomplete"
 
-    Repeated keys and unmatched references are settled together, from the key columns alone.
+
+def prepare(raw: DataFrame, table: str) -> DataFrame:
+    """Check the columns, note whether a required one is null, and clean the text of all.
+
+    Cleaning never turns a value into null or back, so the cheap test comes first.
     """
+    checked = S.require_columns(raw, table)
+    return clean.clean_text(checked.withColumn(INCOMPLETE, any_null(*S.contract(table).source_columns)))
+
+
+def settle_repeated(prepared: Mapping[str, DataFrame]) -> dict[str, KeySet]:
+    """Repeated primary keys of several tables, computed together."""
+    return settle({t: repeated_keys(df, S.contract(t).key) for t, df in prepared.items()})
+
+
+def _attach_keys(df: DataFrame, table: str, repeated: KeySet, parents: Parents) -> DataFrame:
+    """Make superseded rows and references without parent known."""
     contract = S.contract(table)
-    df = clean.clean_text(S.require_columns(raw, table))
+    attached = repeated.attach(df, contract.key, "_newest", "_newest")
     links = [Link(columns, parents[parent], key) for (parent, key), columns in contract.links().items()]
-    parts = {"repeated": repeated_keys(df, contract.key)}
-    parts |= {f"unmatched_{i}": unmatched_keys(df, link) for i, link in enumerate(links)}
-    known = settle(parts)
-    df = flag_superseded(df, contract.key, known["repeated"])
-    for i, link in enumerate(links):
-        df = flag_unmatched(df, link, known[f"unmatched_{i}"])
-    return df
+    return attach_links(attached, links) if links else attached
 
 
-def _leading_rules(table: str, required: str = S.REQUIRED_FIELD_NULL, invalid: Column | None = None) -> Rules:
+def _leading_rules(
+    df: DataFrame, table: str, required: str = S.REQUIRED_FIELD_NULL, invalid: Column | None = None
+) -> Rules:
     """Key rule and required-field rule, which every table starts with."""
-    null = any_null(*S.contract(table).source_columns)
+    null = F.col(INCOMPLETE)
     return [
-        (S.NULL_OR_DUPLICATED_PK, F.col(SUPERSEDED)),
+        (S.NULL_OR_DUPLICATED_PK, superseded(df, S.contract(table).key)),
         (required, null if invalid is None else null | invalid),
     ]
 
@@ -56,7 +66,7 @@ def _with_money(df: DataFrame, column: str) -> DataFrame:
 
 
 def _reference_rules(table: str) -> Rules:
-    return [(S.unknown_parent(r.column), F.col(missing_flag(r.column))) for r in S.contract(table).references]
+    return [(S.unknown_parent(r.column), missing(r.column)) for r in S.contract(table).references]
 
 
 def _typed(column: str) -> str:
@@ -79,54 +89,57 @@ def _finish(df: DataFrame, table: str, rules: Rules, hidden: tuple[str, ...] = (
     return tag(df, rules).select(*columns, *extra, *evidence, REASON)
 
 
-def tag_agencias(raw: DataFrame, parents: Parents) -> DataFrame:
-    return _finish(_prepare(raw, "agencias", parents), "agencias", _leading_rules("agencias"))
+def tag_agencias(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
+    df = _attach_keys(prepared, "agencias", repeated, parents)
+    return _finish(df, "agencias", _leading_rules(df, "agencias"))
 
 
-def tag_tipos_transacao(raw: DataFrame, parents: Parents) -> DataFrame:
-    return _finish(_prepare(raw, "tipos_transacao", parents), "tipos_transacao", _leading_rules("tipos_transacao"))
+def tag_tipos_transacao(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
+    df = _attach_keys(prepared, "tipos_transacao", repeated, parents)
+    return _finish(df, "tipos_transacao", _leading_rules(df, "tipos_transacao"))
 
 
-def tag_clientes(raw: DataFrame, parents: Parents) -> DataFrame:
+def tag_clientes(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
     """The newest row of a CPF stays, the older ones go; only rows that are otherwise complete compete."""
-    df = _prepare(raw, "clientes", parents).withColumns({
+    df = _attach_keys(prepared, "clientes", repeated, parents).withColumns({
         _typed("cpf"): clean.normalize_cpf(F.col("cpf")),
         _typed("data_nascimento"): clean.normalize_date(F.col("data_nascimento")),
     })
-    rules = _leading_rules("clientes", S.REQUIRED_OR_CPF, invalid=F.col(_typed("cpf")).isNull())
+    rules = _leading_rules(df, "clientes", S.REQUIRED_OR_CPF, invalid=F.col(_typed("cpf")).isNull())
     complete = ~reduce(Column.__or__, [condition for _, condition in rules])
-    df = flag_older_copies(df, _typed("cpf"), "_older_cpf", among=complete)
+    shared = settle({"cpf": repeated_keys(df, _typed("cpf"), among=complete)})["cpf"]
+    df = shared.attach(df, _typed("cpf"), "_newest_cpf", "_newest")
     rules += [
-        (S.DUPLICATED_CPF, F.col("_older_cpf")),
+        (S.DUPLICATED_CPF, older_copy(df, "_newest_cpf")),
         (S.INVALID_BIRTH_DATE, F.col(_typed("data_nascimento")).isNull()),
     ]
     return _finish(df, "clientes", rules)
 
 
-def tag_contas(raw: DataFrame, parents: Parents) -> DataFrame:
-    df = _with_money(_prepare(raw, "contas", parents), "saldo")
-    rules = _leading_rules("contas") + _reference_rules("contas")
+def tag_contas(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
+    df = _with_money(_attach_keys(prepared, "contas", repeated, parents), "saldo")
+    rules = _leading_rules(df, "contas") + _reference_rules("contas")
     rules.append((S.INVALID_MONEY, F.col(_typed("saldo")).isNull()))
     return _finish(df, "contas", rules)
 
 
-def tag_cartoes(raw: DataFrame, parents: Parents) -> DataFrame:
+def tag_cartoes(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
     """Full card numbers appear neither in accepted nor in rejected rows."""
     number = F.col("numero_cartao")
-    df = _prepare(raw, "cartoes", parents).withColumns({
+    df = _attach_keys(prepared, "cartoes", repeated, parents).withColumns({
         _typed("numero_cartao"): clean.normalize_card(number),
         "numero_cartao_mascarado": clean.mask_card(clean.digits(number)),
     })
-    rules = _leading_rules("cartoes", S.REQUIRED_OR_CARD, invalid=F.col(_typed("numero_cartao")).isNull())
+    rules = _leading_rules(df, "cartoes", S.REQUIRED_OR_CARD, invalid=F.col(_typed("numero_cartao")).isNull())
     rules += _reference_rules("cartoes")
     rules.append((S.INVALID_CARD_TYPE, ~F.col("tipo_cartao").isin(*S.CARD_TYPES)))
     return _finish(df, "cartoes", rules, hidden=("numero_cartao",))
 
 
-def tag_emprestimos(raw: DataFrame, parents: Parents) -> DataFrame:
-    df = _with_money(_prepare(raw, "emprestimos", parents), "valor_contratado")
+def tag_emprestimos(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
+    df = _with_money(_attach_keys(prepared, "emprestimos", repeated, parents), "valor_contratado")
     df = df.withColumn(_typed("data_contrato"), clean.normalize_date(F.col("data_contrato")))
-    rules = _leading_rules("emprestimos") + _reference_rules("emprestimos")
+    rules = _leading_rules(df, "emprestimos") + _reference_rules("emprestimos")
     rules += [
         (S.INVALID_LOAN_AMOUNT, not_positive(F.col(_typed("valor_contratado")))),
         (S.INVALID_INSTALLMENTS, ~F.col("parcelas").isin(*S.INSTALLMENTS)),
@@ -135,11 +148,11 @@ def tag_emprestimos(raw: DataFrame, parents: Parents) -> DataFrame:
     return _finish(df, "emprestimos", rules)
 
 
-def tag_transacoes(raw: DataFrame, parents: Parents) -> DataFrame:
-    df = _with_money(_prepare(raw, "transacoes", parents), "valor")
+def tag_transacoes(prepared: DataFrame, repeated: KeySet, parents: Parents) -> DataFrame:
+    df = _with_money(_attach_keys(prepared, "transacoes", repeated, parents), "valor")
     moment = clean.normalize_timestamp(F.col("data_hora"), df.schema["data_hora"].dataType)
     df = df.withColumn(_typed("data_hora"), moment)
-    rules = _leading_rules("transacoes") + _reference_rules("transacoes")
+    rules = _leading_rules(df, "transacoes") + _reference_rules("transacoes")
     rules += [
         (S.SAME_ACCOUNT, F.col("conta_origem_id") == F.col("conta_destino_id")),
         (S.INVALID_AMOUNT, not_positive(F.col(_typed("valor")))),
@@ -148,7 +161,7 @@ def tag_transacoes(raw: DataFrame, parents: Parents) -> DataFrame:
     return _finish(df, "transacoes", rules)
 
 
-TAGGERS: dict[str, Callable[[DataFrame, Parents], DataFrame]] = {
+TAGGERS: dict[str, Callable[[DataFrame, KeySet, Parents], DataFrame]] = {
     "agencias": tag_agencias,
     "clientes": tag_clientes,
     "tipos_transacao": tag_tipos_transacao,
@@ -172,16 +185,26 @@ def reject_rows(tagged: DataFrame) -> DataFrame:
     return rejected(tagged).select(*[F.col(EVIDENCE + c).alias(c) if c in texts else F.col(c) for c in kept])
 
 
+def ancestry(table: str) -> list[str]:
+    """The table and all tables it refers to, directly or not, in load order."""
+    needed = {table}
+    for ref in S.contract(table).references:
+        needed.update(ancestry(ref.parent))
+    return [t for t in S.TABLES if t in needed]
+
+
 class Trusted:
-    """Tagged frames of all tables over raw frames, each built when first asked for."""
+    """Tagged frames of ``tables`` over raw frames, each built when first asked for."""
 
-    def __init__(self, raw: Mapping[str, DataFrame]):
-        self._raw, self._tagged = raw, {}
+    def __init__(self, raw: Mapping[str, DataFrame], tables: Sequence[str] = S.TABLES):
+        self._prepared = {t: prepare(raw[t], t) for t in tables}
+        self._repeated = settle_repeated(self._prepared)
+        self._tagged: dict[str, DataFrame] = {}
 
     def tagged(self, table: str) -> DataFrame:
         if table not in self._tagged:
             parents = {r.parent: self.rows(r.parent) for r in S.contract(table).references}
-            self._tagged[table] = TAGGERS[table](self._raw[table], parents)
+            self._tagged[table] = TAGGERS[table](self._prepared[table], self._repeated[table], parents)
         return self._tagged[table]
 
     def rows(self, table: str) -> DataFrame:

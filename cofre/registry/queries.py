@@ -12,7 +12,7 @@ from cofre.functions import clean
 from cofre.operators import contracts, dedupe, keys, references
 from cofre.operators.rules import REASON
 from cofre.plans import checks, gold, reports
-from cofre.plans.silver import Trusted
+from cofre.plans.silver import Trusted, ancestry
 from cofre.plans.star import Star, distinct_dates, staging
 from cofre.schemas import CONTRACTS, INGESTED_AT, TABLES, TRANSACTION_TYPES, Reference, contract
 from cofre.sources import batches
@@ -150,11 +150,11 @@ def _many_to_one(b: Bindings) -> DataFrame:
 
 
 def _silver(table: str) -> Build:
-    return lambda b: Trusted(b.all_raw()).rows(table).select(*contract(table).trusted_columns)
+    return lambda b: Trusted(b.all_raw(), ancestry(table)).rows(table).select(*contract(table).trusted_columns)
 
 
 def _rejects(table: str) -> Build:
-    return lambda b: Trusted(b.all_raw()).rejects(table).select(contract(table).key, REASON)
+    return lambda b: Trusted(b.all_raw(), ancestry(table)).rejects(table).select(contract(table).key, REASON)
 
 
 def _reject_summary(b: Bindings) -> DataFrame:

@@ -1,0 +1,199 @@
+"""Batches, commit log, serving tables and the whole job on a temporary folder."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from cofre.plans.job import Job
+from cofre.schemas import CONTRACTS, TABLES
+from cofre.sources import batches, extract, serving
+from cofre.sources.batches import Batch, Layer
+
+DAY = datetime(2026, 9, 16, 9, 30)
+
+
+def small_source(spark, folder):
+    """Source files with one defect per table family."""
+    rows = {
+        "agencias": [(1, "Centro", "Recife"), (2, "Norte", "Natal")],
+        "clientes": [(1, "Ana", "11111111111", date(1990, 1, 1)), (2, "Bruno", "22222222222", date(1991, 1, 1)),
+                     (3, "Caio", "123", date(1992, 1, 1))],
+        "tipos_transacao": [(1, "PIX"), (2, "TED")],
+        "contas": [(1, 1, 1, Decimal("10.00")), (2, 2, 2, Decimal("20.00")), (3, 3, 1, Decimal("5.00"))],
+        "cartoes": [(1, 1, "4000123456789012", "DEBIT"), (2, 3, "4000123456789013", "DEBIT")],
+        "emprestimos": [(1, 1, Decimal("100.00"), 12, date(2024, 1, 2)), (2, 1, Decimal("50.00"), 7, date(2024, 1, 2))],
+        "transacoes": [(1, 1, 2, 1, Decimal("7.00"), datetime(2024, 5, 1, 22)),
+                       (2, 1, 3, 1, Decimal("7.00"), datetime(2024, 5, 1, 22)),
+                       (3, 2, 1, 2, Decimal("1.00"), datetime(2024, 5, 2, 8))],
+    }
+    for table, content in rows.items():
+        schema = ", ".join(f"{n} {t.simpleString()}" for n, t in CONTRACTS[table].source)
+        spark.createDataFrame(content, schema).write.mode("overwrite").parquet(f"{folder}/{table}.parquet")
+    return extract.ParquetSource(str(folder))
+
+
+@pytest.fixture()
+def job(spark, tmp_path):
+    return Job(spark, str(tmp_path / "lake"), small_source(spark, tmp_path / "source"), database="serving_test")
+
+
+def test_extraction_checks(spark, tmp_path):
+    source = small_source(spark, tmp_path)
+    frames = extract.extract_all(spark, source)
+    extract.check_complete(frames)
+    assert frames["contas"].columns == ["conta_id", "cliente_id", "agencia_id", "saldo"]
+    with pytest.raises(ValueError, match="transacoes"):
+        extract.check_complete({t: f for t, f in frames.items() if t != "transacoes"})
+    with pytest.raises(TypeError, match="contas"):
+        extract.check_complete(frames | {"contas": [1, 2]})
+    with pytest.raises(ValueError, match="agencias"):
+        extract.extract_table(spark, source, "bancos")
+
+
+def test_jdbc_options():
+    source = extract.JdbcSource("jdbc:x", {"user": "u"}, fetch_size=500, partitions=4)
+    assert source.options("contas", 1, 99) == {
+        "url": "jdbc:x", "dbtable": "contas", "fetchsize": "500", "user": "u", "partitionColumn": "conta_id",
+        "lowerBound": "1", "upperBound": "99", "numPartitions": "4",
+    }
+    assert "numPartitions" not in source.options("contas", None, None)
+    with pytest.raises(ValueError, match="fetch_size"):
+        extract.JdbcSource("jdbc:x", fetch_size=0)
+
+
+def test_layer_round_trip(spark, tmp_path):
+    layer, batch = Layer(spark, str(tmp_path), "bronze"), Batch("b1", DAY)
+    frame = spark.range(3)
+    with pytest.raises(FileNotFoundError):
+        layer.read("agencias", batch)
+    assert layer.manifest().isEmpty()
+    layer.write(frame, "agencias", batch, replace=False)
+    assert layer.read("agencias", batch).count() == 3
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        layer.write(frame, "agencias", batch, replace=False)
+    with pytest.raises(RuntimeError, match="transacoes"):
+        layer.commit(batch)
+    with pytest.raises(RuntimeError, match="No complete batch"):
+        layer.latest_committed()
+
+
+def test_latest_batch_needs_all_tables_and_a_commit(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path), "bronze")
+    early, late, partial = Batch("z", DAY), Batch("a", datetime(2026, 9, 17)), Batch("p", datetime(2026, 9, 18))
+    for batch, tables in ((late, TABLES), (early, TABLES), (partial, TABLES[:6])):
+        layer.begin(batch)
+        for table in tables:
+            layer.write(spark.range(1), table, batch)
+    layer.commit(early)
+    assert layer.latest_committed() == early
+    layer.commit(late)
+    assert layer.latest_committed() == late
+    layer.commit(early)
+    assert layer.latest_committed() == late
+    assert layer.last_committed() == early
+    assert {r["batch_id"] for r in batches.batch_ids(layer.manifest(), "transacoes").collect()} == {"z", "a"}
+    layer.begin(late)  # being rewritten
+    assert layer.latest_committed() == early
+
+
+def test_empty_split_table_is_readable(spark, tmp_path):
+    layer, batch = Layer(spark, str(tmp_path), "silver"), Batch("b", DAY)
+    empty = spark.createDataFrame([], "id int, outcome string")
+    layer.write(empty, "agencias", batch, split_by="outcome")
+    assert layer.read("agencias", batch).count() == 0
+    assert layer.read("agencias", batch).columns == ["id", "outcome"]
+
+
+def test_full_job(spark, job):
+    job.run_stage("full")
+    batch = job.layer("silver").last_committed()
+    assert job.layer("bronze").latest_committed() == batch
+    bronze = job.layer("bronze").read("transacoes", batch)
+    assert {"_source_system", "_ingestion_timestamp", "_batch_id", "_row_seq"} <= set(bronze.columns)
+    assert bronze.select("_source_system").distinct().first()[0] == "banking_oltp_postgres"
+
+    assert sorted(r["cliente_id"] for r in job.trusted("clientes", batch).collect()) == [1, 2]
+    rejects = job.rejects("clientes", batch).collect()
+    assert [(r["cliente_id"], r["cpf"]) for r in rejects] == [(3, "123")]
+    assert rejects[0]["_rejected_at"] is not None
+    assert job.rejects("agencias", batch).isEmpty()
+    assert [r["numero_cartao_mascarado"] for r in job.trusted("cartoes", batch).collect()] == ["**** **** **** 9012"]
+    moves = {r["transacao_id"]: r["data_hora"] for r in job.trusted("transacoes", batch).collect()}
+    assert moves == {1: datetime(2024, 5, 2, 1), 3: datetime(2024, 5, 2, 11)}
+
+    volume = job.layer("gold").read("daily_transaction_volume", batch).collect()
+    assert [tuple(r) for r in volume] == [(date(2024, 5, 2), 2, Decimal("8.00"))]
+    fact = job.layer("star").read("fato_transacao", batch)
+    assert sorted(r["transacao_sk"] for r in fact.collect()) == [1, 2]
+    assert job.layer("star").read("contract_results", batch).where("violations > 0").isEmpty()
+    report = job.layer("reports").read("report_04_monthly_transactions", batch)
+    assert tuple(report.first()) == (2024, 5, "May", 2, Decimal("8.00"))
+
+    served = spark.table("serving_test.transacoes")
+    assert [f.name for f in served.schema] == [f.name for f in serving.serving_schema("transacoes")]
+    assert served.count() == 2
+    assert sorted(str(r[0]) for r in served.selectExpr("cast(data_hora as string)").collect()) == [
+        "2024-05-02 01:00:00", "2024-05-02 11:00:00"
+    ]
+
+
+def test_second_run_replaces_the_same_batch(spark, job):
+    batch = job.bronze("b1", DAY)
+    for _ in range(2):
+        assert job.silver() == batch
+        assert job.gold() == batch
+    assert job.trusted("transacoes", batch).count() == 2
+    assert job.rejects("transacoes", batch).count() == 1
+    assert job.layer("silver").manifest().count() == len(TABLES)
+    assert job.layer("gold").read("loan_volume", batch).count() == 1
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        job.bronze("b1", DAY)
+
+
+def test_gold_needs_a_committed_silver_batch(spark, job):
+    with pytest.raises(FileNotFoundError):
+        job.gold()
+    batch = job.bronze("b1", DAY)
+    job.silver()
+    job.layer("silver").begin(batch)
+    with pytest.raises(FileNotFoundError):
+        job.gold()
+    with pytest.raises(FileNotFoundError, match="not committed"):
+        job.layer("silver").check(batch)
+
+
+def test_empty_tables_only_warn(spark, job, caplog):
+    batch = Batch("b", DAY)
+    layer = job.layer("silver")
+    layer.begin(batch)
+    for table in TABLES:
+        layer.write(spark.range(0 if table == "cartoes" else 1), table, batch)
+    layer.commit(batch)
+    assert layer.check(batch) == ["cartoes"]
+    assert "cartoes" in caplog.text
+
+
+def test_unknown_stage(job):
+    with pytest.raises(ValueError, match="silver"):
+        job.run_stage("platinum")
+
+
+def test_publish_is_all_or_nothing(spark, job, tmp_path):
+    batch = job.bronze("b1", DAY)
+    job.silver()
+    job.serving()
+    tables = {t: job.trusted(t, batch) for t in TABLES}
+    before = spark.table("serving_test.contas").count()
+    with pytest.raises(ValueError, match="saldo"):
+        serving.publish_snapshot(
+            spark, tables | {"contas": tables["contas"].drop("saldo")}, "v2", "serving_test", str(tmp_path / "s")
+        )
+    with pytest.raises(FileNotFoundError, match="cartoes"):
+        serving.publish_snapshot(
+            spark, {t: f for t, f in tables.items() if t != "cartoes"}, "v2", "serving_test", str(tmp_path / "s")
+        )
+    assert spark.table("serving_test.contas").count() == before
+    smaller = tables | {"cartoes": tables["cartoes"].limit(0)}
+    serving.publish_snapshot(spark, smaller, "v3", "serving_test", str(tmp_path / "s"))
+    assert spark.table("serving_test.cartoes").count() == 0

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Models = dict[str, DataFrame]
+Models = Mapping[str, DataFrame]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

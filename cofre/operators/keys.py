@@ -46,7 +46,7 @@ def add_surrogate_key(
     first: int = 1,
     bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Add ``name``: first, first+1, ... in the order of ``key``, a unique integer column.
+    """Add ``name``: first, first+1, ... in the order of ``key``, a unique integer column without null.
 
     ``span`` are bounds of the key when the caller knows them. A span below 2**bits is numbered by
     one window. Otherwise the key range is cut into buckets of 2**bits consecutive integers: rows
@@ -87,8 +87,13 @@ def append_with_ids(existing: DataFrame, incoming: DataFrame, key: str, order: s
 
 
 def insert_if_absent(existing: DataFrame, seed: DataFrame, key: str) -> DataFrame:
-    """Existing rows and those seed rows whose key is not there yet."""
-    return existing.unionByName(seed.join(existing.select(key), key, "left_anti").select(*existing.columns))
+    """Existing rows and those seed rows whose key is not there yet.
+
+    The store is first reduced to the keys it shares with the seed, which needs no shuffle of the
+    store when the seed is as small as seeds are.
+    """
+    present = existing.select(key).join(seed.select(key), key, "left_semi").distinct()
+    return existing.unionByName(seed.join(present, key, "left_anti").select(*existing.columns))
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -13,7 +13,7 @@ import tempfile
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,16 +60,15 @@ class KeySet:
 def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
     """Compute narrow key sets in one go, keep them in the checkpoint folder and count them.
 
-    All parts have a column ``_key``, of one type, and may have facts of their own. The counts are
-    taken while the checkpoint is written.
+    All parts have a column ``_key``, of one type, and may have facts of their own.
     """
     named = [df.select(F.lit(name).alias("_part"), "*") for name, df in parts.items()]
     together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
     ensure_checkpoint_dir(together.sparkSession)
-    written = Observation()
-    counts = [F.count_if((F.col("_part") == name) & F.col("_key").isNotNull()).alias(name) for name in parts]
-    kept = together.observe(written, *counts).checkpoint()
-    return {name: KeySet(kept.where(F.col("_part") == name), written.get[name]) for name in parts}
+    kept = together.checkpoint()
+    present = kept.where("_key is not null")
+    rows = present.agg(*[F.count_if(F.col("_part") == name).alias(name) for name in parts]).first()
+    return {name: KeySet(present.where(F.col("_part") == name), rows[name]) for name in parts}
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

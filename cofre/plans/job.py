@@ -72,6 +72,7 @@ class Job:
 
     def tagged(self, table: str, batch: Batch) -> DataFrame:
         """What the silver stage wrote for a table, valid and rejected rows."""
+        contract(table)
         return self.layer("silver").read(table, batch)
 
     def trusted(self, table: str, batch: Batch) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -167,12 +167,21 @@ def _reject_summary(b: Bindings) -> DataFrame:
 # Contracts
 
 
-def _models(b: Bindings) -> dict[str, DataFrame]:
-    """Staging, star schema and, for violations to find, the defective tables."""
+def _models(b: Bindings) -> Mapping[str, DataFrame]:
+    """Staging, star schema and, for violations to find, the tables they come from."""
     star = _star(b)
-    models = {f"stg_{t}": star.staged[t] for t in TABLES} | star.dimensions()
-    models |= {"fato_transacao": star.transactions(), "fato_emprestimo": star.loans()}
-    return models | {f"raw_{t}": b.raw(t) for t in TABLES} | {f"bank_{t}": b.bank(t) for t in TABLES}
+
+    def model(name: str) -> DataFrame:
+        layer, _, table = name.partition("_")
+        if layer == "stg":
+            return star.staged[table]
+        if layer == "dim":
+            return star.dimensions()[name]
+        if layer == "fato":
+            return star.transactions() if name == "fato_transacao" else star.loans()
+        return b.view(name)
+
+    return OnDemand(model)
 
 
 def _not_null(b: Bindings) -> DataFrame:

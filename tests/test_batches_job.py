@@ -174,7 +174,9 @@ def test_empty_tables_only_warn(spark, job, caplog):
     assert "cartoes" in caplog.text
 
 
-def test_unknown_stage(job):
+def test_unknown_names(job):
+    with pytest.raises(ValueError, match="agencias"):
+        job.trusted("bancos", Batch("b", DAY))
     with pytest.raises(ValueError, match="silver"):
         job.run_stage("platinum")
 

@@ -151,3 +151,18 @@ def test_zoned_input_is_converted(spark):
     zoned = spark.sql("select timestamp '2024-05-01 10:00:00+02:00' v")
     got = zoned.select(clean.normalize_timestamp(F.col("v"), T.TimestampType()).alias("r")).first()["r"]
     assert got == datetime(2024, 5, 1, 8)
+
+
+@pytest.mark.parametrize("session_zone", ["Asia/Tokyo", "America/Sao_Paulo"])
+def test_session_zone_does_not_matter(spark, session_zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        for local, wanted in UTC_CASES:
+            normalise = lambda c: clean.normalize_timestamp(c, T.TimestampNTZType())
+            assert one(spark, local, "timestamp_ntz", normalise) == wanted
+        zoned = spark.sql("select timestamp '2024-05-01 10:00:00+02:00' v")
+        got = zoned.select(clean.normalize_timestamp(F.col("v"), T.TimestampType()).alias("r")).first()["r"]
+        assert got == datetime(2024, 5, 1, 8)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,10 +12,19 @@ from pyspark.sql import functions as F
 BUCKET_BITS = 21
 
 
-def key_span(df: DataFrame, key: str) -> tuple[int, int]:
-    """Smallest and largest key, (0, 0) for an empty frame."""
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    return (0, 0) if low is None else (low, high)
+Span = tuple[int, int]
+
+
+def key_spans(keyed: dict[str, tuple[DataFrame, str]]) -> dict[str, Span]:
+    """Smallest and largest key of several (frame, key), in one job; (0, 0) for an empty frame."""
+    bounds = [
+        df.agg(F.min(key).cast("bigint").alias("low"), F.max(key).cast("bigint").alias("high")).select(
+            F.lit(name).alias("name"), "low", "high"
+        )
+        for name, (df, key) in keyed.items()
+    ]
+    found = reduce(DataFrame.union, bounds).collect()
+    return {r["name"]: (0, 0) if r["low"] is None else (r["low"], r["high"]) for r in found}
 
 
 def _rows_below(counts: DataFrame, low: int, high: int, bits: int) -> DataFrame:
@@ -42,7 +53,7 @@ def add_surrogate_key(
     df: DataFrame,
     key: str,
     name: str,
-    span: tuple[int, int] | None = None,
+    span: Span | None = None,
     first: int = 1,
     bits: int = BUCKET_BITS,
 ) -> DataFrame:
@@ -54,7 +65,7 @@ def add_surrogate_key(
     more than 2**bits rows, and the bucket is a function of the key, so a recomputed task gives the
     same numbers.
     """
-    low, high = span or key_span(df, key)
+    low, high = span or key_spans({key: (df, key)})[key]
     if high - low < 1 << bits:
         position = F.row_number().over(Window.orderBy(key)).cast("bigint")
         return df.withColumn(name, position + F.lit(first - 1))

@@ -69,10 +69,3 @@ def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
     present = kept.where("_key is not null")
     rows = present.agg(*[F.count_if(F.col("_part") == name).alias(name) for name in parts]).first()
     return {name: KeySet(present.where(F.col("_part") == name), rows[name]) for name in parts}
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Mark ``df`` for broadcast when a bounded count proves that it is small."""
-    if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df

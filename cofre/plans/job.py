@@ -114,8 +114,9 @@ class Job:
         for name, frame in star.dimensions().items():
             layer.write(frame, name, batch)
         dims = {name: layer.read(name, batch) for name in star.dimensions()}
+        # Facts read the written dimensions; the few types may as well be numbered again.
         star.cliente, star.conta = dims["dim_cliente"], dims["dim_conta"]
-        star.tipo, star.data = dims["dim_tipo_transacao"], dims["dim_data"]
+        star.data = dims["dim_data"]
         layer.write(star.transactions(), "fato_transacao", batch)
         layer.write(star.loans(), "fato_emprestimo", batch)
         models = dims | {name: layer.read(name, batch) for name in ("fato_transacao", "fato_emprestimo")}
@@ -163,12 +164,16 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--stage", required=True, choices=STAGES)
     parser.add_argument("--root", required=True, help="shared folder of the lakehouse")
     parser.add_argument("--source", help="jdbc: URL, or folder with one Parquet file per table")
+    parser.add_argument(
+        "--shuffle-partitions", help="starting number per shuffle, merged at run time; about shuffled bytes / 128 MB"
+    )
     given = parser.parse_args(arguments)
+    settings = {"spark.sql.shuffle.partitions": given.shuffle_partitions} if given.shuffle_partitions else {}
     source = None
     if given.source:
         source = JdbcSource(given.source) if given.source.startswith("jdbc:") else ParquetSource(given.source)
     try:
-        Job(build_session("cofre"), given.root, source).run_stage(given.stage)
+        Job(build_session("cofre", **settings), given.root, source).run_stage(given.stage)
     except Exception:
         logger.exception("Stage %s failed", given.stage)
         return 1

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofre.operators.keys import add_surrogate_key, key_span
-from cofre.operators.keysets import broadcast_if_small
+from cofre.operators.keys import Span, add_surrogate_key, key_spans
+from cofre.operators.keysets import BROADCAST_ROWS
 from cofre.schemas import AUDIT_COLUMNS, contract, require_columns
 
 
@@ -18,18 +19,19 @@ def staging(trusted: DataFrame, table: str) -> DataFrame:
     return require_columns(trusted, table, columns).select(*columns)
 
 
-def dim_cliente(clientes: DataFrame) -> DataFrame:
+def dim_cliente(clientes: DataFrame, span: Span | None = None) -> DataFrame:
     rows = clientes.select("cliente_id", "nome", "cpf", "data_nascimento")
-    return add_surrogate_key(rows, "cliente_id", "cliente_sk")
+    return add_surrogate_key(rows, "cliente_id", "cliente_sk", span)
 
 
-def dim_conta(contas: DataFrame) -> DataFrame:
+def dim_conta(contas: DataFrame, span: Span | None = None) -> DataFrame:
     rows = contas.select("conta_id", "cliente_id", "agencia_id", "saldo")
-    return add_surrogate_key(rows, "conta_id", "conta_sk")
+    return add_surrogate_key(rows, "conta_id", "conta_sk", span)
 
 
-def dim_tipo_transacao(tipos: DataFrame) -> DataFrame:
-    return add_surrogate_key(tipos.select("tipo_transacao_id", "descricao"), "tipo_transacao_id", "tipo_transacao_sk")
+def dim_tipo_transacao(tipos: DataFrame, span: Span | None = None) -> DataFrame:
+    rows = tipos.select("tipo_transacao_id", "descricao")
+    return add_surrogate_key(rows, "tipo_transacao_id", "tipo_transacao_sk", span)
 
 
 def distinct_dates(transacoes: DataFrame, emprestimos: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def fato_transacao_rows(
     return (
         transacoes.withColumn("data", F.to_date("data_hora"))
         .join(F.broadcast(data.select("data", "data_sk")), "data")
-        .join(broadcast_if_small(tipo.select("tipo_transacao_id", "tipo_transacao_sk")), "tipo_transacao_id")
+        .join(tipo.select("tipo_transacao_id", "tipo_transacao_sk"), "tipo_transacao_id")
         .join(origin, "conta_origem_id")
         .join(target, "conta_destino_id")
         .select(
@@ -90,14 +92,6 @@ def fato_transacao_rows(
     )
 
 
-def fato_transacao(
-    transacoes: DataFrame, cliente: DataFrame, conta: DataFrame, data: DataFrame, tipo: DataFrame
-) -> DataFrame:
-    """Transaction fact numbered by ``transacao_sk``; the source bounds the key without running the joins."""
-    rows = fato_transacao_rows(transacoes, cliente, conta, data, tipo)
-    return add_surrogate_key(rows, "transacao_id", "transacao_sk", span=key_span(transacoes, "transacao_id"))
-
-
 def fato_emprestimo_rows(emprestimos: DataFrame, cliente: DataFrame, data: DataFrame) -> DataFrame:
     """One row per loan with dimension keys, not yet numbered."""
     per_installment = F.round(F.col("valor_contratado") / F.nullif(F.col("parcelas"), F.lit(0)), 2)
@@ -117,47 +111,64 @@ def fato_emprestimo_rows(emprestimos: DataFrame, cliente: DataFrame, data: DataF
     )
 
 
-def fato_emprestimo(emprestimos: DataFrame, cliente: DataFrame, data: DataFrame) -> DataFrame:
-    """Loan fact numbered by ``emprestimo_sk``."""
-    rows = fato_emprestimo_rows(emprestimos, cliente, data)
-    return add_surrogate_key(rows, "emprestimo_id", "emprestimo_sk", span=key_span(emprestimos, "emprestimo_id"))
+DIMENSIONS = ("clientes", "contas", "tipos_transacao")
 
 
 class Star:
     """Dimensions over staging frames and the facts that use them, each built when first asked for."""
 
-    def __init__(self, staged: dict[str, DataFrame]):
+    def __init__(self, staged: Mapping[str, DataFrame]):
         self.staged = staged
+        self._spans: dict[str, Span] = {}
+
+    def span(self, table: str, *along: str) -> Span:
+        """Bounds of the key of ``table``; those of ``along``, needed soon, come from the same job."""
+        unknown = [t for t in (table, *along) if t not in self._spans]
+        if unknown:
+            self._spans |= key_spans({t: (self.staged[t], contract(t).key) for t in unknown})
+        return self._spans[table]
 
     @cached_property
     def cliente(self) -> DataFrame:
-        return dim_cliente(self.staged["clientes"])
+        return dim_cliente(self.staged["clientes"], self.span("clientes"))
 
     @cached_property
     def conta(self) -> DataFrame:
-        return dim_conta(self.staged["contas"])
+        return dim_conta(self.staged["contas"], self.span("contas"))
 
     @cached_property
     def tipo(self) -> DataFrame:
-        return dim_tipo_transacao(self.staged["tipos_transacao"])
+        """Transaction types, for broadcast once the range of their unique keys or a count proves them few."""
+        staged, (low, high) = self.staged["tipos_transacao"], self.span("tipos_transacao")
+        types = dim_tipo_transacao(staged, (low, high))
+        few = high - low < BROADCAST_ROWS or staged.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        return F.broadcast(types) if few else types
 
     @cached_property
     def data(self) -> DataFrame:
         return dim_data(self.staged["transacoes"], self.staged["emprestimos"])
 
     def transaction_rows(self) -> DataFrame:
+        """Transaction fact without its own number."""
+        self.span(*DIMENSIONS)
         return fato_transacao_rows(self.staged["transacoes"], self.cliente, self.conta, self.data, self.tipo)
 
     def transactions(self) -> DataFrame:
-        return fato_transacao(self.staged["transacoes"], self.cliente, self.conta, self.data, self.tipo)
+        """Transaction fact; the source bounds its key, so the joins need not run for that."""
+        span = self.span("transacoes", *DIMENSIONS)
+        return add_surrogate_key(self.transaction_rows(), "transacao_id", "transacao_sk", span)
 
     def loan_rows(self) -> DataFrame:
+        """Loan fact without its own number."""
         return fato_emprestimo_rows(self.staged["emprestimos"], self.cliente, self.data)
 
     def loans(self) -> DataFrame:
-        return fato_emprestimo(self.staged["emprestimos"], self.cliente, self.data)
+        """Loan fact, bounded by its source like the transactions."""
+        span = self.span("emprestimos", "clientes")
+        return add_surrogate_key(self.loan_rows(), "emprestimo_id", "emprestimo_sk", span)
 
     def dimensions(self) -> dict[str, DataFrame]:
+        self.span(*DIMENSIONS)
         return {
             "dim_cliente": self.cliente,
             "dim_conta": self.conta,

@@ -13,7 +13,7 @@ from cofre.operators import contracts, dedupe, keys, references
 from cofre.operators.rules import REASON
 from cofre.plans import checks, gold, reports
 from cofre.plans.silver import Trusted, ancestry
-from cofre.plans.star import Star, distinct_dates, staging
+from cofre.plans.star import DIMENSIONS, Star, distinct_dates, staging
 from cofre.schemas import CONTRACTS, INGESTED_AT, TABLES, TRANSACTION_TYPES, Reference, contract
 from cofre.sources import batches
 from cofre.sources.bindings import Bindings, OnDemand
@@ -170,13 +170,15 @@ def _reject_summary(b: Bindings) -> DataFrame:
 def _models(b: Bindings) -> Mapping[str, DataFrame]:
     """Staging, star schema and, for violations to find, the tables they come from."""
     star = _star(b)
+    star.span("transacoes", "emprestimos", *DIMENSIONS)
+    dims = star.dimensions()
 
     def model(name: str) -> DataFrame:
         layer, _, table = name.partition("_")
         if layer == "stg":
             return star.staged[table]
         if layer == "dim":
-            return star.dimensions()[name]
+            return dims[name]
         if layer == "fato":
             return star.transactions() if name == "fato_transacao" else star.loans()
         return b.view(name)

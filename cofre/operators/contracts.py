@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Models = Mapping[str, DataFrame]
 
@@ -37,28 +38,48 @@ def not_null(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
     return union_all([counted(model) for model in columns])
 
 
-def _stacked(df: DataFrame, label: str, columns: Sequence[str], as_type: str) -> DataFrame:
-    """(label, column, value) for every non-null value of ``columns``."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(as_type).alias("value")) for c in columns]
-    return df.select(F.lit(label).alias("model"), F.inline(F.array(*pairs))).where("value is not null")
+def _stacked(df: DataFrame, numbered: Mapping[int, str], kind: str) -> DataFrame:
+    """(check, value) for every non-null value of the columns, by the number of their check."""
+    pairs = [F.struct(F.lit(i).alias("check"), F.col(c).cast(kind).alias("value")) for i, c in numbered.items()]
+    return df.select(F.inline(F.array(*pairs))).where("value is not null")
 
 
-def _with_zeroes(found: DataFrame, check: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """All checks, those that found nothing included; ``found`` has at most one row per check."""
-    every = [(model, column) for model, listed in columns.items() for column in listed]
-    frame = found.sparkSession.createDataFrame(every, "model string, column string")
+def _named(found: DataFrame, check: str, numbered: Sequence[tuple[str, str]]) -> DataFrame:
+    """All checks by model and column, those that found nothing included.
+
+    ``found`` has at most one row per check number.
+    """
+    every = [(i, model, column) for i, (model, column) in enumerate(numbered)]
+    frame = found.sparkSession.createDataFrame(every, "check int, model string, column string")
     violations = F.coalesce("violations", F.lit(0))
-    return frame.join(F.broadcast(found), ["model", "column"], "left").select(
+    return frame.join(F.broadcast(found), "check", "left").select(
         *_result(F.col("model"), F.col("column"), check, violations)
     )
 
 
 def unique(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Values that occur more than once, per listed column; all models share one shuffle."""
-    values = union_all([_stacked(models[m], m, listed, "string") for m, listed in columns.items()])
-    repeated = values.groupBy("model", "column", "value").count().where("count > 1")
-    found = repeated.groupBy("model", "column").agg(F.count(F.lit(1)).alias("violations"))
-    return _with_zeroes(found, "unique", columns)
+    """Values that occur more than once, per listed column.
+
+    All models share one shuffle for integers, of nothing but check number and value, and one for
+    other types.
+    """
+    numbered = [(model, column) for model, listed in columns.items() for column in listed]
+    of_kind: dict[str, list[DataFrame]] = {}
+    for model in columns:
+        schema = models[model].schema
+        by_kind: dict[str, dict[int, str]] = {}
+        for i, (owner, column) in enumerate(numbered):
+            if owner == model:
+                kind = "bigint" if isinstance(schema[column].dataType, T.IntegralType) else "string"
+                by_kind.setdefault(kind, {})[i] = column
+        for kind, listed in by_kind.items():
+            of_kind.setdefault(kind, []).append(_stacked(models[model], listed, kind))
+    repeated = [
+        union_all(frames).groupBy("check", "value").count().where("count > 1").select("check")
+        for frames in of_kind.values()
+    ]
+    found = union_all(repeated).groupBy("check").agg(F.count(F.lit(1)).alias("violations"))
+    return _named(found, "unique", numbered)
 
 
 def relationships(models: Models, links: Mapping[str, Sequence[tuple[str, str, str]]]) -> DataFrame:
@@ -66,17 +87,18 @@ def relationships(models: Models, links: Mapping[str, Sequence[tuple[str, str, s
 
     Child values are counted before they meet the parents, so a popular parent is one row per task.
     """
+    numbered = [(model, *link) for model, listed in links.items() for link in listed]
     used, known = [], []
-    for model, listed in links.items():
+    for model in links:
+        listed = {i: column for i, (owner, column, _, _) in enumerate(numbered) if owner == model}
         if listed:
-            used.append(_stacked(models[model], model, [column for column, _, _ in listed], "bigint"))
-        for column, parent, key in listed:
-            keys = _stacked(models[parent], model, [key], "bigint")
-            known.append(keys.withColumn("column", F.lit(column)))
-    counted = union_all(used).groupBy("model", "column", "value").count()
-    unmatched = counted.join(union_all(known), ["model", "column", "value"], "left_anti")
-    found = unmatched.groupBy("model", "column").agg(F.sum("count").alias("violations"))
-    return _with_zeroes(found, "relationships", {m: [c for c, _, _ in listed] for m, listed in links.items()})
+            used.append(_stacked(models[model], listed, "bigint"))
+    for i, (_, _, parent, key) in enumerate(numbered):
+        known.append(_stacked(models[parent], {i: key}, "bigint"))
+    counted = union_all(used).groupBy("check", "value").count()
+    unmatched = counted.join(union_all(known), ["check", "value"], "left_anti")
+    found = unmatched.groupBy("check").agg(F.sum("count").alias("violations"))
+    return _named(found, "relationships", [(model, column) for model, column, _, _ in numbered])
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -5,6 +5,8 @@ Everything here is a built-in Spark expression, so it stays in whole-stage codeg
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +26,10 @@ def tidy(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, WHITESPACE, " "))
 
 
-def clean_text(df: DataFrame) -> DataFrame:
-    """Apply :func:`tidy` to every string column."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+def clean_text(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Apply :func:`tidy` to every string column, or to those among ``columns``."""
+    chosen = set(df.columns if columns is None else columns)
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name in chosen]
     return df.withColumns({name: tidy(F.col(name)) for name in texts})
 
 

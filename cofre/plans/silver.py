@@ -33,8 +33,9 @@ def prepare(raw: DataFrame, table: str) -> DataFrame:
 
     Cleaning never turns a value into null or back, so the cheap test comes first.
     """
+    columns = S.contract(table).source_columns
     checked = S.require_columns(raw, table)
-    return clean.clean_text(checked.withColumn(INCOMPLETE, any_null(*S.contract(table).source_columns)))
+    return clean.clean_text(checked.withColumn(INCOMPLETE, any_null(*columns)), columns)
 
 
 def settle_repeated(prepared: Mapping[str, DataFrame]) -> dict[str, KeySet]:

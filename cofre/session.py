@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A split write keeps one file open per part instead of sorting the rows by part first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
-    # Checkpoint files go when nothing refers to them any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

@@ -29,9 +29,5 @@ def tag(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     return df.withColumn(REASON, reason)
 
 
-def accepted(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col(REASON).isNull()).drop(REASON)
-
-
 def rejected(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(REASON).isNotNull())

@@ -14,7 +14,7 @@ from cofre.operators.rules import REASON
 from cofre.plans import checks, gold, reports
 from cofre.plans.silver import Trusted, ancestry
 from cofre.plans.star import DIMENSIONS, Star, distinct_dates, staging
-from cofre.schemas import CONTRACTS, INGESTED_AT, TABLES, TRANSACTION_TYPES, Reference, contract
+from cofre.schemas import CONTRACTS, TABLES, TRANSACTION_TYPES, Reference, contract
 from cofre.sources import batches
 from cofre.sources.bindings import Bindings, OnDemand
 from cofre.sources.extract import add_audit_columns

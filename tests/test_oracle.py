@@ -6,10 +6,11 @@ import comparing
 import pytest
 
 import __spark_entry__ as entry_point
+from cofre.registry import oracle, queries
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

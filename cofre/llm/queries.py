@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofre.llm import exact_dedup
-from cofre.llm.common import read
+from cofre.llm import exact_dedup, licenses, warc
+from cofre.llm.common import Scratch, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +27,72 @@ window same as (partition by norm)
 """
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "license_id", "scope", "n_found")
+
+
+def _op7_sql() -> str:
+    """The same scan over the known texts' digests as values."""
+
+    def lines(text: str) -> str:
+        spelling = " ".join(f"when '{old}' then '{new}'" for old, new in licenses.SPELLINGS.items())
+        lower = f"translate(line, '{licenses.UPPER}', '{licenses.LOWER}')"
+        words = f"string_split(trim(regexp_replace({lower}, '{licenses.PUNCTUATION}', ' ', 'g'), ' '), ' ')"
+        line = (
+            f"case when regexp_matches({lower}, '{licenses.COPYRIGHT_LINE}') then '' "
+            f"else array_to_string(list_transform({words}, lambda w: case w {spelling} else w end), ' ') end"
+        )
+        split = f"string_split(replace(coalesce({text}, ''), chr(13), ''), chr(10))"
+        return f"list_filter(list_transform({split}, lambda line: {line}), lambda form: form <> '')"
+
+    known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+    return f"""
+with known as (
+    select distinct license_id, sha256(array_to_string({lines("text")}, ' ')) as digest
+    from (values {known}) as k(license_id, text)
+), reduced as (
+    select doc_id, {lines("text")} as lines from documents
+), forms as (
+    select doc_id, 'text' as scope, sha256(array_to_string(lines, ' ')) as digest from reduced where len(lines) > 0
+    union all
+    select doc_id, 'line' as scope, sha256(form) as digest from (select doc_id, unnest(lines) as form from reduced)
+)
+select doc_id, license_id, scope, count(*) as n_found from forms join known using (digest) group by all
+"""
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archives are written to the shared folder and read back."""
+    folder = f"{Scratch(spark, 'archives').path}/warc"
+    warc.write_archives(read(spark, sf_dir, "pages"), folder)
+    return warc.read_payloads(spark, folder).select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+OP8_SQL = """
+with p as (select page_id, encode(coalesce(html, '')) as body from pages),
+     d as (select page_id, octet_length(body) as payload_bytes, sha256(body) as payload_digest from p),
+     f as (select *, min(page_id) over (partition by payload_digest) as first_id from d)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from f
+"""
+
+
+_QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op7_license_scan": op7_license_scan,
+    "op8_warc": op8_warc,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_license_scan": _op7_sql(), "op8_warc": OP8_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofre.llm import exact_dedup, licenses, warc
+from cofre.llm import decontamination, exact_dedup, licenses, mixing, warc
 from cofre.llm.common import Scratch, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,10 +83,51 @@ from f
 """
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "matched", "windows")
+
+
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source gets the same share of the mix."""
+    mixed = mixing.mix_sources(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copy_no")
+
+
+OP9_SQL = f"""
+with recursive sizes as (
+    select source, sum(greatest(length(coalesce(text, '')), 1))::bigint as n from documents group by source
+), rates as (
+    select source, (1.0::double * 1.0::double / count(*) over ()) * (sum(n) over ())::double / n::double as rate from sizes
+), parts as (
+    select source, rate, greatest(ceil(rate / {mixing.LARGEST_MEAN}), 1)::int as parts from rates
+), poisson(source, mean, parts, k, term, total) as (
+    select source, rate / parts, parts, 0, exp(-(rate / parts)), exp(-(rate / parts)) from parts
+    union all
+    select source, mean, parts, k + 1, term * mean / (k + 1), total + term * mean / (k + 1) from poisson where k < {mixing.MOST}
+), tables as (
+    select source, parts, list(total order by k) as totals from poisson group by source, parts
+), drawn as (
+    select d.doc_id, d.source, t.totals, unnest(range(1, t.parts + 1)) as part
+    from documents d join tables t on d.source is not distinct from t.source
+), numbers as (
+    select doc_id, source, totals,
+           (('0x' || substr(md5('mix-1|' || coalesce(doc_id::varchar, '') || '|' || coalesce('=' || source, '-') || '|' || part), 1, {mixing.DIGITS}))::bigint + 0.5)
+           / {float(mixing.RANGE)}::double as u
+    from drawn
+), counts as (
+    select doc_id, source, sum(len(list_filter(totals, lambda total: total < u)))::bigint as n from numbers group by doc_id, source
+)
+select doc_id, source, unnest(range(0, n))::int as copy_no from counts where n > 0
+"""
+
+
 _QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_warc": op8_warc,
+    "op9_mix": op9_mix,
 }
 
 
@@ -95,4 +136,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op7_license_scan": _op7_sql(), "op8_warc": OP8_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_license_scan": _op7_sql(), "op8_warc": OP8_SQL, "op9_mix": OP9_SQL}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,20 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_ROWS = 200_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the library's modules along, once per application, so that Python workers anywhere can import them."""
+    context = spark.sparkContext
+    if getattr(context, "_cofre_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="cofre-ship-")) / "cofre-modules.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._cofre_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofre.llm import decontamination, exact_dedup, licenses, mixing, warc
-from cofre.llm.common import Scratch, read
+from cofre.llm import decontamination, exact_dedup, licenses, mixing, near_duplicates, warc
+from cofre.llm.common import Scratch, read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ window same as (partition by norm)
 """
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), words=2)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
     return found.select(F.col("key").alias("doc_id"), "license_id", "scope", "n_found")
@@ -125,14 +130,23 @@ select doc_id, source, unnest(range(0, n))::int as copy_no from counts where n >
 _QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_decontamination": op3_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_license_scan": op7_license_scan,
     "op8_warc": op8_warc,
     "op9_mix": op9_mix,
 }
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {name: _shipped(query) for name, query in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

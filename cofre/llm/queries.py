@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofre.llm import decontamination, exact_dedup, licenses, mixing, near_duplicates, warc
+from cofre.llm import decontamination, exact_dedup, language_id, licenses, mixing, near_duplicates, toxicity, warc
 from cofre.llm.common import Scratch, read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,19 @@ window same as (partition by norm)
 """
 
 
+def held_out(key: Column) -> Column:
+    """A quarter of the documents, never learned from."""
+    return F.crc32(key.cast("string").cast("binary")) % 4 == 2
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    found = language_id.identify(documents, ~held_out(F.col("doc_id")))
+    return found.select(
+        F.col("key").alias("doc_id"), (~F.col("learns")).alias("held_out"), "lang_pred", "score", "entropy", "rejected"
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), words=2)
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -127,13 +140,23 @@ select doc_id, source, unnest(range(0, n))::int as copy_no from counts where n >
 """
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    found = toxicity.score_texts(documents, read(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return found.select(
+        F.col("key").alias("doc_id"), (~F.col("learns")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 _QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_language_id": op4_language_id,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_license_scan": op7_license_scan,
     "op8_warc": op8_warc,
     "op9_mix": op9_mix,
+    "op10_toxicity": op10_toxicity,
 }
 
 

@@ -2,7 +2,7 @@
 
 1. Voters. A lexicon voter fires on a word, a pattern voter on words that begin alike, and a few fire on style (shouting,
    exclamation, masked letters). Which words and beginnings become voters is learned: for each, all labelled training
-   texts are counted (equal texts once), and the most frequent ones that are found in toxic texts nearly alone are
+   texts are counted (equal texts once), and the most frequent ones that are found mostly in toxic texts are
    taken, beside a fixed list.
 2. Label model. Each voter fires with one probability on toxic and another on clean texts. Expectation-maximisation
    estimates both, the share of toxic texts, and how voters go together within a class; voters that repeat each other
@@ -33,10 +33,10 @@ from cofre.llm.common import Scratch
 
 VOTERS = 256
 LEAST_TEXTS = 3
-PRECISION = 0.9
+PRECISION = 0.5
 FIT_ROWS = 20_000
 #: Lengths of beginnings that can become patterns.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
 # Words that vote without having been learned.
 LEXICON = (
@@ -96,7 +96,7 @@ def choose_voters(labelled: DataFrame, most: int = VOTERS, least_texts: int = LE
     totals = counted.groupBy("feature").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
     share = F.col("n_toxic") / (F.col("n_toxic") + F.col("n_clean"))
     good = totals.where((F.col("n_toxic") >= least_texts) & (share >= precision) & ~F.col("feature").startswith("style:"))
-    return [row["feature"] for row in good.orderBy(F.desc("n_toxic"), "n_clean", "feature").limit(most).select("feature").collect()]
+    return [row["feature"] for row in good.orderBy(F.desc(F.col("n_toxic") * share * share), "feature").limit(most).select("feature").collect()]
 
 
 @dataclass

@@ -75,3 +75,26 @@ class Scratch:
 def bounded(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast when its counted ``rows`` allow it, else as it is."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def keep_rows(df: DataFrame, decisions: DataFrame, key: str, row_hash: Column) -> DataFrame:
+    """The rows of ``df`` that stay, with all its columns as they were.
+
+    ``decisions``: key, row_hash, kept, a row for each row of ``df``. Rows that go are looked up, as they are the fewer. Of
+    repeated rows of which one stays, one stays.
+    """
+    scratch = Scratch(df.sparkSession, "decisions")
+    pairs = decisions.groupBy(F.col("key").alias("_key"), F.col("row_hash").alias("_hash")).agg(
+        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")
+    )
+    odd = scratch.write(pairs.where("not _kept or _n > 1"), "odd")
+    gone, repeated = odd.where("not _kept"), odd.where("_kept")
+    n_gone, n_repeated = odd.agg(F.count_if(~F.col("_kept")), F.count_if("_kept")).first()
+    same = df[key].eqNullSafe(F.col("_key")) & (row_hash == F.col("_hash"))
+    stays = df.join(bounded(gone, n_gone), same, "left_anti")
+    if not n_repeated:
+        return stays
+    several = bounded(repeated, n_repeated)
+    once = stays.join(several, same, "left_anti")
+    one_of = stays.join(several, same).dropDuplicates(["_key", "_hash"]).select(*[stays[c] for c in df.columns])
+    return once.unionAll(one_of)

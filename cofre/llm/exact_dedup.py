@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded, lower_ascii
+from cofre.llm.common import Scratch, bounded, keep_rows, lower_ascii
 
 #: The two largest primes below 2^31: products of two residues fit a bigint.
 MODULI = (2147483647, 2147483629)
@@ -137,14 +137,4 @@ def exact_duplicates(
 
 def drop_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``df`` that stay, with all its columns as they were."""
-    found = Scratch(df.sparkSession, "stay").write(exact_duplicates(df, text, key), "decisions")
-    stay = found.groupBy(F.col("key").alias("_stay_key"), F.col("row_hash").alias("_stay_hash")).agg(
-        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_repeats")
-    )
-    same = [df[key].eqNullSafe(F.col("_stay_key")), F.xxhash64(lower_ascii(df[text])) == F.col("_stay_hash")]
-    kept = df.join(stay.where("_kept"), same)
-    once = kept.where("_repeats = 1").select(*[df[c] for c in df.columns])
-    if stay.where("_kept and _repeats > 1").isEmpty():
-        return once
-    several = kept.where("_repeats > 1").withColumn("_text", lower_ascii(F.col(text)))
-    return once.unionByName(several.dropDuplicates(["_stay_key", "_text"]).select(*df.columns))
+    return keep_rows(df, exact_duplicates(df, text, key), key, F.xxhash64(lower_ascii(df[text])))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded
+from cofre.llm.common import Scratch, bounded, keep_rows
 from cofre.llm.components import components
 
 HASHES, BANDS, ROWS, BATCH = 256, 40, 5, 64
@@ -273,3 +273,8 @@ def near_duplicates(
         "key", "row_hash", F.col("n").alias("n_shingles"), F.col("first.key").alias("component_id"),
         (F.col("rid") == F.col("first.rid")).alias("kept"),
     )
+
+
+def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
+    """One row of each group of near duplicates, with all columns of ``df`` as they were."""
+    return keep_rows(df, near_duplicates(df, text, key, **settings), key, F.xxhash64(df[text]))

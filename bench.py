@@ -41,6 +41,9 @@ HEADLINE = (
     "report_06_loans_by_year",
     "report_08_top10_customers",
     "contract_unique",
+    "contract_not_null",
+    "contract_relationships",
+    "reject_summary",
 )
 
 

@@ -19,6 +19,8 @@ NON_DIGIT = r"(?U)\D"
 UTC_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 CARD_MASK = "**** **** **** "
 DAY = "interval 1 day"
+# Full ISO date, with an optional time of day.
+FULL_DATE = r"^\d{4}-\d{2}-\d{2}([ T].*)?$"
 
 
 def tidy(text: Column) -> Column:
@@ -69,8 +71,11 @@ def normalize_money(value: Column, data_type: T.DataType | None = None) -> Colum
 
 
 def normalize_date(value: Column) -> Column:
-    """Calendar date of an ISO text, date or timestamp; null when it cannot be read."""
-    return value.try_cast("date")
+    """Calendar date of an ISO text, date or timestamp; null when it cannot be read.
+
+    A text has year, month and day in full, the year with four digits, with or without a time after it.
+    """
+    return F.when(value.cast("string").rlike(FULL_DATE), value.try_cast("date"))
 
 
 def local_to_utc(local: Column, zone: str = SOURCE_TIMEZONE) -> Column:

@@ -85,19 +85,22 @@ def unique(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
 def relationships(models: Models, links: Mapping[str, Sequence[tuple[str, str, str]]]) -> DataFrame:
     """Rows whose column names no parent row, per (column, parent, parent column) of each model.
 
-    Child values are counted before they meet the parents, so a popular parent is one row per task.
+    One join per parent key: the values of all columns that refer to it are counted, so a popular
+    parent is one row per task, and then looked up. An outer join, as an anti join may be moved
+    below the count and into every child.
     """
     numbered = [(model, *link) for model, listed in links.items() for link in listed]
-    used, known = [], []
-    for model in links:
-        listed = {i: column for i, (owner, column, _, _) in enumerate(numbered) if owner == model}
-        if listed:
-            used.append(_stacked(models[model], listed, "bigint"))
-    for i, (_, _, parent, key) in enumerate(numbered):
-        known.append(_stacked(models[parent], {i: key}, "bigint"))
-    counted = union_all(used).groupBy("check", "value").count()
-    unmatched = counted.join(union_all(known), ["check", "value"], "left_anti")
-    found = unmatched.groupBy("check").agg(F.sum("count").alias("violations"))
+    unmatched = []
+    for target in dict.fromkeys((parent, key) for _, _, parent, key in numbered):
+        children: dict[str, dict[int, str]] = {}
+        for i, (model, column, *named) in enumerate(numbered):
+            if tuple(named) == target:
+                children.setdefault(model, {})[i] = column
+        used = union_all([_stacked(models[model], listed, "bigint") for model, listed in children.items()])
+        counted = used.groupBy("check", "value").count()
+        known = models[target[0]].select(F.col(target[1]).cast("bigint").alias("value"), F.lit(True).alias("known"))
+        unmatched.append(counted.join(known, "value", "left").where("known is null").select("check", "count"))
+    found = union_all(unmatched).groupBy("check").agg(F.sum("count").alias("violations"))
     return _named(found, "relationships", [(model, column) for model, column, _, _ in numbered])
 
 

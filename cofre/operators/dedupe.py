@@ -64,10 +64,23 @@ def superseded(df: DataFrame, key: str, newest: str = "_newest") -> Column:
     return F.col(key).isNull() | older_copy(df, newest)
 
 
+def refuse_ties(attached: DataFrame, key: str) -> None:
+    """Fail when two rows of a key are equally new. Only rows with a repeated key take part in the count."""
+    newest = attached.where(F.col("_newest").isNotNull() & (recency(attached) == F.col("_newest")))
+    tied = newest.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(key).first()
+    if tied is not None:
+        raise ValueError(f"{ROW_SEQ} is not unique: several newest rows have {key} {tied[0]}.")
+
+
 def dedupe_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """The newest row of each key, and all other rows (older copies and null keys)."""
+    """The one newest row of each key, and all other rows (older copies and null keys).
+
+    Rows that cannot be told apart by time and position are an error, as either might be the newest.
+    """
     repeated = settle({"repeated": repeated_keys(df, key)})["repeated"]
     attached = repeated.attach(df, key, "_newest", "_newest")
+    if repeated.rows:
+        refuse_ties(attached, key)
     lost = superseded(df, key)
     return attached.where(~lost).drop("_newest"), attached.where(lost).drop("_newest")
 

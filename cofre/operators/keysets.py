@@ -34,6 +34,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder now, for a frame that several others read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def wide_key(df: DataFrame, column: str) -> Column:
     """``column`` as key: integers as bigint, so that key sets of different tables fit together."""
     return F.col(column).cast("bigint") if isinstance(df.schema[column].dataType, T.IntegralType) else F.col(column)

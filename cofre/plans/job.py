@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
@@ -15,8 +16,8 @@ from cofre.plans import checks, gold, reports, silver
 from cofre.plans.star import Star, staging
 from cofre.schemas import ROW_SEQ, TABLES, contract
 from cofre.sources.batches import Batch, Layer, utc_now
-from cofre.sources.extract import add_audit_columns, check_complete, extract_all, utc_literal
-from cofre.sources.serving import publish_snapshot
+from cofre.sources.extract import JdbcSource, ParquetSource, add_audit_columns, check_complete, extract_all, utc_literal
+from cofre.sources.serving import JdbcTarget, publish_jdbc, publish_snapshot
 
 logger = logging.getLogger(__name__)
 
@@ -32,6 +33,7 @@ class Job:
     root: str
     source: object = None
     database: str = "silver"
+    target: JdbcTarget | None = None
 
     def layer(self, name: str) -> Layer:
         return Layer(self.spark, self.root, name)
@@ -141,9 +143,11 @@ class Job:
         return built
 
     def serving(self) -> Batch:
-        """Publish the newest silver batch under catalog names."""
+        """Publish the newest silver batch under catalog names, and to the target database if there is one."""
         batch, trusted = self._trusted_batch()
         publish_snapshot(self.spark, trusted, batch.batch_id, self.database, f"{self.root.rstrip('/')}/serving")
+        if self.target:
+            publish_jdbc(trusted, self.target)
         return batch
 
     def run_stage(self, stage: str) -> None:
@@ -155,25 +159,67 @@ class Job:
             getattr(self, name)()
 
 
-def main(arguments: list[str] | None = None) -> int:
-    """Command line for spark-submit; returns 1 when the stage fails."""
-    from cofre.session import build_session
-    from cofre.sources.extract import JdbcSource, ParquetSource
-
+def read_properties(path: str | None) -> dict[str, str]:
+    """Connection properties (user, password, driver, ...) of a file with a name=value per line, # for comments.
+
+    COFRE_JDBC_USER and COFRE_JDBC_PASSWORD in the environment come on top.
+    """
+    found = {}
+    if path:
+        with open(path, encoding="utf-8") as lines:
+            pairs = [line.strip() for line in lines if line.strip() and not line.lstrip().startswith("#")]
+        for pair in pairs:
+            name, sign, value = pair.partition("=")
+            if not sign:
+                raise ValueError(f"Not a name=value line in {path}: {name}")
+            found[name.strip()] = value.strip()
+    for name in ("user", "password"):
+        if value := os.environ.get(f"COFRE_JDBC_{name.upper()}"):
+            found[name] = value
+    return found
+
+
+def connections(given: argparse.Namespace) -> tuple[object, JdbcTarget | None]:
+    """Source and target database of the command line; None where there is none."""
+    source, target = None, None
+    if given.source and given.source.startswith("jdbc:"):
+        properties = read_properties(given.source_properties)
+        source = JdbcSource(given.source, properties, given.fetch_size, given.jdbc_partitions)
+    elif given.source:
+        source = ParquetSource(given.source)
+    if given.publish:
+        properties = read_properties(given.publish_properties or given.source_properties)
+        target = JdbcTarget(given.publish, properties, given.publish_schema, given.batch_size, given.jdbc_partitions)
+    return source, target
+
+
+def parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description="Run the lakehouse job.")
     parser.add_argument("--stage", required=True, choices=STAGES)
     parser.add_argument("--root", required=True, help="shared folder of the lakehouse")
     parser.add_argument("--source", help="jdbc: URL, or folder with one Parquet file per table")
+    parser.add_argument("--source-properties", help="file of name=value lines for the source connection")
+    parser.add_argument("--fetch-size", type=int, default=1000, help="rows per round trip from the source")
+    parser.add_argument("--jdbc-partitions", type=int, default=8, help="parallel connections per table")
+    parser.add_argument("--publish", help="jdbc: URL that the serving stage also fills")
+    parser.add_argument("--publish-properties", help="file of name=value lines, else that of the source")
+    parser.add_argument("--publish-schema", default="silver", help="schema of the published tables")
+    parser.add_argument("--batch-size", type=int, default=1000, help="rows per insert")
     parser.add_argument(
         "--shuffle-partitions", help="starting number per shuffle, merged at run time; about shuffled bytes / 128 MB"
     )
-    given = parser.parse_args(arguments)
+    return parser
+
+
+def main(arguments: list[str] | None = None) -> int:
+    """Command line for spark-submit; returns 1 when the stage fails."""
+    from cofre.session import build_session
+
+    given = parser().parse_args(arguments)
     settings = {"spark.sql.shuffle.partitions": given.shuffle_partitions} if given.shuffle_partitions else {}
-    source = None
-    if given.source:
-        source = JdbcSource(given.source) if given.source.startswith("jdbc:") else ParquetSource(given.source)
     try:
-        Job(build_session("cofre", **settings), given.root, source).run_stage(given.stage)
+        source, target = connections(given)
+        Job(build_session("cofre", **settings), given.root, source, target=target).run_stage(given.stage)
     except Exception:
         logger.exception("Stage %s failed", given.stage)
         return 1

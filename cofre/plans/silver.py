@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cofre import schemas as S
 from cofre.functions import clean
 from cofre.operators.dedupe import older_copy, repeated_keys, superseded
-from cofre.operators.keysets import KeySet, settle
+from cofre.operators.keysets import KeySet, kept, settle
 from cofre.operators.references import Link, attach_links, missing
 from cofre.operators.rules import REASON, any_null, not_positive, rejected, tag
 
@@ -195,9 +195,14 @@ def ancestry(table: str) -> list[str]:
 
 
 class Trusted:
-    """Tagged frames of ``tables`` over raw frames, each built when first asked for."""
+    """Tagged frames of ``tables`` over raw frames, each built when first asked for.
 
-    def __init__(self, raw: Mapping[str, DataFrame], tables: Sequence[str] = S.TABLES):
+    With ``keep`` a tagged frame that other tables refer to is written to the checkpoint folder once, for a
+    query that reads several tables.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame], tables: Sequence[str] = S.TABLES, keep: bool = False):
+        self._parents = {r.parent for t in tables for r in S.contract(t).references} if keep else set()
         self._prepared = {t: prepare(raw[t], t) for t in tables}
         self._repeated = settle_repeated(self._prepared)
         self._tagged: dict[str, DataFrame] = {}
@@ -205,7 +210,8 @@ class Trusted:
     def tagged(self, table: str) -> DataFrame:
         if table not in self._tagged:
             parents = {r.parent: self.rows(r.parent) for r in S.contract(table).references}
-            self._tagged[table] = TAGGERS[table](self._prepared[table], self._repeated[table], parents)
+            tagged = TAGGERS[table](self._prepared[table], self._repeated[table], parents)
+            self._tagged[table] = kept(tagged) if table in self._parents else tagged
         return self._tagged[table]
 
     def rows(self, table: str) -> DataFrame:

@@ -8,8 +8,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofre.operators.keys import Span, add_surrogate_key, key_spans
-from cofre.operators.keysets import BROADCAST_ROWS
+from cofre.operators.keys import BUCKET_BITS, Span, add_surrogate_key, key_spans
+from cofre.operators.keysets import BROADCAST_ROWS, kept
 from cofre.schemas import AUDIT_COLUMNS, contract, require_columns
 
 
@@ -19,14 +19,14 @@ def staging(trusted: DataFrame, table: str) -> DataFrame:
     return require_columns(trusted, table, columns).select(*columns)
 
 
-def dim_cliente(clientes: DataFrame, span: Span | None = None) -> DataFrame:
+def dim_cliente(clientes: DataFrame, span: Span | None = None, bits: int = BUCKET_BITS) -> DataFrame:
     rows = clientes.select("cliente_id", "nome", "cpf", "data_nascimento")
-    return add_surrogate_key(rows, "cliente_id", "cliente_sk", span)
+    return add_surrogate_key(rows, "cliente_id", "cliente_sk", span, bits=bits)
 
 
-def dim_conta(contas: DataFrame, span: Span | None = None) -> DataFrame:
+def dim_conta(contas: DataFrame, span: Span | None = None, bits: int = BUCKET_BITS) -> DataFrame:
     rows = contas.select("conta_id", "cliente_id", "agencia_id", "saldo")
-    return add_surrogate_key(rows, "conta_id", "conta_sk", span)
+    return add_surrogate_key(rows, "conta_id", "conta_sk", span, bits=bits)
 
 
 def dim_tipo_transacao(tipos: DataFrame, span: Span | None = None) -> DataFrame:
@@ -42,7 +42,9 @@ def distinct_dates(transacoes: DataFrame, emprestimos: DataFrame) -> DataFrame:
 
 
 def dim_data(transacoes: DataFrame, emprestimos: DataFrame) -> DataFrame:
-    """Calendar of :func:`distinct_dates`. One window numbers it: a calendar has some thousand days."""
+    """Calendar of :func:`distinct_dates`. One window numbers it: dates have years of four digits,
+    so a calendar has less than four million days, and some thousand in practice.
+    """
     day = F.col("data")
     return distinct_dates(transacoes, emprestimos).select(
         F.row_number().over(Window.orderBy("data")).cast("bigint").alias("data_sk"),
@@ -62,8 +64,8 @@ def fato_transacao_rows(
     """One row per transaction with dimension keys, not yet numbered.
 
     Account and customer are joined first, among dimensions, so the transactions are shuffled once
-    per account role and not again per customer. The calendar is bounded by the number of days;
-    the types are broadcast once counted.
+    per account role and not again per customer. Calendar and types come marked for broadcast
+    when their bounds allow it.
     """
     accounts = conta.select("conta_id", "conta_sk", "cliente_id")
     owners = accounts.join(cliente.select("cliente_id", "cliente_sk"), "cliente_id")
@@ -75,7 +77,7 @@ def fato_transacao_rows(
     )
     return (
         transacoes.withColumn("data", F.to_date("data_hora"))
-        .join(F.broadcast(data.select("data", "data_sk")), "data")
+        .join(data.select("data", "data_sk"), "data")
         .join(tipo.select("tipo_transacao_id", "tipo_transacao_sk"), "tipo_transacao_id")
         .join(origin, "conta_origem_id")
         .join(target, "conta_destino_id")
@@ -97,7 +99,7 @@ def fato_emprestimo_rows(emprestimos: DataFrame, cliente: DataFrame, data: DataF
     per_installment = F.round(F.col("valor_contratado") / F.nullif(F.col("parcelas"), F.lit(0)), 2)
     days = data.select(F.col("data").alias("data_contrato"), "data_sk")
     return (
-        emprestimos.join(F.broadcast(days), "data_contrato")
+        emprestimos.join(days, "data_contrato")
         .join(cliente.select("cliente_id", "cliente_sk"), "cliente_id")
         .select(
             "emprestimo_id",
@@ -117,8 +119,8 @@ DIMENSIONS = ("clientes", "contas", "tipos_transacao")
 class Star:
     """Dimensions over staging frames and the facts that use them, each built when first asked for."""
 
-    def __init__(self, staged: Mapping[str, DataFrame]):
-        self.staged = staged
+    def __init__(self, staged: Mapping[str, DataFrame], bits: int = BUCKET_BITS):
+        self.staged, self.bits = staged, bits
         self._spans: dict[str, Span] = {}
 
     def span(self, table: str, *along: str) -> Span:
@@ -130,11 +132,11 @@ class Star:
 
     @cached_property
     def cliente(self) -> DataFrame:
-        return dim_cliente(self.staged["clientes"], self.span("clientes"))
+        return dim_cliente(self.staged["clientes"], self.span("clientes"), self.bits)
 
     @cached_property
     def conta(self) -> DataFrame:
-        return dim_conta(self.staged["contas"], self.span("contas"))
+        return dim_conta(self.staged["contas"], self.span("contas"), self.bits)
 
     @cached_property
     def tipo(self) -> DataFrame:
@@ -148,24 +150,38 @@ class Star:
     def data(self) -> DataFrame:
         return dim_data(self.staged["transacoes"], self.staged["emprestimos"])
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """The calendar for joins, for broadcast when the days between its bounds are few."""
+        day = {"transacoes": "cast(data_hora as date)", "emprestimos": "data_contrato"}
+        numbered = {t: (self.staged[t].selectExpr(f"unix_date({expression}) as day"), "day") for t, expression in day.items()}
+        spans = [s for s in key_spans(numbered).values() if s != (0, 0)]
+        days = max((s[1] for s in spans), default=0) - min((s[0] for s in spans), default=0)
+        return F.broadcast(self.data) if days < BROADCAST_ROWS else self.data
+
+    def _numbered(self, rows: DataFrame, key: str, name: str, span: Span) -> DataFrame:
+        """Buckets are counted before the rows are numbered, so the rows are kept and not joined twice."""
+        wide = span[1] - span[0] >= 1 << self.bits
+        return add_surrogate_key(kept(rows) if wide else rows, key, name, span, bits=self.bits)
+
     def transaction_rows(self) -> DataFrame:
         """Transaction fact without its own number."""
         self.span(*DIMENSIONS)
-        return fato_transacao_rows(self.staged["transacoes"], self.cliente, self.conta, self.data, self.tipo)
+        return fato_transacao_rows(self.staged["transacoes"], self.cliente, self.conta, self.calendar, self.tipo)
 
     def transactions(self) -> DataFrame:
         """Transaction fact; the source bounds its key, so the joins need not run for that."""
         span = self.span("transacoes", *DIMENSIONS)
-        return add_surrogate_key(self.transaction_rows(), "transacao_id", "transacao_sk", span)
+        return self._numbered(self.transaction_rows(), "transacao_id", "transacao_sk", span)
 
     def loan_rows(self) -> DataFrame:
         """Loan fact without its own number."""
-        return fato_emprestimo_rows(self.staged["emprestimos"], self.cliente, self.data)
+        return fato_emprestimo_rows(self.staged["emprestimos"], self.cliente, self.calendar)
 
     def loans(self) -> DataFrame:
         """Loan fact, bounded by its source like the transactions."""
         span = self.span("emprestimos", "clientes")
-        return add_surrogate_key(self.loan_rows(), "emprestimo_id", "emprestimo_sk", span)
+        return self._numbered(self.loan_rows(), "emprestimo_id", "emprestimo_sk", span)
 
     def dimensions(self) -> dict[str, DataFrame]:
         self.span(*DIMENSIONS)

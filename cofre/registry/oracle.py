@@ -25,6 +25,10 @@ def _money(column: str) -> str:
     return f"cast(round_even(try_cast({column} as decimal(38,10)), 2) as decimal(15,2))"
 
 
+def _date(column: str) -> str:
+    return rf"case when regexp_matches({column}, '^\d{{4}}-\d{{2}}-\d{{2}}([ T].*)?$') then try_cast({column} as date) end"
+
+
 def _utc(ts: str) -> str:
     return f"timezone('UTC', timezone({_ZONE}, {ts}))"
 
@@ -64,13 +68,14 @@ BLOCKS |= {
     "batch_manifest": """
         select b.table_name, 'batch-' || lpad(cast(n_nationkey as varchar), 3, '0') batch_id,
                timestamp '2024-01-01 00:00:00' + n_nationkey * interval '1' day ingestion_ts,
-               n_nationkey % 2 = 0 committed
+               n_nationkey % 2 = 0 committed,
+               timestamp '2024-01-01 01:00:00' + (n_nationkey * 7) % 25 * interval '1' day committed_at
         from nation, (values {}) b(id, table_name)
         where (n_nationkey + b.id) % 9 <> 0""".format(
         ", ".join(f"({i}, '{t}')" for i, t in enumerate(TABLES, 1))
     ),
     "complete": """
-        select batch_id, min(ingestion_ts) ingestion_ts, bool_and(committed) committed
+        select batch_id, min(ingestion_ts) ingestion_ts, bool_and(committed) committed, max(committed_at) committed_at
         from batch_manifest group by batch_id having count(distinct table_name) = 7""",
     "tagged_agencias": f"""
         select *, case when agencia_id is null or rn > 1 then {_PK}
@@ -91,12 +96,12 @@ BLOCKS |= {
         from (select cliente_id, {_tidy('nome')} nome, {_digits('cpf', 11)} cpf, {_tidy('data_nascimento')} born,
                      _row_seq, row_number() over (partition by cliente_id order by _row_seq desc) rn
               from raw_clientes)""",
-    "tagged_clientes": """
-        select cliente_id, nome, cpf, try_cast(born as date) data_nascimento,
+    "tagged_clientes": f"""
+        select cliente_id, nome, cpf, {_date('born')} data_nascimento,
                case when early is not null then early
                     when row_number() over (partition by early, cpf order by _row_seq desc) > 1
                     then 'Duplicated CPF.'
-                    when try_cast(born as date) is null then 'Invalid birth date.' end reason
+                    when {_date('born')} is null then 'Invalid birth date.' end reason
         from complete_clientes""",
     "silver_agencias": "select agencia_id, nome_agencia, cidade from tagged_agencias where reason is null",
     "silver_tipos_transacao": "select tipo_transacao_id, descricao from tagged_tipos_transacao where reason is null",
@@ -129,14 +134,14 @@ BLOCKS |= {
                                      order by _ingestion_timestamp desc nulls first, _row_seq desc) rn
         from raw_emprestimos""",
     "tagged_emprestimos": f"""
-        select emprestimo_id, cliente_id, valor_contratado, parcelas, try_cast(e.data_contrato as date) data_contrato,
+        select emprestimo_id, cliente_id, valor_contratado, parcelas, {_date('e.data_contrato')} data_contrato,
                case when emprestimo_id is null or rn > 1 then {_PK}
                     when cliente_id is null or valor_contratado is null or parcelas is null
                          or e.data_contrato is null then {_REQUIRED}
                     {_unknown('e', 'cliente_id', 'clientes', 'cliente_id')}
                     when valor_contratado <= 0 then 'Loan amount must be greater than zero.'
                     when parcelas not in (6, 12, 18, 24, 36, 48) then 'Invalid installment count.'
-                    when try_cast(e.data_contrato as date) is null then 'Invalid contract date.' end reason
+                    when {_date('e.data_contrato')} is null then 'Invalid contract date.' end reason
         from latest_emprestimos e""",
     "silver_emprestimos": """
         select emprestimo_id, cliente_id, valor_contratado, parcelas, data_contrato
@@ -284,9 +289,10 @@ _TEXT: dict[str, str] = {
     "bronze_audit": f"select *, {_AUDIT} from bank_transacoes",
     "batch_ids": "select distinct batch_id from batch_manifest where table_name = 'clientes'",
     "complete_batches": "select batch_id, ingestion_ts from complete",
-    "latest_complete_batch": "select batch_id, ingestion_ts from complete order by ingestion_ts desc limit 1",
-    "latest_silver_batch": """
+    "latest_complete_batch": """
         select batch_id, ingestion_ts from complete where committed order by ingestion_ts desc limit 1""",
+    "latest_silver_batch": """
+        select batch_id, committed_at from complete where committed order by committed_at desc limit 1""",
     "seed_insert_if_absent": f"""
         select tipo_transacao_id, descricao from bank_tipos_transacao where tipo_transacao_id % 2 = 1
         union all
@@ -315,7 +321,7 @@ _TEXT: dict[str, str] = {
         "cartoes", "numero_cartao", f"'**** **** **** ' || right({_digits('numero_cartao', 16)}, 4)"
     ),
     "normalize_money": _scalar("contas", "saldo", _money("saldo")),
-    "normalize_date": _scalar("emprestimos", "data_contrato", "try_cast(data_contrato as date)"),
+    "normalize_date": _scalar("emprestimos", "data_contrato", _date("data_contrato")),
     "normalize_timestamp": "select transacao_id, raw_data_hora, data_hora from utc_transacoes",
     "dst_invalid_timestamps": "select transacao_id, raw_data_hora from utc_transacoes where data_hora is null",
     "split_null_pk": """
@@ -375,11 +381,13 @@ _TEXT: dict[str, str] = {
                {_mean('valor_contratado')} valor_medio_emprestimo, {_mean('parcelas')} parcelas_media
         from bank_emprestimos""",
     "dim_cliente": "select * from dim_cliente",
+    "dim_cliente_buckets": "select * from dim_cliente",
     "dim_conta": "select * from dim_conta",
     "dim_tipo_transacao": "select * from dim_tipo_transacao",
     "dim_data": "select * from dim_data",
     "distinct_dates": "select * from distinct_dates",
     "fato_transacao": "select * from fato_transacao",
+    "fato_transacao_buckets": "select * from fato_transacao",
     "fato_emprestimo": "select * from fato_emprestimo",
     "report_01_total_volume": f"select {_total('valor')} valor_total_movimentado from fato_transacao",
     "report_02_operation_count": "select count(*) quantidade_operacoes from fato_transacao",

@@ -64,24 +64,24 @@ class Table:
         return tuple(name for name, _ in self.trusted)
 
 
-_INT, _TEXT, _DATE, _LOCAL = T.IntegerType(), T.StringType(), T.DateType(), T.TimestampNTZType()
+_ID, _INT, _TEXT, _DATE, _LOCAL = T.LongType(), T.IntegerType(), T.StringType(), T.DateType(), T.TimestampNTZType()
 
-_AGENCIAS = (("agencia_id", _INT), ("nome_agencia", _TEXT), ("cidade", _TEXT))
-_CLIENTES = (("cliente_id", _INT), ("nome", _TEXT), ("cpf", _TEXT), ("data_nascimento", _DATE))
-_TIPOS = (("tipo_transacao_id", _INT), ("descricao", _TEXT))
-_CONTAS = (("conta_id", _INT), ("cliente_id", _INT), ("agencia_id", _INT), ("saldo", MONEY))
+_AGENCIAS = (("agencia_id", _ID), ("nome_agencia", _TEXT), ("cidade", _TEXT))
+_CLIENTES = (("cliente_id", _ID), ("nome", _TEXT), ("cpf", _TEXT), ("data_nascimento", _DATE))
+_TIPOS = (("tipo_transacao_id", _ID), ("descricao", _TEXT))
+_CONTAS = (("conta_id", _ID), ("cliente_id", _ID), ("agencia_id", _ID), ("saldo", MONEY))
 _EMPRESTIMOS = (
-    ("emprestimo_id", _INT),
-    ("cliente_id", _INT),
+    ("emprestimo_id", _ID),
+    ("cliente_id", _ID),
     ("valor_contratado", MONEY),
     ("parcelas", _INT),
     ("data_contrato", _DATE),
 )
 _TRANSACOES = (
-    ("transacao_id", _INT),
-    ("conta_origem_id", _INT),
-    ("conta_destino_id", _INT),
-    ("tipo_transacao_id", _INT),
+    ("transacao_id", _ID),
+    ("conta_origem_id", _ID),
+    ("conta_destino_id", _ID),
+    ("tipo_transacao_id", _ID),
     ("valor", MONEY),
     ("data_hora", _LOCAL),
 )
@@ -98,8 +98,8 @@ CONTRACTS: dict[str, Table] = {
     ),
     "cartoes": Table(
         "cartao_id",
-        (("cartao_id", _INT), ("conta_id", _INT), ("numero_cartao", _TEXT), ("tipo_cartao", _TEXT)),
-        (("cartao_id", _INT), ("conta_id", _INT), ("tipo_cartao", _TEXT), ("numero_cartao_mascarado", _TEXT)),
+        (("cartao_id", _ID), ("conta_id", _ID), ("numero_cartao", _TEXT), ("tipo_cartao", _TEXT)),
+        (("cartao_id", _ID), ("conta_id", _ID), ("tipo_cartao", _TEXT), ("numero_cartao_mascarado", _TEXT)),
         (Reference("conta_id", "contas", "conta_id"),),
     ),
     "emprestimos": Table(

@@ -1,8 +1,9 @@
 """Layers on a shared file system: one folder per table and batch, and a log of what was written.
 
 A table write is logged once its files are complete; a batch counts as committed when its commit
-row, written last, says so. Readers choose batches from this log and then read exactly one folder,
-so nothing is listed or scanned to find them.
+row, written last, says so. Choosing a batch lists the whole log, one small entry per table and batch.
+Reading, checking or committing a batch that is known reads the entries of that batch alone, and a
+table is read from exactly one folder.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def batch_ids(manifest: DataFrame, table: str) -> DataFrame:
 
 
 def complete_batches(manifest: DataFrame) -> DataFrame:
-    """Batches in which every source table was written, with their ingestion time and commit state."""
+    """Batches in which every source table was written, with their ingestion time, commit state and commit time."""
     return (
         manifest.where(F.col("table_name").isin(*TABLES))
         .groupBy("batch_id")
@@ -56,6 +57,7 @@ def complete_batches(manifest: DataFrame) -> DataFrame:
             F.count_distinct("table_name").alias("_tables"),
             F.min("ingestion_ts").alias("ingestion_ts"),
             F.bool_and("committed").alias("committed"),
+            F.max("committed_at").alias("committed_at"),
         )
         .where(F.col("_tables") == len(TABLES))
         .drop("_tables")
@@ -105,10 +107,7 @@ class Layer:
 
     def read(self, table: str, batch: Batch) -> DataFrame:
         """Read one table of a batch with the columns it was written with."""
-        written = self._read_log("_writes", _WRITES).where(
-            (F.col("batch_id") == batch.batch_id) & (F.col("table_name") == table)
-        )
-        entry = written.select("columns").first()
+        entry = self._read_log(f"_writes/batch={batch.batch_id}/table={table}", _WRITES).select("columns").first()
         if entry is None:
             raise FileNotFoundError(f"{self.name}.{table} has no batch {batch.batch_id}")
         schema = T.StructType.fromJson(json.loads(entry["columns"]))
@@ -120,16 +119,17 @@ class Layer:
 
     def commit(self, batch: Batch, tables=TABLES) -> None:
         """Mark the batch as committed, after checking that all ``tables`` were written."""
-        written = {r["table_name"] for r in self.manifest().where(F.col("batch_id") == batch.batch_id).collect()}
+        written = {r["table_name"] for r in self.manifest(batch).collect()}
         absent = sorted(set(tables) - written)
         if absent:
             raise RuntimeError(f"{self.name} batch {batch.batch_id} is incomplete, no {', '.join(absent)}")
         self._mark(batch, committed=True)
 
-    def manifest(self) -> DataFrame:
-        """One row per written table and batch, with the commit state of the batch."""
-        writes = self._read_log("_writes", _WRITES)
-        commits = self._read_log("_commits", _COMMITS)
+    def manifest(self, batch: Batch | None = None) -> DataFrame:
+        """One row per written table, of one batch or of all, with the commit state of the batch."""
+        entry = f"/batch={batch.batch_id}" if batch else ""
+        writes = self._read_log(f"_writes{entry}", _WRITES)
+        commits = self._read_log(f"_commits{entry}", _COMMITS)
         return writes.join(commits.drop("ingestion_date"), "batch_id", "left").withColumn(
             "committed", F.coalesce("committed", F.lit(False))
         )
@@ -143,17 +143,15 @@ class Layer:
 
     def last_committed(self) -> Batch:
         """The committed batch that was committed last."""
-        ready = complete_batches(self.manifest()).where("committed").select("batch_id", "ingestion_ts")
-        times = self._read_log("_commits", _COMMITS).select("batch_id", "committed_at")
-        found = latest_batch(ready.join(times, "batch_id"), "committed_at").first()
+        ready = complete_batches(self.manifest()).where("committed")
+        found = ready.agg(F.max_by(F.struct("batch_id", "ingestion_ts"), F.struct("committed_at", "batch_id")).alias("last")).first()["last"]
         if found is None:
             raise FileNotFoundError(f"No committed batch in layer {self.name}.")
-        moment = ready.where(F.col("batch_id") == found["batch_id"]).first()["ingestion_ts"]
-        return Batch(found["batch_id"], moment)
+        return Batch(found["batch_id"], found["ingestion_ts"])
 
     def check(self, batch: Batch, tables=TABLES) -> list[str]:
         """Fail unless the batch is committed with all ``tables``; return the names of empty ones."""
-        rows = self.manifest().where((F.col("batch_id") == batch.batch_id) & F.col("committed")).collect()
+        rows = self.manifest(batch).where("committed").collect()
         if not rows:
             raise FileNotFoundError(f"{self.name} batch {batch.batch_id} is not committed.")
         counts = {r["table_name"]: r["row_count"] for r in rows}

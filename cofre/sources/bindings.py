@@ -47,12 +47,13 @@ VIEWS: dict[str, str] = {
     "bank_emprestimos": f"""
         select o_orderkey emprestimo_id, o_custkey cliente_id, cast(o_totalprice as decimal(15,2)) valor_contratado,
                {_INSTALLMENTS} parcelas, cast(o_orderdate as date) data_contrato
-        from {{orders}} where o_orderkey % 5 = 0""",
+        from {{orders}}""",
     "bank_transacoes": f"""
-        select o_orderkey transacao_id, o_custkey conta_origem_id, o_orderkey % 150 conta_destino_id,
+        select o_orderkey transacao_id, o_custkey conta_origem_id,
+               case when o_custkey = o_orderkey % 150 then (o_orderkey + 1) % 150 else o_orderkey % 150 end conta_destino_id,
                cast(substr(o_orderpriority, 1, 1) as int) tipo_transacao_id,
                cast(o_totalprice as decimal(15,2)) valor, {_MOMENT} data_hora
-        from {{orders}} where o_custkey <> o_orderkey % 150""",
+        from {{orders}}""",
     "raw_agencias": """
         select case when n_nationkey = 24 then null else n_nationkey end agencia_id,
                '  ' || replace(n_name, '_', '   ') || ' ' nome_agencia,
@@ -97,6 +98,9 @@ VIEWS: dict[str, str] = {
                          else l_extendedprice end as decimal(15,2)) valor_contratado,
                case when l_partkey % 197 = 196 then null else cast(l_quantity as int) end parcelas,
                case when l_partkey % 23 = 22 then 'not-a-date'
+                    when l_partkey % 69 = 20 then '2024'
+                    when l_partkey % 69 = 43 then '2024-05'
+                    when l_partkey % 69 = 66 then '99999-01-01'
                     else cast(cast(l_shipdate as date) as string) end data_contrato,
                l_shipdate _ingestion_timestamp, l_partkey _row_seq
         from {lineitem}""",
@@ -150,9 +154,9 @@ class Bindings:
         return OnDemand(self.raw)
 
     def manifest(self) -> DataFrame:
-        """Which tables of which batch were written, and whether the batch was committed.
+        """Which tables of which batch were written, and whether and when the batch was committed.
 
-        Every nation stands for a batch and every ninth (batch, table) pair is left out.
+        Batches were not committed in the order of their ingestion. Every nation stands for a batch and every ninth (batch, table) pair is left out.
         """
         tables = F.posexplode(F.array(*[F.lit(t) for t in TABLES])).alias("position", "table_name")
         batch = F.col("n_nationkey")
@@ -166,5 +170,6 @@ class Bindings:
                 F.concat(F.lit("batch-"), F.lpad(batch.cast("string"), 3, "0")).alias("batch_id"),
                 (first_day + F.make_dt_interval(days=batch)).alias("ingestion_ts"),
                 (batch % 2 == 0).alias("committed"),
+                (first_day + F.make_dt_interval(days=(batch * 7) % 25, hours=F.lit(1))).alias("committed_at"),
             )
         )

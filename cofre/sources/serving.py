@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -48,24 +50,60 @@ def _as_served(df: DataFrame, table: str) -> DataFrame:
 def publish_snapshot(spark: SparkSession, tables: dict[str, DataFrame], version: str, database: str, root: str) -> None:
     """Replace the content of all serving tables by one snapshot.
 
-    Every table is checked and written to a folder of its own version first; only then do the
-    catalog entries switch to the new folders, one metadata change each. A failure before that
-    leaves all tables as they were.
+    Every table is checked and written to a new folder first, also when ``version`` was published
+    before; only then do the catalog entries switch to the new folders, one metadata change each. A
+    failure before that leaves all tables as they were.
     """
     absent = [t for t in TABLES if t not in tables]
     if absent:
         raise FileNotFoundError(f"Snapshot lacks table(s): {', '.join(absent)}")
     served = {t: _as_served(tables[t], t) for t in TABLES}
     create_serving_tables(spark, database, root)
-    folders = {t: f"{root.rstrip('/')}/{t}/version={version}" for t in TABLES}
+    attempt = f"{version}-{uuid.uuid4().hex[:12]}"
+    folders = {t: f"{root.rstrip('/')}/{t}/version={attempt}" for t in TABLES}
     for table, frame in served.items():
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folders[table])
+        frame.write.mode("errorifexists").parquet(folders[table])
     for table, folder in folders.items():
         spark.sql(f"alter table {database}.{table} set location '{folder}'")
         spark.catalog.refreshTable(f"{database}.{table}")
 
 
-def write_jdbc(df: DataFrame, table: str, url: str, properties: dict[str, str], batch_size: int = 1000) -> None:
-    """Truncate and refill one database table with the serving columns, in batches of inserts."""
-    options = {"truncate": "true", "batchsize": str(batch_size), **properties}
-    _as_served(df, table).write.format("jdbc").options(url=url, dbtable=table, **options).mode("overwrite").save()
+@dataclass(frozen=True)
+class JdbcTarget:
+    """A database whose tables receive the snapshot."""
+
+    url: str
+    properties: dict[str, str] = field(default_factory=dict)
+    schema: str = "silver"
+    batch_size: int = 1000
+    partitions: int = 8
+
+    def __post_init__(self):
+        if self.batch_size <= 0:
+            raise ValueError("batch_size must be greater than zero.")
+        if self.partitions <= 0:
+            raise ValueError("partitions must be greater than zero.")
+
+    def options(self, table: str) -> dict[str, str]:
+        """Writer options: truncate and refill in batches of inserts, over a bounded number of connections."""
+        return {
+            "url": self.url,
+            "dbtable": f"{self.schema}.{table}",
+            "truncate": "true",
+            "batchsize": str(self.batch_size),
+            "numPartitions": str(self.partitions),
+            **self.properties,
+        }
+
+
+def publish_jdbc(tables: dict[str, DataFrame], target: JdbcTarget) -> None:
+    """Refill the serving tables of a database, parents first. Each table is checked before the first is touched.
+
+    Spark writes a table in several transactions, so readers may see a part of it meanwhile.
+    """
+    absent = [t for t in TABLES if t not in tables]
+    if absent:
+        raise FileNotFoundError(f"Snapshot lacks table(s): {', '.join(absent)}")
+    served = {t: _as_served(tables[t], t) for t in TABLES}
+    for table, frame in served.items():
+        frame.write.format("jdbc").options(**target.options(table)).mode("overwrite").save()

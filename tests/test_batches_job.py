@@ -4,7 +4,9 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from cofre.plans import job as job_module
 from cofre.plans.job import Job
 from cofre.schemas import CONTRACTS, TABLES
 from cofre.sources import batches, extract, serving
@@ -25,7 +27,7 @@ def small_source(spark, folder):
         "emprestimos": [(1, 1, Decimal("100.00"), 12, date(2024, 1, 2)), (2, 1, Decimal("50.00"), 7, date(2024, 1, 2))],
         "transacoes": [(1, 1, 2, 1, Decimal("7.00"), datetime(2024, 5, 1, 22)),
                        (2, 1, 3, 1, Decimal("7.00"), datetime(2024, 5, 1, 22)),
-                       (3, 2, 1, 2, Decimal("1.00"), datetime(2024, 5, 2, 8))],
+                       (5_000_000_000, 2, 1, 2, Decimal("1.00"), datetime(2024, 5, 2, 8))],
     }
     for table, content in rows.items():
         schema = ", ".join(f"{n} {t.simpleString()}" for n, t in CONTRACTS[table].source)
@@ -125,7 +127,7 @@ def test_full_job(spark, job):
     assert job.rejects("agencias", batch).isEmpty()
     assert [r["numero_cartao_mascarado"] for r in job.trusted("cartoes", batch).collect()] == ["**** **** **** 9012"]
     moves = {r["transacao_id"]: r["data_hora"] for r in job.trusted("transacoes", batch).collect()}
-    assert moves == {1: datetime(2024, 5, 2, 1), 3: datetime(2024, 5, 2, 11)}
+    assert moves == {1: datetime(2024, 5, 2, 1), 5_000_000_000: datetime(2024, 5, 2, 11)}
 
     volume = job.layer("gold").read("daily_transaction_volume", batch).collect()
     assert [tuple(r) for r in volume] == [(date(2024, 5, 2), 2, Decimal("8.00"))]
@@ -200,3 +202,60 @@ def test_publish_is_all_or_nothing(spark, job, tmp_path):
     smaller = tables | {"cartoes": tables["cartoes"].limit(0)}
     serving.publish_snapshot(spark, smaller, "v3", "serving_test", str(tmp_path / "s"))
     assert spark.table("serving_test.cartoes").count() == 0
+
+
+def test_ids_above_32_bits_are_served(spark, job):
+    assert spark.table("serving_test.transacoes").where("transacao_id = 5000000000").count() == 1
+    assert dict(spark.table("serving_test.transacoes").dtypes)["transacao_id"] == "bigint"
+
+
+def test_same_batch_published_again_leaves_live_tables_until_the_switch(spark, job, tmp_path):
+    tables = job._trusted_batch()[1]
+    serving.publish_snapshot(spark, tables, "v1", "serving_again", str(tmp_path / "s"))
+    before = {t: spark.table(f"serving_again.{t}").count() for t in TABLES}
+    fewer = {t: df.limit(1) for t, df in tables.items()}
+    broken = fewer["transacoes"].withColumn("valor", F.expr("cast(raise_error('no') as decimal(15,2))"))
+    with pytest.raises(Exception, match="no"):
+        serving.publish_snapshot(spark, fewer | {"transacoes": broken}, "v1", "serving_again", str(tmp_path / "s"))
+    assert {t: spark.table(f"serving_again.{t}").count() for t in TABLES} == before
+    serving.publish_snapshot(spark, fewer, "v1", "serving_again", str(tmp_path / "s"))
+    assert all(spark.table(f"serving_again.{t}").count() == 1 for t in TABLES)
+
+
+def test_a_known_batch_reads_its_own_log_entries(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path), "bronze")
+    for i in range(12):
+        layer.write(spark.range(i), "agencias", Batch(f"b{i}", DAY))
+    entries = layer._read_log("_writes/batch=b3/table=agencias", batches._WRITES)
+    assert len(entries.inputFiles()) == 1
+    assert {f.split("/batch=")[1].split("/")[0] for f in layer.manifest(Batch("b3", DAY)).inputFiles()} == {"b3"}
+    assert layer.read("agencias", Batch("b3", DAY)).count() == 3
+    with pytest.raises(FileNotFoundError):
+        layer.read("agencias", Batch("b99", DAY))
+
+
+def test_command_line_connections(tmp_path, monkeypatch):
+    file = tmp_path / "connection"
+    file.write_text("# source\nuser = reader\npassword=a=b\n\ndriver=org.example.Driver\n")
+    common = ["--stage", "full", "--root", "lake", "--source", "jdbc:x:src", "--source-properties", str(file)]
+    given = job_module.parser().parse_args([*common, "--fetch-size", "50", "--jdbc-partitions", "3", "--publish", "jdbc:x:out", "--batch-size", "7"])
+    source, target = job_module.connections(given)
+    read = source.options("contas", 1, 9)
+    assert (read["user"], read["password"], read["driver"]) == ("reader", "a=b", "org.example.Driver")
+    assert (read["fetchsize"], read["numPartitions"], read["partitionColumn"]) == ("50", "3", "conta_id")
+    write = target.options("contas")
+    assert (write["url"], write["dbtable"], write["truncate"]) == ("jdbc:x:out", "silver.contas", "true")
+    assert (write["batchsize"], write["numPartitions"], write["user"]) == ("7", "3", "reader")
+    monkeypatch.setenv("COFRE_JDBC_PASSWORD", "other")
+    assert job_module.connections(given)[0].properties["password"] == "other"
+    assert job_module.connections(job_module.parser().parse_args(["--stage", "gold", "--root", "lake"])) == (None, None)
+    file.write_text("nonsense")
+    with pytest.raises(ValueError, match="nonsense"):
+        job_module.connections(given)
+    with pytest.raises(ValueError):
+        serving.JdbcTarget("jdbc:x", batch_size=0)
+
+
+def test_publish_jdbc_needs_all_tables(spark):
+    with pytest.raises(FileNotFoundError, match="agencias"):
+        serving.publish_jdbc({}, serving.JdbcTarget("jdbc:x"))

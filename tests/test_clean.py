@@ -166,3 +166,10 @@ def test_session_zone_does_not_matter(spark, session_zone):
         assert got == datetime(2024, 5, 1, 8)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_only_full_dates_are_dates(spark):
+    texts = ["2024-05-01", "2024-05-01 10:00:00", "2024-05-01T10:00:00", "2024", "2024-05", "2024-5-1", "99999-01-01", "2024-02-30", "", None, "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(clean.normalize_date(F.col("t"))).collect()]
+    assert [d and d.isoformat() for d in found] == ["2024-05-01"] * 3 + [None] * 8

@@ -155,3 +155,13 @@ def test_hot_join_key_is_split_at_run_time(spark, capsys):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_rows_that_are_equally_new_are_refused(spark):
+    rows = [(1, "a", 5), (1, "b", 5), (2, "c", 1), (2, "d", 2)]
+    tied = spark.createDataFrame(rows, "id int, text string, _row_seq bigint")
+    with pytest.raises(ValueError, match="_row_seq"):
+        dedupe.dedupe_latest(tied, "id")
+    latest, older = dedupe.dedupe_latest(tied.where("text <> 'a'"), "id")
+    assert sorted(r.text for r in latest.collect()) == ["b", "d"]
+    assert [r.text for r in older.collect()] == ["c"]

@@ -169,3 +169,16 @@ def test_counts(spark):
     assert tuple(contracts.uniqueness_counts(df, "v").first()) == (3, 1)
     assert contracts.violation_count(df, F.col("n") <= 0, "bad").first()["bad"] == 1
     assert sorted(map(tuple, contracts.row_counts({"x": df, "y": df.limit(0)}).collect())) == [("x", 3), ("y", 0)]
+
+
+def test_relationship_checks_scan_each_table_once_per_parent(spark):
+    """Scans grow with children and parents that are linked, not with their product."""
+    models = {f"parent{i}": spark.range(50).withColumnRenamed("id", "key") for i in range(4)}
+    models |= {f"child{i}": spark.range(60 + i).selectExpr(*[f"id as c{j}" for j in range(4)]) for i in range(3)}
+    links = {f"child{i}": tuple((f"c{j}", f"parent{j}", "key") for j in range(4)) for i in range(3)}
+    found = contracts.relationships(models, links)
+    assert {(r.model, r.column): r.violations for r in found.collect()} == {
+        (f"child{i}", f"c{j}"): 10 + i for i in range(3) for j in range(4)
+    }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 4 * (3 + 1)

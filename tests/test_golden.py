@@ -15,7 +15,7 @@ VALID = {
     "tipos_transacao": 5,
     "contas": 1160,
     "cartoes": 1352,
-    "emprestimos": 5121,
+    "emprestimos": 4886,
     "transacoes": 9269,
 }
 
@@ -37,7 +37,7 @@ REJECTED = {
     ("cartoes", "Null or duplicated primary key."): 9,
     ("cartoes", "Referenced conta_id does not exist."): 432,
     ("cartoes", "Required field is null or card number is invalid."): 64,
-    ("emprestimos", "Invalid contract date."): 212,
+    ("emprestimos", "Invalid contract date."): 447,
     ("emprestimos", "Invalid installment count."): 38017,
     ("emprestimos", "Loan amount must be greater than zero."): 474,
     ("emprestimos", "Null or duplicated primary key."): 14168,
@@ -54,14 +54,14 @@ REJECTED = {
 
 ROWS = {
     "daily_transaction_volume": 2399,
-    "daily_pix_transaction_volume": 1732,
+    "daily_pix_transaction_volume": 1733,
     "financial_volume_by_agency": 25,
     "transactions_per_customer": 1250,
     "average_balance_by_agency": 25,
-    "customers_with_loans": 1286,
+    "customers_with_loans": 1500,
     "dim_data": 2399,
-    "fato_transacao": 14990,
-    "fato_emprestimo": 3000,
+    "fato_transacao": 15000,
+    "fato_emprestimo": 15000,
     "duplicated_cpf": 40,
     "dst_invalid_timestamps": 4,
 }
@@ -89,12 +89,12 @@ def test_row_counts(spark, name):
 
 
 def test_totals(spark):
-    assert str(queries()["report_01_total_volume"](spark, FOLDER).first()[0]) == "3756128805.44"
-    assert str(queries()["report_05_loan_overview"](spark, FOLDER).first()["valor_total_contratado"]) == "740868590.01"
+    assert str(queries()["report_01_total_volume"](spark, FOLDER).first()[0]) == "3758439620.06"
+    assert str(queries()["report_05_loan_overview"](spark, FOLDER).first()["valor_total_contratado"]) == "3758439620.06"
 
 
 def test_batches(spark):
     b = queries()
     assert b["complete_batches"](spark, FOLDER).count() == 6
-    assert b["latest_complete_batch"](spark, FOLDER).first()["batch_id"] == "batch-019"
-    assert b["latest_silver_batch"](spark, FOLDER).first()["batch_id"] == "batch-018"
+    assert b["latest_complete_batch"](spark, FOLDER).first()["batch_id"] == "batch-018"
+    assert b["latest_silver_batch"](spark, FOLDER).first()["batch_id"] == "batch-010"

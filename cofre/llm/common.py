@@ -77,6 +77,22 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(df: DataFrame, rows: DataFrame, key: str, row_hash: Column, how: str = "left_anti") -> DataFrame:
+    """The rows of ``df`` that are not among ``rows`` (key, row_hash), or with ``left_semi`` those that are."""
+    key_name, hash_name = free_name(df, "_key"), free_name(df, "_hash")
+    sought = rows.select(F.col("key").alias(key_name), F.col("row_hash").alias(hash_name)).distinct()
+    same = df[key].eqNullSafe(F.col(key_name)) & (row_hash == F.col(hash_name))
+    return df.join(bounded(sought, sought.count()), same, how)
+
+
 def keep_rows(df: DataFrame, decisions: DataFrame, key: str, row_hash: Column) -> DataFrame:
     """The rows of ``df`` that stay, with all its columns as they were.
 
@@ -84,17 +100,14 @@ def keep_rows(df: DataFrame, decisions: DataFrame, key: str, row_hash: Column) -
     repeated rows of which one stays, one stays.
     """
     scratch = Scratch(df.sparkSession, "decisions")
-    pairs = decisions.groupBy(F.col("key").alias("_key"), F.col("row_hash").alias("_hash")).agg(
-        F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")
-    )
-    odd = scratch.write(pairs.where("not _kept or _n > 1"), "odd")
-    gone, repeated = odd.where("not _kept"), odd.where("_kept")
-    n_gone, n_repeated = odd.agg(F.count_if(~F.col("_kept")), F.count_if("_kept")).first()
-    same = df[key].eqNullSafe(F.col("_key")) & (row_hash == F.col("_hash"))
-    stays = df.join(bounded(gone, n_gone), same, "left_anti")
-    if not n_repeated:
+    pairs = decisions.groupBy("key", "row_hash").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = scratch.write(pairs.where("not kept or n > 1"), "odd")
+    stays = without(df, odd.where("not kept"), key, row_hash)
+    repeated = odd.where("kept")
+    if repeated.isEmpty():
         return stays
-    several = bounded(repeated, n_repeated)
-    once = stays.join(several, same, "left_anti")
-    one_of = stays.join(several, same).dropDuplicates(["_key", "_hash"]).select(*[stays[c] for c in df.columns])
-    return once.unionAll(one_of)
+    once = without(stays, repeated, key, row_hash)
+    several = without(stays, repeated, key, row_hash, "left_semi")
+    key_name, hash_name = free_name(df, "_key"), free_name(df, "_hash")
+    marked = several.withColumns({key_name: several[key], hash_name: row_hash})
+    return once.unionAll(marked.dropDuplicates([key_name, hash_name]).drop(key_name, hash_name))

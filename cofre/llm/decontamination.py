@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded
+from cofre.llm.common import Scratch, bounded, without
 
 WINDOW = 8
 MIN_PLAIN = 4
@@ -143,9 +143,6 @@ def contaminations(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs`` in which no item was found, as they were."""
-    found = Scratch(docs.sparkSession, "contaminated").write(
-        contaminations(docs, items, text, key, **settings).select(F.col("key").alias("_key"), F.col("row_hash").alias("_hash")).distinct(),
-        "rows",
-    )
-    same = docs[key].eqNullSafe(F.col("_key")) & (F.xxhash64(docs[text]) == F.col("_hash"))
-    return docs.join(bounded(found, found.count()), same, "left_anti")
+    found = contaminations(docs, items, text, key, **settings).select("key", "row_hash").distinct()
+    gone = Scratch(docs.sparkSession, "contaminated").write(found, "rows")
+    return without(docs, gone, key, F.xxhash64(docs[text]))

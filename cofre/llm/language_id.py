@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded
+from cofre.llm.common import Scratch, without
 
 ORDER = 4
 HASH_BITS = 22
@@ -282,9 +282,6 @@ def identify(
 
 def drop_rejected(df: DataFrame, learns: Column, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """The rows of ``df`` that are not rejected, with all columns as they were; repeated rows all stay."""
-    found = identify(df, learns, text, key, lang).where("rejected").select(
-        F.col("key").alias("_key"), F.col("row_hash").alias("_hash")
-    )
+    found = identify(df, learns, text, key, lang).where("rejected").select("key", "row_hash")
     gone = Scratch(df.sparkSession, "rejected").write(found.distinct(), "rows")
-    same = df[key].eqNullSafe(F.col("_key")) & (F.xxhash64(df[text]) == F.col("_hash"))
-    return df.join(bounded(gone, gone.count()), same, "left_anti")
+    return without(df, gone, key, F.xxhash64(df[text]))

@@ -11,7 +11,7 @@ spreads any source over all tasks.
 
 Defined results: a null source is a source of its own. Sources without a weight get none of the mix (weight 0); with
 no weights given, all sources get the same. A null or empty text counts as one unit, so no source has size 0. Rows
-repeated with the same key get the same count. Columns named like the added ones are refused.
+repeated with the same key get the same count. Columns of the input named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from math import exp
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import bounded
+from cofre.llm.common import bounded, free_name
 
 #: Digits of the hash that make the number between 0 and 1, and their range.
 DIGITS = 13
@@ -85,25 +85,24 @@ def mix_sources(
     seed: str = "mix-1",
 ) -> DataFrame:
     """All columns of ``df``, copy_no (0, 1, ...) and shuffle_key, in the order of the shuffle. Sizes count code points."""
-    clash = {"copy_no", "shuffle_key"} & set(df.columns)
-    if clash:
-        raise ValueError(f"Columns are in the way: {sorted(clash)}")
+    names = [c for c in df.columns if c not in ("copy_no", "shuffle_key")]
     size = F.greatest(F.length(F.coalesce(F.col(text), F.lit(""))), F.lit(1)).cast("long")
-    table = rates(df, weights, source, size, epochs)
-    table = bounded(table, table.count())
+    rated = rates(df, weights, source, size, epochs)
+    n_sources = rated.count()
+    drawing, count = free_name(df, "_drawing"), free_name(df, "_count")
+    rated = rated.select(F.struct("_source", "parts", "table").alias(drawing))
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-"))
     same = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")), name)
-    joined = df.join(table, df[source].eqNullSafe(table["_source"]))
+    joined = df.join(bounded(rated, n_sources), df[source].eqNullSafe(F.col(drawing)["_source"]))
 
     def draw(part: Column) -> Column:
         u = unit_hash(same, part.cast("string"))
-        return F.size(F.filter("table", lambda total: total < u))
+        return F.size(F.filter(F.col(drawing)["table"], lambda total: total < u))
 
-    count = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("parts")), draw), F.lit(0), lambda a, b: a + b)
-    counted = joined.withColumn("_count", count).where("_count > 0")
-    copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-    shuffled = copies.withColumn("shuffle_key", F.xxhash64(same, F.col("copy_no")))
-    return shuffled.select(*[df[c] for c in df.columns], "copy_no", "shuffle_key").orderBy("shuffle_key", key, "copy_no")
+    drawn = F.aggregate(F.transform(F.sequence(F.lit(1), F.col(drawing)["parts"]), draw), F.lit(0), lambda a, b: a + b)
+    counted = joined.select(*[df[c] for c in names], drawn.alias(count)).where(F.col(count) > 0)
+    copies = counted.select(*names, F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias("copy_no"))
+    return copies.withColumn("shuffle_key", F.xxhash64(same, F.col("copy_no"))).orderBy("shuffle_key", key, "copy_no")
 
 
 def poisson_count(mean: float, u: list[float]) -> int:

@@ -5,13 +5,17 @@
 2. Candidates are pairs within a bucket of like set size. Their signatures are compared in batches of 64 bits. After
    each batch the posterior of the similarity (uniform prior; a bit agrees with probability (1 + J) / 2) tells
    whether it may still reach the threshold; a pair for which this is less probable than ``miss`` is dropped.
+   Last comes a bound without error: a bitmap holds the parity of the set's hashes per place, and two sets differ in
+   at least as many shingles as their bitmaps in bits.
 3. Survivors are verified on full sets, read anew from the texts.
 
 No bucket emits all its pairs. First each member is compared with one pivot, the smallest member it shares a bucket
-with. Links so found are joined into components. What is left are pairs of *different* components in one bucket:
-members outside the bucket's largest component are compared with all others, so any pair of one bucket is either
-compared or already in one component, and no link between different components is lost. Two sets of similarity
-0.8 share no bucket with probability (1 - 0.8^5)^40 = 1.3e-7.
+with. Links so found are joined into components. In further rounds members outside their bucket's largest component
+are compared with one member of it, another one in each bucket, and components are joined again. What is left are
+pairs of *different* components in one bucket: members outside the largest are compared with all others, each pair in
+the first bucket it shares. So any pair of one bucket is either compared or already in one component, and no link
+between different components is lost; the rounds before only make that rest small. Two sets of similarity 0.8 share
+no bucket with probability (1 - 0.8^5)^40 = 1.3e-7.
 
 Defined results: null and empty texts have an empty set, are linked with nothing and stay. With fewer words than a
 shingle has, the whole sequence is one shingle. The component is named by its smallest key; of repeated rows and
@@ -32,8 +36,10 @@ from cofre.llm.common import Scratch, bounded, keep_rows
 from cofre.llm.components import components
 
 HASHES, BANDS, ROWS, BATCH = 256, 40, 5, 64
+PARITY_BITS = 1024
 THRESHOLD = 80  # percent
 MISS = 1e-9
+ROUNDS = 3
 SEGMENT = 1 << 20
 COLUMNS = 4096  # shingles hashed at once
 
@@ -128,10 +134,16 @@ def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bands.view(np.int64), bits
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For each place of the bitmap whether an odd number of shingles falls there, as signed 64-bit numbers."""
+    places = ((shingles >> np.uint64(12)) & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketch(words: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, marks, bands, bits = [], [], [], []
+            sizes, marks, bands, bits, parities = [], [], [], [], []
             for text in batch.pop("text"):
                 shingles = shingle_set(text, words)
                 band, bit = signature(shingles) if len(shingles) else (None, None)
@@ -139,7 +151,8 @@ def _sketch(words: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
                 marks.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                 bands.append(band)
                 bits.append(bit)
-            yield batch.assign(n=sizes, mark=marks, bands=bands, bits=bits)
+                parities.append(parity(shingles) if len(shingles) else None)
+            yield batch.assign(n=sizes, mark=marks, bands=bands, bits=bits, parity=parities)
 
     return run
 
@@ -173,14 +186,24 @@ def cutoffs(threshold: int = THRESHOLD, miss: float = MISS) -> list[int]:
     return found
 
 
-def may_be_similar(a: Column, b: Column, n_a: Column, n_b: Column, threshold: int, miss: float) -> Column:
-    """Sizes and signature batches leave the threshold possible; each test runs only if those before it passed."""
-    passed = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * threshold
+def may_be_similar(a: Callable[[str], Column], b: Callable[[str], Column], threshold: int, miss: float) -> Column:
+    """Sizes, signature batches and parities leave the threshold possible; each test runs only if those before it passed.
+
+    ``a`` and ``b`` give the columns n, bits and parity of the two sets.
+    """
+    passed = F.least(a("n"), b("n")) * 100 >= F.greatest(a("n"), b("n")) * threshold
+
+    def differing(name: str, i: int) -> Column:
+        return F.bit_count(F.get(a(name), F.lit(i)).bitwiseXOR(F.get(b(name), F.lit(i))))
+
     differ = F.lit(0)
     for i, most in enumerate(cutoffs(threshold, miss)):
-        differ = differ + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+        differ = differ + differing("bits", i)
         passed = passed & (differ <= most)
-    return passed
+    apart = F.lit(0)
+    for i in range(PARITY_BITS // 64):
+        apart = apart + differing("parity", i)
+    return passed & (apart * (100 + threshold) <= (a("n") + b("n")) * (100 - threshold))
 
 
 class _Search:
@@ -189,7 +212,7 @@ class _Search:
         self.words, self.threshold, self.miss = words, threshold, miss
         self.texts = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("row_hash"))
         rows = self.texts.select(F.monotonically_increasing_id().alias("rid"), "key", "row_hash", "text")
-        schema = f"rid long, key {df.schema[key].dataType.simpleString()}, row_hash long, n long, mark binary, bands array<long>, bits array<long>"
+        schema = f"rid long, key {df.schema[key].dataType.simpleString()}, row_hash long, n long, mark binary, bands array<long>, bits array<long>, parity array<long>"
         self.rows = self.scratch.write(rows.mapInPandas(_sketch(words), schema), "rows")
         first = self.rows.where("n > 0").groupBy("mark").agg(F.min("rid").alias("rid"))
         self.sets = self.scratch.write(self.rows.join(first.select("rid"), "rid", "left_semi").drop("mark"), "sets")
@@ -202,9 +225,9 @@ class _Search:
 
     def signed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that their signatures leave possible."""
-        sides = [self.sets.select(F.col("rid").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab"]
-        both = pairs.join(sides[0], "a").join(sides[1], "b")
-        possible = may_be_similar(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), self.threshold, self.miss)
+        of_a, of_b = (self.sets.select(F.col("rid").alias(s), F.struct("n", "bits", "parity").alias(f"of_{s}")) for s in "ab")
+        both = pairs.join(of_a, "a").join(of_b, "b")
+        possible = may_be_similar(lambda c: F.col(f"of_a.{c}"), lambda c: F.col(f"of_b.{c}"), self.threshold, self.miss)
         return both.where(possible).select("a", "b")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -224,37 +247,58 @@ class _Search:
         self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets")
         return links
 
-    def across(self, members: DataFrame, found: DataFrame) -> DataFrame:
-        """Possible pairs within a bucket whose sides are in different components."""
+    def mixed(self, members: DataFrame, found: DataFrame, name: str) -> DataFrame:
+        """band, rid, component, main: the buckets with members of several components; main is the largest."""
         known = members.join(found.withColumnRenamed("node", "rid"), "rid", "left").select(
             "band", "rid", F.coalesce("component", "rid").alias("component")
         )
-        known = self.scratch.write(known, "known")
+        known = self.scratch.write(known, f"{name}-known")
         sizes = known.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
-        mixed = sizes.groupBy("band").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        mixed = mixed.where("parts > 1").select("band", "main")
-        signs = self.sets.select("rid", "n", "bits")
-        rest = self.scratch.write(known.join(mixed, "band").join(signs, "rid"), "mixed")
+        several = sizes.groupBy("band").agg(
+            F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
+        )
+        rest = self.scratch.write(known.join(several.where("parts > 1").select("band", "main"), "band"), f"{name}-mixed")
+        self.scratch.drop(f"{name}-known")
+        return rest
+
+    def to_main(self, rest: DataFrame) -> DataFrame:
+        """Pairs of a member outside its bucket's main component and one of it, chosen by a hash."""
+        chosen = rest.where("component = main").groupBy("band").agg(F.min_by("rid", F.xxhash64("band", "rid")).alias("a"))
+        outside = rest.where("component <> main").select("band", F.col("rid").alias("b"))
+        return outside.join(chosen, "band").select("a", "b").distinct()
+
+    def across(self, rest: DataFrame) -> DataFrame:
+        """Possible pairs within a bucket whose sides are in different components, each in the first bucket they share."""
+        rest = self.scratch.write(rest.join(self.sets.select("rid", "n", "bits", "parity", "bands"), "rid"), "signed")
         a, b = (rest.select(*[F.col(c).alias(f"{c}_{s}") for c in rest.columns if c != "band"], "band") for s in "ab")
         once = (F.col("component_b") == F.col("main_b")) | (F.col("rid_a") < F.col("rid_b"))
-        possible = may_be_similar(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), self.threshold, self.miss)
+        possible = may_be_similar(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"), self.threshold, self.miss)
+        first = F.array_min(F.array_intersect("bands_a", "bands_b")) == a["band"]
         met = a.where("component_a <> main_a").join(
-            b, (a["band"] == b["band"]) & (F.col("component_a") != F.col("component_b")) & once & possible
+            b, (a["band"] == b["band"]) & (F.col("component_a") != F.col("component_b")) & once & possible & first
         )
-        return met.select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct()
+        return met.select(F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b"))
 
     def components(self) -> DataFrame:
         """node, component over representatives; a representative without a link is missing."""
         members = self.members()
         nearest = members.where("rid <> pivot").groupBy("rid").agg(F.min("pivot").alias("a")).select("a", F.col("rid").alias("b"))
         links = self.verified(self.signed(nearest), "pivot")
-        found = components(links, self.scratch, "first")
-        more = self.verified(self.across(members, found), "across")
-        self.scratch.drop("members", "known", "mixed")
-        if more.isEmpty():
-            return found
-        joined = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-        return components(joined, self.scratch, "all")
+        found = components(links, self.scratch, "pivots")
+        step, going = 0, True
+        while True:
+            step, last = step + 1, not going or step == ROUNDS
+            name = f"round{step}"
+            rest = self.mixed(members, found, name)
+            more = self.verified(self.across(rest) if last else self.signed(self.to_main(rest)), name)
+            self.scratch.drop(f"{name}-mixed")
+            going = not more.isEmpty()
+            if going:
+                joined = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+                found = components(joined, self.scratch, name)
+            if last:
+                self.scratch.drop("members", "signed")
+                return found
 
 
 def near_duplicates(

@@ -155,9 +155,9 @@ class Model:
     """For each language and order: sorted hashes with values, of grams and of contexts."""
 
     def __init__(self, rows: pd.DataFrame):
-        self.languages = sorted(rows["lang"].unique())
+        self.languages = sorted(map(str, rows["lang"].unique()))
         self.tables: dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]] = {}
-        for place, part in rows.groupby(["lang", "size", "kind"]):
+        for place, part in rows.groupby(["lang", "size", "kind"], observed=True):
             hashes, values = _hash(part["gram"].to_numpy()), part["value"].to_numpy(np.float64)
             order = np.lexsort((-values, hashes))
             hashes, values = hashes[order], values[order]
@@ -235,7 +235,7 @@ def learn(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Estimate on all rows of ``train``. The model comes to the driver; its size is bounded by the hash space."""
     scratch = Scratch(train.sparkSession, "language")
     rows = estimate(count_grams(train, text, lang), scratch)
-    return Model(rows.toPandas())
+    return Model(rows.toArrow().to_pandas(strings_to_categorical=True))
 
 
 def identify(

@@ -46,10 +46,10 @@ UNITS = (
 #: Private characters that mark a slot; its value follows.
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 _MARKS = f"[{NAME}-{UNIT}]"
-_NAME = r"\p{Lu}(?<=[^.!?:\x20\x09-\x0D][\x20\x09-\x0D]\p{Lu})\p{Ll}[\p{L}'-]*"
+_NAME = r"\p{Lu}(?<=[^.!?:]\x20\p{Lu})\p{Ll}[\p{L}'-]*"
 _NUMBER = rf"[0-9](?<![\p{{L}}\p{{N}}{NAME}-{UNIT}][0-9])[0-9]*(?:[.,:/][0-9]+)*"
 _UNIT = rf"({_NUMBER})[\x20]?({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
-_DROPPED = rf"[^\p{{L}}\p{{N}}\x20\x09-\x0D{NAME}-{UNIT}]+"
+_DROPPED = rf"[^\p{{L}}\p{{N}}\x20{NAME}-{UNIT}]+"
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -57,10 +57,10 @@ def slotted(text: Column) -> Column:
     """The words of a text in one line; a word in a slot has the slot's mark before it."""
     clean = F.coalesce(text, F.lit(""))
     clean = F.when(F.regexp_like(clean, F.lit(_MARKS)), F.regexp_replace(clean, _MARKS, "")).otherwise(clean)
-    named = F.regexp_replace(clean, _NAME, f"{NAME}$0")
+    named = F.regexp_replace(F.regexp_replace(clean, _SPACE, " "), _NAME, f"{NAME}$0")
     measured = F.regexp_replace(named, f"(?i){_UNIT}", f"{NUMBER}$1 {UNIT}$2")
     numbered = F.regexp_replace(measured, _NUMBER, f"{NUMBER}$0")
-    return F.btrim(F.regexp_replace(F.regexp_replace(F.lower(numbered), _DROPPED, ""), _SPACE, " "))
+    return F.btrim(F.regexp_replace(F.regexp_replace(F.lower(numbered), _DROPPED, ""), "  +", " "))
 
 
 def template(line: Column) -> Column:

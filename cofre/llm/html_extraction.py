@@ -53,6 +53,7 @@ DROPPED_NAMES = frozenset(
     "comments reply replies respond disqus login search widget toolbar pagination pager skip tracking paywall".split()
 )
 ARTICLE_NAMES = frozenset("article articlebody post entry story content maincontent".split())
+NAMELESS = ("div", "section", "td", "center")
 LINE_TAGS = ("p", "li", "dt", "dd", "tr", "td", "th")
 
 _TOKEN = re.compile(
@@ -74,6 +75,14 @@ class Element:
     dropped: bool
     items: list = field(default_factory=list)
 
+    @property
+    def key(self) -> str:
+        """What elements are matched by: the sign, and for one without names also the signs inside."""
+        if self.sign not in NAMELESS:
+            return self.sign
+        inner = sorted({x.sign for x in self.items if isinstance(x, Element)})
+        return f"{self.sign}({' '.join(inner)})"
+
 
 def _open(tag: str, attributes: str, inside_article: bool) -> Element:
     names: list[str] = []
@@ -165,7 +174,7 @@ def wrap(element: Element) -> dict:
     plain = [t for t, link in (x for x in element.items if isinstance(x, tuple)) if not link and not t.isspace()]
     words = "".join(t for t, _ in (x for x in element.items if isinstance(x, tuple)))
     node = {
-        "sign": element.sign, "tag": element.tag, "drop": element.dropped, "rep": False, "opt": False, "n": 1,
+        "key": element.key, "sign": element.sign, "tag": element.tag, "drop": element.dropped, "rep": False, "opt": False, "n": 1,
         "chars": sum(map(len, plain)), "text": _mark(words) if words.strip() else "",
         "items": fold([wrap(x) for x in element.items if isinstance(x, Element)]),
     }
@@ -179,15 +188,15 @@ def fold(items: list[dict]) -> list[dict]:
         signs: list[str] = []
         at = 0
         while at < len(items):
-            group = [x["sign"] for x in items[at : at + size]]
-            if size > 1 and len(group) == size and group == [x["sign"] for x in items[at + size : at + 2 * size]]:
+            group = [x["key"] for x in items[at : at + size]]
+            if size > 1 and len(group) == size and group == [x["key"] for x in items[at + size : at + 2 * size]]:
                 node = _group(items[at : at + size])
                 at += size
-                while [x["sign"] for x in items[at : at + size]] == group:
+                while [x["key"] for x in items[at : at + size]] == group:
                     node = merge(node, _group(items[at : at + size]), within=True)
                     at += size
                 found.append(node | {"rep": True})
-                signs.append(node["sign"])
+                signs.append(node["key"])
                 continue
             if size == 1 and signs and signs[-1] == group[0]:
                 found[-1] = merge(found[-1], items[at], within=True) | {"rep": True}
@@ -200,31 +209,31 @@ def fold(items: list[dict]) -> list[dict]:
 
 
 def _group(items: list[dict]) -> dict:
-    sign = "(" + " ".join(x["sign"] for x in items) + ")"
-    return {"sign": sign, "tag": "", "drop": False, "rep": False, "opt": False, "n": 1, "chars": 0, "text": "", "items": items}
+    key = "(" + " ".join(x["key"] for x in items) + ")"
+    return {"key": key, "sign": key, "tag": "", "drop": False, "rep": False, "opt": False, "n": 1, "chars": 0, "text": "", "items": items}
 
 
 def merge(a: dict, b: dict, within: bool = False) -> dict:
     """One wrapper for both; ``within`` one page, neighbours are joined and count as one page."""
     return {
-        "sign": a["sign"], "tag": a["tag"], "drop": a["drop"], "rep": a["rep"] or b["rep"], "opt": a["opt"] or b["opt"],
+        "key": a["key"], "sign": a["sign"], "tag": a["tag"], "drop": a["drop"], "rep": a["rep"] or b["rep"], "opt": a["opt"] or b["opt"],
         "n": max(a["n"], b["n"]) if within else a["n"] + b["n"], "chars": a["chars"] + b["chars"],
         "text": a["text"] if a["text"] == b["text"] else None, "items": align(a["items"], b["items"], within),
     }
 
 
 def align(a: list[dict], b: list[dict], within: bool) -> list[dict]:
-    """Match along the longest common subsequence of signs; the rest is optional."""
-    if [x["sign"] for x in a] == [x["sign"] for x in b]:
+    """Match along the longest common subsequence of keys; the rest is optional."""
+    if [x["key"] for x in a] == [x["key"] for x in b]:
         return [merge(x, y, within) for x, y in zip(a, b, strict=True)]
     longest = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
-            same = a[i]["sign"] == b[j]["sign"]
+            same = a[i]["key"] == b[j]["key"]
             longest[i][j] = longest[i + 1][j + 1] + 1 if same else max(longest[i + 1][j], longest[i][j + 1])
     found, i, j = [], 0, 0
     while i < len(a) and j < len(b):
-        if a[i]["sign"] == b[j]["sign"]:
+        if a[i]["key"] == b[j]["key"]:
             found.append(merge(a[i], b[j], within))
             i, j = i + 1, j + 1
         elif longest[i + 1][j] >= longest[i][j + 1]:
@@ -256,7 +265,7 @@ def _kept(node: dict) -> Iterator[dict]:
 
 
 def region(wrapper: dict) -> str:
-    """The sign of the element that holds the article."""
+    """The key of the element that holds the article."""
     total = _mass(wrapper)
     nodes = [x for x in _kept(wrapper) if x["tag"]]
     named = (
@@ -268,23 +277,23 @@ def region(wrapper: dict) -> str:
         found = [x for x in nodes if wanted(x) and x["tag"] not in LINE_TAGS]
         best = max(found, key=_mass, default=None)
         if best and _mass(best) >= 0.3 * total and _mass(best) > 0:
-            return best["sign"]
+            return best["key"]
     node = wrapper
     while True:
         inner = [x for x in node["items"] if not x["drop"] and x["tag"] not in (*LINE_TAGS, "")]
         best = max(inner, key=_mass, default=None)
         if best is None or best["rep"] or _mass(best) < 0.7 * total:
-            return node["sign"]
+            return node["key"]
         node = best
 
 
-def _find(element: Element, sign: str) -> Iterator[Element]:
+def _find(element: Element, key: str) -> Iterator[Element]:
     for item in element.items:
         if isinstance(item, Element) and not item.dropped:
-            if item.sign == sign:
+            if item.key == key:
                 yield item
             else:
-                yield from _find(item, sign)
+                yield from _find(item, key)
 
 
 def _blocks(element: Element, pieces: list[str]) -> None:
@@ -298,13 +307,13 @@ def _blocks(element: Element, pieces: list[str]) -> None:
             pieces.append(None)
 
 
-def main_text(html: str | None, sign: str | None) -> str:
-    """The text of a page from the elements with the host's sign, else with that of its own wrapper."""
+def main_text(html: str | None, key: str | None) -> str:
+    """The text of a page from the elements with the host's key, else with that of its own wrapper."""
     page = parse(html)
-    found = [page] if sign == page.sign else list(_find(page, sign)) if sign else []
+    found = [page] if key == page.key else list(_find(page, key)) if key else []
     if not found:
         own = region(wrap(page))
-        found = [page] if own == page.sign else list(_find(page, own))
+        found = [page] if own == page.key else list(_find(page, own))
     blocks: list[str] = []
     for element in found:
         pieces: list[str | None] = []
@@ -370,12 +379,12 @@ def infer_wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataF
 
 def _regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"host": batch["host"], "sign": [region(json.loads(x)) for x in batch["wrapper"]]})
+        yield pd.DataFrame({"host": batch["host"], "place": [region(json.loads(x)) for x in batch["wrapper"]]})
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        texts = [main_text(html, sign) for html, sign in zip(batch.pop("html"), batch.pop("sign"), strict=True)]
+        texts = [main_text(html, place) for html, place in zip(batch.pop("html"), batch.pop("place"), strict=True)]
         yield batch.assign(text=texts)
 
 
@@ -383,7 +392,7 @@ def extract_text(df: DataFrame, key: str = "page_id", url: str = "url", html: st
     """One row per row of ``df``: key, url, text."""
     scratch = Scratch(df.sparkSession, "html")
     wrappers = scratch.write(infer_wrappers(df, url, html), "wrappers")
-    places = scratch.write(wrappers.mapInPandas(_regions, "host string, sign string"), "regions")
+    places = scratch.write(wrappers.mapInPandas(_regions, "host string, place string"), "regions")
     places = bounded(places.withColumnRenamed("host", "its_host"), places.count())
     pages = df.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
     joined = pages.join(places, host_of(F.col("url")) == F.col("its_host"), "left").drop("its_host")

@@ -266,7 +266,7 @@ def identify(
     )
 
     def excess(frame: DataFrame) -> DataFrame:
-        unit = F.greatest(F.col("deviation"), F.lit(1e-9)) / F.sqrt("n_scored")
+        unit = F.greatest(F.col("deviation"), F.lit(1e-9)) / F.sqrt(F.greatest("n_scored", F.lit(1)))
         return frame.withColumn("excess", (F.col("entropy") - F.col("mean")) / unit)
 
     limits = excess(taught.join(F.broadcast(spread), "best")).groupBy("best", "mean", "deviation").agg(

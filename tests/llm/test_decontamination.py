@@ -18,7 +18,7 @@ def found(spark, documents, rows, items, **settings):
 def test_templates_and_slots(spark, documents):
     rows = [
         (1, ITEM), (2, f"Some words first. {OTHER}. And more after it."), (3, ITEM.upper()), (4, "A train leaves"), (5, None), (6, ""),
-        (7, TWO), (8, TWICE), (None, ITEM), (9, ITEM), (9, ITEM), (10, "said... " + ITEM.replace(" ", " ,\n\t")),
+        (7, TWO), (8, TWICE), (None, ITEM), (9, ITEM), (9, ITEM), (10, "said... " + ITEM.replace(" ", " \n\t")),
         (11, "word " * 30_000 + OTHER), (12, "Unrelated text about gardens, written by nobody at all in the year of rain"),
     ]
     items = [(1, ITEM), (2, TWICE), (3, None), (4, ""), (5, "Two words"), (6, "one short question about rivers")]

@@ -259,6 +259,7 @@ def identify(
         f"key {kind}, row_hash long, learns boolean, taught string, best string, score double, entropy double, n_scored long",
     )
     scored = Scratch(spark, "languages").write(scored, "scored")
+    shared.destroy()
     taught = scored.where("taught = best and n_scored > 0")
     means = taught.groupBy("best").agg(F.avg("entropy").alias("mean"))
     spread = taught.join(F.broadcast(means), "best").groupBy("best", "mean").agg(

@@ -39,7 +39,7 @@ HASHES, BANDS, ROWS, BATCH = 256, 40, 5, 64
 PARITY_BITS = 1024
 THRESHOLD = 80  # percent
 MISS = 1e-9
-ROUNDS = 3
+ROUNDS = 1
 SEGMENT = 1 << 20
 COLUMNS = 4096  # shingles hashed at once
 

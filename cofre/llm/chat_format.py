@@ -111,7 +111,8 @@ def _ancestors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     spans[-1][1] = end
                 else:
                     spans.append([step["start"], end])
-        yield pd.DataFrame(found, columns=["node", "tree", "ancestors"])
+        if found:
+            yield pd.DataFrame(found, columns=["node", "tree", "ancestors"])
 
 
 def build_tree(

@@ -345,7 +345,8 @@ def _fold_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for host, salt, html in zip(batch["host"], batch["salt"], batch["html"], strict=True):
             page = wrap(parse(html))
             held[host] = merge(held[host], page) if host in held else page
-        yield _dump(held, salt)
+        if held:
+            yield _dump(held, salt)
 
 
 def _fold_wrappers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -361,7 +362,8 @@ def _fold_wrappers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if held is not None:
                     done[host] = held
                 host, held = following, wrapper
-        yield _dump(done, salt)
+        if done:  # an empty frame has no text columns
+            yield _dump(done, salt)
     if held is not None:
         yield _dump({host: held}, salt)
 

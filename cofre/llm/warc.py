@@ -155,7 +155,8 @@ def _whole_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             size += len(row.block)
             if row.total == row.total:  # a number, so the last segment
                 found.append((row.record, size, digest.hexdigest(), size == row.total))
-        yield pd.DataFrame(found, columns=["record", "n_bytes", "digest", "complete"])
+        if found:
+            yield pd.DataFrame(found, columns=["record", "n_bytes", "digest", "complete"])
 
 
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 1. Voters. A lexicon voter fires on a word, a pattern voter on words that begin alike, and a few fire on style (shouting,
    exclamation, masked letters). Which words and beginnings become voters is learned: for each, all labelled training
-   texts are counted (equal texts once), and the most frequent ones that are found mostly in toxic texts are
+   texts are counted (copies under other keys once), and the most frequent ones that are found mostly in toxic texts are
    taken, beside a fixed list.
 2. Label model. Each voter fires with one probability on toxic and another on clean texts. Expectation-maximisation
    estimates both, the share of toxic texts, and how voters go together within a class; voters that repeat each other
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch
+from cofre.llm.common import Scratch, bounded
 
 VOTERS = 256
 LEAST_TEXTS = 3
@@ -86,13 +86,14 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for text, toxic in zip(part["text"], part["toxic"], strict=True):
                 counts[int(toxic)].update(features(text))
             for toxic, found in counts.items():
+                if not found:  # an empty frame has no text column
+                    continue
                 yield pd.DataFrame({"feature": list(found), "n_toxic": [n * toxic for n in found.values()], "n_clean": [n * (1 - toxic) for n in found.values()]})
 
 
 def choose_voters(labelled: DataFrame, most: int = VOTERS, least_texts: int = LEAST_TEXTS, precision: float = PRECISION) -> list[str]:
     """The learned words and beginnings. ``labelled``: text, toxic."""
-    texts = labelled.withColumn("row_hash", F.xxhash64("text")).dropDuplicates(["row_hash", "toxic"])
-    counted = texts.select("text", "toxic").mapInPandas(_count, "feature string, n_toxic long, n_clean long")
+    counted = labelled.select("text", "toxic").mapInPandas(_count, "feature string, n_toxic long, n_clean long")
     totals = counted.groupBy("feature").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
     share = F.col("n_toxic") / (F.col("n_toxic") + F.col("n_clean"))
     good = totals.where((F.col("n_toxic") >= least_texts) & (share >= precision) & ~F.col("feature").startswith("style:"))
@@ -186,7 +187,12 @@ def score_texts(
     given = labels.select(F.col(key).alias("l_key"), F.col(label).cast("int").alias("toxic")).where("toxic in (0, 1)")
     given = given.groupBy("l_key").agg(F.max("toxic").alias("toxic"))
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), teaches.alias("learns"), F.xxhash64(text).alias("row_hash"))
-    labelled = rows.where("learns").join(given, F.col("key") == F.col("l_key")).select("row_hash", "text", "toxic")
+    # Which rows to learn from is settled on keys and hashes; of equal texts with one label the smallest key is taken.
+    keyed = rows.where("learns").select("key", "row_hash").join(given, F.col("key") == F.col("l_key"))
+    chosen = keyed.groupBy(F.col("row_hash").alias("c_hash"), "toxic").agg(F.min("key").alias("c_key"))
+    chosen = scratch.write(chosen, "chosen")
+    same = (F.col("key") == F.col("c_key")) & (F.col("row_hash") == F.col("c_hash"))
+    labelled = rows.where("learns").join(bounded(chosen, chosen.count()), same).select("row_hash", "text", "toxic")
     labelled = scratch.write(labelled, "labelled")
     names = list(dict.fromkeys([*choose_voters(labelled, most), *LEXICON, *STYLES]))
     index = {name: i for i, name in enumerate(names)}

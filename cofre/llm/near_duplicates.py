@@ -1,11 +1,12 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. A text becomes the set of its word shingles, as 64-bit hashes; equal sets share one representative. Of the set,
-   256 minimum hashes are taken. Forty bands of five of them are the buckets; the lowest bit of each is the signature.
+   256 minimum hashes are taken. Forty bands of five of them are the buckets; a bit of each, mixed anew per function, is
+   the signature.
 2. Candidates are pairs within a bucket of like set size. Their signatures are compared in batches of 64 bits. After
    each batch the posterior of the similarity (uniform prior; a bit agrees with probability (1 + J) / 2) tells
-   whether it may still reach the threshold; a pair for which this is less probable than ``miss`` is dropped.
-   Last comes a bound without error: a bitmap holds the parity of the set's hashes per place, and two sets differ in
+   whether it may still reach the threshold; a pair for which this is less probable than ``miss`` is dropped. Pairs of
+   sets with at most ``SMALL`` shingles skip this. Last comes a bound without error, for all: a bitmap holds the parity of the set's hashes per place, and two sets differ in
    at least as many shingles as their bitmaps in bits.
 3. Survivors are verified on full sets, read anew from the texts.
 
@@ -37,6 +38,7 @@ from cofre.llm.components import components
 
 HASHES, BANDS, ROWS, BATCH = 256, 40, 5, 64
 PARITY_BITS = 1024
+SMALL = 64  # shingles; up to here the parity bound alone is about exact
 THRESHOLD = 80  # percent
 MISS = 1e-9
 ROUNDS = 1
@@ -118,6 +120,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 _random = np.random.default_rng(20240229)
 _FACTORS = (_random.integers(0, 1 << 31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _SHIFTS = _random.integers(0, 1 << 32, HASHES, np.uint32)[:, None]
+_FUNCTIONS = np.arange(HASHES, dtype=np.uint64) << np.uint64(32)
 
 
 def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +133,8 @@ def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bands = np.arange(BANDS, dtype=np.uint64)
     for column in rows.T:
         bands = _mix(bands * np.uint64(31) + column + np.uint64(1))
-    bits = np.packbits((least & np.uint32(1)).astype(np.uint8)).view(np.int64)
+    # The low bit of a minimum depends on the winning shingle alone, whatever the function; a mixed one on both.
+    bits = np.packbits((_mix(least.astype(np.uint64) | _FUNCTIONS) >> np.uint64(63)).astype(np.uint8)).view(np.int64)
     return bands.view(np.int64), bits
 
 
@@ -196,10 +200,11 @@ def may_be_similar(a: Callable[[str], Column], b: Callable[[str], Column], thres
     def differing(name: str, i: int) -> Column:
         return F.bit_count(F.get(a(name), F.lit(i)).bitwiseXOR(F.get(b(name), F.lit(i))))
 
-    differ = F.lit(0)
+    differ, signed = F.lit(0), F.lit(True)
     for i, most in enumerate(cutoffs(threshold, miss)):
         differ = differ + differing("bits", i)
-        passed = passed & (differ <= most)
+        signed = signed & (differ <= most)
+    passed = passed & ((F.greatest(a("n"), b("n")) <= SMALL) | signed)
     apart = F.lit(0)
     for i in range(PARITY_BITS // 64):
         apart = apart + differing("parity", i)

@@ -12,6 +12,8 @@ from cofre.llm.components import components
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
+CUTOFFS = np.array(near_duplicates.cutoffs())
+
 
 def shingles(text, size):
     words = WORDS.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
@@ -120,6 +122,25 @@ def test_signature_estimates_similarity():
     assert abs(same / 256 - (1 + 700 / 1300) / 2) < 0.12
 
 
+@pytest.mark.parametrize(("one", "two"), [(4, 5), (8, 10), (80, 100)])
+def test_signatures_keep_small_similar_pairs(one, two):
+    pick = np.random.default_rng(5)
+    lost = 0
+    for _ in range(8_000):
+        b = pick.integers(0, 1 << 63, two).astype(np.uint64)
+        apart = near_duplicates.signature(b[:one])[1] ^ near_duplicates.signature(b)[1]
+        differ = np.cumsum([bin(int(x) & (1 << 64) - 1).count("1") for x in apart])
+        lost += any(differ > CUTOFFS)
+    assert lost == 0
+
+
+def test_short_texts_with_four_of_five_shingles(documents):
+    texts = [[f"w{i}x{j}" for j in range(6)] for i in range(1500)]
+    rows = [(2 * i + k, " ".join(words[: 5 + k])) for i, words in enumerate(texts) for k in (0, 1)]
+    found = near_duplicates.near_duplicates(documents(rows), words=2).collect()
+    assert {r.key: r.component_id for r in found} == {key: key - key % 2 for key, _ in rows}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(500, 501)], "a long, b long")
     found = {r.node: r.component for r in components(links, Scratch(spark, "test"), "chain").collect()}

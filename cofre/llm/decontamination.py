@@ -4,7 +4,8 @@ Numbers, units after a number, and names (capitalised words inside a sentence) b
 are levelled to lower case without punctuation. A question with other values, people or measures thus has the same
 template. Windows of ``window`` template words of each item are joined, by hash, with those of every document.
 Matches on one diagonal (the same distance between place in document and place in item) belong together; along it
-each slot value of the item must stand for one value in the document and the reverse, else the match is chance. A
+each slot value of the item must stand for one value in the document, and each name in the document for one of the
+item. Windows with a pair of values against this are left out, unless all values in them are the item's own. A
 document is contaminated by an item when consistent matches cover the share ``coverage`` of the item's windows, or
 ``enough`` windows in a row of places.
 
@@ -125,13 +126,30 @@ def contaminations(
         .join(bounded(of_item, n_known), at_item)
         .select("key", "row_hash", "item", "place", (F.col("at") - F.col("place")).alias("diagonal"), pairs.alias("pairs"))
     )
+    both = both.withColumn("verbatim", F.forall("pairs", lambda p: p["one"] == p["other"]))
     diagonals = both.groupBy("key", "row_hash", "item", "diagonal").agg(
-        F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+        F.collect_set(F.struct("place", "verbatim", "pairs")).alias("hits"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
+    all_pairs = F.col("pairs")
+
+    def conflict(p: Column) -> Column:
+        """Another pair of the diagonal gives the value another one, or the name another owner."""
+
+        def against(q: Column) -> Column:
+            owner = p["other"].startswith(NAME) & (p["other"] == q["other"]) & (p["one"] != q["one"])
+            return ((p["one"] == q["one"]) & (p["other"] != q["other"])) | owner
+
+        return F.exists(all_pairs, against)
+
     one, other = F.size(F.array_distinct("pairs.one")), F.size(F.array_distinct("pairs.other"))
-    consistent = diagonals.where((F.size("pairs") == one) & (F.size("pairs") == other))
+    consistent = (F.size("pairs") == one) & (F.size("pairs") == other)
+    bad = F.when(~consistent, F.filter("pairs", conflict)).otherwise(F.slice("pairs", 1, 0))
+    diagonals = diagonals.withColumn("bad", bad)
+    bad_pairs = F.col("bad")
+    good = F.filter("hits", lambda hit: hit["verbatim"] | ~F.arrays_overlap(hit["pairs"], bad_pairs))
+    diagonals = diagonals.select("key", "row_hash", "item", F.array_distinct(F.transform(good, lambda hit: hit["place"])).alias("places"))
     n_windows = known.groupBy(F.col("item").alias("n_item")).agg(F.count(F.lit(1)).alias("windows"))
-    covered = consistent.groupBy("key", "row_hash", "item").agg(
+    covered = diagonals.where(F.size("places") > 0).groupBy("key", "row_hash", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.max(F.size("places")).alias("longest")
     )
     return (

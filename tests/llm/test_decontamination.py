@@ -38,6 +38,26 @@ def test_part_of_an_item(spark, documents):
     assert found(spark, documents, rows, [(1, " ".join(words))]) == {(1, 1), (3, 1)}
 
 
+def long_item(one, two):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(59)]
+    words[20], words[40] = one, two
+    return " ".join(words)
+
+
+def test_windows_against_the_rest_are_left_out_alone(spark, documents):
+    rows = [(1, long_item("Anna", "Berta")), (2, long_item("4", "4")), (3, long_item("Berta", "Berta"))]
+    assert found(spark, documents, rows, [(1, long_item("Anna", "Anna"))]) == {(1, 1), (2, 1), (3, 1)}
+    assert found(spark, documents, rows, [(1, long_item("5", "7"))]) == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_two_numbers_that_become_one(spark, documents):
+    item = "If there are 5 apples and 7 pears, how many are there?"
+    rows = [(1, item.replace("5", "4").replace("7", "4")), (2, item.replace("5", "9")), (3, "If there are 4 apples in the house")]
+    assert found(spark, documents, rows, [(1, item)]) == {(1, 1), (2, 1)}
+    item = "If there are 5 apples and 5 pears, how many are there?"
+    assert found(spark, documents, [(1, item.replace("5 p", "6 p"))], [(1, item)]) == set()
+
+
 def test_rows_stay_as_they_were(spark, documents):
     df = documents([(1, f"x {ITEM}"), (2, "clean words"), (2, "clean words"), (None, None), (None, ITEM)], clashing=True)
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")

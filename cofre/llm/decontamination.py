@@ -9,13 +9,17 @@ item. Windows with a pair of values against this are left out, unless all values
 document is contaminated by an item when consistent matches cover the share ``coverage`` of the item's windows, or
 ``enough`` windows in a row of places.
 
+A window with fewer than ``min_plain`` words that are no placeholders is found by its words with their values; beside a
+window found by its template on the same diagonal its template will do. The first window of an item is also sought with
+its first word as a name, as a copy inside a sentence has it; that word must then be the same.
+
 Only DataFrame operations. The items' windows are broadcast while counted and small, else joined by shuffle. Wide
 texts are not shuffled: only documents with matches are read again for their slot values. A passage that stands in a
 third of all documents gives matches per document; all grouping is by document, item and diagonal, whose size the
 item bounds.
 
-Defined results: null and empty texts match nothing, and so does an item with fewer than ``min_plain`` words that are
-no placeholders; an item shorter than a window is one window of its own size. Repeated rows and equal items are
+Defined results: null and empty texts match nothing; an item with fewer than ``min_plain`` words that are no
+placeholders is found where its words stand with its values, however few they are; an item shorter than a window is one window of its own size. Repeated rows and equal items are
 reported once per key and item; null keys are reported like any other. Other columns are not read.
 """
 
@@ -69,27 +73,56 @@ def template(line: Column) -> Column:
     return F.split(F.regexp_replace(line, f"({_MARKS})[^ ]*", "$1"), " ")
 
 
-def _marks(words: Column, size: int) -> Column:
-    """A hash for each window of ``size`` words, by its place."""
-    last = F.size(words) - size
+def _kinds(words: Column) -> Column:
+    """The template words of an array of slotted words."""
+    return F.transform(words, lambda w: F.when(F.regexp_like(w, F.lit(f"^{_MARKS}")), F.substring(w, 1, 1)).otherwise(w))
+
+
+def _dense(kinds: Column, min_plain: int) -> Column:
+    """Whether a window has fewer than ``min_plain`` words that are no placeholders."""
+    return F.size(reduce(F.array_remove, (NAME, NUMBER, UNIT), kinds)) < min_plain
+
+
+def _mark(kinds: Column, values: Column, min_plain: int) -> Column:
+    """The hash a window is found by: that of its template, or of its words with their values when too few are plain."""
+    return F.when(_dense(kinds, min_plain), F.xxhash64(values)).otherwise(F.xxhash64(kinds))
+
+
+def _marks(kinds: Column, values: Column, size: int, min_plain: int) -> Column:
+    """The mark of each window of ``size`` words, by its place."""
+    last = F.size(kinds) - size
     places = F.when(last >= 0, F.sequence(F.lit(0), last))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(words, i + 1, size)))
+    return F.transform(places, lambda i: _mark(F.slice(kinds, i + 1, size), F.slice(values, i + 1, size), min_plain))
 
 
 def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain: int) -> DataFrame:
-    """item, size, place, mark, slots: the windows that say enough. Slots: (offset, value) of the marked words."""
-    lines = items.select(F.col(item).alias("item"), slotted(F.col(text)).alias("line")).where("line <> ''").distinct()
-    rows = lines.select("item", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
+    """item, size, place, mark, shape, dense, named, slots: the windows of the items.
+
+    shape: the hash of the template. dense: found by their values. named: the first window once more, with the first word
+    as a name, where the words before a copy may make it one. slots: (offset, value) of the marked words.
+    """
+    plain = slotted(F.col(text))
+    follows = F.substring(slotted(F.concat(F.lit("x "), F.btrim(F.col(text), F.lit(" \t\n\v\f\r")))), 3, 1 << 30)
+    lines = items.select(F.col(item).alias("item"), plain.alias("line"), follows.alias("follows")).where("line <> ''").distinct()
+    both = F.array(
+        F.struct(F.lit(False).alias("named"), F.col("line")),
+        F.when(F.col("follows") != F.col("line"), F.struct(F.lit(True).alias("named"), F.col("follows").alias("line"))),
+    )
+    rows = lines.select("item", F.explode(F.array_compact(both)).alias("form")).select("item", "form.*").distinct()
+    rows = rows.select("item", "named", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
     rows = rows.withColumn("size", F.least(F.lit(window), F.size("kinds")))
-    rows = rows.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("kinds") - F.col("size"))))
+    last = F.when(F.col("named"), 0).otherwise(F.size("kinds") - F.col("size"))
+    rows = rows.withColumn("place", F.explode(F.sequence(F.lit(0), last)))
     part = F.slice("kinds", F.col("place") + 1, F.col("size"))
     values = F.slice("values", F.col("place") + 1, F.col("size"))
     slots = F.filter(
         F.transform(values, lambda v, i: F.struct(i.alias("offset"), v.alias("value"))),
         lambda slot: F.regexp_like(slot["value"], F.lit(f"^{_MARKS}")),
     )
-    rows = rows.select("item", "size", "place", F.xxhash64(part).alias("mark"), slots.alias("slots"))
-    return rows.where(F.col("size") - F.size("slots") >= min_plain)
+    return rows.select(
+        "item", "size", "place", _mark(part, values, min_plain).alias("mark"), F.xxhash64(part).alias("shape"),
+        _dense(part, min_plain).alias("dense"), "named", slots.alias("slots"),
+    )
 
 
 def contaminations(
@@ -104,12 +137,17 @@ def contaminations(
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("row_hash"))
 
     def matched(size: int) -> DataFrame:
-        marks = rows.select("key", "row_hash", template(slotted(F.col("text"))).alias("words"))
-        marks = marks.select("key", "row_hash", F.posexplode(_marks(F.col("words"), size)).alias("at", "mark"))
-        sought = known.where(F.col("size") == size).select("item", "place", "mark")
-        return marks.join(bounded(sought, n_known), "mark").select("key", "row_hash", "item", "place", "at", F.lit(size).alias("size"))
-
-    none = rows.select("key", "row_hash", *[F.lit(None).alias(c) for c in ("item", "place", "at", "size")]).where("false")
+        marks = rows.select("key", "row_hash", slotted(F.col("text")).alias("line"))
+        marks = marks.select("key", "row_hash", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
+        marks = marks.select(
+            "key", "row_hash", F.posexplode(_marks(F.col("kinds"), F.col("values"), size, min_plain)).alias("at", "mark")
+        )
+        sought = known.where(F.col("size") == size).select("item", "place", "mark", "shape", "dense")
+        found = marks.join(bounded(sought, n_known), "mark")
+        return found.select("key", "row_hash", "item", "place", "at", F.lit(size).alias("size"), "shape", "dense")
+
+    columns = ("item", "place", "at", "size", "shape", "dense")
+    none = rows.select("key", "row_hash", *[F.lit(None).alias(c) for c in columns]).where("false")
     found = scratch.write(reduce(DataFrame.unionByName, map(matched, sizes)).distinct() if sizes else none, "matches")
 
     suspects = found.select(F.col("key").alias("s_key"), F.col("row_hash").alias("s_hash")).distinct()
@@ -118,13 +156,30 @@ def contaminations(
     values = read_again.select(
         F.col("key").alias("v_key"), F.col("row_hash").alias("v_hash"), F.split(slotted(F.col("text")), " ").alias("values")
     ).dropDuplicates(["v_key", "v_hash"])
-    of_item = known.select(F.col("item").alias("k_item"), F.col("place").alias("k_place"), F.col("size").alias("k_size"), "slots")
-    at_item = F.col("item").eqNullSafe(F.col("k_item")) & (F.col("place") == F.col("k_place")) & (F.col("size") == F.col("k_size"))
-    pairs = F.transform("slots", lambda s: F.struct(s["value"].alias("one"), F.get("values", F.col("at") + s["offset"]).alias("other")))
+    of_item = known.select(
+        F.col("item").alias("k_item"), F.col("place").alias("k_place"), F.col("size").alias("k_size"), F.col("shape").alias("k_shape"),
+        F.col("dense").alias("k_dense"), "named", "slots",
+    )
+    same_item = F.col("item").eqNullSafe(F.col("k_item"))
+    at_item = same_item & (F.col("place") == F.col("k_place")) & (F.col("size") == F.col("k_size")) & (F.col("shape") == F.col("k_shape"))
+    direct = found.join(bounded(of_item, n_known), at_item).select(
+        "key", "row_hash", "item", "place", (F.col("at") - F.col("place")).alias("diagonal"), "size", "shape", "named", "slots"
+    )
+    # Beside a window found by its template, those of few plain words may have other values too.
+    anchors = found.where("not dense").select("key", "row_hash", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
+    beside = anchors.join(bounded(of_item.where("k_dense and not named"), n_known), same_item).select(
+        "key", "row_hash", "item", F.col("k_place").alias("place"), "diagonal", F.col("k_size").alias("size"),
+        F.col("k_shape").alias("shape"), "named", "slots",
+    )
+    at = F.col("diagonal") + F.col("place")
+    pairs = F.transform("slots", lambda s: F.struct(s["value"].alias("one"), F.get("values", at + s["offset"]).alias("other")))
+    here = F.when(at >= 0, F.slice("values", at + 1, F.col("size")))
     both = (
-        found.join(values, F.col("key").eqNullSafe(F.col("v_key")) & (F.col("row_hash") == F.col("v_hash")))
-        .join(bounded(of_item, n_known), at_item)
-        .select("key", "row_hash", "item", "place", (F.col("at") - F.col("place")).alias("diagonal"), pairs.alias("pairs"))
+        direct.unionByName(beside)
+        .join(values, F.col("key").eqNullSafe(F.col("v_key")) & (F.col("row_hash") == F.col("v_hash")))
+        .where(F.xxhash64(_kinds(here)) == F.col("shape"))
+        .select("key", "row_hash", "item", "place", "diagonal", "named", pairs.alias("pairs"))
+        .where(~F.col("named") | (F.get("pairs", F.lit(0))["one"] == F.get("pairs", F.lit(0))["other"]))
     )
     both = both.withColumn("verbatim", F.forall("pairs", lambda p: p["one"] == p["other"]))
     diagonals = both.groupBy("key", "row_hash", "item", "diagonal").agg(
@@ -148,7 +203,7 @@ def contaminations(
     bad_pairs = F.col("bad")
     good = F.filter("hits", lambda hit: hit["verbatim"] | ~F.arrays_overlap(hit["pairs"], bad_pairs))
     diagonals = diagonals.select("key", "row_hash", "item", F.array_distinct(F.transform(good, lambda hit: hit["place"])).alias("places"))
-    n_windows = known.groupBy(F.col("item").alias("n_item")).agg(F.count(F.lit(1)).alias("windows"))
+    n_windows = known.where("not named").groupBy(F.col("item").alias("n_item")).agg(F.count(F.lit(1)).alias("windows"))
     covered = diagonals.where(F.size("places") > 0).groupBy("key", "row_hash", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.max(F.size("places")).alias("longest")
     )

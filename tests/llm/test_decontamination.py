@@ -58,6 +58,30 @@ def test_two_numbers_that_become_one(spark, documents):
     assert found(spark, documents, [(1, item.replace("5 p", "6 p"))], [(1, item)]) == set()
 
 
+def test_windows_of_few_plain_words(spark, documents):
+    item = "What is 12 x 7 + 5?"
+    rows = [
+        (1, item), (2, f"Please see here {item} And so on"), (3, "What is 13 x 7 + 5?"), (4, "What is it? 12 x 7 + 5"),
+        (5, "Pray tell. What is 12 x 7 + 5? I do not know"),
+    ]
+    assert found(spark, documents, rows, [(1, item)]) == {(1, 1), (2, 1), (5, 1)}
+
+
+def test_dense_windows_beside_a_template(spark, documents):
+    item = "Add all of the numbers in this list " + " ".join(str(100 + i) for i in range(20))
+    rows = [
+        (1, "Add all of the numbers in this list " + " ".join(str(300 + i) for i in range(20))),
+        (2, "Some list " + " ".join(str(300 + i) for i in range(20))), (3, " ".join(str(100 + i) for i in range(20))),
+    ]
+    assert found(spark, documents, rows, [(1, item)]) == {(1, 1), (3, 1)}
+
+
+def test_first_word_after_an_unpunctuated_line(spark, documents):
+    item = "What is the capital of France?"
+    rows = [(1, f"Questions we see here {item}"), (2, "Questions\n" + item), (3, "we know that Paris is the capital of France"), (4, "What is the capital of Spain")]
+    assert found(spark, documents, rows, [(1, item)]) == {(1, 1), (2, 1), (4, 1)}
+
+
 def test_rows_stay_as_they_were(spark, documents):
     df = documents([(1, f"x {ITEM}"), (2, "clean words"), (2, "clean words"), (None, None), (None, ITEM)], clashing=True)
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofre.llm import chat_format, decontamination, exact_dedup, html_extraction, language_id, licenses, mixing, near_duplicates, toxicity, warc
+from cofre.llm import (
+    chat_format, decontamination, exact_dedup, fill_in_middle, html_extraction, language_id, licenses, mixing, near_duplicates, packing,
+    toxicity, vector_codes, warc,
+)
 from cofre.llm.common import Scratch, read, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,6 +197,100 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.digests(fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents")))
+    return found.select(F.col("key").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+OP11_SQL = """
+with cut as (
+    select doc_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') as units,
+           sha256('42:' || coalesce(doc_id::varchar, '')) as hex
+    from documents
+), drawn as (
+    select *, len(units)::bigint as n, ('0x' || hex[1:8])::bigint as h1, ('0x' || hex[9:16])::bigint as h2,
+           ('0x' || hex[17:24])::bigint as h3, ('0x' || hex[25:32])::bigint as h4
+    from cut
+), formed as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as one, greatest(h1 % (n + 1), h2 % (n + 1)) as two,
+           case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+                when h4 % 100 < 80 then 'spm' else 'psm' end as form
+    from drawn
+), parts as (
+    select *, array_to_string(units[1:one], '') as prefix, array_to_string(units[one + 1:two], '') as middle,
+           array_to_string(units[two + 1:], '') as suffix
+    from formed
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return found.select(
+        F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vector_codes.encode_vectors(read(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(found).select(
+        F.col("key").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"),
+    )
+
+
+def _op13_sql() -> str:
+    """Every round as a step of its own: all distances, the nearest entry, the floored mean."""
+    steps = ["""
+with given as (
+    select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) as v,
+           row_number() over (order by vec_id, embedding) as r
+    from embeddings
+    where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), d as materialized (
+    select r, part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] as x from given, (select unnest(range(8)) as part)
+), books0 as (
+    select part, r - 1 as entry, x as c from d where r <= 16
+)"""]
+    for i in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""codes{i} as materialized (
+    select r, part, arg_min(entry, (dist, entry)) as entry, min(dist) as dist
+    from (select r, d.part, entry, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as dist
+          from d join books{i} b on d.part = b.part)
+    group by r, part
+)""")
+        if i < vector_codes.ROUNDS:
+            steps.append(f"""books{i + 1} as materialized (
+    select b.part, b.entry, coalesce(m.c, b.c) as c
+    from books{i} b left join (
+        select part, entry, list((total - ((total % n) + n) % n) // n order by place) as c
+        from (select part, entry, place, sum(value)::bigint as total, count(*) as n
+              from (select d.part, k.entry, unnest(x) as value, generate_subscripts(x, 1) as place from d join codes{i} k on d.r = k.r and d.part = k.part)
+              group by part, entry, place)
+        group by part, entry
+    ) m on b.part = m.part and b.entry = m.entry
+)""")
+    last = vector_codes.ROUNDS
+    return ", ".join(steps) + f"""
+, whole as (
+    select r, string_agg(printf('%02x', entry), '' order by part) as code, sum(dist)::bigint as error from codes{last} group by r
+), digest as (
+    select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as codebooks_sha256 from books{last}
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from whole join given using (r) cross join digest
+"""
+
+
 _QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_format": op2_chat_format,
@@ -205,6 +302,9 @@ _QUERIES = {
     "op8_warc": op8_warc,
     "op9_mix": op9_mix,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_packing": op12_packing,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 
@@ -221,4 +321,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op7_license_scan": _op7_sql(), "op8_warc": OP8_SQL, "op9_mix": OP9_SQL}
+    return {
+        "op1_exact_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op7_license_scan": _op7_sql(), "op8_warc": OP8_SQL, "op9_mix": OP9_SQL,
+        "op11_fill_in_middle": OP11_SQL, "op13_vector_codes": _op13_sql(),
+    }

@@ -22,10 +22,10 @@ def test_entry_registers_all():
     import __spark_entry__ as entry_point
 
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize(("name", "table"), [("op4_language_id", "documents"), ("op6_html_extraction", "pages"), ("op10_toxicity", "documents")])
+@pytest.mark.parametrize(("name", "table"), [("op4_language_id", "documents"), ("op6_html_extraction", "pages"), ("op10_toxicity", "documents"), ("op11_fill_in_middle", "documents")])
 def test_one_row_for_each(spark, name, table):
     found = QUERIES[name](spark, FOLDER).toPandas()
-    assert len(found) == duckdb.sql(f"select count(*) from '{FOLDER}/{table}.parquet'").fetchone()[0]
+    assert len(found) == duckdb.sql(f"select count(*) from '{FOLDER}/{table}.parquet'").fetchall()[0][0]

@@ -38,6 +38,13 @@ def not_null(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
     return union_all([counted(model) for model in columns])
 
 
+def not_null_counted(models: Models, columns: Mapping[str, Sequence[str]], nulls: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The same from null values that were counted when the models were written; a listed column that wasn't counted is an error."""
+    rows = [(model, column, "not_null", nulls[model][column]) for model, listed in columns.items() for column in listed]
+    spark = next(iter(models.values())).sparkSession
+    return spark.createDataFrame(rows, "model string, column string, check string, violations bigint")
+
+
 def _stacked(df: DataFrame, numbered: Mapping[int, str], kind: str) -> DataFrame:
     """(check, value) for every non-null value of the columns, by the number of their check."""
     pairs = [F.struct(F.lit(i).alias("check"), F.col(c).cast(kind).alias("value")) for i, c in numbered.items()]
@@ -57,13 +64,12 @@ def _named(found: DataFrame, check: str, numbered: Sequence[tuple[str, str]]) ->
     )
 
 
-def unique(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Values that occur more than once, per listed column.
+#: A bitmap of bitmap_construct_agg stands for 32768 integers in 4 KB. From so many values a bitmap on it is no larger than them.
+WORTH_A_BITMAP = 512
 
-    All models share one shuffle for integers, of nothing but check number and value, and one for
-    other types.
-    """
-    numbered = [(model, column) for model, listed in columns.items() for column in listed]
+
+def _stacked_by_kind(models: Models, columns: Mapping[str, Sequence[str]], numbered: Sequence[tuple[str, str]]) -> dict[str, DataFrame]:
+    """(check, value) of all columns, one frame for integers and one for other types."""
     of_kind: dict[str, list[DataFrame]] = {}
     for model in columns:
         schema = models[model].schema
@@ -74,10 +80,41 @@ def unique(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
                 by_kind.setdefault(kind, {})[i] = column
         for kind, listed in by_kind.items():
             of_kind.setdefault(kind, []).append(_stacked(models[model], listed, kind))
-    repeated = [
-        union_all(frames).groupBy("check", "value").count().where("count > 1").select("check")
-        for frames in of_kind.values()
-    ]
+    return {kind: union_all(frames) for kind, frames in of_kind.items()}
+
+
+def _dense(values: DataFrame) -> list[int]:
+    """Checks whose integers lie so close together in each task that bitmaps of them are smaller than they are.
+
+    Bitmaps are counted approximately, which needs no shuffle of keys; the count only chooses a way.
+    """
+    bitmap = F.struct(F.spark_partition_id().alias("task"), F.bitmap_bucket_number("value").alias("bucket")).alias("bitmap")
+    held = values.select("check", "value", bitmap).groupBy("check")
+    found = held.agg(F.count("value").alias("rows"), F.approx_count_distinct("bitmap").alias("bitmaps"))
+    return [r["check"] for r in found.collect() if r["rows"] >= WORTH_A_BITMAP * r["bitmaps"]]
+
+
+def _bitmap_counts(values: DataFrame) -> DataFrame:
+    """check, rows and distinct values, by way of bitmaps: tasks send bitmaps, not values."""
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bits")
+    per = values.groupBy("check", F.bitmap_bucket_number("value").alias("bucket")).agg(bits, F.count("value").alias("rows"))
+    return per.groupBy("check").agg(F.sum("rows").alias("rows"), F.sum(F.bitmap_count("bits")).alias("distinct_values"))
+
+
+def unique(models: Models, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Values that occur more than once, per listed column.
+
+    Integers that lie close together are counted in bitmaps first: where rows and distinct values agree, nothing
+    occurs twice and no value is shuffled. Of all other columns nothing but check number and value is, in one shuffle per kind of type.
+    """
+    numbered = [(model, column) for model, listed in columns.items() for column in listed]
+    of_kind = _stacked_by_kind(models, columns, numbered)
+    if "bigint" in of_kind:
+        dense = _dense(of_kind["bigint"])
+        counted = _bitmap_counts(of_kind["bigint"].where(F.col("check").isin(dense))).collect() if dense else []
+        sound = [r["check"] for r in counted if r["rows"] == r["distinct_values"]]
+        of_kind["bigint"] = of_kind["bigint"].where(~F.col("check").isin(sound)) if sound else of_kind["bigint"]
+    repeated = [values.groupBy("check", "value").count().where("count > 1").select("check") for values in of_kind.values()]
     found = union_all(repeated).groupBy("check").agg(F.count(F.lit(1)).alias("violations"))
     return _named(found, "unique", numbered)
 
@@ -113,7 +150,13 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def uniqueness_counts(df: DataFrame, column: str) -> DataFrame:
-    """One row: rows, and distinct values of ``column``."""
+    """One row: rows, and distinct values of ``column``; integers that lie close together are counted in bitmaps."""
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        values = df.select(F.lit(0).alias("check"), F.col(column).cast("bigint").alias("value"))
+        if _dense(values):
+            bits = F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bits")
+            per = values.groupBy(F.bitmap_bucket_number("value").alias("bucket")).agg(bits, F.count(F.lit(1)).alias("rows"))
+            return per.agg(F.sum("rows").alias("total"), F.sum(F.bitmap_count("bits")).alias("distinct_values"))
     return df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(column).alias("distinct_values"))
 
 

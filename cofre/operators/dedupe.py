@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cofre.functions.clean import instant_to_utc
-from cofre.operators.keysets import settle, wide_key
+from cofre.operators.keysets import KeySet, settle, wide_key
 from cofre.schemas import INGESTED_AT, ROW_SEQ
 
 def split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -38,19 +38,26 @@ def recency(df: DataFrame) -> Column:
 
 
 def repeated_keys(df: DataFrame, key: str, among: Column | None = None) -> DataFrame:
-    """Keys held by more than one row, as ``_key``, with the recency of the newest of these rows.
+    """Keys held by more than one row, as ``_key``, with the recency of the newest of these rows (``_newest``) and
+    whether several are equally new (``_tied``).
 
     Only rows that meet ``among`` count. An aggregate rather than a window: copies are combined
     before the shuffle, so a key that holds a third of the table costs one row per task. Rows left
     out form one group without key rather than being filtered, which would compute the condition
-    twice; no lookup ever finds that group.
+    twice; no lookup ever finds that group. Of equally new rows the largest and the smallest number are kept: they differ
+    when there are several.
     """
     group = wide_key(df, key) if among is None else F.when(among, wide_key(df, key))
+    rows = df.select(group.alias("_key"), recency(df).alias("_recency"), F.monotonically_increasing_id().alias("_number"))
     return (
-        df.groupBy(group.alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_copies"), F.max(recency(df)).alias("_newest"))
+        rows.groupBy("_key")
+        .agg(
+            F.count(F.lit(1)).alias("_copies"),
+            F.max(F.struct("_recency", F.col("_number").alias("n"))).alias("_high"),
+            F.max(F.struct("_recency", (-F.col("_number")).alias("n"))).alias("_low"),
+        )
         .where("_copies > 1")
-        .select("_key", "_newest")
+        .select("_key", F.col("_high._recency").alias("_newest"), (F.col("_high.n") != -F.col("_low.n")).alias("_tied"))
     )
 
 
@@ -64,12 +71,12 @@ def superseded(df: DataFrame, key: str, newest: str = "_newest") -> Column:
     return F.col(key).isNull() | older_copy(df, newest)
 
 
-def refuse_ties(attached: DataFrame, key: str) -> None:
-    """Fail when two rows of a key are equally new. Only rows with a repeated key take part in the count."""
-    newest = attached.where(F.col("_newest").isNotNull() & (recency(attached) == F.col("_newest")))
-    tied = newest.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(key).first()
-    if tied is not None:
-        raise ValueError(f"{ROW_SEQ} is not unique: several newest rows have {key} {tied[0]}.")
+def refuse_ties(repeated: KeySet, key: str) -> KeySet:
+    """Fail when two rows of a key are equally new; the key set knows, so no row is read again."""
+    if repeated.tied:
+        tied = repeated.frame.where("_tied").first()["_key"]
+        raise ValueError(f"{ROW_SEQ} is not unique: several newest rows have {key} {tied}.")
+    return repeated
 
 
 def dedupe_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -77,10 +84,8 @@ def dedupe_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
     Rows that cannot be told apart by time and position are an error, as either might be the newest.
     """
-    repeated = settle({"repeated": repeated_keys(df, key)})["repeated"]
+    repeated = refuse_ties(settle({"repeated": repeated_keys(df, key)})["repeated"], key)
     attached = repeated.attach(df, key, "_newest", "_newest")
-    if repeated.rows:
-        refuse_ties(attached, key)
     lost = superseded(df, key)
     return attached.where(~lost).drop("_newest"), attached.where(lost).drop("_newest")
 

@@ -3,20 +3,22 @@
 Deduplication and reference checks first reduce the data to a set of keys that need attention
 (repeated keys, keys without a parent). That set is cut off from its lineage by a checkpoint, its
 size is counted, and only then are the wide rows looked up in it: not at all when it is empty, by
-broadcast when it is known to be small, else by a shuffled join whose skewed partitions adaptive
-execution splits. Clean data of any size is thus tagged without a shuffle of its wide rows.
+broadcast when it is known to be small, else by a shuffled join of those rows that a Bloom filter
+of the set lets through. Clean data of any size is thus tagged without a shuffle of its wide rows.
 """
 
 from __future__ import annotations
 
 import tempfile
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cofre.operators import bloom
+
 # Largest key set sent to every executor: about 100 MB as a hash table.
 BROADCAST_ROWS = 1_000_000
 
@@ -51,27 +53,43 @@ class KeySet:
 
     frame: DataFrame
     rows: int
+    tied: int = 0
+
+    @cached_property
+    def _filter(self) -> bloom.BloomFilter:
+        return bloom.build(self.frame, [F.col("_key")], self.rows)
 
     def attach(self, df: DataFrame, column: str, name: str, fact: str = "_key") -> DataFrame:
         """Add ``name``: the ``fact`` of the key in ``column``, null for a key outside the set."""
+        absent = F.lit(None).cast(self.frame.schema[fact].dataType)
         if self.rows == 0:
-            return df.withColumn(name, F.lit(None).cast(self.frame.schema[fact].dataType))
+            return df.withColumn(name, absent)
         hidden = f"_key{name}"
         side = self.frame.select(F.col("_key").alias(hidden), F.col(fact).alias(name))
+        same = F.col(column) == F.col(hidden)
         if self.rows <= BROADCAST_ROWS:
-            side = F.broadcast(side)
-        return df.join(side, F.col(column) == F.col(hidden), "left").drop(hidden)
+            return df.join(F.broadcast(side), same, "left").drop(hidden)
+        possible = F.coalesce(self._filter.may_contain(wide_key(df, column)) & F.col(column).isNotNull(), F.lit(False))
+        looked_up = df.where(possible).join(side, same, "left").drop(hidden)
+        return looked_up.unionByName(df.where(~possible).withColumn(name, absent))
 
 
 def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
     """Compute narrow key sets in one go, keep them in the checkpoint folder and count them.
 
-    All parts have a column ``_key``, of one type, and may have facts of their own.
+    All parts have a column ``_key``, of one type, and may have facts of their own; with a fact ``_tied`` the
+    keys that have it are counted too.
     """
     named = [df.select(F.lit(name).alias("_part"), "*") for name, df in parts.items()]
     together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
     ensure_checkpoint_dir(together.sparkSession)
     kept = together.checkpoint()
     present = kept.where("_key is not null")
-    rows = present.agg(*[F.count_if(F.col("_part") == name).alias(name) for name in parts]).first()
-    return {name: KeySet(present.where(F.col("_part") == name), rows[name]) for name in parts}
+    tied = F.coalesce("_tied", F.lit(False)) if "_tied" in present.columns else F.lit(False)
+    found = {
+        r["_part"]: r for r in present.groupBy("_part").agg(F.count(F.lit(1)).alias("rows"), F.count_if(tied).alias("tied")).collect()
+    }
+    return {
+        name: KeySet(present.where(F.col("_part") == name), *((found[name]["rows"], found[name]["tied"]) if name in found else (0, 0)))
+        for name in parts
+    }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cofre.operators.keysets import KeySet, settle, wide_key
+from cofre.operators.skew import join_parent
 
 
 def missing(column: str) -> Column:
@@ -89,9 +90,7 @@ def unique_or_fail(df: DataFrame, key: str) -> DataFrame:
 def join_many_to_one(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Inner join; fails when ``right_key`` repeats. Null keys match nothing.
 
-    The check runs ahead of the join so that both join sides come straight from a shuffle, which
-    lets adaptive execution split a popular key.
+    The check runs ahead of the join, so that the parents of hot keys are known to be few.
     """
     require_unique(right, right_key, "many-to-one join")
-    joined = left.join(right.withColumnRenamed(right_key, "_right_key"), F.col(left_key) == F.col("_right_key"))
-    return joined.drop("_right_key")
+    return join_parent(left, right, left_key, right_key)

@@ -85,10 +85,10 @@ RELATIONSHIPS: dict[str, tuple[tuple[str, str, str], ...]] = {
 }
 
 
-def all_checks(models: dict[str, DataFrame]) -> DataFrame:
-    """Every check over staging, dimensions and facts."""
+def all_checks(models: dict[str, DataFrame], nulls: dict[str, dict[str, int]]) -> DataFrame:
+    """Every check over staging, dimensions and facts; ``nulls`` are the null values per model and column that the writes counted."""
     return contracts.union_all([
-        contracts.not_null(models, NOT_NULL),
+        contracts.not_null_counted(models, NOT_NULL, nulls),
         contracts.unique(models, UNIQUE),
         contracts.relationships(models, RELATIONSHIPS),
     ])

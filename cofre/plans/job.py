@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cofre.operators.keysets import kept
 from cofre.plans import checks, gold, reports, silver
 from cofre.plans.star import Star, staging
 from cofre.schemas import ROW_SEQ, TABLES, contract
@@ -42,22 +43,20 @@ class Job:
         """Snapshot all source tables. ``_row_seq`` fixes the input order once and for all."""
         extracted = extract_all(self.spark, self.source)
         check_complete(extracted)
-        batch = Batch(batch_id or str(uuid.uuid4()), ingested_at or utc_now())
         layer = self.layer("bronze")
-        layer.begin(batch)
+        batch = layer.begin(Batch(batch_id or str(uuid.uuid4()), ingested_at or utc_now()), replace_committed=False)
         for table in TABLES:
             numbered = extracted[table].withColumn(ROW_SEQ, F.monotonically_increasing_id())
             audited = add_audit_columns(numbered, batch.batch_id, batch.ingested_at)
-            layer.write(audited, table, batch, replace=False)
-        layer.commit(batch)
-        return batch
+            layer.write(audited, table, batch)
+        return layer.commit(batch)
 
     def silver(self) -> Batch:
         """Clean the newest bronze batch. Each table is one write, split into valid and rejected rows."""
         source, target = self.layer("bronze"), self.layer("silver")
-        batch = source.latest_committed()
-        target.begin(batch)
-        prepared = {t: silver.prepare(source.read(t, batch), t) for t in TABLES}
+        newest = source.latest_committed()
+        batch = target.begin(newest)
+        prepared = {t: silver.prepare(source.read(t, newest), t) for t in TABLES}
         repeated = silver.settle_repeated(prepared)
         rows: dict[str, DataFrame] = {}
         for table in TABLES:
@@ -67,10 +66,11 @@ class Job:
                 OUTCOME: F.when(F.col("_reject_reason").isNull(), VALID).otherwise(REJECTED),
                 "_rejected_at": F.when(F.col("_reject_reason").isNotNull(), utc_literal(utc_now())),
             })
-            target.write(tagged, table, batch, split_by=OUTCOME, rows_where=f"{OUTCOME} = '{VALID}'")
+            target.write(
+                tagged, table, batch, split_by=OUTCOME, rows_where=f"{OUTCOME} = '{VALID}'", required=checks.NOT_NULL[f"stg_{table}"]
+            )
             rows[table] = self.trusted(table, batch)
-        target.commit(batch)
-        return batch
+        return target.commit(batch)
 
     def tagged(self, table: str, batch: Batch) -> DataFrame:
         """What the silver stage wrote for a table, valid and rejected rows."""
@@ -95,7 +95,7 @@ class Job:
 
     def _write_all(self, layer_name: str, frames: dict[str, DataFrame], batch: Batch) -> None:
         layer = self.layer(layer_name)
-        layer.begin(batch)
+        batch = layer.begin(batch)
         for name, frame in frames.items():
             layer.write(frame, name, batch)
         layer.commit(batch, tuple(frames))
@@ -107,38 +107,45 @@ class Job:
         return batch
 
     def star(self) -> Batch:
-        """Write dimensions, then facts that read the written dimensions, then the check results."""
-        batch, trusted = self._trusted_batch()
+        """Write dimensions, then facts that read the written dimensions, then the check results.
+
+        Required columns were counted by the writes of both layers, so that contract reads no rows.
+        """
+        source, trusted = self._trusted_batch()
         staged = {t: staging(df, t) for t, df in trusted.items()}
         layer = self.layer("star")
-        layer.begin(batch)
+        batch = layer.begin(source)
+        nulls = {f"stg_{t}": self.layer("silver").written(t, source).null_counts for t in TABLES}
+
+        def write(name: str, frame: DataFrame) -> DataFrame:
+            nulls[name] = layer.write(frame, name, batch, required=checks.NOT_NULL[name]).null_counts
+            return layer.read(name, batch)
+
         star = Star(staged)
-        for name, frame in star.dimensions().items():
-            layer.write(frame, name, batch)
-        dims = {name: layer.read(name, batch) for name in star.dimensions()}
+        dims = {name: write(name, frame) for name, frame in star.dimensions().items()}
         # Facts read the written dimensions; the few types may as well be numbered again.
         star.cliente, star.conta = dims["dim_cliente"], dims["dim_conta"]
         star.data = dims["dim_data"]
-        layer.write(star.transactions(), "fato_transacao", batch)
-        layer.write(star.loans(), "fato_emprestimo", batch)
-        models = dims | {name: layer.read(name, batch) for name in ("fato_transacao", "fato_emprestimo")}
-        models |= {f"stg_{t}": df for t, df in staged.items()}
-        results = checks.all_checks(models)
-        layer.write(results, "contract_results", batch)
+        facts = {"fato_transacao": write("fato_transacao", star.transactions()), "fato_emprestimo": write("fato_emprestimo", star.loans())}
+        models = dims | facts | {f"stg_{t}": df for t, df in staged.items()}
+        layer.write(checks.all_checks(models, nulls), "contract_results", batch)
         failed = layer.read("contract_results", batch).where("violations > 0").collect()
         if failed:
             raise ValueError("Data contracts broken: " + "; ".join(f"{r.model}.{r.column} {r.check}" for r in failed))
-        layer.commit(batch, tuple(dims) + ("fato_transacao", "fato_emprestimo", "contract_results"))
-        return batch
+        layer.commit(batch, (*dims, *facts, "contract_results"))
+        return source
 
     def reports(self) -> dict[str, DataFrame]:
-        """Write the reports over the star of the newest silver batch."""
+        """Write the reports over the star of the newest silver batch. Each fact is read once, for its summary."""
         batch, _ = self._trusted_batch()
         layer = self.layer("star")
+        batch = layer.committed(batch)
         tables = ("dim_cliente", "dim_conta", "dim_tipo_transacao", "dim_data", "fato_transacao", "fato_emprestimo")
         layer.check(batch, tables)
         star = {t: layer.read(t, batch) for t in tables}
-        built = reports.build_all(star["fato_transacao"], star["fato_emprestimo"], star)
+        moves = kept(reports.transaction_summary(star["fato_transacao"]))
+        credits = kept(reports.loan_summary(star["fato_emprestimo"]))
+        built = reports.build_all(moves, credits, star)
         self._write_all("reports", built, batch)
         return built
 

@@ -1,73 +1,98 @@
 """Business reports over facts and dimensions.
 
-Facts are summed per surrogate key before they meet a dimension; the sums are then combined per
-attribute. Means are the exact sum divided once as double.
+All ten derive from two summaries: transactions by day and type, loans by day, customer and number of instalments. So
+each fact is read once, summed per surrogate key before it meets a dimension. Means are the exact sum divided once as double.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cofre.plans.gold import mean, total
 from cofre.schemas import TOTAL
 
 
-def _per_key(fact: DataFrame, key: str, amount: str) -> DataFrame:
-    return fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"), total(amount).alias("amount"))
+def transaction_summary(fato_transacao: DataFrame) -> DataFrame:
+    """Operations and amount by day and type."""
+    return fato_transacao.groupBy("data_sk", "tipo_transacao_sk").agg(F.count(F.lit(1)).alias("n"), total("valor").alias("amount"))
 
 
-def _combined(per_key: DataFrame, keys: list[str], count_name: str, amount_name: str) -> DataFrame:
-    return per_key.groupBy(*keys).agg(
-        F.sum("n").alias(count_name), F.sum("amount").cast(TOTAL).alias(amount_name)
+def loan_summary(fato_emprestimo: DataFrame) -> DataFrame:
+    """Loans, amounts and instalment values by day, customer and number of instalments."""
+    return fato_emprestimo.groupBy("data_sk", "cliente_sk", "parcelas").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("emprestimo_id").alias("n_ids"),
+        total("valor_contratado").alias("amount"),
+        F.count("valor_contratado").alias("n_amounts"),
+        total("valor_medio_parcela").alias("installment"),
+        F.count("valor_medio_parcela").alias("n_installments"),
     )
 
 
-def total_volume(fato_transacao: DataFrame) -> DataFrame:
+def _count(column: str) -> Column:
+    """Sum of counts: 0, not null, over nothing."""
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
+def _amount(column: str) -> Column:
+    return F.sum(column).cast(TOTAL)
+
+
+def total_volume(moves: DataFrame) -> DataFrame:
     """Amount moved overall."""
-    return fato_transacao.agg(total("valor").alias("valor_total_movimentado"))
+    return moves.agg(_amount("amount").alias("valor_total_movimentado"))
 
 
-def operation_count(fato_transacao: DataFrame) -> DataFrame:
+def operation_count(moves: DataFrame) -> DataFrame:
     """Number of operations."""
-    return fato_transacao.agg(F.count(F.lit(1)).alias("quantidade_operacoes"))
+    return moves.agg(_count("n").alias("quantidade_operacoes"))
 
 
-def by_type(fato_transacao: DataFrame, dim_tipo: DataFrame) -> DataFrame:
+def by_type(moves: DataFrame, dim_tipo: DataFrame) -> DataFrame:
     """Operations and amount per transaction type, largest amount first."""
     types = dim_tipo.select("tipo_transacao_sk", "tipo_transacao_id", F.col("descricao").alias("tipo_transacao"))
-    per_type = _per_key(fato_transacao, "tipo_transacao_sk", "valor").join(types, "tipo_transacao_sk")
-    return _combined(
-        per_type, ["tipo_transacao_id", "tipo_transacao"], "quantidade_operacoes", "valor_total_movimentado"
-    ).orderBy(F.desc("valor_total_movimentado"), "tipo_transacao_id")
+    per_type = moves.groupBy("tipo_transacao_sk").agg(F.sum("n").alias("n"), _amount("amount").alias("amount"))
+    return (
+        per_type.join(types, "tipo_transacao_sk")
+        .groupBy("tipo_transacao_id", "tipo_transacao")
+        .agg(F.sum("n").alias("quantidade_operacoes"), _amount("amount").alias("valor_total_movimentado"))
+        .orderBy(F.desc("valor_total_movimentado"), "tipo_transacao_id")
+    )
 
 
-def _monthly(fact: DataFrame, dim_data: DataFrame, amount: str, count_name: str, amount_name: str) -> DataFrame:
-    per_day = _per_key(fact, "data_sk", amount).join(dim_data.select("data_sk", "ano", "mes", "nome_mes"), "data_sk")
-    return _combined(per_day, ["ano", "mes", "nome_mes"], count_name, amount_name).orderBy("ano", "mes")
+def _monthly(summary: DataFrame, dim_data: DataFrame, count_name: str, amount_name: str) -> DataFrame:
+    per_day = summary.groupBy("data_sk").agg(F.sum("n").alias("n"), _amount("amount").alias("amount"))
+    return (
+        per_day.join(dim_data.select("data_sk", "ano", "mes", "nome_mes"), "data_sk")
+        .groupBy("ano", "mes", "nome_mes")
+        .agg(F.sum("n").alias(count_name), _amount("amount").alias(amount_name))
+        .orderBy("ano", "mes")
+    )
 
 
-def monthly_transactions(fato_transacao: DataFrame, dim_data: DataFrame) -> DataFrame:
+def monthly_transactions(moves: DataFrame, dim_data: DataFrame) -> DataFrame:
     """Operations and amount per month."""
-    return _monthly(fato_transacao, dim_data, "valor", "quantidade_operacoes", "valor_total_movimentado")
+    return _monthly(moves, dim_data, "quantidade_operacoes", "valor_total_movimentado")
 
 
-def loan_overview(fato_emprestimo: DataFrame) -> DataFrame:
+def loan_overview(credits: DataFrame) -> DataFrame:
     """Loans, amount, mean amount and mean instalments overall."""
-    return fato_emprestimo.agg(
-        F.count(F.lit(1)).alias("quantidade_emprestimos"),
-        total("valor_contratado").alias("valor_total_contratado"),
-        mean(total("valor_contratado"), F.count("valor_contratado")).alias("valor_medio_contratado"),
-        mean(F.sum("parcelas"), F.count("parcelas")).alias("media_parcelas"),
+    parcels = F.col("parcelas").cast("bigint") * F.col("n")
+    return credits.agg(
+        _count("n").alias("quantidade_emprestimos"),
+        _amount("amount").alias("valor_total_contratado"),
+        mean(_amount("amount"), F.sum("n_amounts")).alias("valor_medio_contratado"),
+        mean(F.sum(parcels), F.sum(F.when(F.col("parcelas").isNotNull(), F.col("n")))).alias("media_parcelas"),
     )
 
 
-def _loans_per(fact: DataFrame, *keys: str) -> DataFrame:
+def _loans_per(credits: DataFrame, *keys: str) -> DataFrame:
     """Loans, amount and number of amounts per key."""
-    return fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("quantidade_emprestimos"),
-        total("valor_contratado").alias("valor_total_contratado"),
-        F.count("valor_contratado").alias("n"),
+    return credits.groupBy(*keys).agg(
+        F.sum("n").alias("quantidade_emprestimos"),
+        _amount("amount").alias("valor_total_contratado"),
+        F.sum("n_amounts").alias("n"),
     )
 
 
@@ -76,27 +101,26 @@ def _with_mean(summed: DataFrame) -> DataFrame:
     return summed.withColumn("valor_medio_contratado", average).drop("n")
 
 
-def loans_by_year(fato_emprestimo: DataFrame, dim_data: DataFrame) -> DataFrame:
+def loans_by_year(credits: DataFrame, dim_data: DataFrame) -> DataFrame:
     """Loans, amount and mean amount per contract year."""
-    per_day = _loans_per(fato_emprestimo, "data_sk").join(dim_data.select("data_sk", "ano"), "data_sk")
+    per_day = _loans_per(credits, "data_sk").join(dim_data.select("data_sk", "ano"), "data_sk")
     per_year = per_day.groupBy("ano").agg(
         F.sum("quantidade_emprestimos").alias("quantidade_emprestimos"),
-        F.sum("valor_total_contratado").cast(TOTAL).alias("valor_total_contratado"),
+        _amount("valor_total_contratado").alias("valor_total_contratado"),
         F.sum("n").alias("n"),
     )
     return _with_mean(per_year).orderBy("ano")
 
 
-def loans_by_installments(fato_emprestimo: DataFrame) -> DataFrame:
+def loans_by_installments(credits: DataFrame) -> DataFrame:
     """Loans, amount and mean amount per number of instalments."""
-    return _with_mean(_loans_per(fato_emprestimo, "parcelas")).orderBy("parcelas")
+    return _with_mean(_loans_per(credits, "parcelas")).orderBy("parcelas")
 
 
-def top_customers(fato_emprestimo: DataFrame, dim_cliente: DataFrame, k: int = 10) -> DataFrame:
+def top_customers(credits: DataFrame, dim_cliente: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` customers with the largest loan amount."""
-    per_customer = fato_emprestimo.groupBy("cliente_sk").agg(
-        F.count("emprestimo_id").alias("quantidade_emprestimos"),
-        total("valor_contratado").alias("valor_total_contratado"),
+    per_customer = credits.groupBy("cliente_sk").agg(
+        F.sum("n_ids").alias("quantidade_emprestimos"), _amount("amount").alias("valor_total_contratado")
     )
     return (
         per_customer.join(dim_cliente.select("cliente_sk", "cliente_id"), "cliente_sk")
@@ -106,30 +130,27 @@ def top_customers(fato_emprestimo: DataFrame, dim_cliente: DataFrame, k: int = 1
     )
 
 
-def monthly_loans(fato_emprestimo: DataFrame, dim_data: DataFrame) -> DataFrame:
+def monthly_loans(credits: DataFrame, dim_data: DataFrame) -> DataFrame:
     """Loans and amount per contract month."""
-    return _monthly(
-        fato_emprestimo, dim_data, "valor_contratado", "quantidade_emprestimos", "valor_total_contratado"
-    )
+    return _monthly(credits, dim_data, "quantidade_emprestimos", "valor_total_contratado")
 
 
-def average_installment(fato_emprestimo: DataFrame) -> DataFrame:
+def average_installment(credits: DataFrame) -> DataFrame:
     """Mean instalment value."""
-    value = "valor_medio_parcela"
-    return fato_emprestimo.agg(mean(total(value), F.count(value)).alias(value))
+    return credits.agg(mean(_amount("installment"), F.sum("n_installments")).alias("valor_medio_parcela"))
 
 
-def build_all(transactions: DataFrame, loans: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The ten reports. The facts need not be numbered: no report reads their own surrogate key."""
+def build_all(moves: DataFrame, credits: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The ten reports from the two summaries, which the caller keeps if several reports are computed."""
     return {
-        "report_01_total_volume": total_volume(transactions),
-        "report_02_operation_count": operation_count(transactions),
-        "report_03_by_type": by_type(transactions, dims["dim_tipo_transacao"]),
-        "report_04_monthly_transactions": monthly_transactions(transactions, dims["dim_data"]),
-        "report_05_loan_overview": loan_overview(loans),
-        "report_06_loans_by_year": loans_by_year(loans, dims["dim_data"]),
-        "report_07_loans_by_installments": loans_by_installments(loans),
-        "report_08_top10_customers": top_customers(loans, dims["dim_cliente"]),
-        "report_09_monthly_loans": monthly_loans(loans, dims["dim_data"]),
-        "report_10_avg_installment": average_installment(loans),
+        "report_01_total_volume": total_volume(moves),
+        "report_02_operation_count": operation_count(moves),
+        "report_03_by_type": by_type(moves, dims["dim_tipo_transacao"]),
+        "report_04_monthly_transactions": monthly_transactions(moves, dims["dim_data"]),
+        "report_05_loan_overview": loan_overview(credits),
+        "report_06_loans_by_year": loans_by_year(credits, dims["dim_data"]),
+        "report_07_loans_by_installments": loans_by_installments(credits),
+        "report_08_top10_customers": top_customers(credits, dims["dim_cliente"]),
+        "report_09_monthly_loans": monthly_loans(credits, dims["dim_data"]),
+        "report_10_avg_installment": average_installment(credits),
     }

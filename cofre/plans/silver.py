@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cofre import schemas as S
 from cofre.functions import clean
-from cofre.operators.dedupe import older_copy, repeated_keys, superseded
+from cofre.operators.dedupe import older_copy, refuse_ties, repeated_keys, superseded
 from cofre.operators.keysets import KeySet, kept, settle
 from cofre.operators.references import Link, attach_links, missing
 from cofre.operators.rules import REASON, any_null, not_positive, rejected, tag
@@ -39,8 +39,9 @@ def prepare(raw: DataFrame, table: str) -> DataFrame:
 
 
 def settle_repeated(prepared: Mapping[str, DataFrame]) -> dict[str, KeySet]:
-    """Repeated primary keys of several tables, computed together."""
-    return settle({t: repeated_keys(df, S.contract(t).key) for t, df in prepared.items()})
+    """Repeated primary keys of several tables, computed together. Equally new rows of a key are an error."""
+    found = settle({t: repeated_keys(df, S.contract(t).key) for t, df in prepared.items()})
+    return {t: refuse_ties(repeated, S.contract(t).key) for t, repeated in found.items()}
 
 
 def _attach_keys(df: DataFrame, table: str, repeated: KeySet, parents: Parents) -> DataFrame:
@@ -108,7 +109,7 @@ def tag_clientes(prepared: DataFrame, repeated: KeySet, parents: Parents) -> Dat
     })
     rules = _leading_rules(df, "clientes", S.REQUIRED_OR_CPF, invalid=F.col(_typed("cpf")).isNull())
     complete = ~reduce(Column.__or__, [condition for _, condition in rules])
-    shared = settle({"cpf": repeated_keys(df, _typed("cpf"), among=complete)})["cpf"]
+    shared = refuse_ties(settle({"cpf": repeated_keys(df, _typed("cpf"), among=complete)})["cpf"], "cpf")
     df = shared.attach(df, _typed("cpf"), "_newest_cpf", "_newest")
     rules += [
         (S.DUPLICATED_CPF, older_copy(df, "_newest_cpf")),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cofre.operators.keys import BUCKET_BITS, Span, add_surrogate_key, key_spans
 from cofre.operators.keysets import BROADCAST_ROWS, kept
+from cofre.operators.skew import hot_keys, join_parent
 from cofre.schemas import AUDIT_COLUMNS, contract, require_columns
 
 
@@ -64,8 +65,8 @@ def fato_transacao_rows(
     """One row per transaction with dimension keys, not yet numbered.
 
     Account and customer are joined first, among dimensions, so the transactions are shuffled once
-    per account role and not again per customer. Calendar and types come marked for broadcast
-    when their bounds allow it.
+    per account role and not again per customer. Rows of an account with many transactions
+    meet it by broadcast. Calendar and types come marked for broadcast when their bounds allow it.
     """
     accounts = conta.select("conta_id", "conta_sk", "cliente_id")
     owners = accounts.join(cliente.select("cliente_id", "cliente_sk"), "cliente_id")
@@ -75,22 +76,22 @@ def fato_transacao_rows(
     target = accounts.select(
         F.col("conta_id").alias("conta_destino_id"), F.col("conta_sk").alias("conta_destino_sk")
     )
-    return (
+    hot = hot_keys(transacoes, "conta_origem_id", "conta_destino_id")
+    dated = (
         transacoes.withColumn("data", F.to_date("data_hora"))
         .join(data.select("data", "data_sk"), "data")
         .join(tipo.select("tipo_transacao_id", "tipo_transacao_sk"), "tipo_transacao_id")
-        .join(origin, "conta_origem_id")
-        .join(target, "conta_destino_id")
-        .select(
-            "transacao_id",
-            "cliente_sk",
-            "conta_origem_sk",
-            "conta_destino_sk",
-            "data_sk",
-            "tipo_transacao_sk",
-            "valor",
-            "data_hora",
-        )
+    )
+    with_origin = join_parent(dated, origin, "conta_origem_id", "conta_origem_id", hot["conta_origem_id"])
+    return join_parent(with_origin, target, "conta_destino_id", "conta_destino_id", hot["conta_destino_id"]).select(
+        "transacao_id",
+        "cliente_sk",
+        "conta_origem_sk",
+        "conta_destino_sk",
+        "data_sk",
+        "tipo_transacao_sk",
+        "valor",
+        "data_hora",
     )
 
 
@@ -98,18 +99,16 @@ def fato_emprestimo_rows(emprestimos: DataFrame, cliente: DataFrame, data: DataF
     """One row per loan with dimension keys, not yet numbered."""
     per_installment = F.round(F.col("valor_contratado") / F.nullif(F.col("parcelas"), F.lit(0)), 2)
     days = data.select(F.col("data").alias("data_contrato"), "data_sk")
-    return (
-        emprestimos.join(days, "data_contrato")
-        .join(cliente.select("cliente_id", "cliente_sk"), "cliente_id")
-        .select(
-            "emprestimo_id",
-            "cliente_sk",
-            "data_sk",
-            "valor_contratado",
-            "parcelas",
-            per_installment.cast("decimal(16,2)").alias("valor_medio_parcela"),
-            "data_contrato",
-        )
+    dated = emprestimos.join(days, "data_contrato")
+    hot = hot_keys(emprestimos, "cliente_id")["cliente_id"]
+    return join_parent(dated, cliente.select("cliente_id", "cliente_sk"), "cliente_id", "cliente_id", hot).select(
+        "emprestimo_id",
+        "cliente_sk",
+        "data_sk",
+        "valor_contratado",
+        "parcelas",
+        per_installment.cast("decimal(16,2)").alias("valor_medio_parcela"),
+        "data_contrato",
     )
 
 
@@ -141,9 +140,9 @@ class Star:
     @cached_property
     def tipo(self) -> DataFrame:
         """Transaction types, for broadcast once the range of their unique keys or a count proves them few."""
-        staged, (low, high) = self.staged["tipos_transacao"], self.span("tipos_transacao")
-        types = dim_tipo_transacao(staged, (low, high))
-        few = high - low < BROADCAST_ROWS or staged.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        staged, span = self.staged["tipos_transacao"], self.span("tipos_transacao")
+        types = dim_tipo_transacao(staged, span)
+        few = span.high - span.low < BROADCAST_ROWS or span.rows <= BROADCAST_ROWS
         return F.broadcast(types) if few else types
 
     @cached_property
@@ -155,13 +154,13 @@ class Star:
         """The calendar for joins, for broadcast when the days between its bounds are few."""
         day = {"transacoes": "cast(data_hora as date)", "emprestimos": "data_contrato"}
         numbered = {t: (self.staged[t].selectExpr(f"unix_date({expression}) as day"), "day") for t, expression in day.items()}
-        spans = [s for s in key_spans(numbered).values() if s != (0, 0)]
-        days = max((s[1] for s in spans), default=0) - min((s[0] for s in spans), default=0)
+        spans = [s for s in key_spans(numbered).values() if s.rows]
+        days = max((s.high for s in spans), default=0) - min((s.low for s in spans), default=0)
         return F.broadcast(self.data) if days < BROADCAST_ROWS else self.data
 
     def _numbered(self, rows: DataFrame, key: str, name: str, span: Span) -> DataFrame:
         """Buckets are counted before the rows are numbered, so the rows are kept and not joined twice."""
-        wide = span[1] - span[0] >= 1 << self.bits
+        wide = span.high - span.low >= 1 << self.bits
         return add_surrogate_key(kept(rows) if wide else rows, key, name, span, bits=self.bits)
 
     def transaction_rows(self) -> DataFrame:

@@ -221,6 +221,13 @@ def _fk(table: str, column: str, parent: str, key: str) -> str:
                  and not exists (select 1 from bank_{parent} p where p.{key} = x.{column})"""
 
 
+def _fk_to_trusted(table: str, column: str, parent: str, key: str) -> str:
+    return (
+        f"select {CONTRACTS[table].key}, {column} from raw_{table} "
+        f"where {column} is not null and {column} not in (select {key} from silver_{parent})"
+    )
+
+
 def _orphans(table: str) -> str:
     lacks = " or ".join(
         f"not exists (select 1 from bank_{r.parent} p where p.{r.parent_key} = x.{r.column})"
@@ -339,13 +346,20 @@ _TEXT: dict[str, str] = {
     "fk_contas_cliente": _fk("contas", "cliente_id", "clientes", "cliente_id"),
     "fk_contas_agencia": _fk("contas", "agencia_id", "agencias", "agencia_id"),
     "fk_cartoes_conta": _fk("cartoes", "conta_id", "contas", "conta_id"),
-    "fk_emprestimos_cliente": _fk("emprestimos", "cliente_id", "clientes", "cliente_id"),
-    "fk_transacoes_origem": _fk("transacoes", "conta_origem_id", "contas", "conta_id"),
-    "fk_transacoes_destino": _fk("transacoes", "conta_destino_id", "contas", "conta_id"),
+    "fk_emprestimos_cliente": _fk_to_trusted("emprestimos", "cliente_id", "clientes", "cliente_id"),
+    "fk_transacoes_origem": _fk_to_trusted("transacoes", "conta_origem_id", "contas", "conta_id"),
+    "fk_transacoes_destino": _fk_to_trusted("transacoes", "conta_destino_id", "contas", "conta_id"),
     "fk_transacoes_tipo": _fk("transacoes", "tipo_transacao_id", "tipos_transacao", "tipo_transacao_id"),
     "join_many_to_one": """
         select transacao_id, conta_origem_id, valor, cliente_id, agencia_id
         from bank_transacoes, bank_contas where conta_origem_id = conta_id""",
+    "join_hot_account": """
+        select transacao_id, conta_id conta_origem_id, cliente_id, valor
+        from bank_transacoes, bank_contas where case when transacao_id % 3 = 0 then 1 else conta_origem_id end = conta_id""",
+    "surrogate_key_text": "select cpf, cliente_id, row_number() over (order by cpf) cliente_sk from bank_clientes",
+    "surrogate_key_sparse": """
+        select chave, cliente_id, row_number() over (order by chave) cliente_sk
+        from (select cast(cliente_id * 7919 % 99991 as bigint) * 90000000000000 + cliente_id chave, cliente_id from bank_clientes)""",
     "reject_summary": " union all ".join(
         f"select '{t}' entity, reason _reject_reason, count(*) n from tagged_{t} where reason is not null group by reason"
         for t in TABLES
@@ -424,6 +438,9 @@ _TEXT: dict[str, str] = {
     "contract_unique": _unique(),
     "contract_relationships": _relationships(),
     "cpf_uniqueness": _both("clientes", "count(*) total, count(distinct cpf) distinct_values"),
+    "key_uniqueness": " union all ".join(
+        _both(t, f"count(*) total, count(distinct {CONTRACTS[t].key}) distinct_values") for t in TABLES
+    ),
     "row_counts": " union all ".join(f"select '{t}' table_name, count(*) as rows from bank_{t}" for t in TABLES),
     "same_account_count": _both(
         "transacoes", "count(*) filter (where conta_origem_id = conta_destino_id) violations"

@@ -13,6 +13,7 @@ from cofre.functions import clean
 from cofre.operators import contracts, dedupe, keys, references
 from cofre.operators.keysets import kept
 from cofre.operators.rules import REASON
+from cofre.operators.skew import join_parent
 from cofre.plans import checks, gold, reports
 from cofre.plans.silver import Trusted, ancestry
 from cofre.plans.star import DIMENSIONS, Star, distinct_dates, staging
@@ -48,6 +49,14 @@ def _star(b: Bindings, **settings) -> Star:
     return Star(OnDemand(lambda table: _staged(b, table)), **settings)
 
 
+def _moves(star: Star) -> DataFrame:
+    return reports.transaction_summary(star.transaction_rows())
+
+
+def _credits(star: Star) -> DataFrame:
+    return reports.loan_summary(star.loan_rows())
+
+
 @dataclass(frozen=True)
 class _Views:
     """The clean views as a source to extract from."""
@@ -94,6 +103,17 @@ def _seed(b: Bindings) -> DataFrame:
     return keys.insert_if_absent(existing, seed, "tipo_transacao_id")
 
 
+def _numbered_by_cpf(b: Bindings) -> DataFrame:
+    """Customers numbered in the order of a text key."""
+    return keys.add_surrogate_key(b.bank("clientes").select("cpf", "cliente_id"), "cpf", "cliente_sk")
+
+
+def _numbered_sparse(b: Bindings) -> DataFrame:
+    """Customers numbered in the order of a key that is spread over 63 bits."""
+    spread = (F.col("cliente_id") * 7919 % 99991).cast("bigint") * 90_000_000_000_000 + F.col("cliente_id")
+    return keys.add_surrogate_key(b.bank("clientes").select(spread.alias("chave"), "cliente_id"), "chave", "cliente_sk")
+
+
 def _append_ids(b: Bindings) -> DataFrame:
     incoming = _existing(b, "cliente_id % 3 = 0").withColumnRenamed("cliente_id", "position")
     return keys.append_with_ids(_existing(b, "cliente_id % 3 <> 0"), incoming, "cliente_id", "position")
@@ -143,6 +163,17 @@ def _foreign_key(table: str, ref: Reference) -> Build:
     )
 
 
+def _foreign_key_to_trusted(table: str, ref: Reference) -> Build:
+    """References to parents that the trusted layer rejects count as broken."""
+    key = contract(table).key
+
+    def build(b: Bindings) -> DataFrame:
+        parents = Trusted(b.all_raw(), ancestry(ref.parent)).rows(ref.parent)
+        return references.rows_without_parent(b.raw(table).select(key, ref.column), ref.column, parents, ref.parent_key)
+
+    return build
+
+
 def _orphans(table: str) -> Build:
     def build(b: Bindings) -> DataFrame:
         links = [
@@ -154,6 +185,14 @@ def _orphans(table: str) -> Build:
     return build
 
 
+def _hot_account(b: Bindings) -> DataFrame:
+    """A third of all transactions come from one account."""
+    account = F.when(F.col("transacao_id") % 3 == 0, 1).otherwise(F.col("conta_origem_id"))
+    moves = b.bank("transacoes").select("transacao_id", account.alias("conta_origem_id"), "valor")
+    accounts = b.bank("contas").select("conta_id", "cliente_id")
+    return join_parent(moves, accounts, "conta_origem_id", "conta_id").select("transacao_id", "conta_origem_id", "cliente_id", "valor")
+
+
 def _many_to_one(b: Bindings) -> DataFrame:
     accounts = b.bank("contas").select("conta_id", "cliente_id", "agencia_id")
     moves = b.bank("transacoes").select("transacao_id", "conta_origem_id", "valor")
@@ -230,6 +269,11 @@ def _both(b: Bindings, table: str, measure: Callable[[DataFrame], DataFrame]) ->
     ])
 
 
+def _key_uniqueness(b: Bindings) -> DataFrame:
+    """Rows and distinct primary keys of every table, clean and defective."""
+    return contracts.union_all([_both(b, t, lambda df, t=t: contracts.uniqueness_counts(df, contract(t).key)) for t in TABLES])
+
+
 def _build() -> dict[str, Build]:
     found: dict[str, Build] = {
         "scan_transacoes": lambda b: extract_table(b.spark, _Views(b), "transacoes"),
@@ -246,6 +290,8 @@ def _build() -> dict[str, Build]:
         "next_id": lambda b: keys.next_id(b.bank("clientes"), "cliente_id"),
         "append_with_ids": _append_ids,
         "append_new_natural_keys": _append_cpfs,
+        "surrogate_key_text": _numbered_by_cpf,
+        "surrogate_key_sparse": _numbered_sparse,
         "clean_text": _clean_text,
         "normalize_cpf": _scalar("clientes", "cpf", clean.normalize_cpf),
         "normalize_card": _scalar("cartoes", "numero_cartao", clean.normalize_card),
@@ -261,11 +307,12 @@ def _build() -> dict[str, Build]:
         "fk_contas_cliente": _foreign_key("contas", CONTRACTS["contas"].references[0]),
         "fk_contas_agencia": _foreign_key("contas", CONTRACTS["contas"].references[1]),
         "fk_cartoes_conta": _foreign_key("cartoes", CONTRACTS["cartoes"].references[0]),
-        "fk_emprestimos_cliente": _foreign_key("emprestimos", CONTRACTS["emprestimos"].references[0]),
-        "fk_transacoes_origem": _foreign_key("transacoes", CONTRACTS["transacoes"].references[0]),
-        "fk_transacoes_destino": _foreign_key("transacoes", CONTRACTS["transacoes"].references[1]),
+        "fk_emprestimos_cliente": _foreign_key_to_trusted("emprestimos", CONTRACTS["emprestimos"].references[0]),
+        "fk_transacoes_origem": _foreign_key_to_trusted("transacoes", CONTRACTS["transacoes"].references[0]),
+        "fk_transacoes_destino": _foreign_key_to_trusted("transacoes", CONTRACTS["transacoes"].references[1]),
         "fk_transacoes_tipo": _foreign_key("transacoes", CONTRACTS["transacoes"].references[2]),
         "join_many_to_one": _many_to_one,
+        "join_hot_account": _hot_account,
         "reject_summary": _reject_summary,
         "daily_transaction_volume": lambda b: gold.daily_transaction_volume(b.bank("transacoes")),
         "daily_pix_transaction_volume": lambda b: gold.daily_pix_transaction_volume(
@@ -287,20 +334,21 @@ def _build() -> dict[str, Build]:
         "fato_transacao": lambda b: _star(b).transactions(),
         "fato_transacao_buckets": lambda b: _star(b, bits=FEW_BITS).transactions(),
         "fato_emprestimo": lambda b: _star(b).loans(),
-        "report_01_total_volume": lambda b: reports.total_volume(_star(b).transaction_rows()),
-        "report_02_operation_count": lambda b: reports.operation_count(_star(b).transaction_rows()),
-        "report_03_by_type": lambda b: (lambda s: reports.by_type(s.transaction_rows(), s.tipo))(_star(b)),
+        "report_01_total_volume": lambda b: reports.total_volume(_moves(_star(b))),
+        "report_02_operation_count": lambda b: reports.operation_count(_moves(_star(b))),
+        "report_03_by_type": lambda b: (lambda s: reports.by_type(_moves(s), s.tipo))(_star(b)),
         "report_04_monthly_transactions": monthly_transactions,
-        "report_05_loan_overview": lambda b: reports.loan_overview(_star(b).loan_rows()),
-        "report_06_loans_by_year": lambda b: (lambda s: reports.loans_by_year(s.loan_rows(), s.data))(_star(b)),
-        "report_07_loans_by_installments": lambda b: reports.loans_by_installments(_star(b).loan_rows()),
-        "report_08_top10_customers": lambda b: (lambda s: reports.top_customers(s.loan_rows(), s.cliente))(_star(b)),
-        "report_09_monthly_loans": lambda b: (lambda s: reports.monthly_loans(s.loan_rows(), s.data))(_star(b)),
-        "report_10_avg_installment": lambda b: reports.average_installment(_star(b).loan_rows()),
+        "report_05_loan_overview": lambda b: reports.loan_overview(_credits(_star(b))),
+        "report_06_loans_by_year": lambda b: (lambda s: reports.loans_by_year(_credits(s), s.data))(_star(b)),
+        "report_07_loans_by_installments": lambda b: reports.loans_by_installments(_credits(_star(b))),
+        "report_08_top10_customers": lambda b: (lambda s: reports.top_customers(_credits(s), s.cliente))(_star(b)),
+        "report_09_monthly_loans": lambda b: (lambda s: reports.monthly_loans(_credits(s), s.data))(_star(b)),
+        "report_10_avg_installment": lambda b: reports.average_installment(_credits(_star(b))),
         "contract_not_null": _not_null,
         "contract_unique": _unique,
         "contract_relationships": _relationships,
         "cpf_uniqueness": lambda b: _both(b, "clientes", lambda df: contracts.uniqueness_counts(df, "cpf")),
+        "key_uniqueness": _key_uniqueness,
         "row_counts": lambda b: contracts.row_counts(b.all_bank()),
         "same_account_count": lambda b: _both(
             b,
@@ -323,7 +371,7 @@ def _build() -> dict[str, Build]:
 def monthly_transactions(b: Bindings) -> DataFrame:
     """Flagship: staging, dimensions and transaction fact up to the monthly report."""
     star = _star(b)
-    return reports.monthly_transactions(star.transaction_rows(), star.data)
+    return reports.monthly_transactions(_moves(star), star.data)
 
 
 def queries() -> dict[str, Query]:

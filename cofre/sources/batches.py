@@ -1,29 +1,41 @@
-"""Layers on a shared file system: one folder per table and batch, and a log of what was written.
+"""Layers on a shared file system: a folder per table, batch and attempt, and a log of commits.
 
-A table write is logged once its files are complete; a batch counts as committed when its commit
-row, written last, says so. Choosing a batch lists the whole log, one small entry per table and batch.
-Reading, checking or committing a batch that is known reads the entries of that batch alone, and a
-table is read from exactly one folder.
+A batch may be written again. Every attempt has folders of its own, and a commit names the attempt that counts from
+now on, so a rerun touches nothing that a reader holds: who chose the batch before goes on with the old attempt.
+
+The commit log is a sequence of numbered entries without gaps. An entry is created under the next number, which fails when another process
+was first and is then tried again. Every :data:`COMPACT_EVERY` commits the log so far is compacted into one table, named by a hint; a
+reader takes the hint, that table, and the entries after it, so it reads a constant number of files, whatever the age of the lake.
 """
 
 from __future__ import annotations
 
 import json
 import logging
-from dataclasses import dataclass
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cofre.schemas import TABLES
+from cofre.sources.files import Files
 
 logger = logging.getLogger(__name__)
 
-_WRITES = "table_name string, batch_id string, ingestion_date string, ingestion_ts timestamp_ntz, row_count bigint, columns string"
-_COMMITS = "batch_id string, ingestion_date string, committed boolean, committed_at timestamp_ntz"
+_WRITES = "table_name string, row_count bigint, null_counts map<string, bigint>, columns string"
+_COMMITS = (
+    "number bigint, batch_id string, ingestion_date string, ingestion_ts timestamp_ntz, attempt string, committed_at timestamp_ntz, "
+    "table_name string, row_count bigint"
+)
+#: Commits from one compaction of the log to the next.
+COMPACT_EVERY = 20
+_HINT = "compacted.json"
 
 
 def utc_now() -> datetime:
@@ -33,10 +45,11 @@ def utc_now() -> datetime:
 
 @dataclass(frozen=True)
 class Batch:
-    """A snapshot of all source tables."""
+    """A snapshot of all source tables, and the attempt at it that a layer wrote or committed."""
 
     batch_id: str
     ingested_at: datetime
+    attempt: str | None = field(default=None, compare=False)
 
     @property
     def ingestion_date(self) -> str:
@@ -70,6 +83,74 @@ def latest_batch(batches: DataFrame, time: str = "ingestion_ts") -> DataFrame:
     return batches.agg(newest).where("_newest is not null").select("_newest.*")
 
 
+@dataclass(frozen=True)
+class Written:
+    """What the log keeps about one written table."""
+
+    row_count: int
+    null_counts: dict[str, int]
+    schema: T.StructType
+
+
+class CommitLog:
+    """Numbered entries, each a commit with its tables, below ``base``."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base
+        self._files = Files(spark, base)
+
+    @staticmethod
+    def _name(number: int) -> str:
+        return f"{number:020d}.json"
+
+    def _read(self) -> tuple[dict | None, list[dict]]:
+        """The hint, and the rows of all entries after it."""
+        hint = self._files.read(_HINT)
+        hint = json.loads(hint) if hint else None
+        rows, number = [], hint["number"] + 1 if hint else 1
+        while (entry := self._files.read(self._name(number))) is not None:
+            rows += [json.loads(line) for line in entry.splitlines()]
+            number += 1
+        return hint, rows
+
+    def _frame(self, hint: dict | None, rows: list[dict]) -> DataFrame:
+        schema = T._parse_datatype_string(_COMMITS)
+        times = {f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)}
+        values = [tuple(datetime.fromisoformat(r[n]) if n in times else r[n] for n in schema.names) for r in rows]
+        recent = self.spark.createDataFrame(values, schema)
+        if hint is None:
+            return recent
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{hint['folder']}").unionByName(recent)
+
+    def commits(self) -> DataFrame:
+        """The tables of every commit; of a batch committed several times at least the last."""
+        return self._frame(*self._read())
+
+    def append(self, rows: list[dict]) -> None:
+        """Add a commit of these tables."""
+        while True:
+            hint, recent = self._read()
+            number = max([r["number"] for r in recent], default=hint["number"] if hint else 0) + 1
+            numbered = [{"number": number, **row} for row in rows]
+            if self._files.create(self._name(number), "\n".join(json.dumps(row) for row in numbered)):
+                break
+        since = number - (hint["number"] if hint else 0)
+        if since >= COMPACT_EVERY:
+            self._compact(self._frame(hint, recent + numbered), number)
+
+    def _compact(self, commits: DataFrame, number: int) -> None:
+        """Write the last commit of every batch as one table, then point to it."""
+        folder = f"upto={number}-{uuid.uuid4().hex[:12]}"
+        newest(commits).coalesce(1).write.mode("errorifexists").parquet(f"{self.base}/{folder}")
+        self._files.replace(_HINT, json.dumps({"number": number, "folder": folder}))
+
+
+def newest(commits: DataFrame) -> DataFrame:
+    """The rows of each batch's last commit."""
+    last = F.max("number").over(Window.partitionBy("batch_id"))
+    return commits.withColumn("_last", last).where("number = _last").drop("_last")
+
+
 class Layer:
     """One layer of the lakehouse under ``<root>/<name>``."""
 
@@ -77,84 +158,118 @@ class Layer:
         self.spark, self.name = spark, name
         self._base = f"{root.rstrip('/')}/{name}"
 
+    @cached_property
+    def _log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self._base}/_commits")
+
+    def begin(self, batch: Batch, replace_committed: bool = True) -> Batch:
+        """A new attempt at the batch. A committed batch is an error if it may not be replaced."""
+        if not replace_committed and not self.manifest(batch).isEmpty():
+            raise FileExistsError(f"{self.name} batch {batch.batch_id} is already committed.")
+        return replace(batch, attempt=f"{self.name}-{uuid.uuid4().hex[:12]}")
+
+    def _attempt(self, batch: Batch) -> str:
+        """The attempt that ``batch`` holds for this layer, else the committed one."""
+        if batch.attempt and batch.attempt.startswith(f"{self.name}-"):
+            return batch.attempt
+        return self.committed(batch).attempt
+
+    def committed(self, batch: Batch) -> Batch:
+        """The batch with the attempt that this layer committed last."""
+        found = self.manifest(batch).select("attempt").first()
+        if found is None:
+            raise FileNotFoundError(f"{self.name} batch {batch.batch_id} is not committed.")
+        return replace(batch, attempt=found["attempt"])
+
     def path(self, table: str, batch: Batch) -> str:
-        return f"{self._base}/{table}/ingestion_date={batch.ingestion_date}/batch_id={batch.batch_id}"
+        folder = f"ingestion_date={batch.ingestion_date}/batch_id={batch.batch_id}/attempt={self._attempt(batch)}"
+        return f"{self._base}/{table}/{folder}"
+
+    def _entry(self, batch: Batch, attempt: str, table: str = "") -> str:
+        below = f"/table={table}" if table else ""
+        return f"{self._base}/_writes/batch={batch.batch_id}/attempt={attempt}{below}"
 
     def write(
-        self,
-        df: DataFrame,
-        table: str,
-        batch: Batch,
-        split_by: str | None = None,
-        replace: bool = True,
-        rows_where: str = "true",
-    ) -> str:
-        """Write one table of a batch. The same batch again replaces it, or fails if ``replace`` is off.
-
-        The log keeps the columns, and the number of stored rows that meet ``rows_where``.
+        self, df: DataFrame, table: str, batch: Batch, split_by: str | None = None, rows_where: str = "true", required: Sequence[str] = ()
+    ) -> Written:
+        """Write one table of an attempt that was begun.
+
+        Rows that meet ``rows_where``, and among them those without a value in each ``required`` column, are counted by the write itself.
         """
         path = self.path(table, batch)
-        writer = df.write.mode("overwrite" if replace else "errorifexists").option("partitionOverwriteMode", "static")
+        counted = Observation()
+        meets = F.expr(rows_where)
+        empty: list[Column] = [F.count_if(meets & F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(required)]
+        writer = df.observe(counted, F.count_if(meets).alias("row_count"), *empty).write.mode("errorifexists")
         (writer.partitionBy(split_by) if split_by else writer).parquet(path)
-        rows = self.spark.read.schema(df.schema).parquet(path).where(rows_where).count()
-        self._log(
-            f"_writes/batch={batch.batch_id}/table={table}",
-            [(table, batch.batch_id, batch.ingestion_date, batch.ingested_at, rows, df.schema.json())],
-            _WRITES,
-        )
-        logger.info("%s.%s written, batch %s, %d rows", self.name, table, batch.batch_id, rows)
-        return path
-
-    def read(self, table: str, batch: Batch) -> DataFrame:
-        """Read one table of a batch with the columns it was written with."""
-        entry = self._read_log(f"_writes/batch={batch.batch_id}/table={table}", _WRITES).select("columns").first()
-        if entry is None:
+        found = counted.get
+        nulls = {c: found.get(f"nulls_{i}") or 0 for i, c in enumerate(required)}
+        written = Written(found.get("row_count") or 0, nulls, df.schema)
+        entry = self.spark.createDataFrame([(table, written.row_count, nulls, df.schema.json())], _WRITES).coalesce(1)
+        entry.write.mode("errorifexists").parquet(self._entry(batch, self._attempt(batch), table))
+        logger.info("%s.%s written, batch %s, %d rows", self.name, table, batch.batch_id, written.row_count)
+        return written
+
+    def written(self, table: str, batch: Batch) -> Written:
+        """What the log keeps about a table of a batch."""
+        found = self._entries(self._entry(batch, self._attempt(batch), table)).first()
+        if found is None:
             raise FileNotFoundError(f"{self.name}.{table} has no batch {batch.batch_id}")
-        schema = T.StructType.fromJson(json.loads(entry["columns"]))
-        return self.spark.read.schema(schema).parquet(self.path(table, batch))
-
-    def begin(self, batch: Batch) -> None:
-        """Mark the batch as not committed, so that no reader picks it while it is rewritten."""
-        self._mark(batch, committed=False)
+        return Written(found["row_count"], found["null_counts"], T.StructType.fromJson(json.loads(found["columns"])))
 
-    def commit(self, batch: Batch, tables=TABLES) -> None:
-        """Mark the batch as committed, after checking that all ``tables`` were written."""
-        written = {r["table_name"] for r in self.manifest(batch).collect()}
-        absent = sorted(set(tables) - written)
+    def read(self, table: str, batch: Batch) -> DataFrame:
+        """Read one table of a batch with the columns it was written with: of the attempt at hand, else the committed one."""
+        batch = replace(batch, attempt=self._attempt(batch))
+        return self.spark.read.schema(self.written(table, batch).schema).parquet(self.path(table, batch))
+
+    def commit(self, batch: Batch, tables=TABLES) -> Batch:
+        """Let the attempt stand for the batch, after checking that all ``tables`` were written. The entry is the last thing written."""
+        attempt = self._attempt(batch)
+        written = {r["table_name"]: r["row_count"] for r in self._entries(self._entry(batch, attempt)).collect()}
+        absent = sorted(set(tables) - set(written))
         if absent:
             raise RuntimeError(f"{self.name} batch {batch.batch_id} is incomplete, no {', '.join(absent)}")
-        self._mark(batch, committed=True)
+        common = {
+            "batch_id": batch.batch_id, "ingestion_date": batch.ingestion_date, "ingestion_ts": batch.ingested_at.isoformat(),
+            "attempt": attempt, "committed_at": utc_now().isoformat(),
+        }
+        self._log.append([{**common, "table_name": t, "row_count": n} for t, n in sorted(written.items())])
+        return replace(batch, attempt=attempt)
 
     def manifest(self, batch: Batch | None = None) -> DataFrame:
-        """One row per written table, of one batch or of all, with the commit state of the batch."""
-        entry = f"/batch={batch.batch_id}" if batch else ""
-        writes = self._read_log(f"_writes{entry}", _WRITES)
-        commits = self._read_log(f"_commits{entry}", _COMMITS)
-        return writes.join(commits.drop("ingestion_date"), "batch_id", "left").withColumn(
-            "committed", F.coalesce("committed", F.lit(False))
-        )
+        """One row per table of the attempt committed last, of one batch or of all."""
+        commits = self._log.commits()
+        if batch:
+            commits = commits.where(F.col("batch_id") == batch.batch_id)
+        return newest(commits).drop("number").withColumn("committed", F.lit(True))
+
+    def _newest(self, time: str) -> Batch | None:
+        """The complete committed batch that is newest by ``time``."""
+        manifest = self.manifest()
+        attempts = manifest.select("batch_id", "attempt").distinct()
+        ready = complete_batches(manifest).where("committed").join(attempts, "batch_id")
+        found = ready.agg(F.max_by(F.struct("batch_id", "ingestion_ts", "attempt"), F.struct(time, "batch_id")).alias("found")).first()["found"]
+        return found and Batch(found["batch_id"], found["ingestion_ts"], found["attempt"])
 
     def latest_committed(self) -> Batch:
         """The committed batch with all tables that has the newest ingestion time."""
-        found = latest_batch(complete_batches(self.manifest()).where("committed")).first()
+        found = self._newest("ingestion_ts")
         if found is None:
             raise RuntimeError(f"No complete batch in layer {self.name}.")
-        return Batch(found["batch_id"], found["ingestion_ts"])
+        return found
 
     def last_committed(self) -> Batch:
         """The committed batch that was committed last."""
-        ready = complete_batches(self.manifest()).where("committed")
-        found = ready.agg(F.max_by(F.struct("batch_id", "ingestion_ts"), F.struct("committed_at", "batch_id")).alias("last")).first()["last"]
+        found = self._newest("committed_at")
         if found is None:
             raise FileNotFoundError(f"No committed batch in layer {self.name}.")
-        return Batch(found["batch_id"], found["ingestion_ts"])
+        return found
 
     def check(self, batch: Batch, tables=TABLES) -> list[str]:
         """Fail unless the batch is committed with all ``tables``; return the names of empty ones."""
-        rows = self.manifest(batch).where("committed").collect()
-        if not rows:
+        counts = {r["table_name"]: r["row_count"] for r in self.manifest(batch).collect()}
+        if not counts:
             raise FileNotFoundError(f"{self.name} batch {batch.batch_id} is not committed.")
-        counts = {r["table_name"]: r["row_count"] for r in rows}
         absent = sorted(set(tables) - set(counts))
         if absent:
             raise ValueError(f"{self.name} batch {batch.batch_id} lacks table(s): {', '.join(absent)}")
@@ -163,20 +278,11 @@ class Layer:
             logger.warning("%s batch %s has empty table(s): %s", self.name, batch.batch_id, ", ".join(empty))
         return empty
 
-    def _mark(self, batch: Batch, committed: bool) -> None:
-        row = (batch.batch_id, batch.ingestion_date, committed, utc_now())
-        self._log(f"_commits/batch={batch.batch_id}", [row], _COMMITS)
-
-    def _log(self, entry: str, rows: list[tuple], schema: str) -> None:
-        frame = self.spark.createDataFrame(rows, schema).coalesce(1)
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self._base}/{entry}")
-
-    def _read_log(self, entry: str, schema: str) -> DataFrame:
-        reader = self.spark.read.schema(schema).option("recursiveFileLookup", "true")
+    def _entries(self, entry: str) -> DataFrame:
+        reader = self.spark.read.schema(_WRITES).option("recursiveFileLookup", "true")
         try:
-            return reader.parquet(f"{self._base}/{entry}")
+            return reader.parquet(entry)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            logger.warning("Layer %s has no %s", self.name, entry)
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], _WRITES)

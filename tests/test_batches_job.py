@@ -76,10 +76,13 @@ def test_layer_round_trip(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         layer.read("agencias", batch)
     assert layer.manifest().isEmpty()
-    layer.write(frame, "agencias", batch, replace=False)
+    batch = layer.begin(batch)
+    layer.write(frame, "agencias", batch)
     assert layer.read("agencias", batch).count() == 3
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        layer.write(frame, "agencias", batch, replace=False)
+        layer.write(frame, "agencias", batch)
+    with pytest.raises(FileNotFoundError, match="not committed"):
+        layer.read("agencias", Batch("b1", DAY))
     with pytest.raises(RuntimeError, match="transacoes"):
         layer.commit(batch)
     with pytest.raises(RuntimeError, match="No complete batch"):
@@ -88,7 +91,7 @@ def test_layer_round_trip(spark, tmp_path):
 
 def test_latest_batch_needs_all_tables_and_a_commit(spark, tmp_path):
     layer = Layer(spark, str(tmp_path), "bronze")
-    early, late = Batch("z", DAY), Batch("a", datetime(2026, 9, 17))
+    early, late = layer.begin(Batch("z", DAY)), layer.begin(Batch("a", datetime(2026, 9, 17)))
     one = spark.range(0, 1, 1, 1)
     for batch in (late, early):
         for table in TABLES:
@@ -102,11 +105,12 @@ def test_latest_batch_needs_all_tables_and_a_commit(spark, tmp_path):
     assert layer.last_committed() == early
     assert {r["batch_id"] for r in batches.batch_ids(layer.manifest(), "transacoes").collect()} == {"z", "a"}
     layer.begin(late)  # being rewritten
-    assert layer.latest_committed() == early
+    assert layer.latest_committed().attempt == late.attempt
 
 
 def test_empty_split_table_is_readable(spark, tmp_path):
-    layer, batch = Layer(spark, str(tmp_path), "silver"), Batch("b", DAY)
+    layer = Layer(spark, str(tmp_path), "silver")
+    batch = layer.begin(Batch("b", DAY))
     empty = spark.createDataFrame([], "id int, outcome string")
     layer.write(empty, "agencias", batch, split_by="outcome")
     assert layer.read("agencias", batch).count() == 0
@@ -151,15 +155,53 @@ def test_second_run_replaces_the_same_batch(spark, job):
     assert job.trusted("transacoes", batch).count() == 2
     assert job.rejects("transacoes", batch).count() == 1
     assert job.layer("silver").manifest().count() == len(TABLES)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(FileExistsError, match="already committed"):
         job.bronze(batch.batch_id, batch.ingested_at)
-    job.layer("bronze").commit(batch)
 
 
-def test_gold_needs_a_committed_silver_batch(job):
+def test_a_rerun_leaves_a_reader_its_rows(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path), "silver")
+    first = layer.begin(Batch("b", DAY))
+    layer.write(spark.range(5), "agencias", first)
+    first = layer.commit(first, ("agencias",))
+    reader = layer.read("agencias", layer.committed(Batch("b", DAY)))
+    second = layer.begin(Batch("b", DAY))
+    layer.write(spark.range(100, 102), "agencias", second)
+    assert reader.count() == 5 and layer.read("agencias", Batch("b", DAY)).count() == 5  # not committed yet
+    layer.commit(second, ("agencias",))
+    assert sorted(r["id"] for r in reader.collect()) == [0, 1, 2, 3, 4]
+    assert layer.read("agencias", first).count() == 5
+    assert [r["id"] for r in layer.read("agencias", Batch("b", DAY)).orderBy("id").collect()] == [100, 101]
+    failed = layer.begin(Batch("b", DAY))
+    with pytest.raises(Exception, match="boom"):
+        layer.write(spark.range(3).selectExpr("if(id = 2, raise_error('boom'), id) as id"), "agencias", failed)
+    with pytest.raises(RuntimeError, match="agencias"):
+        layer.commit(failed, ("agencias",))
+    assert layer.read("agencias", Batch("b", DAY)).count() == 2
+
+
+def test_counts_come_from_the_write(spark, tmp_path, monkeypatch):
+    layer = Layer(spark, str(tmp_path), "silver")
+    batch = layer.begin(Batch("b", DAY))
+    rows = spark.range(0, 100, 1, 7).selectExpr("if(id % 10 = 0, null, id) as x", "if(id < 60, 'valid', 'no') as outcome", "cast(null as int) as y")
+    seen = []
+    monkeypatch.setattr(type(spark.read), "parquet", lambda *a, **k: seen.append(a))
+    written = layer.write(rows, "agencias", batch, split_by="outcome", rows_where="outcome = 'valid'", required=("x", "y", "outcome"))
+    assert (written.row_count, written.null_counts, seen) == (60, {"x": 6, "y": 60, "outcome": 0}, [])
+    monkeypatch.undo()
+    assert layer.written("agencias", batch) == written
+    empty = layer.write(rows.where("false"), "cartoes", batch, required=("x",))
+    assert (empty.row_count, empty.null_counts) == (0, {"x": 0})
+    none = layer.write(spark.createDataFrame([], "x int"), "contas", batch, required=("x",))
+    assert (none.row_count, none.null_counts) == (0, {"x": 0})
+
+
+def test_gold_needs_a_committed_silver_batch(spark, tmp_path):
+    job = Job(spark, str(tmp_path / "lake"))
     layer = job.layer("silver")
-    batch = layer.last_committed()
-    layer.begin(batch)
+    batch = layer.begin(Batch("b", DAY))
+    for table in TABLES:
+        layer.write(spark.range(1), table, batch)
     with pytest.raises(FileNotFoundError):
         job.gold()
     with pytest.raises(FileNotFoundError, match="not committed"):
@@ -168,8 +210,60 @@ def test_gold_needs_a_committed_silver_batch(job):
     assert layer.check(batch) == []
 
 
+def test_the_log_is_compacted(spark, tmp_path, monkeypatch):
+    """Any reader opens the hint, one table and the entries after it."""
+    monkeypatch.setattr(batches, "COMPACT_EVERY", 4)
+    log, plain = batches.CommitLog(spark, str(tmp_path / "log")), {}
+    for i in range(19):
+        row = {"batch_id": f"b{i % 7}", "ingestion_date": "2026-09-16", "ingestion_ts": DAY.isoformat(), "attempt": f"a{i}",
+               "committed_at": DAY.isoformat(), "table_name": "agencias", "row_count": i}
+        log.append([row, {**row, "table_name": "contas"}])
+        plain[row["batch_id"]] = (row["attempt"], i)
+        opened = []
+        monkeypatch.setattr(log._files, "read", lambda name, read=type(log._files).read, files=log._files: opened.append(name) or read(files, name))
+        found = batches.newest(log.commits())
+        monkeypatch.undo()
+        monkeypatch.setattr(batches, "COMPACT_EVERY", 4)
+        assert {(r["batch_id"], r["attempt"], r["row_count"]) for r in found.collect()} == {(b, *v) for b, v in plain.items()}
+        assert found.count() == 2 * len(plain) and len(opened) <= 5 and len(found.inputFiles()) <= 1
+
+
+def test_ten_thousand_batches_are_a_few_files(spark, tmp_path, monkeypatch):
+    layer = Layer(spark, str(tmp_path), "bronze")
+    many = spark.range(10_000).select(
+        (F.col("id") + 1).alias("number"), F.format_string("b%05d", "id").alias("batch_id"), F.lit("2026-01-01").alias("ingestion_date"),
+        (F.lit(DAY) + F.make_dt_interval(days=F.col("id").cast("int"))).cast("timestamp_ntz").alias("ingestion_ts"),
+        F.format_string("bronze-%05d", "id").alias("attempt"), F.lit(DAY).cast("timestamp_ntz").alias("committed_at"),
+        F.explode(F.array(*map(F.lit, TABLES))).alias("table_name"), F.lit(1).cast("bigint").alias("row_count"),
+    )
+    layer._log._compact(many, 10_000)
+    later = layer.begin(Batch("new", datetime(2099, 1, 1)))
+    for table in TABLES:
+        layer.write(spark.range(1), table, later)
+    layer.commit(later)
+    reads = []
+    monkeypatch.setattr(layer._log._files, "read", lambda name, read=type(layer._log._files).read, files=layer._log._files: reads.append(name) or read(files, name))
+    assert layer.latest_committed().attempt == later.attempt
+    assert len(reads) == 3 and len(layer.manifest().inputFiles()) <= 1
+    assert layer.manifest().count() == 10_001 * len(TABLES)
+
+
+def test_commits_of_two_processes_get_numbers_of_their_own(spark, tmp_path, monkeypatch):
+    one, two = (batches.CommitLog(spark, str(tmp_path / "log")) for _ in range(2))
+    row = {"batch_id": "b", "ingestion_date": "", "ingestion_ts": DAY.isoformat(), "attempt": "a", "committed_at": DAY.isoformat(),
+           "table_name": "agencias", "row_count": 1}
+    one.append([row])
+    stale, fresh = two._read(), two._read
+    answers = iter([stale])
+    one.append([{**row, "batch_id": "c"}])
+    monkeypatch.setattr(two, "_read", lambda: next(answers, None) or fresh())
+    two.append([{**row, "batch_id": "d"}])
+    assert sorted((r["number"], r["batch_id"]) for r in one.commits().collect()) == [(1, "b"), (2, "c"), (3, "d")]
+
+
 def test_empty_tables_only_warn(spark, tmp_path, caplog):
-    layer, batch = Layer(spark, str(tmp_path), "silver"), Batch("b", DAY)
+    layer = Layer(spark, str(tmp_path), "silver")
+    batch = layer.begin(Batch("b", DAY))
     for table in ("agencias", "cartoes"):
         layer.write(spark.range(0, table == "agencias", 1, 1), table, batch)
     layer.commit(batch, ("agencias", "cartoes"))
@@ -222,16 +316,86 @@ def test_same_batch_published_again_leaves_live_tables_until_the_switch(spark, j
     assert all(spark.table(f"serving_again.{t}").count() == 1 for t in TABLES)
 
 
-def test_a_known_batch_reads_its_own_log_entries(spark, tmp_path):
-    layer = Layer(spark, str(tmp_path), "bronze")
-    for i in range(12):
-        layer.write(spark.range(i), "agencias", Batch(f"b{i}", DAY))
-    entries = layer._read_log("_writes/batch=b3/table=agencias", batches._WRITES)
-    assert len(entries.inputFiles()) == 1
-    assert {f.split("/batch=")[1].split("/")[0] for f in layer.manifest(Batch("b3", DAY)).inputFiles()} == {"b3"}
-    assert layer.read("agencias", Batch("b3", DAY)).count() == 3
-    with pytest.raises(FileNotFoundError):
-        layer.read("agencias", Batch("b99", DAY))
+def test_a_failed_publish_leaves_all_tables_old(spark, job, tmp_path, monkeypatch):
+    """Whichever write fails, all seven names show the old snapshot; after the last one all show the new."""
+    tables, root, name = job._trusted_batch()[1], str(tmp_path / "s"), "serving_switch"
+    one = {t: df.limit(1) for t, df in tables.items()}
+    none = {t: df.limit(0) for t, df in tables.items()}
+    serving.publish_snapshot(spark, one, "v1", name, root)
+
+    def counts():
+        return {spark.table(f"{name}.{t}").count() for t in TABLES}
+
+    assert counts() == {1}
+    plain = serving._as_served
+    for failing in (TABLES[0], TABLES[3], TABLES[-1]):
+        broken = F.expr("raise_error('no')").isNull()
+        with monkeypatch.context() as patch, pytest.raises(Exception, match="no"):
+            patch.setattr(serving, "_as_served", lambda df, t: plain(df, t).where(broken) if t == failing else plain(df, t))
+            serving.publish_snapshot(spark, one | {failing: tables[failing]}, "v2", name, root)
+        assert counts() == {1}
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="pointer"):
+        def refuse(*_):
+            raise RuntimeError("pointer")
+        patch.setattr(serving, "_point_to", refuse)
+        serving.publish_snapshot(spark, none, "v2", name, root)
+    assert counts() == {1}
+    held = spark.table(f"{name}.contas")
+    serving.publish_snapshot(spark, none, "v2", name, root)
+    assert counts() == {0} and held.schema == spark.table(f"{name}.contas").schema
+
+
+def test_views_read_the_current_version_alone(spark, job, tmp_path):
+    tables = job._trusted_batch()[1]
+    for version in ("v1", "v2", "v3"):
+        serving.publish_snapshot(spark, tables, version, "serving_pruned", str(tmp_path / "s"))
+    both = spark.sql("select count(*) from serving_pruned.contas join serving_pruned.clientes using (cliente_id)")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(version") == 2 and "Subquery" in plan
+    assert both.first()[0] == 2
+
+
+class FakeConnection:
+    """A JDBC connection that keeps what it was told and fails at one statement."""
+
+    def __init__(self, fails_at=None):
+        self.calls, self.fails_at = [], fails_at
+
+    def setAutoCommit(self, on):
+        self.calls.append(("auto", on))
+
+    def createStatement(self):
+        return self
+
+    def execute(self, text):
+        if len([c for c in self.calls if c[0] == "sql"]) == self.fails_at:
+            raise RuntimeError("refused")
+        self.calls.append(("sql", text))
+
+    def commit(self):
+        self.calls.append(("commit",))
+
+    def rollback(self):
+        self.calls.append(("rollback",))
+
+    def close(self):
+        self.calls.append(("close",))
+
+
+def test_a_database_switches_in_one_transaction():
+    target = serving.JdbcTarget("jdbc:x", schema="s")
+    statements = target.switch_statements()
+    assert statements[:2] == ["delete from s.transacoes", "delete from s.emprestimos"]
+    assert statements[7].startswith("insert into s.agencias (agencia_id, nome_agencia, cidade,")
+    assert statements[7].endswith(" from s.agencias_staging") and len(statements) == 14
+    done = FakeConnection()
+    serving.run_in_transaction(done, statements)
+    assert done.calls == [("auto", False), *[("sql", text) for text in statements], ("commit",), ("close",)]
+    for at in (0, 7, 13):
+        broken = FakeConnection(at)
+        with pytest.raises(RuntimeError, match="refused"):
+            serving.run_in_transaction(broken, statements)
+        assert broken.calls[-2:] == [("rollback",), ("close",)] and ("commit",) not in broken.calls
 
 
 def test_command_line_connections(tmp_path, monkeypatch):
@@ -244,7 +408,7 @@ def test_command_line_connections(tmp_path, monkeypatch):
     assert (read["user"], read["password"], read["driver"]) == ("reader", "a=b", "org.example.Driver")
     assert (read["fetchsize"], read["numPartitions"], read["partitionColumn"]) == ("50", "3", "conta_id")
     write = target.options("contas")
-    assert (write["url"], write["dbtable"], write["truncate"]) == ("jdbc:x:out", "silver.contas", "true")
+    assert (write["url"], write["dbtable"], write["truncate"]) == ("jdbc:x:out", "silver.contas_staging", "true")
     assert (write["batchsize"], write["numPartitions"], write["user"]) == ("7", "3", "reader")
     monkeypatch.setenv("COFRE_JDBC_PASSWORD", "other")
     assert job_module.connections(given)[0].properties["password"] == "other"

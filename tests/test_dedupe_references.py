@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from cofre.operators import dedupe, keysets, references
+from cofre.operators import bloom, dedupe, keysets, references, skew
 from cofre.operators.references import Link
 
 DAY = [datetime(2026, 9, d) for d in range(1, 29)]
@@ -130,31 +130,81 @@ def test_unique_or_fail(spark):
         references.unique_or_fail(twice, "pk").select("pk").collect()
 
 
-def test_hot_join_key_is_split_at_run_time(spark, capsys):
-    """With thresholds scaled down to test size, adaptive execution splits the hot partition."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k) for k in settings}
+def test_hot_join_keys_meet_their_parents_by_broadcast(spark, capsys):
+    """The shuffled side holds no row of a hot key, and the result is that of a plain join."""
+    left = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("ref"), F.hash("id").alias("payload")
+    )
+    right = spark.range(1, 25_000).select(F.col("id").alias("pk"), (F.col("id") * 2).alias("fact"))
+    hot = skew.hot_keys(left, "ref", share=0.05)["ref"]
+    assert 1 in hot and len(hot) <= 20 and None not in hot
+    joined = references.join_many_to_one(left, right, "ref", "pk")
+    assert joined.columns == ["ref", "payload", "fact"]
+    wanted = left.join(right, F.col("ref") == F.col("pk")).select("ref", "payload", "fact")
+    assert joined.count() == wanted.count() and joined.exceptAll(wanted).isEmpty()
+    joined.explain()
+    plan = capsys.readouterr().out
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    assert skew.join_parent(left, right, "ref", "pk", hot=[]).count() == wanted.count()
+
+
+def test_parents_of_hot_keys_that_are_many_are_not_broadcast(spark, monkeypatch, capsys):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 3)
+    left, right = spark.range(100).selectExpr("1 as ref"), spark.range(5).selectExpr("1 as pk", "id")
+    joined = skew.join_parent(left, right, "ref", "pk", hot=[1])
+    assert joined.count() == 500
+    joined.explain()
+    assert "Union" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_bloom_filter_misses_no_key(spark, kind):
+    keys = spark.range(0, 40_000, 2).select(F.col("id").cast(kind).alias("k"))
+    built = bloom.build(keys, [F.col("k")], 20_000)
+    asked = spark.range(-10_000, 50_000).select(F.col("id").cast(kind).alias("k"), "id").withColumn("may", built.may_contain(F.col("k")))
+    even = (F.col("id") % 2 == 0) & F.col("id").between(0, 39_999)
+    counts = asked.agg(F.count_if(even & ~F.col("may")), F.count_if(~even & F.col("may")), F.count_if(~even)).first()
+    assert counts[0] == 0 and counts[1] < 0.05 * counts[2]
+    empty = bloom.build(keys.limit(0), [F.col("k")], 0)
+    assert keys.where(empty.may_contain(F.col("k"))).isEmpty()
+
+
+def test_beyond_the_bound_only_possible_matches_are_exchanged(spark, monkeypatch):
+    """The wide rows of most keys keep out of every exchange; the result stays the same."""
+    monkeypatch.setattr(keysets, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        left = spark.range(0, 200_000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("ref"), F.hash("id").alias("payload")
-        )
-        joined = references.join_many_to_one(left, spark.range(200_000), "ref", "id")
-        assert joined.agg(F.count("payload")).first()[0] == 200_000
-        counted = joined.agg(F.count("payload"))
-        counted.collect()
-        counted.explain()
-        assert "skew=true" in capsys.readouterr().out
+        wide = spark.range(0, 20_000, 1, 4).select(
+            F.when(F.col("id") % 100 == 0, F.col("id") + 1).otherwise(F.col("id")).cast("int").alias("key"), F.col("id").alias("_row_seq"),
+            F.repeat(F.lit("x"), 200).alias("payload"),
+        )
+        wide = wide.unionAll(wide.limit(0)).unionAll(spark.range(3).selectExpr("cast(null as int)", "id", "'none'"))
+        latest, older = dedupe.dedupe_latest(wide, "key")
+        assert (latest.count(), older.count()) == (19_800, 203)
+        execution = latest._jdf.queryExecution()
+        latest.collect()
+        plan = execution.executedPlan().toString()
+        assert "xxhash64" in plan and "Union" in plan
+        repeated = keysets.settle({"r": dedupe.repeated_keys(wide, "key")})["r"]
+        assert repeated.rows == 200
+        passed = wide.where(repeated._filter.may_contain(keysets.wide_key(wide, "key"))).count()
+        assert 400 <= passed < 0.1 * 20_000
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ties_are_found_within_the_key_set(spark, monkeypatch):
+    """No wide row is read again for them, and older copies may tie."""
+    rows = [(1, "a", DAY[1], 5), (1, "b", DAY[1], 5), (2, "c", DAY[1], 1), (2, "d", DAY[1], 1), (2, "e", DAY[2], 0), (3, "f", None, 1), (3, "g", None, 1)]
+    given = spark.createDataFrame(rows, "id int, name string, _ingestion_timestamp timestamp_ntz, _row_seq bigint")
+    found = dedupe.repeated_keys(given, "id")
+    assert {r["_key"]: r["_tied"] for r in found.collect()} == {1: True, 2: False, 3: True}
+    assert keysets.settle({"x": found, "y": found.limit(0)})["x"].tied == 2
+    kept, _ = dedupe.dedupe_latest(given.where("id = 2"), "id")
+    assert names(kept) == ["e"]
+    hot = spark.range(0, 50_000, 1, 8).selectExpr("1 as id", "id div 2 as _row_seq")
+    with pytest.raises(ValueError, match="have id 1"):
+        dedupe.dedupe_latest(hot, "id")
 
 
 def test_rows_that_are_equally_new_are_refused(spark):

@@ -135,7 +135,10 @@ def test_loan_fact_rounds_half_up(schema):
 
 
 def test_reports(schema):
-    facts, given = schema.transaction_rows(), schema.loan_rows()
+    facts, given = reports.transaction_summary(schema.transaction_rows()), reports.loan_summary(schema.loan_rows())
+    assert plain(reports.operation_count(facts)) == [(3,)] and plain(reports.operation_count(facts.limit(0))) == [(0,)]
+    assert plain(reports.loan_overview(given)) == [(3, "100.08", 33.36, 12.0)]
+    assert plain(reports.average_installment(given)) == [(pytest.approx(4.19 / 3),)]
     assert plain(reports.total_volume(facts)) == [("10.30",)]
     assert plain(reports.by_type(facts, schema.tipo)) == [(1, "Pix", 2, "10.20"), (2, "TED", 1, "0.10")]
     assert plain(reports.monthly_transactions(facts, schema.data)) == [(2024, 1, "January", 3, "10.30")]
@@ -144,6 +147,71 @@ def test_reports(schema):
     assert plain(reports.top_customers(given, schema.cliente, k=1)) == [(11, 1, "100.00")]
 
 
+def test_all_reports_read_each_fact_once(spark, schema, tmp_path):
+    """The summaries are kept, so the plans of the ten reports hold no fact."""
+    from cofre.operators.keysets import kept
+
+    schema.transaction_rows().write.parquet(str(tmp_path / "moves"))
+    schema.loan_rows().write.parquet(str(tmp_path / "loans"))
+    moves, given = (spark.read.parquet(str(tmp_path / name)) for name in ("moves", "loans"))
+    dims = {"dim_tipo_transacao": schema.tipo, "dim_data": kept(schema.data), "dim_cliente": kept(schema.cliente)}
+    built = reports.build_all(kept(reports.transaction_summary(moves)), kept(reports.loan_summary(given)), dims)
+    assert len(built) == 10
+    assert all("parquet" not in df._jdf.queryExecution().optimizedPlan().toString().lower() for df in built.values())
+    assert all(not df.isEmpty() for df in built.values())
+
+
+def test_a_hot_account_is_spread(spark):
+    """With a third of the transactions at one account, no task holds more than twice an even share."""
+    n, parts = 60_000, 8
+    for key, value in {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, n, 1, parts).select(
+            F.col("id").alias("transacao_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("conta_origem_id"),
+            F.when(F.col("id") % 3 == 1, 9).otherwise(F.col("id") * 7 % 5000).alias("conta_destino_id"), F.lit(1).alias("tipo_transacao_id"),
+            F.lit(1).cast("decimal(15,2)").alias("valor"), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("data_hora"),
+        )
+        accounts = spark.range(5000).select(F.col("id").alias("conta_id"), F.col("id").alias("conta_sk"), F.col("id").alias("cliente_id"))
+        people = spark.range(5000).select(F.col("id").alias("cliente_id"), F.col("id").alias("cliente_sk"))
+        days = F.broadcast(spark.sql("select date'2024-01-01' as data, 1 as data_sk"))
+        types = F.broadcast(spark.sql("select 1 as tipo_transacao_id, 1 as tipo_transacao_sk"))
+        fact = star.fato_transacao_rows(rows, people, accounts, days, types)
+        assert fact.count() == n and fact.where("conta_origem_sk <> cliente_sk").isEmpty()
+        sizes = [r["count"] for r in fact.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * n / parts, sizes
+        joined = rows.join(accounts, F.col("conta_origem_id") == F.col("conta_id"))
+        assert max(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()) > 2 * n / parts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unique_integers_are_counted_in_bitmaps(spark):
+    """Dense keys send bitmaps, sparse and repeated ones are grouped; the counts are those of grouping."""
+    n = 70_000
+    models = {
+        "dense": spark.range(-5, n, 1, 2).select(F.col("id").alias("a"), (F.col("id") * 10**13).alias("b"), (F.col("id") % 60_000).alias("c")),
+        "text": spark.range(100).selectExpr("cast(id % 90 as string) as t", "if(id < 3, null, id) as u"),
+    }
+    columns = {"dense": ("a", "b", "c"), "text": ("t", "u")}
+    found = contracts.unique(models, columns)
+    assert {(r["model"], r["column"]): r["violations"] for r in found.collect()} == {
+        ("dense", "a"): 0, ("dense", "b"): 0, ("dense", "c"): 10_000, ("text", "t"): 10, ("text", "u"): 0,
+    }
+    stacked = contracts._stacked(models["dense"], {0: "a", 1: "b", 2: "c"}, "bigint")
+    assert sorted(contracts._dense(stacked)) == [0, 2]
+    for column in ("a", "b", "c"):
+        exact = models["dense"].agg(F.count(F.lit(1)), F.count_distinct(column)).first()
+        assert tuple(contracts.uniqueness_counts(models["dense"], column).first()) == tuple(exact)
+    counted = contracts.uniqueness_counts(models["dense"], "a")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "hashpartitioning(value" not in plan
+    assert tuple(contracts.uniqueness_counts(models["text"], "u").first()) == (100, 97)
+    assert tuple(contracts.uniqueness_counts(models["text"].where("false"), "u").first()) == (0, 0)
+
+
 def test_contracts_count_violations(spark):
     models = {
         "child": spark.createDataFrame([(1, 1), (1, 2), (2, 9), (2, 9), (None, None)], "id int, ref int"),

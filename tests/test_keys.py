@@ -79,3 +79,25 @@ def test_append_with_a_hot_natural_key(spark):
     got = keys.append_new_natural_keys(existing, incoming, "code", "id")
     assert got.count() == 6_001
     assert got.where("code = 'hot'").first()["id"] == 0
+
+
+def test_sparse_and_text_keys_are_numbered_by_ranges(spark, capsys):
+    """Random 63-bit keys and texts: one row per range in the offsets, no bucket per row, no single window over the rows."""
+    spread = spark.range(20_000).select(F.xxhash64("id").bitwiseAND(F.lit(2**63 - 1)).alias("k")).distinct()
+    texts = spread.select(F.hex("k").alias("k"))
+    for rows in (spread, texts):
+        numbered = keys.add_surrogate_key(rows, "k", "sk", first=5)
+        numbered.explain()
+        plan = capsys.readouterr().out
+        assert "_bucket" not in plan and plan.count("Window") == 1 and "_range" in plan
+        got = [r["sk"] for r in numbered.orderBy("k").collect()]
+        assert got == list(range(5, len(got) + 5)) and len(got) == rows.count()
+        assert numbered.columns == ["k", "sk"]
+    few = spark.createDataFrame([("b",), ("a",), ("ä",), ("",)], "k string")
+    assert sorted(map(tuple, keys.add_surrogate_key(few, "k", "sk").collect())) == [("", 1), ("a", 2), ("b", 3), ("ä", 4)]
+    assert keys.add_surrogate_key(few.limit(0), "k", "sk").collect() == []
+
+
+def test_spans_count_their_keys(spark):
+    df = spark.createDataFrame([(3,), (None,), (-7,)], "k int")
+    assert keys.key_spans({"a": (df, "k"), "b": (df.limit(0), "k")}) == {"a": (-7, 3, 2), "b": (0, 0, 0)}

@@ -249,3 +249,17 @@ def test_columns_outside_the_contract_do_not_get_in_the_way(spark):
     raw = spark.createDataFrame([(1, "A", "R", 0)], SCHEMAS["agencias"] + ", _row_seq bigint")
     trusted = silver.Trusted({"agencias": raw.withColumn("extra", F.lit(1))}, ["agencias"])
     assert trusted.rows("agencias").columns == ["agencia_id", "nome_agencia", "cidade"]
+
+
+def test_rows_that_are_equally_new_are_refused(spark):
+    """Neither of two rows of a key, or of a CPF, that tie on time and position may win."""
+    schema = SCHEMAS["agencias"] + ", _ingestion_timestamp timestamp_ntz, _row_seq bigint"
+    tied = spark.createDataFrame([(1, "A", "X", NEW, 4), (1, "B", "X", NEW, 4), (2, "C", "Y", OLD, 0)], schema)
+    prepared = {"agencias": silver.prepare(tied, "agencias")}
+    with pytest.raises(ValueError, match="agencia_id 1"):
+        silver.settle_repeated(prepared)
+    schema = SCHEMAS["clientes"] + ", _ingestion_timestamp timestamp_ntz, _row_seq bigint"
+    people = [(1, "A", "11111111111", OLD, NEW, 4), (2, "B", "111.111.111-11", OLD, NEW, 4)]
+    prepared = silver.prepare(spark.createDataFrame(people, schema), "clientes")
+    with pytest.raises(ValueError, match="cpf 11111111111"):
+        silver.tag_clientes(prepared, silver.settle_repeated({"clientes": prepared})["clientes"], {})

@@ -5,21 +5,31 @@ repeat are one repeated group, elements that only some pages have are optional,
 slots. Wrappers are inferred by alignment: two wrappers (a page is the simplest) are matched element by element
 along their longest common subsequence; what is left over becomes optional. Every page takes part: tasks fold the pages
 they hold into one wrapper per host, and these are folded again, first in salted parts, then per host, so a host with
-a third of all pages is one wrapper per task. A wrapper's size depends on the pages' layouts, not on their number.
+a third of all pages is one wrapper per task.
+
+Elements are matched by tag and names. Names with digits are generated and don't count, and where a level still has more than
+:data:`WIDEST` different elements, those that the fewest pages have are matched by their tag alone. So a wrapper's size depends on the
+pages' layouts, not on their number.
 
 The wrapper tells in which element of a host's pages the article is: the one that says so by its name, else the one
-that holds most of the text outside links. From there the text of each page is read, without the parts that tag, role
-or class names give as menus, headers, footers, sidebars, notices, adverts, forms or comments.
+that holds most of the text outside links. It also tells which texts in there are the same on all pages: those are the template's, not the
+article's. A page is read along the wrapper's elements: texts in slots are given, texts of the template are left out, if the wrapper
+stands for at least :data:`TEMPLATE_PAGES` pages and the template isn't most of the page (copies of one article). Parts that
+tag, role or class names give as menus, headers, footers, sidebars, notices, adverts, forms or comments are left out,
+unless next to nothing would remain.
 
 Defined results: null and empty pages have an empty text. A null address belongs to the host without name. A page
 without the host's element is judged by its own tree. Elements that are not closed end with their parent, and an
-article also ends a part that was to be left out. Repeated rows are extracted each; other columns are not read.
+article also ends a part that was to be left out. Elements nested deeper than :data:`DEEPEST` part blocks but are no elements of their own for the
+wrapper; their text is kept. Texts of any length are read whole. Repeated rows are extracted each; of equally fitting elements the first
+counts. An empty table gives no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
@@ -32,8 +42,12 @@ from pyspark.sql import functions as F
 from cofre.llm.common import Scratch, bounded
 
 SALTS = 16
-#: Longest group of neighbours that is sought as a repetition.
-LONGEST_GROUP = 3
+#: Levels of elements that a wrapper tells apart.
+DEEPEST = 100
+#: Different elements of a level that are told apart by their names.
+WIDEST = 64
+#: Pages that must agree on a text for it to be the template's.
+TEMPLATE_PAGES = 5
 
 # Elements that part text into blocks, that have no content, whose content is no markup, and that hold no
 # part of an article.
@@ -52,6 +66,13 @@ DROPPED_NAMES = frozenset(
     "notices alert newsletter subscribe subscription signup popup modal overlay share sharing social related comment "
     "comments reply replies respond disqus login search widget toolbar pagination pager skip tracking paywall".split()
 )
+# Words that say nothing about what an element holds, and words that say that it merely has such a part.
+GENERAL_NAMES = frozenset(
+    "area bar block body bottom box btn button buttons col column container content control desktop fixed footer global group header holder icon "
+    "icons inner item items left link links list main menu mobile module nav outer page panel primary right row secondary section site slot "
+    "sticky text title top unit wrap wrapper zone".split()
+)
+PART_NAMES = frozenset("has with without no hide show is after before above below".split())
 ARTICLE_NAMES = frozenset("article articlebody post entry story content maincontent".split())
 NAMELESS = ("div", "section", "td", "center")
 LINE_TAGS = ("p", "li", "dt", "dd", "tr", "td", "th")
@@ -68,12 +89,15 @@ _NAME_PARTS = re.compile(r"[a-zA-Z]+")
 
 @dataclass
 class Element:
-    """An element of a page. ``sign`` is its tag with class, id, role and itemprop words; items are elements and texts."""
+    """An element of a page. ``sign`` is its tag with class, id, role and itemprop words; items are elements, texts and None, which
+    parts two blocks. ``named``: dropped for its names alone. ``chars``: text outside links and dropped tags."""
 
     tag: str
     sign: str
     dropped: bool
+    named: bool = False
     items: list = field(default_factory=list)
+    chars: int = 0
 
     @property
     def key(self) -> str:
@@ -81,42 +105,68 @@ class Element:
         if self.sign not in NAMELESS:
             return self.sign
         inner = sorted({x.sign for x in self.items if isinstance(x, Element)})
-        return f"{self.sign}({' '.join(inner)})"
+        return f"{self.sign}({' '.join(inner)})" if len(inner) <= WIDEST else self.sign
+
+
+def _unwanted(token: str, inside_article: bool) -> bool:
+    """A class or id names a part that isn't the article's: by its last word, or by its first if the others are general."""
+    words = _NAME_PARTS.findall(token)
+    if not words or words[0] in PART_NAMES:
+        return False
+    for word, others in ((words[-1], words[:-1]), (words[0], words[1:])):
+        if word in DROPPED_NAMES and not (word == "header" and inside_article):
+            if word is words[-1] and not ({"content", "article", "and"} & set(others)):
+                return True
+            if GENERAL_NAMES.issuperset(others):
+                return True
+    return False
 
 
 def _open(tag: str, attributes: str, inside_article: bool) -> Element:
-    names: list[str] = []
+    names: set[str] = set()
     dropped = tag in DROPPED_TAGS or (tag == "header" and not inside_article)
+    named = False
     for kind, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        value = next(filter(None, values), "").lower()
-        words = _NAME_PARTS.findall(value)
-        names += words
+        tokens = next(filter(None, values), "").lower().split()
+        for token in tokens:
+            if not any(c.isdigit() for c in token):
+                names.update(_NAME_PARTS.findall(token))
         if kind.lower() == "role":
-            dropped |= value in DROPPED_ROLES and not (inside_article and value == "banner")
+            dropped |= bool(DROPPED_ROLES.intersection(tokens)) and not (inside_article and tokens == ["banner"])
         elif kind.lower() != "itemprop":
-            unwanted = DROPPED_NAMES.intersection(words)
-            dropped |= bool(unwanted) and not (inside_article and unwanted <= {"header"})
+            named |= any(_unwanted(token, inside_article) for token in tokens)
     if tag in ("html", "body", "article", "main"):
-        dropped = False
-    return Element(tag, " ".join([tag, *sorted(set(names))]), dropped)
+        dropped = named = False
+    return Element(tag, " ".join([tag, *sorted(names)]), dropped or named, named and not dropped)
 
 
 def parse(html: str | None) -> Element:
     """The block elements of a page with their texts; (text, True) is a text in a link."""
     html = html or ""
     root = Element("html", "html", False)
-    stack = [root]
+    stack, opened, dropping = [root], Counter(), []  # open elements, how many of each tag, and where dropped ones are
+    named: list[Element] = []
     at, size, links, articles = 0, len(html), 0, 0
 
     def close(depth: int) -> None:
         nonlocal articles
-        for gone in stack[depth:]:
+        while len(stack) > depth:
+            gone = stack.pop()
+            opened[gone.tag] -= 1
             articles -= gone.tag in ("article", "main")
-        del stack[depth:]
+            if dropping and dropping[-1] == len(stack):
+                dropping.pop()
+            if not gone.dropped or gone.named:
+                stack[-1].chars += gone.chars
+            if len(stack) > DEEPEST:
+                stack[-1].items.append(None)
 
     def add_text(text: str) -> None:
         if text:
-            stack[-1].items.append((unescape(text) if "&" in text else text, links > 0))
+            whole = unescape(text) if "&" in text else text
+            stack[-1].items.append((whole, links > 0))
+            if not links and not whole.isspace():
+                stack[-1].chars += len(whole)
 
     for found in _TOKEN.finditer(html):
         if found.start() < at:
@@ -129,11 +179,11 @@ def parse(html: str | None) -> Element:
         if found["end"] or found["end2"]:
             if tag == "a":
                 links = max(links - 1, 0)
-            elif tag in BLOCKS or tag in DROPPED_TAGS:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag == tag:
-                        close(depth)
-                        break
+            elif opened[tag]:
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                close(depth)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -146,77 +196,128 @@ def parse(html: str | None) -> Element:
             continue
         elif (tag in BLOCKS or tag in DROPPED_TAGS) and tag not in ("html", "body"):
             if tag in ("article", "main"):
-                for depth, opened in enumerate(stack):
-                    if opened.dropped:
-                        close(depth)
-                        break
+                if dropping:
+                    close(dropping[0])
                 articles += 1
             if stack[-1].tag == "p" or (tag in LINE_TAGS and stack[-1].tag == tag):
                 close(len(stack) - 1)
             links = 0
             element = _open(tag, found["rest"] or found["rest2"] or "", articles > 0)
-            stack[-1].items.append(element)
+            if len(stack) <= DEEPEST:
+                stack[-1].items.append(element)
+            elif not element.dropped:  # its texts are those of the deepest element that counts
+                stack[-1].items.append(None)
+                element.items = stack[-1].items
+            if element.dropped:
+                dropping.append(len(stack))
+            if element.named:
+                named.append(element)
             stack.append(element)
+            opened[tag] += 1
     add_text(html[at:])
+    close(1)
+    _rescue(root, named)
     return root
 
 
+def _rescue(root: Element, named: list[Element]) -> None:
+    """If next to nothing would remain, names were misread, and the elements with half of the text and more stay."""
+    remaining = root.chars - sum(x.chars for x in _outermost(root))
+    if named and remaining < 0.2 * root.chars:
+        for element in named:
+            if 2 * element.chars >= root.chars:
+                element.dropped = element.named = False
+
+
+def _outermost(element: Element) -> Iterator[Element]:
+    """Elements that are dropped for their names and lie in no other dropped one."""
+    for item in element.items:
+        if isinstance(item, Element):
+            if item.named:
+                yield item
+            elif not item.dropped:
+                yield from _outermost(item)
+
+
 # Wrappers. A node is a dict: sign, tag, drop, rep, opt, n (pages), chars (outside links), text (hash of the constant
-# text, "" for none, null for a slot), items.
+# text, "" for none, null for a slot), same (hashes of texts that all its pages have), items.
 
 
 def _mark(text: str) -> str:
     return blake2b(" ".join(text.split()).encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
 
 
+def _own_text(element: Element) -> str:
+    return "".join(x[0] for x in element.items if isinstance(x, tuple))
+
+
 def wrap(element: Element) -> dict:
     """The wrapper of one page."""
-    plain = [t for t, link in (x for x in element.items if isinstance(x, tuple)) if not link and not t.isspace()]
-    words = "".join(t for t, _ in (x for x in element.items if isinstance(x, tuple)))
-    node = {
+    plain = [x[0] for x in element.items if isinstance(x, tuple) and not x[1] and not x[0].isspace()]
+    words = _own_text(element)
+    mark = _mark(words) if words.strip() else ""
+    return {
         "key": element.key, "sign": element.sign, "tag": element.tag, "drop": element.dropped, "rep": False, "opt": False, "n": 1,
-        "chars": sum(map(len, plain)), "text": _mark(words) if words.strip() else "",
+        "chars": sum(map(len, plain)), "text": mark, "same": [mark] if mark else [],
         "items": fold([wrap(x) for x in element.items if isinstance(x, Element)]),
     }
-    return node
 
 
 def fold(items: list[dict]) -> list[dict]:
     """Neighbours that repeat become one repeated group."""
-    for size in range(1, LONGEST_GROUP + 1):
-        found: list[dict] = []
-        signs: list[str] = []
-        at = 0
-        while at < len(items):
-            group = [x["key"] for x in items[at : at + size]]
-            if size > 1 and len(group) == size and group == [x["key"] for x in items[at + size : at + 2 * size]]:
-                node = _group(items[at : at + size])
-                at += size
-                while [x["key"] for x in items[at : at + size]] == group:
-                    node = merge(node, _group(items[at : at + size]), within=True)
-                    at += size
-                found.append(node | {"rep": True})
-                signs.append(node["key"])
-                continue
-            if size == 1 and signs and signs[-1] == group[0]:
+    items = _fold_groups(items, 1)
+    if len(items) > WIDEST:
+        items = _fold_groups(_general(items), 1)
+    size = 2
+    while 2 * size <= len(items):
+        items = _fold_groups(items, size)
+        size += 1
+    return items
+
+
+def _general(items: list[dict]) -> list[dict]:
+    """So many items with the fewest pages are matched by their tag alone that at most :data:`WIDEST` others are left."""
+    few = sorted(range(len(items)), key=lambda i: items[i]["n"])[: len(items) - WIDEST]
+    few = {i for i in few if items[i]["tag"]}
+    return [x | {"key": x["tag"]} if i in few else x for i, x in enumerate(items)]
+
+
+def _fold_groups(items: list[dict], size: int) -> list[dict]:
+    keys = [x["key"] for x in items]
+    found: list[dict] = []
+    at = 0
+    while at < len(items):
+        if size == 1:
+            if found and found[-1]["key"] == keys[at]:
                 found[-1] = merge(found[-1], items[at], within=True) | {"rep": True}
             else:
                 found.append(items[at])
-                signs.append(group[0])
             at += 1
-        items = found
-    return items
+            continue
+        group = keys[at : at + size]
+        if len(group) < size or group != keys[at + size : at + 2 * size]:
+            found.append(items[at])
+            at += 1
+            continue
+        node = _group(items[at : at + size])
+        at += size
+        while keys[at : at + size] == group:
+            node = merge(node, _group(items[at : at + size]), within=True)
+            at += size
+        found.append(node | {"rep": True})
+    return found
 
 
 def _group(items: list[dict]) -> dict:
     key = "(" + " ".join(x["key"] for x in items) + ")"
-    return {"key": key, "sign": key, "tag": "", "drop": False, "rep": False, "opt": False, "n": 1, "chars": 0, "text": "", "items": items}
+    return {"key": key, "sign": key, "tag": "", "drop": False, "rep": False, "opt": False, "n": 1, "chars": 0, "text": "", "same": [], "items": items}
 
 
 def merge(a: dict, b: dict, within: bool = False) -> dict:
     """One wrapper for both; ``within`` one page, neighbours are joined and count as one page."""
+    same = set(a["same"]) | set(b["same"]) if within else set(a["same"]) & set(b["same"])
     return {
-        "key": a["key"], "sign": a["sign"], "tag": a["tag"], "drop": a["drop"], "rep": a["rep"] or b["rep"], "opt": a["opt"] or b["opt"],
+        "key": a["key"], "sign": a["sign"], "tag": a["tag"], "drop": a["drop"] and b["drop"], "same": sorted(same), "rep": a["rep"] or b["rep"], "opt": a["opt"] or b["opt"],
         "n": max(a["n"], b["n"]) if within else a["n"] + b["n"], "chars": a["chars"] + b["chars"],
         "text": a["text"] if a["text"] == b["text"] else None, "items": align(a["items"], b["items"], within),
     }
@@ -287,6 +388,36 @@ def region(wrapper: dict) -> str:
         node = best
 
 
+def _place(path: str, mark: str) -> str:
+    return _mark(f"{path} {mark}")
+
+
+def template(wrapper: dict, key: str) -> list[str]:
+    """Texts that all pages have at the same place inside the element with ``key``, each as a digest of place and text."""
+    found: set[str] = set()
+
+    def inside(node: dict, path: str) -> None:
+        if node["drop"]:
+            return
+        if node["tag"]:
+            path = f"{path}>{node['key']}"
+            if node["n"] >= max(TEMPLATE_PAGES, wrapper["n"] / 2):
+                found.update(_place(path, mark) for mark in node["same"])
+        for item in node["items"]:
+            inside(item, path)
+
+    def seek(node: dict) -> None:
+        if node["key"] == key and node["tag"]:
+            inside(node, "")
+        elif not node["drop"]:
+            for item in node["items"]:
+                seek(item)
+
+    if wrapper["n"] >= TEMPLATE_PAGES:
+        seek(wrapper)
+    return sorted(found)
+
+
 def _find(element: Element, key: str) -> Iterator[Element]:
     for item in element.items:
         if isinstance(item, Element) and not item.dropped:
@@ -296,37 +427,50 @@ def _find(element: Element, key: str) -> Iterator[Element]:
                 yield from _find(item, key)
 
 
-def _blocks(element: Element, pieces: list[str]) -> None:
-    """Texts of blocks; None parts two blocks."""
+def _blocks(element: Element, path: str, constant: frozenset[str], pieces: list[tuple[str | None, bool]]) -> None:
+    """(text, whether it is the template's) of blocks; a text of None parts two blocks."""
+    path = f"{path}>{element.key}" if constant else ""
+    words = _own_text(element) if constant else ""
+    is_template = bool(words.strip()) and _place(path, _mark(words)) in constant
     for item in element.items:
         if isinstance(item, tuple):
-            pieces.append(item[0])
+            pieces.append((item[0], is_template))
+        elif item is None:
+            pieces.append((None, False))
         elif not item.dropped:
-            pieces.append(None)
-            _blocks(item, pieces)
-            pieces.append(None)
+            pieces.append((None, False))
+            _blocks(item, path, constant, pieces)
+            pieces.append((None, False))
+
+
+def _lines(pieces: list[tuple[str | None, bool]]) -> Iterator[str]:
+    block: list[str] = []
+    for piece, _ in [*pieces, (None, False)]:
+        if piece is None:
+            if line := " ".join("".join(block).split()):
+                yield line
+            block = []
+        else:
+            block.append(piece)
 
 
-def main_text(html: str | None, key: str | None) -> str:
-    """The text of a page from the elements with the host's key, else with that of its own wrapper."""
+def main_text(html: str | None, key: str | None, constant: frozenset[str] = frozenset()) -> str:
+    """The text of a page from the elements with the host's key, without the template's ``constant`` texts, else with the key of
+    its own wrapper."""
     page = parse(html)
     found = [page] if key == page.key else list(_find(page, key)) if key else []
     if not found:
-        own = region(wrap(page))
+        own, constant = region(wrap(page)), frozenset()
         found = [page] if own == page.key else list(_find(page, own))
-    blocks: list[str] = []
+    lines: list[str] = []
     for element in found:
-        pieces: list[str | None] = []
-        _blocks(element, pieces)
-        block: list[str] = []
-        for piece in [*pieces, None]:
-            if piece is None:
-                if line := " ".join("".join(block).split()):
-                    blocks.append(line)
-                block = []
-            else:
-                block.append(piece)
-    return "\n".join(blocks)
+        pieces: list[tuple[str | None, bool]] = []
+        _blocks(element, "", constant, pieces)
+        sizes = [(len(text.strip()), fixed) for text, fixed in pieces if text]
+        if 2 * sum(n for n, fixed in sizes if fixed) <= sum(n for n, _ in sizes):
+            pieces = [("" if fixed else text, False) for text, fixed in pieces]
+        lines.extend(_lines(pieces))
+    return "\n".join(lines)
 
 
 def host_of(url: Column) -> Column:
@@ -381,21 +525,24 @@ def infer_wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataF
 
 def _regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"host": batch["host"], "place": [region(json.loads(x)) for x in batch["wrapper"]]})
+        wrappers = [json.loads(x) for x in batch["wrapper"]]
+        places = [region(x) for x in wrappers]
+        texts = [template(x, place) for x, place in zip(wrappers, places, strict=True)]
+        yield pd.DataFrame({"host": batch["host"], "place": places, "constant": texts})
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        texts = [main_text(html, place) for html, place in zip(batch.pop("html"), batch.pop("place"), strict=True)]
-        yield batch.assign(text=texts)
+        given = zip(batch.pop("html"), batch.pop("place"), batch.pop("constant"), strict=True)
+        yield batch.assign(text=[main_text(html, place, frozenset(() if texts is None else texts)) for html, place, texts in given])
 
 
 def extract_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of ``df``: key, url, text."""
     scratch = Scratch(df.sparkSession, "html")
     wrappers = scratch.write(infer_wrappers(df, url, html), "wrappers")
-    places = scratch.write(wrappers.mapInPandas(_regions, "host string, place string"), "regions")
-    places = bounded(places.withColumnRenamed("host", "its_host"), places.count())
+    places = scratch.write(wrappers.mapInPandas(_regions, "host string, place string, constant array<string>"), "regions")
+    places = bounded(places.withColumnRenamed("host", "its_host"))
     pages = df.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
     joined = pages.join(places, host_of(F.col("url")) == F.col("its_host"), "left").drop("its_host")
     kinds = [df.schema[c].dataType.simpleString() for c in (key, url)]

@@ -5,14 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cofre.operators import bloom
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Most rows of a counted, narrow table that are broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 200_000
+#: Most rows, and most bytes when written out, of a table that is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -72,9 +75,33 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast when its counted ``rows`` allow it, else as it is."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def weigh(df: DataFrame) -> tuple[int, bool]:
+    """The rows of ``df``, and whether they are few and short enough for a broadcast."""
+    written = df.select(F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns]))).cast("long").alias("n")) if df.columns else df
+    found = written.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("bytes")).first()
+    return found["rows"], found["rows"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast when its measured size allows it, else as it is."""
+    return F.broadcast(df) if weigh(df)[1] else df
+
+
+def join_few(wide: DataFrame, few: DataFrame, on: list[tuple[Column, str]], how: str = "inner") -> DataFrame:
+    """Wide rows joined (inner or left_semi) with ``few`` narrow ones on equal or equally null values: by broadcast, or
+    beyond its bound by a shuffle of those wide rows that a Bloom filter of the others lets through.
+
+    ``on``: values of ``wide`` and the columns of ``few`` they must equal, of one type.
+    """
+    same = reduce(Column.__and__, [value.eqNullSafe(F.col(name)) for value, name in on])
+    rows, small = weigh(few)
+    if small:
+        return wide.join(F.broadcast(few), same, how)
+    return wide.where(_possible(few, on, rows)).join(few, same, how)
+
+
+def _possible(few: DataFrame, on: list[tuple[Column, str]], rows: int) -> Column:
+    return bloom.build(few, [F.col(name) for _, name in on], rows).may_contain(*[value for value, _ in on])
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -89,21 +116,28 @@ def without(df: DataFrame, rows: DataFrame, key: str, row_hash: Column, how: str
     """The rows of ``df`` that are not among ``rows`` (key, row_hash), or with ``left_semi`` those that are."""
     key_name, hash_name = free_name(df, "_key"), free_name(df, "_hash")
     sought = rows.select(F.col("key").alias(key_name), F.col("row_hash").alias(hash_name)).distinct()
+    on = [(df[key], key_name), (row_hash, hash_name)]
+    if how == "left_semi":
+        return join_few(df, sought, on, how)
     same = df[key].eqNullSafe(F.col(key_name)) & (row_hash == F.col(hash_name))
-    return df.join(bounded(sought, sought.count()), same, how)
+    n_rows, small = weigh(sought)
+    if small:
+        return df.join(F.broadcast(sought), same, how)
+    possible = _possible(sought, on, n_rows)
+    return df.where(possible).join(sought, same, how).unionAll(df.where(~possible))
 
 
 def keep_rows(df: DataFrame, decisions: DataFrame, key: str, row_hash: Column) -> DataFrame:
     """The rows of ``df`` that stay, with all its columns as they were.
 
     ``decisions``: key, row_hash, kept, a row for each row of ``df``. Rows that go are looked up, as they are the fewer. Of
-    repeated rows of which one stays, one stays.
+    repeated rows of which only some stay, one stays; of those that all stay, all do.
     """
     scratch = Scratch(df.sparkSession, "decisions")
-    pairs = decisions.groupBy("key", "row_hash").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    odd = scratch.write(pairs.where("not kept or n > 1"), "odd")
-    stays = without(df, odd.where("not kept"), key, row_hash)
-    repeated = odd.where("kept")
+    pairs = decisions.groupBy("key", "row_hash").agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = scratch.write(pairs.where("kept < n"), "odd")
+    stays = without(df, odd.where("kept = 0"), key, row_hash)
+    repeated = odd.where("kept > 0")
     if repeated.isEmpty():
         return stays
     once = without(stays, repeated, key, row_hash)

@@ -7,20 +7,23 @@ Matches on one diagonal (the same distance between place in document and place i
 each slot value of the item must stand for one value in the document, and each name in the document for one of the
 item. Windows with a pair of values against this are left out, unless all values in them are the item's own. A
 document is contaminated by an item when consistent matches cover the share ``coverage`` of the item's windows, or
-``enough`` windows in a row of places.
+``enough`` windows of one diagonal.
 
 A window with fewer than ``min_plain`` words that are no placeholders is found by its words with their values; beside a
 window found by its template on the same diagonal its template will do. The first window of an item is also sought with
 its first word as a name, as a copy inside a sentence has it; that word must then be the same.
 
-Only DataFrame operations. The items' windows are broadcast while counted and small, else joined by shuffle. Wide
+Only DataFrame operations, and one pass over the texts for windows of all sizes. The items' windows are broadcast while measured and small,
+else a Bloom filter of them goes ahead and only windows that may match are shuffled. Wide
 texts are not shuffled: only documents with matches are read again for their slot values. A passage that stands in a
 third of all documents gives matches per document; all grouping is by document, item and diagonal, whose size the
 item bounds.
 
 Defined results: null and empty texts match nothing; an item with fewer than ``min_plain`` words that are no
-placeholders is found where its words stand with its values, however few they are; an item shorter than a window is one window of its own size. Repeated rows and equal items are
-reported once per key and item; null keys are reported like any other. Other columns are not read.
+placeholders is found where its words stand with its values; an item shorter than a window is one window of its own size, and one of
+fewer than ``least_words`` words is common speech and is not sought. Texts of any length are read whole. Repeated rows and equal items are
+reported once per key and item, however often an item matches; null keys are reported like any other. An empty table gives no
+rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -30,10 +33,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded, without
+from cofre.llm.common import Scratch, bounded, join_few, without
 
 WINDOW = 8
 MIN_PLAIN = 4
+LEAST_WORDS = 5
 COVERAGE = 0.5
 ENOUGH = 6
 
@@ -95,7 +99,7 @@ def _marks(kinds: Column, values: Column, size: int, min_plain: int) -> Column:
     return F.transform(places, lambda i: _mark(F.slice(kinds, i + 1, size), F.slice(values, i + 1, size), min_plain))
 
 
-def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain: int) -> DataFrame:
+def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain: int, least_words: int = LEAST_WORDS) -> DataFrame:
     """item, size, place, mark, shape, dense, named, slots: the windows of the items.
 
     shape: the hash of the template. dense: found by their values. named: the first window once more, with the first word
@@ -110,7 +114,7 @@ def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain:
     )
     rows = lines.select("item", F.explode(F.array_compact(both)).alias("form")).select("item", "form.*").distinct()
     rows = rows.select("item", "named", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
-    rows = rows.withColumn("size", F.least(F.lit(window), F.size("kinds")))
+    rows = rows.where(F.size("kinds") >= least_words).withColumn("size", F.least(F.lit(window), F.size("kinds")))
     last = F.when(F.col("named"), 0).otherwise(F.size("kinds") - F.col("size"))
     rows = rows.withColumn("place", F.explode(F.sequence(F.lit(0), last)))
     part = F.slice("kinds", F.col("place") + 1, F.col("size"))
@@ -127,32 +131,33 @@ def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain:
 
 def contaminations(
     docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item: str = "item_id",
-    window: int = WINDOW, min_plain: int = MIN_PLAIN, coverage: float = COVERAGE, enough: int = ENOUGH,
+    window: int = WINDOW, min_plain: int = MIN_PLAIN, coverage: float = COVERAGE, enough: int = ENOUGH, least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """key, row_hash, item, matched, windows: a row for each document and item found in it."""
     scratch = Scratch(docs.sparkSession, "decontamination")
-    known = scratch.write(item_windows(items, item_text, item, window, min_plain), "items")
+    known = scratch.write(item_windows(items, item_text, item, window, min_plain, least_words), "items")
     sizes = sorted(row["size"] for row in known.select("size").distinct().collect())  # at most ``window`` numbers
-    n_known = known.count()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("row_hash"))
 
-    def matched(size: int) -> DataFrame:
-        marks = rows.select("key", "row_hash", slotted(F.col("text")).alias("line"))
-        marks = marks.select("key", "row_hash", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
-        marks = marks.select(
-            "key", "row_hash", F.posexplode(_marks(F.col("kinds"), F.col("values"), size, min_plain)).alias("at", "mark")
-        )
-        sought = known.where(F.col("size") == size).select("item", "place", "mark", "shape", "dense")
-        found = marks.join(bounded(sought, n_known), "mark")
-        return found.select("key", "row_hash", "item", "place", "at", F.lit(size).alias("size"), "shape", "dense")
+    lines = rows.select("key", "row_hash", slotted(F.col("text")).alias("line"))
+    lines = lines.select("key", "row_hash", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
+
+    def windows(size: int) -> Column:
+        """(size, at, mark) of all windows of a size; null where the text is shorter."""
+        marks = _marks(F.col("kinds"), F.col("values"), size, min_plain)
+        return F.transform(marks, lambda mark, i: F.struct(F.lit(size).alias("size"), i.alias("at"), mark.alias("mark")))
 
     columns = ("item", "place", "at", "size", "shape", "dense")
-    none = rows.select("key", "row_hash", *[F.lit(None).alias(c) for c in columns]).where("false")
-    found = scratch.write(reduce(DataFrame.unionByName, map(matched, sizes)).distinct() if sizes else none, "matches")
+    if sizes:
+        every = lines.select("key", "row_hash", F.inline(F.flatten(F.array_compact(F.array(*map(windows, sizes))))))
+        sought = known.select("item", "place", F.col("mark").alias("k_mark"), F.col("size").alias("k_size"), "shape", "dense")
+        met = join_few(every, sought, [(F.col("mark"), "k_mark"), (F.col("size"), "k_size")])
+    else:
+        met = rows.select("key", "row_hash", *[F.lit(None).alias(c) for c in columns]).where("false")
+    found = scratch.write(met.select("key", "row_hash", *columns).distinct(), "matches")
 
     suspects = found.select(F.col("key").alias("s_key"), F.col("row_hash").alias("s_hash")).distinct()
-    suspects = bounded(suspects, suspects.count())
-    read_again = rows.join(suspects, rows["key"].eqNullSafe(F.col("s_key")) & (F.col("row_hash") == F.col("s_hash")), "left_semi")
+    read_again = join_few(rows, suspects, [(rows["key"], "s_key"), (rows["row_hash"], "s_hash")], "left_semi")
     values = read_again.select(
         F.col("key").alias("v_key"), F.col("row_hash").alias("v_hash"), F.split(slotted(F.col("text")), " ").alias("values")
     ).dropDuplicates(["v_key", "v_hash"])
@@ -162,12 +167,12 @@ def contaminations(
     )
     same_item = F.col("item").eqNullSafe(F.col("k_item"))
     at_item = same_item & (F.col("place") == F.col("k_place")) & (F.col("size") == F.col("k_size")) & (F.col("shape") == F.col("k_shape"))
-    direct = found.join(bounded(of_item, n_known), at_item).select(
+    direct = found.join(bounded(of_item), at_item).select(
         "key", "row_hash", "item", "place", (F.col("at") - F.col("place")).alias("diagonal"), "size", "shape", "named", "slots"
     )
     # Beside a window found by its template, those of few plain words may have other values too.
     anchors = found.where("not dense").select("key", "row_hash", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
-    beside = anchors.join(bounded(of_item.where("k_dense and not named"), n_known), same_item).select(
+    beside = anchors.join(bounded(of_item.where("k_dense and not named")), same_item).select(
         "key", "row_hash", "item", F.col("k_place").alias("place"), "diagonal", F.col("k_size").alias("size"),
         F.col("k_shape").alias("shape"), "named", "slots",
     )

@@ -8,8 +8,9 @@ that holds a third of all rows costs one row per task and chunk. A class that fa
 the SHA-256 of the whole texts.
 
 Defined results: a null text counts as empty and all empty texts are equal. Of equal texts the largest key stays, a
-null key loses to any other, and of repeated rows with the same key exactly one stays. Columns other than key and
-text are neither read nor clash with anything.
+null key loses to any other, and of repeated rows with the same key exactly one stays. Texts of any length are hashed and
+compared in chunks. An empty table gives no rows. Columns other than key and text, whatever their names, are neither read
+nor clash with anything.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded, keep_rows, lower_ascii
+from cofre.llm.common import Scratch, bounded, join_few, keep_rows, lower_ascii
 
 #: The two largest primes below 2^31: products of two residues fit a bigint.
 MODULI = (2147483647, 2147483629)
@@ -102,8 +103,8 @@ def fingerprints(
 def collisions(df: DataFrame, members: DataFrame, text: str, key: str) -> DataFrame:
     """Fingerprints (h1, h2, n_bytes) under which texts differ. ``members``: key, row_hash and fingerprint of the texts to compare."""
     whole = df.select(F.col(key).alias("key"), lower_ascii(F.col(text)).alias("norm")).withColumn("row_hash", F.xxhash64("norm"))
-    same_row = [whole["key"].eqNullSafe(members["key"]), whole["row_hash"] == members["row_hash"]]
-    pieces = whole.join(members, same_row).select(
+    sought = members.withColumnsRenamed({"key": "m_key", "row_hash": "m_hash"})
+    pieces = join_few(whole, sought, [(whole["key"], "m_key"), (whole["row_hash"], "m_hash")]).select(
         "h1", "h2", "n_bytes", F.posexplode(chunks(F.col("norm").cast("binary"), COMPARE_BYTES)).alias("chunk_no", "chunk")
     )
     compared = pieces.groupBy("h1", "h2", "n_bytes", "chunk_no").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"))
@@ -119,11 +120,11 @@ def exact_duplicates(
     mark = ["h1", "h2", "n_bytes"]
     repeated = rows.groupBy(*mark).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = scratch.write(rows.join(repeated, mark, "left_semi").select("key", "row_hash", *mark).distinct(), "members")
-    differing = scratch.write(collisions(df, bounded(members, members.count()), text, key), "differing")
+    differing = scratch.write(collisions(df, members, text, key), "differing")
     n_differing = differing.count()
     part = F.lit("")
     if n_differing:
-        rows = rows.join(bounded(differing.withColumn("differs", F.lit(True)), n_differing), mark, "left")
+        rows = rows.join(bounded(differing.withColumn("differs", F.lit(True))), mark, "left")
         part = F.when(F.col("differs"), F.col("text_sha256")).otherwise("")
     rows = rows.withColumn("part", part)
     groups = rows.groupBy(*mark, "part").agg(

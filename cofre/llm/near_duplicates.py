@@ -20,7 +20,8 @@ no bucket with probability (1 - 0.8^5)^40 = 1.3e-7.
 
 Defined results: null and empty texts have an empty set, are linked with nothing and stay. With fewer words than a
 shingle has, the whole sequence is one shingle. The component is named by its smallest key; of repeated rows and
-null keys one row per component stays (null keys are largest). Other columns are not read.
+null keys one row per component stays (null keys are largest), the first in the order of the table. Texts of any length are cut into
+shingles whole. An empty table gives no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded, keep_rows
+from cofre.llm.common import Scratch, join_few, keep_rows
 from cofre.llm.components import components
 
 HASHES, BANDS, ROWS, BATCH = 256, 40, 5, 64
@@ -241,8 +242,7 @@ class _Search:
         wanted = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
         places = self.sets.select("rid", F.col("key").alias("w_key"), F.col("row_hash").alias("w_hash"))
         wanted = self.scratch.write(places.join(wanted, "rid"), f"{name}-wanted")
-        same = F.col("key").eqNullSafe(F.col("w_key")) & (F.col("row_hash") == F.col("w_hash"))
-        texts = self.texts.join(bounded(wanted, wanted.count()), same).select("rid", "text")
+        texts = join_few(self.texts, wanted, [(F.col("key"), "w_key"), (F.col("row_hash"), "w_hash")]).select("rid", "text")
         full = self.scratch.write(texts.mapInPandas(_sets(self.words), "rid long, shingles array<long>"), f"{name}-sets")
         one = pairs.join(full.select(F.col("rid").alias("a"), F.col("shingles").alias("set_a")), "a")
         both = one.join(full.select(F.col("rid").alias("b"), F.col("shingles").alias("set_b")), "b")

@@ -278,4 +278,4 @@ def with_label_error(found: DataFrame) -> DataFrame:
     """Add label_error, the error summed over equal labels, null being one."""
     summed = found.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error"))
     summed = Scratch(found.sparkSession, "label-errors").write(summed, "labels")
-    return found.join(bounded(summed, summed.count()), F.col("label").eqNullSafe(F.col("same"))).drop("same")
+    return found.join(bounded(summed), F.col("label").eqNullSafe(F.col("same"))).drop("same")

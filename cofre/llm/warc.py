@@ -1,7 +1,8 @@
 """WARC archives of any payload size, as a table of record chunks.
 
 A payload becomes rows (record, chunk number, at most ``chunk_bytes`` bytes) that carry the digest of all bytes so
-far, so neither writing nor reading holds a record in one buffer. A payload of several chunks is written as the
+far. The row that holds the payload in the given table is the last place where it is whole: it is cut there, one record at
+a time, and from then on neither archives, digests nor reading hold a record in one buffer. A payload of several chunks is written as the
 format's segments: one record for the first chunk and ``continuation`` records for the rest. Archives are written
 and read by Spark's text source. A payload is also cut inside every occurrence of the line that begins a record,
 so that this line parts an archive into records without fail.
@@ -10,7 +11,8 @@ Of equal payloads of at least ``revisit_bytes`` bytes the one with the smallest
 are ``revisit`` records that name it and have no payload of their own.
 
 Defined results: a null payload is empty; a null key is larger than any other; each row has a record of its own,
-also a repeated one; line ends in an address are percent-encoded. Other columns are not read.
+also a repeated one; line ends in an address are percent-encoded. An empty table gives empty archives. Other columns, whatever their names,
+are not read.
 """
 
 from __future__ import annotations
@@ -86,7 +88,7 @@ def write_archives(
         "rid", "digest", _record_id(F.col("first.key"), F.col("first.rid")).alias("refers_to")
     )
     revisits = scratch.write(revisits, "revisits")
-    sized = bounded(revisits, revisits.count())
+    sized = bounded(revisits)
     of_chunk = table.join(sized.drop("digest"), "rid", "left_anti")
     record = _record_id(F.col("key"), F.col("rid"))
     target = F.replace(F.replace(F.col("url").cast("string"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))

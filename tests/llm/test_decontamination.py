@@ -1,6 +1,9 @@
+import random
+import re
+
 import pytest
 
-from cofre.llm import decontamination
+from cofre.llm import common, decontamination
 
 ITEM = "A train leaves Boston at 9:30 and covers 120 km in 2 hours before Maria boards the slow bus to Denver"
 OTHER = "A train leaves Madrid at 7:15 and covers 300 km in 5 hours before Peter boards the slow bus to Lisbon"
@@ -100,3 +103,75 @@ def test_only_dataframe_operations(spark, documents):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     plan = decontamination.contaminations(documents([(1, ITEM)]), items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_common_words_are_no_item(spark, documents):
+    rows = [(1, "the cat and the dog"), (2, "Nothing of that"), (3, "What is 12 x 7 + 5? The answer")]
+    assert found(spark, documents, rows, [(1, "the"), (2, "The cat"), (3, "What is 12 x 7 + 5?")]) == {(3, 3)}
+
+
+def plain_templates(text):
+    """Template windows once more, with plain loops; for texts without names at a beginning."""
+    words = []
+    for word in re.findall(r"[^\W_]+", text):
+        if word.isdigit():
+            words.append(("#", word))
+        elif word[0].isupper() and words:
+            words.append(("N", word.lower()))
+        else:
+            words.append((word.lower(), word.lower()))
+    return words
+
+
+def plain_matches(doc, item, window=8, coverage=0.5, enough=6):
+    a, b = plain_templates(doc), plain_templates(item)
+    n_windows = max(len(b) - window + 1, 1)
+    covered, longest = set(), 0
+    for diagonal in range(-len(b), len(a)):
+        places = [
+            p for p in range(n_windows)
+            if 0 <= p + diagonal and p + diagonal + min(window, len(b)) <= len(a)
+            and all(a[p + diagonal + i][0] == b[p + i][0] for i in range(min(window, len(b))))
+        ]
+        pairs = {(b[p + i][1], a[p + diagonal + i][1]) for p in places for i in range(min(window, len(b))) if b[p + i][0] in "#N"}
+        values = {}
+        for one, other in pairs:
+            values.setdefault(one, set()).add(other)
+        if any(len(v) > 1 for v in values.values()):
+            places = []
+        covered |= set(places)
+        longest = max(longest, len(places))
+    return len(covered) >= -(-n_windows * coverage // 1) or longest >= enough
+
+
+def test_against_plain_templates(spark, documents):
+    """Random questions with other numbers and names in random texts."""
+    pick = random.Random(2)
+    plain = [f"word{a}{b}" for a in "abcd" for b in "efgh"]
+    people = ["Anna", "Berta", "Carla", "Dora"]
+
+    def question():
+        said = [pick.choice(plain) for _ in range(pick.randint(10, 16))]
+        places = pick.sample(range(1, len(said)), 3)
+        return [("P" if i == places[0] else "#") if i in places else w for i, w in enumerate(said)]
+
+    def spoken(words):
+        return " ".join(pick.choice(people) if w == "P" else str(pick.randint(10, 99)) if w == "#" else w for w in words)
+
+    questions = [question() for _ in range(6)]
+    items = [(i, spoken(q)) for i, q in enumerate(questions)]
+    rows = []
+    for i in range(60):
+        q = list(pick.choice(questions))
+        for _ in range(pick.choice([0, 0, 1, 4])):
+            q[pick.randrange(len(q))] = pick.choice(plain)
+        rows.append((i, " ".join(pick.choice(plain) for _ in range(6)) + " " + spoken(q) + " " + " ".join(pick.choice(plain) for _ in range(5))))
+    wanted = {(k, i) for k, text in rows for i, item in items if plain_matches(text, item)}
+    assert wanted and found(spark, documents, rows, items) == wanted
+
+
+def test_long_lists_of_items_are_filtered_first(spark, documents, monkeypatch):
+    rows = [(i, f"{ITEM} and {i}") if i % 3 == 0 else (i, "word " * 30 + str(i)) for i in range(30)]
+    few = found(spark, documents, rows, [(1, ITEM)])
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    assert found(spark, documents, rows, [(1, ITEM)]) == few == {(i, 1) for i in range(0, 30, 3)}

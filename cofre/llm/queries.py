@@ -59,24 +59,28 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op7_sql() -> str:
-    """The same scan over the known texts' digests as values."""
+    """The same scan over the known texts and digests as values."""
+    titles = ", ".join(f"'{title}'" for title in licenses.TITLES)
+    spelling = " ".join(f"when '{old}' then '{new}'" for old, new in licenses.SPELLINGS.items())
 
     def lines(text: str) -> str:
-        spelling = " ".join(f"when '{old}' then '{new}'" for old, new in licenses.SPELLINGS.items())
         lower = f"translate(line, '{licenses.UPPER}', '{licenses.LOWER}')"
-        words = f"string_split(trim(regexp_replace({lower}, '{licenses.PUNCTUATION}', ' ', 'g'), ' '), ' ')"
+        bare = f"regexp_replace({lower}, '{licenses.ITEM_NUMBER}', '')"
+        plain = f"trim(regexp_replace({bare}, '{licenses.PUNCTUATION}', ' ', 'g'), ' ')"
         line = (
-            f"case when regexp_matches({lower}, '{licenses.COPYRIGHT_LINE}') then '' "
-            f"else array_to_string(list_transform({words}, lambda w: case w {spelling} else w end), ' ') end"
+            f"case when regexp_matches({lower}, '{licenses.COPYRIGHT_LINE}') or {plain} in ({titles}) then '' "
+            f"else array_to_string(list_transform(string_split({plain}, ' '), lambda w: case w {spelling} else w end), ' ') end"
         )
         split = f"string_split(replace(coalesce({text}, ''), chr(13), ''), chr(10))"
         return f"list_filter(list_transform({split}, lambda line: {line}), lambda form: form <> '')"
 
     known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+    digests = ", ".join(f"('{name}', '{digest}')" for name, digest in licenses.KNOWN_DIGESTS)
     return f"""
 with known as (
-    select distinct license_id, sha256(array_to_string({lines("text")}, ' ')) as digest
+    select license_id, sha256(array_to_string({lines("text")}, ' ')) as digest
     from (values {known}) as k(license_id, text)
+    union select * from (values {digests}) as d(license_id, digest)
 ), reduced as (
     select doc_id, {lines("text")} as lines from documents
 ), forms as (

@@ -2,19 +2,22 @@
 
 1. Voters. A lexicon voter fires on a word, a pattern voter on words that begin alike, and a few fire on style (shouting,
    exclamation, masked letters). Which words and beginnings become voters is learned: for each, all labelled training
-   texts are counted (copies under other keys once), and the most frequent ones that are found mostly in toxic texts are
-   taken, beside a fixed list.
+   texts are counted (copies under other keys once), and those that are found mostly in toxic texts are
+   taken, beside a fixed list. A beginning that fires on the same texts as a longer one, or as a word, is left out. The
+   ``most`` frequent have a vote of their own; all others share one, so none is lost.
 2. Label model. Each voter fires with one probability on toxic and another on clean texts. Expectation-maximisation
    estimates both, the share of toxic texts, and how voters go together within a class; voters that repeat each other
    share their weight. The given label is one more voter, good but not infallible. Result: posterior labels.
 3. A logistic regression on the votes is trained on the posterior labels and scores every text.
 
-Counting covers all labelled training rows. Label model and regression are fitted on a hash sample of at most about
-``fit_rows`` labelled rows, as votes, not texts. Voters, weights and that sample are all that reaches the driver.
+Counting covers all labelled training rows. Label model and regression are fitted on a hash sample of about half of
+``fit_rows`` labelled rows of each class, or all if they are fewer, each with the weight of those it stands for, as votes, not texts. So
+a class has rows in the sample whenever it has any. Voters, weights and that sample are all that reaches the driver.
 
-Defined results: a null or empty text casts no vote and gets the score of such texts. Without a labelled row of both
-classes the fixed list alone votes, with fixed weights. Of several labels for one key the highest counts. Repeated
-rows and null keys are scored like any other; other columns are not read.
+Defined results: a null or empty text casts no vote and gets the score of such texts. Without labelled rows of both
+classes the fixed list alone votes, with fixed weights. Of several labels for one key the highest counts; of voters that are equally
+frequent the one that sorts first comes first. Texts of any length are read whole. Repeated
+rows and null keys are scored like any other. An empty table gives no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded
+from cofre.llm.common import Scratch, join_few
 
 VOTERS = 256
 LEAST_TEXTS = 3
@@ -47,6 +50,8 @@ LEXICON = (
     "abruti", "connard", "crétin", "débile", "merde", "ordure", "salaud", "stupide",
     "abschaum", "arschloch", "blödmann", "dumm", "dummkopf", "scheisse", "scheiße", "trottel", "versager",
 )
+#: The vote that all learned words and beginnings without a vote of their own share.
+POOLED = "learned:other"
 STYLES = ("style:shouting", "style:exclaiming", "style:masked", "style:lexicon")
 
 _WORD = re.compile(r"\w+")
@@ -91,13 +96,21 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"feature": list(found), "n_toxic": [n * toxic for n in found.values()], "n_clean": [n * (1 - toxic) for n in found.values()]})
 
 
-def choose_voters(labelled: DataFrame, most: int = VOTERS, least_texts: int = LEAST_TEXTS, precision: float = PRECISION) -> list[str]:
-    """The learned words and beginnings. ``labelled``: text, toxic."""
+def choose_voters(labelled: DataFrame, scratch: Scratch, least_texts: int = LEAST_TEXTS, precision: float = PRECISION) -> list[str]:
+    """The learned words and beginnings, the most frequent first. ``labelled``: text, toxic."""
     counted = labelled.select("text", "toxic").mapInPandas(_count, "feature string, n_toxic long, n_clean long")
     totals = counted.groupBy("feature").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
     share = F.col("n_toxic") / (F.col("n_toxic") + F.col("n_clean"))
     good = totals.where((F.col("n_toxic") >= least_texts) & (share >= precision) & ~F.col("feature").startswith("style:"))
-    return [row["feature"] for row in good.orderBy(F.desc(F.col("n_toxic") * share * share), "feature").limit(most).select("feature").collect()]
+    good = scratch.write(good.select("feature", "n_toxic", "n_clean", (F.col("n_toxic") * share * share).alias("weight")), "good")
+    # Whatever has a longer word or beginning, has the shorter one: with equal counts they fire on the same texts.
+    bare = F.rtrim(F.col("feature"), F.lit("*"))
+    shorter = F.array(*[F.when(F.length(bare) > n, F.concat(F.substring(bare, 1, n), F.lit("*"))) for n in BEGINNINGS])
+    same = good.select(F.explode(F.array_compact(shorter)).alias("feature"), "n_toxic", "n_clean").distinct()
+    chosen = good.join(same, ["feature", "n_toxic", "n_clean"], "left_anti").orderBy(F.desc("weight"), "feature").select("feature")
+    names = [row["feature"] for row in chosen.collect()]
+    scratch.drop("good")
+    return names
 
 
 @dataclass
@@ -111,25 +124,28 @@ class LabelModel:
     label: tuple[float, float]
 
     @classmethod
-    def fit(cls, votes: np.ndarray, labels: np.ndarray, rounds: int = 10) -> LabelModel:
+    def fit(cls, votes: np.ndarray, labels: np.ndarray, of: np.ndarray | None = None, rounds: int = 10) -> LabelModel:
+        """``of``: how many texts each row stands for."""
+        of = np.ones(len(labels)) if of is None else of
         posterior = np.where(labels == 1, 0.97, 0.02)
         model = None
         for _ in range(rounds):
-            n_toxic, n_clean = posterior.sum(), (1 - posterior).sum()
-            toxic = (posterior @ votes + 0.5) / (n_toxic + 1)
-            clean = ((1 - posterior) @ votes + 0.05) / (n_clean + 1)
+            is_toxic, is_clean = of * posterior, of * (1 - posterior)
+            n_toxic, n_clean = is_toxic.sum(), is_clean.sum()
+            toxic = (is_toxic @ votes + 0.5) / (n_toxic + 1)
+            clean = (is_clean @ votes + 0.05) / (n_clean + 1)
             excess = np.zeros((votes.shape[1],) * 2)
-            for rate, given, n in ((toxic, posterior, n_toxic), (clean, 1 - posterior, n_clean)):
+            for rate, given, n in ((toxic, is_toxic, n_toxic), (clean, is_clean, n_clean)):
                 together = (votes * given[:, None]).T @ votes / max(n, 1e-9) - np.outer(rate, rate)
                 spread = np.sqrt(np.outer(rate * (1 - rate), rate * (1 - rate))) + 1e-6
                 excess = np.maximum(excess, together / spread)
             np.fill_diagonal(excess, 0)
             weight = 1 / (1 + np.maximum(excess - 0.1, 0).sum(axis=0))
             label = (
-                float(np.clip((posterior @ labels) / max(n_toxic, 1e-9), 0.9, 0.99)),
-                float(np.clip(((1 - posterior) @ labels) / max(n_clean, 1e-9), 0.002, 0.05)),
+                float(np.clip((is_toxic @ labels) / max(n_toxic, 1e-9), 0.9, 0.99)),
+                float(np.clip((is_clean @ labels) / max(n_clean, 1e-9), 0.002, 0.05)),
             )
-            model = cls(toxic, clean, float(np.clip(posterior.mean(), 1e-4, 0.5)), weight, label)
+            model = cls(toxic, clean, float(np.clip(n_toxic / of.sum(), 1e-4, 0.5)), weight, label)
             posterior = model.posterior(votes, labels)
         return model
 
@@ -141,16 +157,17 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def fit_linear(votes: np.ndarray, targets: np.ndarray, penalty: float = 1.0, rounds: int = 12) -> np.ndarray:
-    """Weights of a logistic regression on soft targets, by Newton's method; the last is the constant."""
+def fit_linear(votes: np.ndarray, targets: np.ndarray, of: np.ndarray | None = None, penalty: float = 1.0, rounds: int = 12) -> np.ndarray:
+    """Weights of a logistic regression on soft targets, by Newton's method; the last is the constant. ``of``: as in the label model."""
+    of = np.ones(len(targets)) if of is None else of / of.mean()
     inputs = np.hstack([votes, np.ones((len(votes), 1))])
     ridge = np.full(inputs.shape[1], penalty)
     ridge[-1] = 1e-6
     weights = np.zeros(inputs.shape[1])
     for _ in range(rounds):
         guess = 1 / (1 + np.exp(-np.clip(inputs @ weights, -30, 30)))
-        gradient = inputs.T @ (guess - targets) + ridge * weights
-        curvature = (inputs * (guess * (1 - guess))[:, None]).T @ inputs + np.diag(ridge)
+        gradient = inputs.T @ (of * (guess - targets)) + ridge * weights
+        curvature = (inputs * (of * guess * (1 - guess))[:, None]).T @ inputs + np.diag(ridge)
         step = np.linalg.solve(curvature, gradient)
         weights -= step
         if np.abs(step).max() < 1e-6:
@@ -162,7 +179,7 @@ def _votes(names: dict[str, int]) -> Callable[[Iterator[pd.DataFrame]], Iterator
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch.pop("text")
-            yield batch.assign(votes=[sorted(names[f] for f in features(t) if f in names) for t in texts])
+            yield batch.assign(votes=[sorted({names[f] for f in features(t) if f in names}) for t in texts])
 
     return run
 
@@ -191,19 +208,24 @@ def score_texts(
     keyed = rows.where("learns").select("key", "row_hash").join(given, F.col("key") == F.col("l_key"))
     chosen = keyed.groupBy(F.col("row_hash").alias("c_hash"), "toxic").agg(F.min("key").alias("c_key"))
     chosen = scratch.write(chosen, "chosen")
-    same = (F.col("key") == F.col("c_key")) & (F.col("row_hash") == F.col("c_hash"))
-    labelled = rows.where("learns").join(bounded(chosen, chosen.count()), same).select("row_hash", "text", "toxic")
+    teaching = rows.where("learns")
+    labelled = join_few(teaching, chosen, [(F.col("key"), "c_key"), (F.col("row_hash"), "c_hash")]).select("row_hash", "text", "toxic")
     labelled = scratch.write(labelled, "labelled")
-    names = list(dict.fromkeys([*choose_voters(labelled, most), *LEXICON, *STYLES]))
+    learned = choose_voters(labelled, scratch)
+    names = list(dict.fromkeys([*learned[:most], *LEXICON, *STYLES, POOLED]))
     index = {name: i for i, name in enumerate(names)}
-    n_rows = labelled.count()
-    part = F.pmod(F.xxhash64("row_hash"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, fit_rows / max(n_rows, 1)))
-    sample = labelled.where(part).mapInPandas(_votes(index), "row_hash long, toxic int, votes array<int>").toPandas()
+    index |= {name: index[POOLED] for name in learned[most:] if name not in index}
+    n_of = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {toxic: min(1.0, fit_rows / 2 / n) for toxic, n in n_of.items()}
+    limit = F.when(F.col("toxic") == 1, int(1_000_000 * share.get(1, 1.0))).otherwise(int(1_000_000 * share.get(0, 1.0)))
+    drawn = labelled.where(F.pmod(F.xxhash64("row_hash"), F.lit(1_000_000)) < limit)
+    sample = drawn.mapInPandas(_votes(index), "row_hash long, toxic int, votes array<int>").toPandas()
     scratch.drop("labelled")
-    if sample["toxic"].nunique() == 2:
+    if len(n_of) == 2:
         votes, gold = _dense(list(sample["votes"]), len(names)), sample["toxic"].to_numpy()
-        posterior = LabelModel.fit(votes, gold).posterior(votes, gold)
-        weights = fit_linear(votes, posterior)
+        of = 1 / np.where(gold == 1, share[1], share[0])
+        posterior = LabelModel.fit(votes, gold, of).posterior(votes, gold)
+        weights = fit_linear(votes, posterior, of)
     else:
         weights = np.array([2.0 if name in _LEXICON_SET else 0.0 for name in names] + [-3.0])
     names_of, weights_of = list(names), weights

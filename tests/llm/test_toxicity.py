@@ -5,6 +5,7 @@ from conftest import FOLDER
 from pyspark.sql import functions as F
 
 from cofre.llm import toxicity
+from cofre.llm.common import Scratch
 from cofre.llm.queries import held_out
 
 CLEAN = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
@@ -55,6 +56,55 @@ def test_held_out_accuracy(spark):
     assert n.get((0, True), 0) / (n[0, False] + n.get((0, True), 0)) < 0.02
 
 
+def plain_choice(labelled):
+    """Counts and choice once more, with sets of texts."""
+    texts_of = {}
+    for text, toxic in set(labelled):
+        for feature in toxicity.features(text):
+            if not feature.startswith("style:"):
+                texts_of.setdefault(feature, set()).add((text, toxic))
+    good = {}
+    for feature, texts in texts_of.items():
+        n = sum(t for _, t in texts)
+        if n >= toxicity.LEAST_TEXTS and n >= toxicity.PRECISION * len(texts):
+            good[feature] = (n * (n / len(texts)) ** 2, texts)
+    kept = [
+        f for f, (_, texts) in good.items()
+        if not (f.endswith("*") and any(g != f and len(g.rstrip("*")) > len(f) - 1 and g.startswith(f[:-1]) and good[g][1] == texts for g in good))
+    ]
+    return sorted(kept, key=lambda f: (-good[f][0], f))
+
+
+def test_choice_of_voters_against_sets_of_texts(spark):
+    made = [(text, toxic) for _, text, toxic in rows(400, 7)]
+    labelled = spark.createDataFrame(made, "text string, toxic int").distinct()
+    got = toxicity.choose_voters(labelled, Scratch(spark, "test"))
+    wanted = plain_choice(made)
+    assert sorted(got) == sorted(wanted) and got[:3] == wanted[:3]
+    assert "blarg" in got and "bla*" not in got
+
+
+def test_voters_beyond_the_named_ones_share_a_vote(spark, documents):
+    made = rows(480, 1)
+    labels = spark.createDataFrame([(k, 0, t) for k, _, t in made], "doc_id long, quality int, toxic int")
+    found = toxicity.score_texts(documents([(k, t) for k, t, _ in made]), labels, F.col("doc_id") % 4 != 2, most=2).collect()
+    assert any(toxicity.POOLED in r.votes for r in found)
+    score = {r.key: r.score for r in found}
+    assert all((score[k] >= 0.3) == bool(t) for k, _, t in made)
+
+
+def test_a_rare_class_is_in_the_sample(spark, monkeypatch):
+    """One toxic row in 50,000 is fitted on, so the fixed weights don't take over."""
+    given = spark.range(50_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("clean text "), F.col("id").cast("string")).alias("text"))
+    given = given.where("doc_id <> 777").unionByName(spark.sql("select 777L as doc_id, 'you stupid idiot' as text"))
+    labels = given.select("doc_id", F.lit(0).alias("quality"), (F.col("doc_id") == 777).cast("int").alias("toxic"))
+    seen = []
+    plain = toxicity.LabelModel.fit.__func__
+    monkeypatch.setattr(toxicity.LabelModel, "fit", classmethod(lambda cls, votes, gold, of: seen.append((gold.sum(), len(gold), of.sum())) or plain(cls, votes, gold, of)))
+    toxicity.score_texts(given, labels, F.lit(True), fit_rows=2000)
+    assert len(seen) == 1 and seen[0][0] == 1 and 500 < seen[0][1] < 2000 and abs(seen[0][2] - 50_000) < 8000
+
+
 def test_label_model_recovers_accuracies():
     pick = np.random.default_rng(5)
     truth = pick.random(6000) < 0.2

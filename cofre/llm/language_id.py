@@ -5,18 +5,25 @@ count its 4-grams and combine them before the shuffle. From the summed counts Sp
 4-grams by count, shorter ones by the number of distinct characters before them, each order interpolated with the
 next. All texts take part; the counts grow with the corpus, the model with its distinct 4-grams.
 
-A model is stored as sorted arrays of 22-bit hashes with log probabilities and back-off weights, one pair per order and
-language, so it has at most 2^22 entries each; this bounds what is broadcast. Where two grams meet in one hash the
-more probable one is kept.
+A model is stored as sorted arrays of hashes with log probabilities and back-off weights, one pair per order and
+language. The hashes are as wide as the counted grams need to meet hardly ever; where two do, the more probable one is kept. Up to
+:data:`MODEL_ROWS` entries the arrays are broadcast; a larger model stays a table, with which the distinct grams of all texts are joined.
 
-A text gets the language of lowest cross-entropy per character. It is rejected when that is too high for its
-language: the excess over the language's mean, in standard deviations for a text of its length, is compared with
-``slack`` times the ``quantile`` of the same figure over the training texts. The entropy must also exceed the mean by
-``least_excess``, as a model fits the texts it was trained on better than any others.
+A text gets the language of lowest cross-entropy per character. It is rejected when that exceeds what is usual for the language by more than a
+limit, which is calibrated on texts that a second model, estimated from the counts of the others, has not seen (every
+:data:`FOLD`-th of the training texts, by hash, so that copies stay together):
+
+* their excess under their own language, and
+* the excess they would have if theirs were the language nobody has learned, under the best of the others.
+
+The limit lies halfway between the high end of the first and the low end of the second, and for short texts higher by one standard error. Both are
+measured anew for each corpus, so rejection doesn't fade as models grow. With a single language there is no second figure, and the limit is a
+multiple of the first.
 
 Defined results: a text that is null, empty or without letters is ``und`` with score 0 and is rejected. Ties go to the
 language that sorts first. Training rows with null language or text teach nothing; with no training row at all every
-text is ``und``. Repeated rows and null keys are scored like any other; other columns are not read.
+text is ``und``. Without a text to calibrate on, only texts without letters are rejected. Texts of any length are scored whole, in
+blocks. Repeated rows and null keys are scored like any other. An empty table gives no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -32,11 +39,15 @@ from pyspark.sql import functions as F
 from cofre.llm.common import Scratch, without
 
 ORDER = 4
-HASH_BITS = 22
 BLOCK = 1 << 20  # characters handled at once
-QUANTILE = 0.999
-SLACK = 2.0
-LEAST_EXCESS = 1.5  # nats per character
+#: Largest model that is broadcast, in entries of twelve bytes.
+MODEL_ROWS = 4_000_000
+#: One in so many training texts calibrates.
+FOLD = 8
+#: The high end of excess under the own language, and the low end under another one.
+HIGH, LOW = 0.99, 0.05
+#: The limit in high ends, if there is no other language.
+ALONE = 3.0
 UNKNOWN = "und"
 
 _letter_table: list[np.ndarray] = []
@@ -99,10 +110,18 @@ def _counted(language: str, block: list[np.ndarray]) -> pd.DataFrame:
 
 
 def count_grams(train: DataFrame, text: str, lang: str) -> DataFrame:
-    """lang, gram, n over all rows with a language."""
+    """lang, gram, n over all rows with a language, and n_seen over those that don't calibrate."""
     rows = train.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    counted = rows.mapInPandas(_count, "lang string, gram long, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # The language that reaches the workers has a mark before it: "=" for texts that calibrate, "-" for the others.
+    marked = rows.select(F.concat(F.when(calibrates(F.xxhash64("text")), "=").otherwise("-"), F.col("lang")).alias("lang"), "text")
+    counted = marked.mapInPandas(_count, "lang string, gram long, n long")
+    seen = F.when(F.col("lang").startswith("-"), F.col("n")).otherwise(0)
+    return counted.groupBy(F.substring("lang", 2, 1 << 30).alias("lang"), "gram").agg(F.sum("n").alias("n"), F.sum(seen).alias("n_seen"))
+
+
+def calibrates(row_hash: Column) -> Column:
+    """The text is one of those that calibrate."""
+    return F.pmod(row_hash, F.lit(FOLD)) == 0
 
 
 def estimate(counts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -144,21 +163,28 @@ def estimate(counts: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(found, "model")
 
 
-def _hash(packed: np.ndarray) -> np.ndarray:
+def _hash(packed: np.ndarray, bits: int) -> np.ndarray:
     x = packed.astype(np.uint64)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def hash_bits(entries: int) -> int:
+    """Width at which the hashes of so many grams meet with a probability below one in 500."""
+    return min(62, 2 * max(entries, 2).bit_length() + 8)
 
 
 class Model:
     """For each language and order: sorted hashes with values, of grams and of contexts."""
 
-    def __init__(self, rows: pd.DataFrame):
+    def __init__(self, rows: pd.DataFrame, bits: int | None = None):
         self.languages = sorted(map(str, rows["lang"].unique()))
+        places = rows.groupby(["lang", "size", "kind"], observed=True)
+        self.bits = bits or hash_bits(int(places.size().max()) if len(rows) else 0)
         self.tables: dict[tuple[str, int, str], tuple[np.ndarray, np.ndarray]] = {}
-        for place, part in rows.groupby(["lang", "size", "kind"], observed=True):
-            hashes, values = _hash(part["gram"].to_numpy()), part["value"].to_numpy(np.float64)
+        for place, part in places:
+            hashes, values = _hash(part["gram"].to_numpy(), self.bits), part["value"].to_numpy(np.float64)
             order = np.lexsort((-values, hashes))
             hashes, values = hashes[order], values[order]
             first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
@@ -169,7 +195,7 @@ class Model:
         if place not in self.tables:
             return np.full(len(packed), np.nan, np.float32)
         hashes, values = self.tables[place]
-        sought = _hash(packed)
+        sought = _hash(packed, self.bits)
         at = np.minimum(np.searchsorted(hashes, sought), len(hashes) - 1)
         return np.where(hashes[at] == sought, values[at], np.float32(np.nan))
 
@@ -185,7 +211,7 @@ class Model:
         return found
 
     def score(self, texts: list[str | None]) -> pd.DataFrame:
-        """best, score, entropy (nats per character), n_scored of each text."""
+        """n_scored of each text, and total: its log probability by language, in their order."""
         n_texts, n_languages = len(texts), len(self.languages)
         total = np.zeros((n_languages, n_texts))
         length = np.zeros(n_texts)
@@ -208,21 +234,10 @@ class Model:
                 block, held = [], 0
         if block:
             flush()
-        if not n_languages:
-            return pd.DataFrame({"best": [UNKNOWN] * n_texts, "score": 0.0, "entropy": np.nan, "n_scored": 0})
-        best = total.argmax(axis=0)
-        most = total.max(axis=0)
-        score = 1 / np.exp(np.maximum(total - most, -700)).sum(axis=0)
-        scored = length > 0
-        return pd.DataFrame({
-            "best": np.where(scored, np.array(self.languages, object)[best], UNKNOWN),
-            "score": np.where(scored, score, 0.0),
-            "entropy": np.where(scored, -most / np.maximum(length, 1), np.nan),
-            "n_scored": length.astype(np.int64),
-        })
-
-
-def _score(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        return pd.DataFrame({"total": list(total.T), "n_scored": length.astype(np.int64)})
+
+
+def _totals(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch.pop("text")
@@ -231,56 +246,139 @@ def _score(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
     return run
 
 
+def _text_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct grams of every text that has a letter, with their number."""
+    for batch in batches:
+        for text_id, text in zip(batch["text_id"], batch["text"], strict=True):
+            found, n = np.unique(grams(reduce_text(text)), return_counts=True)
+            for at in range(0, len(found), BLOCK):
+                yield pd.DataFrame({"text_id": text_id, "gram": found[at : at + BLOCK], "n": n[at : at + BLOCK]})
+
+
+def _totals_by_join(rows: DataFrame, model: DataFrame, languages: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """The same totals from the model as a table: the distinct grams of all texts meet it order by order."""
+    given = rows.withColumn("text_id", F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = given.select("text_id", "text").mapInPandas(_text_grams, "text_id string, gram long, n long")
+    texts = scratch.write(texts.groupBy("text_id", "gram").agg(F.max("n").alias("n")), f"{name}-grams")
+    logs = texts.select("gram").distinct().select("gram", F.explode(F.array(*map(F.lit, languages))).alias("lang"))
+    logs = logs.withColumn("log", F.lit(0.0))
+    value = F.col("value").cast("float").cast("double")
+    for size in range(1, ORDER + 1):
+        own, back = (
+            model.where((F.col("size") == size) & (F.col("kind") == kind)).select("lang", F.col("gram").alias(kind), value.alias(f"{kind}_value"))
+            for kind in ("gram", "context")
+        )
+        short = F.col("gram").bitwiseAND(F.lit((1 << 16 * size) - 1)) if size < ORDER else F.col("gram")
+        logs = logs.withColumn("whole", F.col("gram")).withColumn("short", short).withColumn("context", F.shiftrightunsigned(short, 16))
+        logs = logs.drop("gram").join(own.withColumnRenamed("gram", "short"), ["lang", "short"], "left").join(back, ["lang", "context"], "left")
+        found = F.coalesce("gram_value", F.coalesce("context_value", F.lit(0.0)) + F.col("log"))
+        logs = scratch.write(logs.select(F.col("whole").alias("gram"), "lang", found.alias("log")), f"{name}-logs{size}")
+    of_text = texts.join(logs, "gram").groupBy("text_id", "lang").agg(F.sum(F.col("n") * F.col("log")).alias("total"), F.sum("n").alias("n_scored"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("lang", "total"))), lambda pair: pair["total"])
+    of_text = of_text.groupBy("text_id").agg(in_order.alias("total"), F.max("n_scored").alias("n_scored"))
+    none = F.array_repeat(F.lit(0.0), len(languages))
+    return given.drop("text").join(of_text, "text_id", "left").select(
+        *[c for c in rows.columns if c != "text"], F.coalesce("total", none).alias("total"), F.coalesce("n_scored", F.lit(0)).alias("n_scored")
+    )
+
+
 def learn(train: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Estimate on all rows of ``train``. The model comes to the driver; its size is bounded by the hash space."""
-    scratch = Scratch(train.sparkSession, "language")
-    rows = estimate(count_grams(train, text, lang), scratch)
+    """The model of all rows of ``train``, for use outside Spark."""
+    counts = count_grams(train, text, lang)
+    rows = estimate(counts.select("lang", "gram", "n"), Scratch(train.sparkSession, "language"))
     return Model(rows.toArrow().to_pandas(strings_to_categorical=True))
 
 
+def _scored(rows: DataFrame, counts: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, list[str]]:
+    """``rows`` without their text, with total and n_scored by the model of ``counts``; and its languages."""
+    spark = rows.sparkSession
+    model = estimate(counts, Scratch(spark, "language"))
+    languages = [r["lang"] for r in model.select("lang").distinct().orderBy("lang").collect()]
+    if model.count() > MODEL_ROWS:
+        return scratch.write(_totals_by_join(rows, model, languages, scratch, name), name), languages
+    shared = spark.sparkContext.broadcast(Model(model.toArrow().to_pandas(strings_to_categorical=True)))
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    found = scratch.write(rows.mapInPandas(_totals(shared), f"{schema}, total array<double>, n_scored long"), name)
+    shared.destroy()
+    return found, languages
+
+
+def _entropies(scored: DataFrame, languages: list[str]) -> DataFrame:
+    """With entropy (nats per character) of every language, as an array of (entropy, lang) that sorts by both."""
+    pairs = [F.struct((-F.get("total", F.lit(i)) / F.col("n_scored")).alias("entropy"), F.lit(x).alias("lang")) for i, x in enumerate(languages)]
+    return scored.withColumn("entropies", F.when(F.col("n_scored") > 0, F.array(*pairs)))
+
+
 def identify(
-    df: DataFrame, learns: Column, text: str = "text", key: str = "doc_id", lang: str = "lang",
-    quantile: float = QUANTILE, slack: float = SLACK, least_excess: float = LEAST_EXCESS,
-) -> DataFrame:
+    df: DataFrame, learns: Column, text: str = "text", key: str = "doc_id", lang: str = "lang", high: float = HIGH, low: float = LOW
+) -> DataFrame:
     """One row per row of ``df``: key, row_hash, learns, lang_pred, score, entropy, excess, rejected.
 
     ``learns`` tells the rows to learn from; languages are read from those alone.
     """
-    spark = df.sparkSession
+    scratch = Scratch(df.sparkSession, "languages")
     teaches = F.coalesce(learns, F.lit(False))
-    shared = spark.sparkContext.broadcast(learn(df.where(teaches), text, lang))
     rows = df.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("row_hash"), teaches.alias("learns"),
         F.when(teaches, F.col(lang)).alias("taught"), F.col(text).alias("text"),
     )
-    kind = df.schema[key].dataType.simpleString()
-    scored = rows.mapInPandas(
-        _score(shared),
-        f"key {kind}, row_hash long, learns boolean, taught string, best string, score double, entropy double, n_scored long",
-    )
-    scored = Scratch(spark, "languages").write(scored, "scored")
-    shared.destroy()
-    taught = scored.where("taught = best and n_scored > 0")
-    means = taught.groupBy("best").agg(F.avg("entropy").alias("mean"))
-    spread = taught.join(F.broadcast(means), "best").groupBy("best", "mean").agg(
-        F.sqrt(F.avg(F.col("n_scored") * F.pow(F.col("entropy") - F.col("mean"), 2))).alias("deviation")
-    )
-
-    def excess(frame: DataFrame) -> DataFrame:
-        unit = F.greatest(F.col("deviation"), F.lit(1e-9)) / F.sqrt(F.greatest("n_scored", F.lit(1)))
-        return frame.withColumn("excess", (F.col("entropy") - F.col("mean")) / unit)
-
-    limits = excess(taught.join(F.broadcast(spread), "best")).groupBy("best", "mean", "deviation").agg(
-        (F.lit(slack) * F.greatest(F.percentile_approx("excess", quantile, 10_000), F.lit(1.0))).alias("limit")
-    )
-    judged = excess(scored.join(F.broadcast(limits), "best", "left"))
-    too_high = (F.col("excess") > F.col("limit")) & (F.col("entropy") > F.col("mean") + least_excess)
+    counts = scratch.write(count_grams(rows.where("learns"), "text", "taught"), "counts")
+    seen = counts.where("n_seen > 0").select("lang", "gram", F.col("n_seen").alias("n"))
+    fold = rows.where(F.col("taught").isNotNull() & calibrates(F.col("row_hash")))
+    usual, limit, unit = _calibrated(*_scored(fold, seen, scratch, "fold"), high, low)
+    scored, languages = _scored(rows, counts.select("lang", "gram", "n"), scratch, "scored")
+    if not languages:
+        none = F.lit(None).cast("double")
+        return rows.select(
+            "key", "row_hash", "learns", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), none.alias("entropy"),
+            none.alias("excess"), F.lit(True).alias("rejected"),
+        )
+    judged = _entropies(scored, languages).withColumn("best", F.array_min("entropies"))
+    most = F.array_max("total")
+    score = 1 / F.aggregate("total", F.lit(0.0), lambda all_, x: all_ + F.exp(F.greatest(x - most, F.lit(-700.0))))
+    entropy, known = F.col("best.entropy"), F.col("best").isNotNull()
+    medians = F.create_map(*[F.lit(x) for pair in usual.items() for x in pair]) if usual else F.create_map().cast("map<string,double>")
+    middle = F.coalesce(medians[F.col("best.lang")], F.lit(usual_of_all(usual)))
+    excess = entropy - middle
+    too_high = excess > F.lit(limit) + F.lit(unit) / F.sqrt(F.greatest("n_scored", F.lit(1)))
     return judged.select(
-        "key", "row_hash", "learns", F.col("best").alias("lang_pred"), "score", "entropy", "excess",
-        F.coalesce(too_high, F.lit(True)).alias("rejected"),
+        "key", "row_hash", "learns", F.coalesce("best.lang", F.lit(UNKNOWN)).alias("lang_pred"), F.when(known, score).otherwise(0.0).alias("score"),
+        entropy.alias("entropy"), excess.alias("excess"), F.coalesce(too_high, F.lit(True)).alias("rejected"),
     )
 
 
+def usual_of_all(usual: dict[str, float]) -> float:
+    """For a language without texts to calibrate on: the largest of the others' usual entropies."""
+    return max(usual.values(), default=0.0)
+
+
+def _calibrated(fold: DataFrame, languages: list[str], high: float, low: float) -> tuple[dict[str, float], float, float]:
+    """Median entropy of each language, the limit of the excess, and the standard deviation of a character, over texts of ``fold``,
+    which the model has not seen."""
+    if not languages:
+        return {}, float("inf"), 0.0
+    known = _entropies(fold, languages).where("n_scored > 0")
+    own = F.filter("entropies", lambda x: x["lang"] == F.col("taught"))
+    other = F.array_min(F.filter("entropies", lambda x: x["lang"] != F.col("taught")))
+    both = known.select("taught", "n_scored", F.get(own, F.lit(0))["entropy"].alias("own"), other.alias("other")).where("own is not null")
+    usual = {r["taught"]: r["m"] for r in both.groupBy("taught").agg(F.percentile_approx("own", 0.5, 10_000).alias("m")).collect()}
+    if not usual:
+        return {}, float("inf"), 0.0
+    medians = F.create_map(*[F.lit(x) for pair in usual.items() for x in pair])
+    own_excess = F.col("own") - medians[F.col("taught")]
+    foreign = F.col("other.entropy") - F.coalesce(medians[F.col("other.lang")], F.lit(usual_of_all(usual)))
+    found = both.agg(
+        F.percentile_approx(own_excess, high, 10_000).alias("high"),
+        F.percentile_approx(foreign, low, 10_000).alias("low"),
+        F.percentile_approx(F.abs(own_excess) * F.sqrt("n_scored"), 0.5, 10_000).alias("deviation"),
+    ).first()
+    top, unit = max(found["high"], 0.0), found["deviation"] / 0.6745
+    if found["low"] is None:
+        return usual, ALONE * top, ALONE * unit
+    return usual, (top + max(found["low"], top)) / 2, unit
+
+
 def drop_rejected(df: DataFrame, learns: Column, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """The rows of ``df`` that are not rejected, with all columns as they were; repeated rows all stay."""
     found = identify(df, learns, text, key, lang).where("rejected").select("key", "row_hash")

@@ -1,4 +1,3 @@
-import math
 import random
 
 import numpy as np
@@ -81,8 +80,37 @@ def plain_model(texts):
     return p
 
 
-def test_probabilities_against_the_plain_formula(spark, documents, monkeypatch):
-    monkeypatch.setattr(language_id, "HASH_BITS", 30)
+@pytest.mark.parametrize("left_out", ["en", "de"])
+def test_a_language_that_was_not_learned_is_rejected(spark, left_out):
+    """95% of it go, and at most 1% of what was learned and held out."""
+    df = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/documents.parquet")
+    learns = ~held_out(F.col("doc_id")) & (F.col("lang") != left_out)
+    found = language_id.identify(df, learns).join(df.select(F.col("doc_id").alias("key"), "lang"), "key").where("lang_pred <> 'und'")
+    of = {(r["unknown"], r["learns"]): r["share"] for r in found.groupBy((F.col("lang") == left_out).alias("unknown"), "learns").agg(
+        F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
+    assert of[True, False] >= 0.95
+    assert of[False, False] <= 0.01 and of[False, True] <= 0.01
+
+
+def test_a_large_model_is_joined(spark, documents, monkeypatch):
+    df = documents(ROWS + MORE, clashing=True)
+    few = {(r.key, r.row_hash): r for r in language_id.identify(df, F.col("doc_id") < 60).collect()}
+    monkeypatch.setattr(language_id, "MODEL_ROWS", 0)
+    joined = language_id.identify(df, F.col("doc_id") < 60).collect()
+    assert len(joined) == len(ROWS + MORE)
+    for r in joined:
+        same = few[r.key, r.row_hash]
+        assert (r.lang_pred, r.rejected) == (same.lang_pred, same.rejected)
+        assert r.entropy is None and same.entropy is None or r.entropy == pytest.approx(same.entropy, rel=1e-4)
+
+
+def test_hashes_are_as_wide_as_needed():
+    packed = np.random.default_rng(1).integers(0, 1 << 62, 200_000)
+    bits = language_id.hash_bits(len(packed))
+    assert len(np.unique(language_id._hash(packed, bits))) == len(packed) and bits < 62
+
+
+def test_probabilities_against_the_plain_formula(spark, documents):
     texts = ["abra kadabra", "barra abba rab", "da capo"]
     model = language_id.learn(documents([(i, t, "xx") for i, t in enumerate(texts)]))
     p = plain_model([f" {t} " for t in texts])
@@ -100,6 +128,5 @@ def test_blocks_do_not_change_scores(monkeypatch):
     whole = model.score(texts)
     monkeypatch.setattr(language_id, "BLOCK", 16)
     cut = model.score(texts)
-    assert whole["best"].tolist() == cut["best"].tolist() == ["aa", "und", "aa", "aa", "und"]
-    assert np.allclose(whole["entropy"].fillna(-1), cut["entropy"].fillna(-1))
-    assert math.isclose(whole["score"][0], 1.0)
+    assert whole["n_scored"].tolist() == cut["n_scored"].tolist() == [101, 0, 2, 60, 0]
+    assert np.allclose(np.stack(whole["total"]), np.stack(cut["total"]))

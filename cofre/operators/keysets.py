@@ -13,7 +13,7 @@ import tempfile
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,7 +75,7 @@ class KeySet:
 
 
 def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
-    """Compute narrow key sets in one go, keep them in the checkpoint folder and count them.
+    """Compute narrow key sets in one go and keep them in the checkpoint folder; the same job counts them.
 
     All parts have a column ``_key``, of one type, and may have facts of their own; with a fact ``_tied`` the
     keys that have it are counted too.
@@ -83,13 +83,13 @@ def settle(parts: dict[str, DataFrame]) -> dict[str, KeySet]:
     named = [df.select(F.lit(name).alias("_part"), "*") for name, df in parts.items()]
     together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
     ensure_checkpoint_dir(together.sparkSession)
-    kept = together.checkpoint()
-    present = kept.where("_key is not null")
-    tied = F.coalesce("_tied", F.lit(False)) if "_tied" in present.columns else F.lit(False)
-    found = {
-        r["_part"]: r for r in present.groupBy("_part").agg(F.count(F.lit(1)).alias("rows"), F.count_if(tied).alias("tied")).collect()
-    }
+    tied = F.coalesce("_tied", F.lit(False)) if "_tied" in together.columns else F.lit(False)
+    counted, counts = Observation(), []
+    for i, name in enumerate(parts):
+        of_part = F.col("_key").isNotNull() & (F.col("_part") == name)
+        counts += [F.count_if(of_part).alias(f"rows_{i}"), F.count_if(of_part & tied).alias(f"tied_{i}")]
+    present = together.observe(counted, *counts).checkpoint().where("_key is not null")
+    found = counted.get
     return {
-        name: KeySet(present.where(F.col("_part") == name), *((found[name]["rows"], found[name]["tied"]) if name in found else (0, 0)))
-        for name in parts
+        name: KeySet(present.where(F.col("_part") == name), found[f"rows_{i}"], found[f"tied_{i}"]) for i, name in enumerate(parts)
     }

@@ -198,8 +198,8 @@ def ancestry(table: str) -> list[str]:
 class Trusted:
     """Tagged frames of ``tables`` over raw frames, each built when first asked for.
 
-    With ``keep`` a tagged frame that other tables refer to is written to the checkpoint folder once, for a
-    query that reads several tables.
+    With ``keep`` key and reason of a table that others refer to are written to the checkpoint folder once, for a
+    query that counts over several tables and needs no other column.
     """
 
     def __init__(self, raw: Mapping[str, DataFrame], tables: Sequence[str] = S.TABLES, keep: bool = False):
@@ -210,11 +210,15 @@ class Trusted:
 
     def tagged(self, table: str) -> DataFrame:
         if table not in self._tagged:
-            parents = {r.parent: self.rows(r.parent) for r in S.contract(table).references}
+            parents = {r.parent: self.keys(r.parent) for r in S.contract(table).references}
             tagged = TAGGERS[table](self._prepared[table], self._repeated[table], parents)
-            self._tagged[table] = kept(tagged) if table in self._parents else tagged
+            self._tagged[table] = kept(tagged.select(S.contract(table).key, REASON)) if table in self._parents else tagged
         return self._tagged[table]
 
+    def keys(self, table: str) -> DataFrame:
+        """Keys of the accepted rows, all that a reference asks for."""
+        return self.tagged(table).where(F.col(REASON).isNull()).select(S.contract(table).key)
+
     def rows(self, table: str) -> DataFrame:
         return trusted_rows(self.tagged(table), table)
 

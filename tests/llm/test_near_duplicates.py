@@ -80,8 +80,8 @@ def test_repeated_rows_and_null_keys(documents):
     assert sum(r.kept for r in found) == 5
     stay = near_duplicates.drop_near_duplicates(df, words=2)
     assert stay.columns == df.columns
-    # The two empty rows without key can't be told apart: one stays.
-    assert sorted((r.doc_id or -1, r.text or "") for r in stay.collect()) == [(-1, ""), (-1, "x y z"), (5, "a b c d"), (7, "other words here")]
+    # Texts without words all stay, also rows that can't be told apart.
+    assert sorted((r.doc_id or -1, r.text or "") for r in stay.collect()) == [(-1, ""), (-1, ""), (-1, "x y z"), (5, "a b c d"), (7, "other words here")]
 
 
 def test_empty_table(documents):

@@ -9,7 +9,9 @@ from test_mixing import plain as mix_plain
 from test_near_duplicates import brute
 
 import corpus_pipeline
+from cofre.llm import language_id
 from cofre.llm.common import read
+from cofre.llm.queries import held_out
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -36,8 +38,12 @@ def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "decontamination", "mixing"]
 
 
-def test_language_stage_keeps_texts_with_letters(steps):
-    assert keys(steps[1]) == [r.doc_id for r in sorted(steps[0]) if re.search(r"[^\W\d_]", r.text or "")]
+def test_language_stage_keeps_what_is_not_rejected(spark, steps):
+    docs = read(spark, FOLDER, "documents")
+    found = language_id.identify(docs, ~held_out(docs["doc_id"])).where("not rejected").collect()
+    assert keys(steps[1]) == sorted(r.key for r in found)
+    with_letters = [r.doc_id for r in steps[0] if re.search(r"[^\W\d_]", r.text or "")]
+    assert set(keys(steps[1])) <= set(with_letters) and len(steps[1]) >= 0.98 * len(with_letters)
 
 
 def test_exact_stage(steps):

@@ -22,13 +22,14 @@ read, so other columns, whatever their names, neither matter nor clash.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,14 +41,13 @@ GROUP = 4096
 #: Shortest part that a chunk is cut into to fill a hole.
 LEAST_PART = 32
 #: Most words whose ids a worker remembers from batch to batch, and most characters in them.
-MEMORY, MEMORY_CHARS = 400_000, 8_000_000
+MEMORY, MEMORY_CHARS = 1_200_000, 24_000_000
+#: Words that are one sequence to the tokenizer, and sequences that are encoded at a time.
+CALL, CALLS = 1000, 20
 #: Sequences of packed groups are numbered from here, by group and bin; full chunks by their row.
 PACKED = 1 << 62
 GROUP_BITS = 24
 
-_WORD = re.compile(r"[^ \t-\r]+")
-_NO_SPACE = re.compile("[\x1c-\x1f]")
-
 
 class Words:
     """Ids of texts by way of their words. Needs a tokenizer that drops white space."""
@@ -65,34 +65,33 @@ class Words:
         self.ends = np.zeros(1, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        """Append the ids of new words."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        """Append the ids of new words. Many words are one call, which tells each id's word."""
+        flat, sizes = [self.ids], []
+        for at in range(0, len(words), CALLS * CALL):
+            calls = [words[i : i + CALL] for i in range(at, min(at + CALLS * CALL, len(words)), CALL)]
+            for call, found in zip(calls, self.tokenizer.encode_batch(calls, is_pretokenized=True, add_special_tokens=False), strict=True):
+                flat.append(np.array(found.ids, np.uint32))
+                sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(call)))
         base = len(self.ends) - 1
         self.number.update(zip(words, range(base, base + len(words)), strict=True))
         self.n_chars += sum(map(len, words))
-        self.ids = np.concatenate([self.ids, flat])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-
-    @staticmethod
-    def split(text: str) -> list[str]:
-        """Words between white space; the four separators that Python alone counts as such stay in their words."""
-        return _WORD.findall(text) if _NO_SPACE.search(text) else text.split()
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the number of each text's."""
-        split = [self.split(text) for text in texts]
-        new = dict.fromkeys(word for words in split for word in words if word not in self.number)
+        self.ids = np.concatenate(flat)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the number of each text's. Words lie between ASCII white space."""
+        split = pc.ascii_split_whitespace(texts)
+        spoken = split.flatten().dictionary_encode()
+        words = spoken.dictionary.to_pylist()
+        new = [word for word in words if word not in self.number]
         if new:
-            self._learn(list(new))
-        spoken = [word for words in split for word in words]
-        numbers = np.fromiter(map(self.number.__getitem__, spoken), np.int64, len(spoken))
+            self._learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[spoken.indices.to_numpy(zero_copy_only=False)]
         begins, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
         total = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.ids[np.repeat(begins - total[:-1], sizes) + np.arange(total[-1])]
-        words_before = np.concatenate([[0], np.cumsum([len(words) for words in split])]).astype(np.int64)
-        counts = np.diff(total[words_before])
+        words_before = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        counts = np.diff(total[words_before.astype(np.int64)])
         if len(self.number) > MEMORY or self.n_chars > MEMORY_CHARS:
             self._forget()
         return flat, counts
@@ -106,10 +105,10 @@ class Whole:
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
 
 _encoders: dict[tuple, Words | Whole] = {}
@@ -141,23 +140,22 @@ def _cut(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def tokenize(
     df: DataFrame, tokenizer: str, end: int, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, by_word: bool = True,
-    batch: int = 2_000_000,
+    batch: int = 8_000_000,
 ) -> DataFrame:
     """Chunks: key, start, length, doc_tokens, ids (unsigned little-endian, two bytes each, or four if ids need it).
 
-    ``batch``: characters of text that are encoded at a time; a longer text is a batch of its own.
+    ``batch``: bytes of text that are encoded at a time.
     """
 
-    def batches_of(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-        first, held, size = 0, [], 0
-        for value in texts:
-            held.append(value.as_py() or "")
-            size += len(held[-1])
-            if size >= batch:
-                yield first, held
-                first, held, size = first + len(held), [], 0
-        if held:
-            yield first, held
+    def batches_of(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+        """Pieces of about ``batch`` bytes, with the place of their first text."""
+        texts = pc.fill_null(texts, "")
+        before = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // batch
+        first = 0
+        for last in [*(np.flatnonzero(np.diff(before)) + 1).tolist(), len(texts)]:
+            if last > first:
+                yield first, texts.slice(first, last - first)
+                first = last
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, by_word)

@@ -104,6 +104,19 @@ def _possible(few: DataFrame, on: list[tuple[Column, str]], rows: int) -> Column
     return bloom.build(few, [F.col(name) for _, name in on], rows).may_contain(*[value for value, _ in on])
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str = "size") -> DataFrame:
+    """``rows`` joined with the row of their group. ``groups``, a written table, has the number of its rows in ``size``, which is dropped.
+
+    A group that holds half an average shuffle partition or more is met by broadcast (there are at most twice as many of these as
+    partitions), so its rows stay where they are; only the others are dealt by group.
+    """
+    n_rows = groups.agg(F.sum(size)).first()[0] or 0
+    limit = n_rows / (2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    large = groups.where(F.col(size) >= max(limit, 2)).drop(size)
+    others = rows.join(F.broadcast(large.select(*on)), on, "left_anti").join(groups.where(F.col(size) < max(limit, 2)).drop(size), on)
+    return rows.join(F.broadcast(large), on).unionByName(others)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     taken = {column.lower() for column in df.columns}

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, bounded, join_few, keep_rows, lower_ascii
+from cofre.llm.common import Scratch, bounded, join_few, join_groups, keep_rows, lower_ascii
 
 #: The two largest primes below 2^31: products of two residues fit a bigint.
 MODULI = (2147483647, 2147483629)
@@ -130,7 +130,8 @@ def exact_duplicates(
     groups = rows.groupBy(*mark, "part").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("key", "rid")).alias("best")
     )
-    return rows.join(groups, [*mark, "part"]).select(
+    groups = scratch.write(groups.withColumn("size", F.col("group_size")), "groups")
+    return join_groups(rows, groups, [*mark, "part"]).select(
         "key", "row_hash", F.col("best.key").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("best.rid")).alias("kept"), "text_sha256", "n_bytes",
     )

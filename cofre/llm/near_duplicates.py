@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cofre.llm.common import Scratch, join_few, keep_rows
+from cofre.llm.common import Scratch, join_few, join_groups, keep_rows
 from cofre.llm.components import components
 
 HASHES, BANDS, ROWS, BATCH = 256, 40, 5, 64
@@ -227,7 +227,10 @@ class _Search:
         """band, rid, pivot: all members of buckets with several members."""
         each = self.sets.select("rid", F.explode("bands").alias("band"))
         buckets = each.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("rid").alias("pivot")).where("size > 1")
-        return self.scratch.write(each.join(buckets.select("band", "pivot"), "band"), "members")
+        buckets = self.scratch.write(buckets, "buckets")
+        members = self.scratch.write(join_groups(each, buckets, ["band"]), "members")
+        self.scratch.drop("buckets")
+        return members
 
     def signed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that their signatures leave possible."""
@@ -317,8 +320,9 @@ def near_duplicates(
     rows = search.rows.select("rid", "key", "row_hash", "n", "mark").join(of_mark, "mark", "left")
     rows = rows.withColumn("component", F.when(F.col("n") == 0, F.col("rid")).otherwise(F.col("component")))
     rows = search.scratch.write(rows.drop("mark"), "labelled")
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "rid")).alias("first"))
-    return rows.join(first, "component").select(
+    smallest = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "rid")).alias("first")
+    first = search.scratch.write(rows.groupBy("component").agg(smallest, F.count(F.lit(1)).alias("size")), "components")
+    return join_groups(rows, first, ["component"]).select(
         "key", "row_hash", F.col("n").alias("n_shingles"), F.col("first.key").alias("component_id"),
         (F.col("rid") == F.col("first.rid")).alias("kept"),
     )

@@ -38,3 +38,24 @@ def test_null_keys_are_found_beyond_the_bound(documents, monkeypatch):
     df = documents([(None, "a"), (None, "b"), (1, None), (1, "c")])
     gone = df.where("doc_id is null or text is null").select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("row_hash"))
     assert [r.text for r in common.without(df, gone, "doc_id", F.xxhash64("text")).collect()] == ["c"]
+
+
+def test_large_groups_stay_where_they_are(spark):
+    """A group with a third of all rows is met by broadcast; the shuffled side doesn't hold it."""
+    rows = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 700).alias("g"), "id")
+    groups = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"))
+    groups = common.Scratch(spark, "test").write(groups, "groups")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = common.join_groups(rows, groups, ["g"])
+        wanted = rows.join(groups.drop("size"), "g")
+        assert found.columns == ["g", "id", "least"] and found.count() == 9000 and found.exceptAll(wanted).isEmpty()
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * 9000 / 6
+        assert common.join_groups(rows.limit(0), groups.limit(0), ["g"]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -137,10 +137,8 @@ ITEM_NUMBER = "^[^a-z0-9]*([0-9]{1,2}|[a-z])[.)] +"
 SPELLED = f"(^| )({'|'.join(SPELLINGS)})( |$)"
 
 
-def canonical_line(line: Column) -> Column:
-    """One line: lower case, words parted by one space, no item number, spellings levelled; empty for a title or copyright line."""
-    lower = F.translate(line, UPPER, LOWER)
-    plain = F.btrim(F.regexp_replace(F.regexp_replace(lower, ITEM_NUMBER, ""), PUNCTUATION, " "))
+def _levelled(line: Column) -> Column:
+    """A plain line with its spellings levelled."""
 
     def spelling(word: Column) -> Column:
         found = word
@@ -148,15 +146,17 @@ def canonical_line(line: Column) -> Column:
             found = F.when(word == old, new).otherwise(found)
         return found
 
-    levelled = F.array_join(F.transform(F.split(plain, " "), spelling), " ")
-    form = F.when(F.regexp_like(plain, F.lit(SPELLED)), levelled).otherwise(plain)
-    return F.when(F.regexp_like(lower, F.lit(COPYRIGHT_LINE)) | plain.isin(*TITLES), "").otherwise(form)
+    return F.when(F.regexp_like(line, F.lit(SPELLED)), F.array_join(F.transform(F.split(line, " "), spelling), " ")).otherwise(line)
 
 
 def canonical_lines(text: Column) -> Column:
-    """The lines that are left of a text, as an array."""
+    """The lines that are left of a text, as an array: lower case, words parted by one space, no item numbers, spellings levelled;
+    titles, copyright lines and lines without words go. One step after the other, so that each is computed once a line."""
     lines = F.split(F.replace(F.coalesce(text, F.lit("")), F.lit("\r"), F.lit("")), "\n")
-    return F.filter(F.transform(lines, canonical_line), lambda line: line != "")
+    lower = F.transform(lines, lambda line: F.translate(line, UPPER, LOWER))
+    nameless = F.filter(lower, lambda line: ~F.regexp_like(line, F.lit(COPYRIGHT_LINE)))
+    plain = F.transform(nameless, lambda line: F.btrim(F.regexp_replace(F.regexp_replace(line, ITEM_NUMBER, ""), PUNCTUATION, " ")))
+    return F.transform(F.filter(plain, lambda line: ~line.isin("", *TITLES)), _levelled)
 
 
 def digests_of(texts: DataFrame) -> DataFrame:

@@ -3,15 +3,15 @@
 Training: every text with a language is reduced to its letters (lower case, runs of anything else are one space); tasks
 count its 4-grams and combine them before the shuffle. From the summed counts Spark estimates one model per language:
 4-grams by count, shorter ones by the number of distinct characters before them, each order interpolated with the
-next. All texts take part; the counts grow with the corpus, the model with its distinct 4-grams.
+next. The counts grow with the corpus, the model with its distinct 4-grams.
 
 A model is stored as sorted arrays of hashes with log probabilities and back-off weights, one pair per order and
 language. The hashes are as wide as the counted grams need to meet hardly ever; where two do, the more probable one is kept. Up to
 :data:`MODEL_ROWS` entries the arrays are broadcast; a larger model stays a table, with which the distinct grams of all texts are joined.
 
 A text gets the language of lowest cross-entropy per character. It is rejected when that exceeds what is usual for the language by more than a
-limit, which is calibrated on texts that a second model, estimated from the counts of the others, has not seen (every
-:data:`FOLD`-th of the training texts, by hash, so that copies stay together):
+limit, which is calibrated on training texts that the model is not estimated from (every :data:`FOLD`-th, by hash, so that copies stay
+together; of a language that has no others, they all teach and none calibrates):
 
 * their excess under their own language, and
 * the excess they would have if theirs were the language nobody has learned, under the best of the others.
@@ -324,10 +324,12 @@ def identify(
         F.when(teaches, F.col(lang)).alias("taught"), F.col(text).alias("text"),
     )
     counts = scratch.write(count_grams(rows.where("learns"), "text", "taught"), "counts")
-    seen = counts.where("n_seen > 0").select("lang", "gram", F.col("n_seen").alias("n"))
-    fold = rows.where(F.col("taught").isNotNull() & calibrates(F.col("row_hash")))
-    usual, limit, unit = _calibrated(*_scored(fold, seen, scratch, "fold"), high, low)
-    scored, languages = _scored(rows, counts.select("lang", "gram", "n"), scratch, "scored")
+    # Languages, a few, of which every text would calibrate.
+    unseen = [r["lang"] for r in counts.groupBy("lang").agg(F.sum("n_seen").alias("n")).where("n = 0").collect()]
+    teaching = F.when(F.col("lang").isin(unseen), F.col("n")).otherwise(F.col("n_seen"))
+    scored, languages = _scored(rows, counts.select("lang", "gram", teaching.alias("n")).where("n > 0"), scratch, "scored")
+    fold = scored.where(F.col("taught").isNotNull() & ~F.col("taught").isin(unseen) & calibrates(F.col("row_hash")))
+    usual, limit, unit = _calibrated(fold, languages, high, low)
     if not languages:
         none = F.lit(None).cast("double")
         return rows.select(
@@ -354,8 +356,8 @@ def usual_of_all(usual: dict[str, float]) -> float:
 
 
 def _calibrated(fold: DataFrame, languages: list[str], high: float, low: float) -> tuple[dict[str, float], float, float]:
-    """Median entropy of each language, the limit of the excess, and the standard deviation of a character, over texts of ``fold``,
-    which the model has not seen."""
+    """Median entropy of each language, the limit of the excess, and the standard deviation of a character, over scored texts that the
+    model has not seen."""
     if not languages:
         return {}, float("inf"), 0.0
     known = _entropies(fold, languages).where("n_scored > 0")

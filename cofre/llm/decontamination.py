@@ -59,7 +59,8 @@ _NAME = r"\p{Lu}(?<=[^.!?:]\x20\p{Lu})\p{Ll}[\p{L}'-]*"
 _NUMBER = rf"[0-9](?<![\p{{L}}\p{{N}}{NAME}-{UNIT}][0-9])[0-9]*(?:[.,:/][0-9]+)*"
 _UNIT = rf"({_NUMBER})[\x20]?({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])"
 _DROPPED = rf"[^\p{{L}}\p{{N}}\x20{NAME}-{UNIT}]+"
-_SPACE = r"[\x20\x09-\x0D]+"
+#: White space that is not one space already.
+_SPACE = r"\x20[\x20\x09-\x0D]+|[\x09-\x0D][\x20\x09-\x0D]*"
 
 
 def slotted(text: Column) -> Column:
@@ -82,21 +83,35 @@ def _kinds(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(F.regexp_like(w, F.lit(f"^{_MARKS}")), F.substring(w, 1, 1)).otherwise(w))
 
 
-def _dense(kinds: Column, min_plain: int) -> Column:
-    """Whether a window has fewer than ``min_plain`` words that are no placeholders."""
-    return F.size(reduce(F.array_remove, (NAME, NUMBER, UNIT), kinds)) < min_plain
+def _hashes(kinds: Column) -> Column:
+    """The hash of each template word."""
+    return F.transform(kinds, lambda kind: F.xxhash64(kind))
 
 
-def _mark(kinds: Column, values: Column, min_plain: int) -> Column:
+def _dense(hashes: Column, min_plain: int) -> Column:
+    """Whether a window, by its words' hashes, has fewer than ``min_plain`` words that are no placeholders."""
+    return F.size(reduce(F.array_remove, [F.xxhash64(F.lit(slot)) for slot in (NAME, NUMBER, UNIT)], hashes)) < min_plain
+
+
+def _mark(hashes: Column, values: Column, min_plain: int) -> Column:
     """The hash a window is found by: that of its template, or of its words with their values when too few are plain."""
-    return F.when(_dense(kinds, min_plain), F.xxhash64(values)).otherwise(F.xxhash64(kinds))
+    return F.when(_dense(hashes, min_plain), F.xxhash64(values)).otherwise(F.xxhash64(hashes))
 
 
-def _marks(kinds: Column, values: Column, size: int, min_plain: int) -> Column:
-    """The mark of each window of ``size`` words, by its place."""
-    last = F.size(kinds) - size
-    places = F.when(last >= 0, F.sequence(F.lit(0), last))
-    return F.transform(places, lambda i: _mark(F.slice(kinds, i + 1, size), F.slice(values, i + 1, size), min_plain))
+def text_windows(lines: DataFrame, sizes: list[int], min_plain: int) -> DataFrame:
+    """key, row_hash, size, at, mark: the windows of all ``sizes`` in slotted lines (key, row_hash, line).
+
+    Each word is hashed once, and each window is a row before its mark is taken: generated code then cuts it out of the hashes, where a
+    function over an array of windows would be interpreted, word by word.
+    """
+    hashes = _hashes(template(F.col("line"))).alias("hashes")
+    words = lines.select("key", "row_hash", hashes, F.split("line", " ").alias("values"))
+    last = F.size("hashes") - F.col("size")
+    places = words.select("*", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
+    places = places.select("*", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("at"))
+    first, size = F.col("at") + 1, F.col("size")
+    cut = places.select("key", "row_hash", "size", "at", "values", F.slice("hashes", first, size).alias("window"))
+    return cut.select("key", "row_hash", "size", "at", _mark(F.col("window"), F.slice("values", first, size), min_plain).alias("mark"))
 
 
 def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain: int, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -124,8 +139,8 @@ def item_windows(items: DataFrame, text: str, item: str, window: int, min_plain:
         lambda slot: F.regexp_like(slot["value"], F.lit(f"^{_MARKS}")),
     )
     return rows.select(
-        "item", "size", "place", _mark(part, values, min_plain).alias("mark"), F.xxhash64(part).alias("shape"),
-        _dense(part, min_plain).alias("dense"), "named", slots.alias("slots"),
+        "item", "size", "place", _mark(_hashes(part), values, min_plain).alias("mark"), F.xxhash64(part).alias("shape"),
+        _dense(_hashes(part), min_plain).alias("dense"), "named", slots.alias("slots"),
     )
 
 
@@ -140,16 +155,10 @@ def contaminations(
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("row_hash"))
 
     lines = rows.select("key", "row_hash", slotted(F.col("text")).alias("line"))
-    lines = lines.select("key", "row_hash", template(F.col("line")).alias("kinds"), F.split("line", " ").alias("values"))
-
-    def windows(size: int) -> Column:
-        """(size, at, mark) of all windows of a size; null where the text is shorter."""
-        marks = _marks(F.col("kinds"), F.col("values"), size, min_plain)
-        return F.transform(marks, lambda mark, i: F.struct(F.lit(size).alias("size"), i.alias("at"), mark.alias("mark")))
 
     columns = ("item", "place", "at", "size", "shape", "dense")
     if sizes:
-        every = lines.select("key", "row_hash", F.inline(F.flatten(F.array_compact(F.array(*map(windows, sizes))))))
+        every = text_windows(lines, sizes, min_plain)
         sought = known.select("item", "place", F.col("mark").alias("k_mark"), F.col("size").alias("k_size"), "shape", "dense")
         met = join_few(every, sought, [(F.col("mark"), "k_mark"), (F.col("size"), "k_size")])
     else:

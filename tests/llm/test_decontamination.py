@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cofre.llm import common, decontamination
 
@@ -175,3 +176,24 @@ def test_long_lists_of_items_are_filtered_first(spark, documents, monkeypatch):
     few = found(spark, documents, rows, [(1, ITEM)])
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     assert found(spark, documents, rows, [(1, ITEM)]) == few == {(i, 1) for i in range(0, 30, 3)}
+
+
+def test_windows_of_all_sizes_have_the_marks_of_the_items(spark):
+    texts = [ITEM, TWICE, "what is 12 x 7 + 5 now?", "What is 12 x 7", "5 kg, 6 kg, 7 kg and 8", "one short question about rivers", "COVID-19 in a text of X-5 words"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    known = decontamination.item_windows(items, "text", "item_id", 8, 4).where("not named")
+    wanted = {(r["item"], r["size"], r["place"], r["mark"]) for r in known.collect()}
+    sizes = sorted({size for _, size, _, _ in wanted})
+    lines = items.select(F.col("item_id").alias("key"), F.xxhash64("text").alias("row_hash"), decontamination.slotted(F.col("text")).alias("line"))
+    windows = decontamination.text_windows(lines, sizes, 4).collect()
+    assert {(r["key"], r["size"], r["at"], r["mark"]) for r in windows} >= wanted and sizes == [5, 7, 8]
+    lengths = {r["key"]: len(r["line"].split(" ")) for r in lines.collect()}
+    assert len(windows) == sum(max(n - size + 1, 0) for n in lengths.values() for size in sizes)
+
+
+def test_a_text_is_levelled_once_and_windows_are_cut_by_generated_code(spark, documents):
+    df = documents([(1, ITEM)])
+    lines = df.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("row_hash"), decontamination.slotted(F.col("text")).alias("line"))
+    plan = decontamination.text_windows(lines, [5, 8], 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lambdafunction") == plan.count("lower(") == 1
+    assert re.search(r"\*\(\d+\) Project [^\n]*xxhash64\(window", plan)
